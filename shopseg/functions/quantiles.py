@@ -193,3 +193,21 @@ def quantile_bounds(df: DataFrame, cols: list[str], q_low: float, q_high: float,
     """``{col: (q_low quantile, q_high quantile)}``."""
     got = column_quantiles(df, cols, [q_low, q_high], **kw)
     return {c: (v[0], v[1]) for c, v in got.items()}
+
+
+def grouped_quantiles(df: DataFrame, group_col: str, cols: list[str], probs: list[float],
+                      **kw) -> dict[tuple, list[float]]:
+    """Quantiles of each column within each group (few groups, e.g. cluster labels).
+
+    Same exact algorithm as ``column_quantiles``: each (group, column) pair is
+    one key of the long table, so a group holding most rows is refined like
+    any large column instead of being merged in one task.
+    """
+    groups = [r[0] for r in df.select(group_col).distinct().orderBy(group_col).collect()]
+    gi = {g: i for i, g in enumerate(groups)}
+    mapping = F.create_map(*[x for g, i in gi.items() for x in (F.lit(g), F.lit(i))])
+    keyed = df.select(*[F.when(F.element_at(mapping, F.col(group_col)) == F.lit(i), F.col(c)).alias(f"_{i}_{j}")
+                        for i in range(len(groups)) for j, c in enumerate(cols)])
+    names = [f"_{i}_{j}" for i in range(len(groups)) for j in range(len(cols))]
+    got = column_quantiles(keyed, names, probs, **kw)
+    return {(g, c): got[f"_{gi[g]}_{j}"] for g in groups for j, c in enumerate(cols)}
