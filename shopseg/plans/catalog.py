@@ -192,6 +192,178 @@ def q_user_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(f.select(*keep), money=("total_purchase",))
 
 
+
+# ---------------------------------------------------------------------------
+# Matrix, clustering, segmentation
+# ---------------------------------------------------------------------------
+
+def _numeric_long(df: DataFrame, cols: list[str], id_col: str = "User_ID") -> DataFrame:
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return df.selectExpr(id_col, f"stack({len(cols)}, {stack}) as (feature, value)")
+
+
+def _winsorized(spark, sf):
+    from shopseg.operators.matrix import winsorize_features
+    from shopseg.plans.segmentation import TX_Q, USER_Q_DETECT
+    tx = clean_transactions(transactions_from_tables(spark, sf), *TX_Q)
+    feats, buckets = user_features(tx)
+    return feats, winsorize_features(feats, *USER_Q_DETECT), buckets
+
+
+MONEY_FEATURES = ["total_purchase", "avg_purchase", "median_purchase", "std_purchase"]
+
+
+def q_winsorized_features(spark: SparkSession, sf: str) -> DataFrame:
+    from shopseg.operators.features import numeric_feature_columns
+    _, w, _ = _winsorized(spark, sf)
+    long = _numeric_long(w, numeric_feature_columns(w))
+    return long.select("User_ID", "feature", F.when(F.col("feature").isin(MONEY_FEATURES), F.round("value", 4))
+                       .otherwise(F.round("value", 6)).alias("value"))
+
+
+def _scaled(spark, sf):
+    from shopseg.operators.matrix import matrix_columns, robust_scale
+    _, w, _ = _winsorized(spark, sf)
+    numeric, _ = matrix_columns(w)
+    return robust_scale(w.select("User_ID", *numeric), numeric), numeric
+
+
+def q_robust_scaled(spark: SparkSession, sf: str) -> DataFrame:
+    sc, numeric = _scaled(spark, sf)
+    return rounded(_numeric_long(sc, numeric))
+
+
+def q_one_hot_modes(spark: SparkSession, sf: str) -> DataFrame:
+    from shopseg.operators.matrix import CATEGORICAL, one_hot
+    from shopseg.plans.segmentation import TX_Q
+    feats, _ = user_features(clean_transactions(transactions_from_tables(spark, sf), *TX_Q))
+    enc, names = one_hot(feats.select("User_ID", *CATEGORICAL), CATEGORICAL)
+    return _numeric_long(enc, names)
+
+
+def _scaled_points(spark, sf):
+    sc, numeric = _scaled(spark, sf)
+    return sc.select("User_ID", F.array(*[F.col(f"`{c}`") for c in numeric]).alias("pca"))
+
+
+def q_l1_silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-user Manhattan silhouette of the scaled numeric block, labels = region."""
+    from shopseg.operators.silhouette import l1_silhouette_samples
+    return rounded(l1_silhouette_samples(_scaled_points(spark, sf), region_assignments(spark, sf)))
+
+
+def q_euclidean_silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    from shopseg.operators.silhouette import euclidean_silhouette_samples
+    return rounded(euclidean_silhouette_samples(_scaled_points(spark, sf), region_assignments(spark, sf)))
+
+
+def _detect_points(spark, sf, variant="planted"):
+    from shopseg.plans.segmentation import PCA_DETECT, TX_Q, USER_Q_DETECT, prepare
+    tx = clean_transactions(transactions_from_tables(spark, sf, variant), *TX_Q)
+    return prepare(tx, USER_Q_DETECT, PCA_DETECT)
+
+
+def q_pca_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: explained variance ratio of the components kept for the 80 % target."""
+    prep = _detect_points(spark, sf)
+    r = prep.pca
+    rows, cum = [], 0.0
+    for i, v in enumerate(r.explained):
+        cum += v
+        rows.append((i + 1, float(v), float(cum)))
+    return rounded(spark.createDataFrame(rows, "component int, explained_ratio double, cumulative double"))
+
+
+def q_pca_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """M6: centred 3-D coordinates of the scaled matrix with the region label."""
+    from shopseg.operators.matrix import pca_projection
+    prep = _detect_points(spark, sf)
+    out, _ = pca_projection(prep.x, region_assignments(spark, sf), 3)
+    return rounded(out)
+
+
+def q_merge_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: average + Manhattan merge tree of the detection space."""
+    from shopseg.operators.hierarchy import agglomerate
+    return rounded(agglomerate(_detect_points(spark, sf).points, "average", "manhattan", [4]).merges)
+
+
+def q_merge_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """Last 49 merges (lastp dendrogram data) of the complete + Manhattan tree."""
+    from shopseg.operators.hierarchy import agglomerate
+    return rounded(agglomerate(_detect_points(spark, sf).points, "complete", "manhattan", [4]).tail(50))
+
+
+def _variant(name):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        from shopseg.plans.segmentation import segment_variant
+        return segment_variant(_detect_points(spark, sf, "clean").points, name).labels
+    q.__name__ = f"q_segments_{name}"
+    return q
+
+
+def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouette per k (2..10) of the Ward tree; ``best`` marks the chosen k."""
+    from shopseg.plans.segmentation import choose_k
+    best, scores, _ = choose_k(_detect_points(spark, sf, "clean").points, "ward", "euclidean")
+    return rounded(spark.createDataFrame([(k, s, k == best) for k, s in scores],
+                                         "k int, silhouette double, best boolean"))
+
+
+def _hybrid(spark, sf):
+    from shopseg.plans.segmentation import hybrid_segments
+    return hybrid_segments(transactions_from_tables(spark, sf, "planted"), silhouettes=False)
+
+
+def q_niche_users(spark: SparkSession, sf: str) -> DataFrame:
+    return _hybrid(spark, sf).niche_users
+
+
+def q_core_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    return _hybrid(spark, sf).core_transactions
+
+
+def q_hybrid_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return _hybrid(spark, sf).final
+
+
+def q_hybrid_silhouettes(spark: SparkSession, sf: str) -> DataFrame:
+    from shopseg.plans.segmentation import hybrid_segments
+    h = hybrid_segments(transactions_from_tables(spark, sf, "planted"))
+    return rounded(spark.createDataFrame([("detect", 4, h.silhouette_detect), ("core", 4, h.silhouette_core)],
+                                         "pass string, k int, silhouette double"))
+
+
+def _nation_labels(spark, sf):
+    users = basket_lines(spark, sf).select("User_ID").distinct()
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_custkey").cast("int").alias("User_ID"), F.col("c_nationkey").cast("int").alias("cluster"))
+    return c.join(users, "User_ID", "left_semi")
+
+
+def q_niche_split_given_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """P14, J4, J5, W2, U1 with given labels: detection = nation, core recluster = region."""
+    from shopseg.operators.profile import cluster_sizes
+    from shopseg.plans.segmentation import niche_clusters, reattach, split_users
+    det = _nation_labels(spark, sf)
+    core, niche = split_users(det, niche_clusters(cluster_sizes(det)))
+    core_labels = region_assignments(spark, sf).join(core, "User_ID", "left_semi")
+    return reattach(core_labels, niche)
+
+
+def q_cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """A19 with given labels (region), long form ``cluster, feature, count, mean, median``."""
+    from shopseg.operators.profile import profile_clusters
+    from shopseg.plans.segmentation import TX_Q
+    feats, _ = user_features(clean_transactions(transactions_from_tables(spark, sf), *TX_Q))
+    cols = [c for c in feats.columns if c not in ("User_ID",) and not c.startswith("cat_")
+            and dict(feats.dtypes)[c] != "string"] + ["cat_entropy"]
+    prof = profile_clusters(feats.join(region_assignments(spark, sf), "User_ID"), columns=cols)
+    stack = ", ".join(f"'{c}', CAST(`{c}__count` AS BIGINT), `{c}__mean`, `{c}__median`" for c in cols)
+    long = prof.selectExpr("cluster", f"stack({len(cols)}, {stack}) as (feature, count, mean, median)")
+    return rounded(long, places=4)
+
+
 QUERIES = {
     "clean_transactions": q_clean_transactions,
     "clean_transactions_dirty": q_clean_transactions_dirty,
@@ -216,4 +388,24 @@ QUERIES = {
     "revenue_shares": q_revenue_shares,
     "category_entropy": q_category_entropy,
     "user_features": q_user_features,
+    "winsorized_features": q_winsorized_features,
+    "robust_scaled": q_robust_scaled,
+    "one_hot_modes": q_one_hot_modes,
+    "l1_silhouette": q_l1_silhouette,
+    "euclidean_silhouette": q_euclidean_silhouette,
+    "pca_variance": q_pca_variance,
+    "pca_projection": q_pca_projection,
+    "merge_tree": q_merge_tree,
+    "merge_tail": q_merge_tail,
+    "segments_original": _variant("original"),
+    "segments_test1": _variant("test1"),
+    "segments_test2": _variant("test2"),
+    "segments_test3": _variant("test3"),
+    "choose_k": q_choose_k,
+    "niche_users": q_niche_users,
+    "core_transactions": q_core_transactions,
+    "hybrid_segments": q_hybrid_segments,
+    "hybrid_silhouettes": q_hybrid_silhouettes,
+    "niche_split_given_labels": q_niche_split_given_labels,
+    "cluster_profile": q_cluster_profile,
 }

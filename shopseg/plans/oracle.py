@@ -286,6 +286,103 @@ SELECT level, array_to_string(ante, ', ') AS antecedent, array_to_string(cons, '
 FROM r WHERE confidence >= CAST({spec['conf']} AS DOUBLE) AND lift >= CAST({spec['lift']} AS DOUBLE)"""
 
 
+
+# ---------------------------------------------------------------------------
+# Matrix, silhouette, niches, profiles
+# ---------------------------------------------------------------------------
+
+PLAIN_NUMERIC = ["n_transactions", "total_purchase", "avg_purchase", "median_purchase", "std_purchase",
+                 "unique_products", "Stay_mode", "Marital_mode", "Occupation_mode", "cat_entropy",
+                 "n_unique_categories", "avg_purchase_log1p", "median_purchase_log1p", "std_purchase_log1p"]
+MATRIX_PLAIN = ["n_transactions", "unique_products", "cat_entropy", "n_unique_categories",
+                "avg_purchase_log1p", "median_purchase_log1p", "std_purchase_log1p"]
+MATRIX_PRED = ("(feature IN (" + ", ".join(f"'{c}'" for c in MATRIX_PLAIN) + ")"
+               " OR feature LIKE 'cat_share__%' OR feature LIKE 'cat_rev_share__%')")
+
+
+def matrix_ctes(q_low: float = 0.005, q_high: float = 0.995) -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
+    return f"""{feature_ctes()},
+nlong AS (
+  SELECT User_ID, feature, value FROM (UNPIVOT (SELECT User_ID, {casts} FROM feats)
+    ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value)
+  UNION ALL SELECT User_ID, 'cat_share__' || bucket, share FROM shares
+  UNION ALL SELECT User_ID, 'cat_rev_share__' || bucket, rev_share FROM shares),
+wq AS (SELECT feature, quantile_cont(value, CAST({q_low} AS DOUBLE)) AS lo,
+         quantile_cont(value, CAST({q_high} AS DOUBLE)) AS hi FROM nlong GROUP BY feature),
+wlong AS (SELECT n.User_ID, n.feature, LEAST(GREATEST(n.value, q.lo), q.hi) AS value
+          FROM nlong n JOIN wq q USING (feature)),
+rq AS (SELECT feature, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50,
+         quantile_cont(value, 0.75) AS q75 FROM wlong WHERE {MATRIX_PRED} GROUP BY feature),
+rlong AS (SELECT w.User_ID, w.feature,
+            (w.value - r.q50) / CASE WHEN r.q75 - r.q25 = 0 THEN 1.0 ELSE r.q75 - r.q25 END AS value
+          FROM wlong w JOIN rq r USING (feature))"""
+
+
+def sql_silhouette(metric: str) -> str:
+    if metric == "manhattan":
+        dist = "sum(abs(a.value - b.value))"
+    else:
+        dist = "sqrt(sum((a.value - b.value) * (a.value - b.value)))"
+    return f"""WITH {matrix_ctes()}, {REGION},
+lab AS (SELECT User_ID, cluster FROM asg WHERE User_ID IN (SELECT User_ID FROM rlong)),
+pd AS (SELECT a.User_ID AS i, b.User_ID AS j, {dist} AS d
+       FROM rlong a JOIN rlong b ON a.feature = b.feature AND a.User_ID <> b.User_ID GROUP BY 1, 2),
+dc AS (SELECT pd.i, l.cluster AS cj, sum(pd.d) AS s FROM pd JOIN lab l ON l.User_ID = pd.j GROUP BY 1, 2),
+sz AS (SELECT cluster, count(*) AS n FROM lab GROUP BY cluster),
+ab AS (SELECT li.User_ID, li.cluster, szi.n AS n_own,
+         max(CASE WHEN dc.cj = li.cluster THEN dc.s END) / CAST(szi.n - 1 AS DOUBLE) AS a,
+         min(CASE WHEN dc.cj <> li.cluster THEN dc.s / CAST(szj.n AS DOUBLE) END) AS b
+       FROM lab li JOIN sz szi ON szi.cluster = li.cluster
+       LEFT JOIN dc ON dc.i = li.User_ID LEFT JOIN sz szj ON szj.cluster = dc.cj
+       GROUP BY li.User_ID, li.cluster, szi.n)
+SELECT User_ID, cluster, ROUND(a, 6) AS a, ROUND(b, 6) AS b,
+       ROUND(CASE WHEN n_own <= 1 OR GREATEST(a, b) = 0 THEN 0.0 ELSE (b - a) / GREATEST(a, b) END, 6) AS silhouette
+FROM ab"""
+
+
+def sql_niche_split() -> str:
+    return f"""WITH {BASKET_LINES}, {REGION},
+users AS (SELECT DISTINCT User_ID FROM bl),
+det AS (SELECT CAST(c.c_custkey AS INTEGER) AS User_ID, CAST(c.c_nationkey AS INTEGER) AS cluster
+        FROM customer c WHERE CAST(c.c_custkey AS INTEGER) IN (SELECT User_ID FROM users)),
+sz AS (SELECT cluster, count(*) AS size FROM det GROUP BY cluster),
+tot AS (SELECT sum(size) AS total FROM sz),
+niche AS (SELECT cluster FROM sz, tot WHERE size < 50 OR size / CAST(total AS DOUBLE) < 0.01),
+core AS (SELECT d.User_ID FROM det d WHERE d.cluster NOT IN (SELECT cluster FROM niche)),
+core_lab AS (SELECT a.User_ID, a.cluster FROM asg a WHERE a.User_ID IN (SELECT User_ID FROM core)),
+core_rank AS (SELECT cluster, CAST(dense_rank() OVER (ORDER BY cluster) - 1 AS INTEGER) AS final
+              FROM (SELECT DISTINCT cluster FROM core_lab)),
+nl AS (SELECT count(*) AS next_label FROM core_rank),
+niche_rank AS (SELECT cluster, CAST(dense_rank() OVER (ORDER BY cluster) - 1 AS INTEGER) AS r FROM niche)
+SELECT c.User_ID, r.final AS cluster FROM core_lab c JOIN core_rank r USING (cluster)
+UNION ALL
+SELECT d.User_ID, CAST(n.r + nl.next_label AS INTEGER) AS cluster
+FROM det d JOIN niche_rank n USING (cluster) CROSS JOIN nl"""
+
+
+def sql_cluster_profile() -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
+    return f"""WITH {feature_ctes()}, {REGION},
+pl AS (SELECT User_ID, feature, value FROM (UNPIVOT (SELECT User_ID, {casts} FROM feats)
+    ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value))
+SELECT a.cluster, pl.feature, CAST(count(pl.value) AS BIGINT) AS count, ROUND(avg(pl.value), 4) AS mean,
+       ROUND(quantile_cont(pl.value, 0.5), 4) AS median
+FROM pl JOIN asg a USING (User_ID) GROUP BY a.cluster, pl.feature"""
+
+
+def sql_one_hot() -> str:
+    cols = ["Age_mode", "Gender_mode", "City_Category_mode", "Stay_mode", "Marital_mode", "Occupation_mode"]
+    levels = " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS col, CAST({c} AS VARCHAR) AS lvl FROM feats WHERE {c} IS NOT NULL" for c in cols)
+    vals = " UNION ALL ".join(f"SELECT User_ID, '{c}' AS col, CAST({c} AS VARCHAR) AS v FROM feats" for c in cols)
+    return f"""WITH {feature_ctes()},
+lv AS ({levels}),
+uv AS ({vals})
+SELECT u.User_ID, lv.col || '=' || lv.lvl AS feature, CASE WHEN u.v = lv.lvl THEN 1.0 ELSE 0.0 END AS value
+FROM uv u JOIN lv ON lv.col = u.col"""
+
+
 def oracles() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
     feats = lambda sel: sql_features(sel)
@@ -325,4 +422,13 @@ def oracles() -> dict[str, str]:
             "ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories, ROUND(avg_purchase_log1p, 6) AS avg_purchase_log1p, "
             "ROUND(median_purchase_log1p, 6) AS median_purchase_log1p, ROUND(std_purchase_log1p, 6) AS std_purchase_log1p "
             "FROM feats"),
+        "winsorized_features": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, CASE WHEN feature IN "
+                               "('total_purchase', 'avg_purchase', 'median_purchase', 'std_purchase') "
+                               "THEN ROUND(value, 4) ELSE ROUND(value, 6) END AS value FROM wlong",
+        "robust_scaled": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, ROUND(value, 6) AS value FROM rlong",
+        "one_hot_modes": sql_one_hot(),
+        "l1_silhouette": sql_silhouette("manhattan"),
+        "euclidean_silhouette": sql_silhouette("euclidean"),
+        "niche_split_given_labels": sql_niche_split(),
+        "cluster_profile": sql_cluster_profile(),
     }
