@@ -76,26 +76,31 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
         return {c: [float("nan") if v is None else float(v) for v in (row[f"q{i}"] or [None] * len(probs))]
                 for i, c in enumerate(cols)}
 
+    vals = [_valid(c) for c in cols]
+    row = df.agg(*[x for i, v in enumerate(vals) for x in (
+        F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"))]).collect()[0]
+    stats = {i: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(cols)) if row[f"n{i}"]}
+    max_n = max([s[0] for s in stats.values()], default=0)
+    if method == "spark" or (method == "auto" and max_n <= small_n):
+        return _builtin(df, cols, probs)
     long = _long_values(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in
-                 long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                         F.max("v").alias("hi")).collect()}
-        max_n = max([s[0] for s in stats.values()], default=0)
-        if method == "spark" or (method == "auto" and max_n <= small_n):
-            return _builtin(long, cols, probs, stats)
         return _refine(long, cols, probs, stats, bins, finish)
     finally:
         long.unpersist()
 
 
-def _builtin(long: DataFrame, cols, probs, stats) -> dict[str, list[float]]:
-    rows = (long.groupBy("ci").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
-                .collect())
-    got = {r["ci"]: r["q"] for r in rows}
+def _valid(c: str):
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _builtin(df: DataFrame, cols, probs) -> dict[str, list[float]]:
+    row = df.agg(*[F.percentile(_valid(c), F.array(*[F.lit(p) for p in probs])).alias(f"q{i}")
+                   for i, c in enumerate(cols)]).collect()[0]
     out = {}
     for i, c in enumerate(cols):
-        q = got.get(i)
+        q = row[f"q{i}"]
         out[c] = [float("nan")] * len(probs) if q is None else [float(v) for v in q]
     return out
 

@@ -77,7 +77,6 @@ def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None =
         F.avg("Purchase").alias("avg_purchase"),
         F.median("Purchase").alias("median_purchase"),
         F.coalesce(F.stddev_samp("Purchase"), F.lit(0.0)).alias("std_purchase"),
-        F.count_distinct("Product_ID").alias("unique_products"),
     ]
     aggs += [F.mode(F.col(src), True).alias(dst) for src, dst in MODE_SOURCES]
     for i, b in enumerate(buckets):
@@ -85,6 +84,12 @@ def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None =
         aggs.append(F.count(F.when(in_b, F.col("Product_ID"))).alias(f"_n{i}"))
         aggs.append(F.sum(F.when(in_b, F.col("Purchase")).otherwise(F.lit(0.0))).alias(f"_r{i}"))
     g = t.groupBy("User_ID").agg(*aggs)
+    # distinct products: its own two-step aggregate (a distinct aggregate inside the big one would
+    # force the expand + sort-based path for every column); both sides come out hash-partitioned by
+    # User_ID, so the join adds no shuffle.
+    uniq = (tx.select("User_ID", "Product_ID").where(F.col("Product_ID").isNotNull()).distinct()
+              .groupBy("User_ID").agg(F.count(F.lit(1)).alias("unique_products")))
+    g = g.join(uniq, "User_ID", "left").withColumn("unique_products", F.coalesce("unique_products", F.lit(0)))
 
     n_total = sum((F.col(f"_n{i}") for i in range(len(buckets))), F.lit(0))
     r_total = sum((F.col(f"_r{i}") for i in range(len(buckets))), F.lit(0.0))
