@@ -69,3 +69,19 @@ def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99
         lo, hi = quantile_bounds(base, ["Purchase"], q_low, q_high, method=quantile_method)["Purchase"]
         filled = filled.withColumn("Purchase", clip(F.col("Purchase"), lo, hi))
     return filled.select(*TRANSACTION_COLUMNS, "Product_Category_str")
+
+
+def basket_transactions(raw: DataFrame) -> DataFrame:
+    """S2 + P1 + P3 + P4: the rule miner's narrow read.
+
+    Only ``User_ID, Product_ID, Product_Category, Purchase`` are kept and exact
+    duplicates are dropped *after* that projection (so rows differing in other
+    columns collapse), then the category label is derived.
+    """
+    typed = _typed(raw.select(*[c for c in ["User_ID", "Product_ID", "Product_Category", "Purchase"]
+                                if c in raw.columns]))
+    narrow = typed.select("User_ID", "Product_ID", F.col("Product_Category").try_cast("float").alias("pc"),
+                          "Purchase").dropDuplicates()
+    code = coerce_category(F.col("pc"))
+    return narrow.select("User_ID", "Product_ID", code.alias("Product_Category"), "Purchase",
+                         category_label(code).alias("Product_Category_str"))

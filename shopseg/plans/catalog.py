@@ -364,6 +364,50 @@ def q_cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(long, places=4)
 
 
+
+# ---------------------------------------------------------------------------
+# The reference's production rule profile on the mapped transactions
+# ---------------------------------------------------------------------------
+
+def _production(spark, sf):
+    from shopseg.operators.clean import basket_transactions
+    from shopseg.plans.levels import production_levels
+    return production_levels(basket_transactions(transactions_from_tables(spark, sf)),
+                             region_assignments(spark, sf))
+
+
+def q_production_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """R6 + R7 + R8: categories, top-40 products and categories per segment, reference thresholds."""
+    return rounded(_production(spark, sf).rules)
+
+
+def q_production_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _production(spark, sf).summary
+
+
+def q_production_item_support(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept items with their user counts per level (the reference's item-support files)."""
+    k = _production(spark, sf).basket.kept
+    return k.select("level", "item", F.col("user_count").cast("long"))
+
+
+def q_top_rules_pair_order(spark: SparkSession, sf: str) -> DataFrame:
+    """O6 literal: the first 200 deduplicated rules in unordered-pair order."""
+    return rounded(top_rules(_mine(spark, sf, [T_CATEGORY_LOOSE]).rules, 200, order="pair"))
+
+
+def q_category_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    from shopseg.operators.features import category_frequency
+    return category_frequency(_clean(spark, sf)).select(F.col("Product_Category_str").alias("label"),
+                                                        F.col("n").cast("long"))
+
+
+def q_sample_assignments(spark: SparkSession, sf: str) -> DataFrame:
+    """First 5,000 final assignments (core labels first, then user id)."""
+    from shopseg.plans.segmentation import sample_assignments
+    return sample_assignments(q_niche_split_given_labels(spark, sf), 5000)
+
+
 QUERIES = {
     "clean_transactions": q_clean_transactions,
     "clean_transactions_dirty": q_clean_transactions_dirty,
@@ -408,4 +452,10 @@ QUERIES = {
     "hybrid_silhouettes": q_hybrid_silhouettes,
     "niche_split_given_labels": q_niche_split_given_labels,
     "cluster_profile": q_cluster_profile,
+    "production_rules": q_production_rules,
+    "production_summary": q_production_summary,
+    "production_item_support": q_production_item_support,
+    "top_rules_pair_order": q_top_rules_pair_order,
+    "category_frequency": q_category_frequency,
+    "sample_assignments": q_sample_assignments,
 }

@@ -153,7 +153,14 @@ def _level_rows(level: str, item: str, segment: bool) -> str:
     return f"SELECT '{level}' AS level, User_ID, {item} AS item FROM bl"
 
 
-def basket_ctes(specs: list[dict]) -> str:
+PRODUCTION_LINES = f"""bl AS (SELECT User_ID, Product_ID AS product_item,
+    'cat_' || COALESCE(CAST(CASE WHEN pc IS NULL OR isnan(pc) OR pc <> floor(pc) THEN NULL
+                                 ELSE CAST(pc AS SMALLINT) END AS VARCHAR), 'unknown') AS category_item
+  FROM (SELECT DISTINCT User_ID, Product_ID, TRY_CAST(Product_Category AS FLOAT) AS pc, Purchase
+        FROM ({tx_raw()})))"""
+
+
+def basket_ctes(specs: list[dict], lines: str | None = None) -> str:
     """CTEs up to ``kept`` (level, item, user_count), ``bk`` and ``bu`` for the given level specs.
 
     spec keys: level, item, segment, frac, abs, top_n, conf, lift.
@@ -168,7 +175,7 @@ def basket_ctes(specs: list[dict]) -> str:
             if s.get("segment") else ""))
         for s in specs)
     need_asg = any(s.get("segment") for s in specs)
-    return f"""{BASKET_LINES},{(' ' + REGION + ',') if need_asg else ''}
+    return f"""{lines or BASKET_LINES},{(' ' + REGION + ',') if need_asg else ''}
 lr AS ({rows}),
 par AS ({params}),
 base AS (SELECT level, count(DISTINCT User_ID) AS base_users FROM lr WHERE User_ID IS NOT NULL GROUP BY level),
@@ -188,8 +195,8 @@ bk AS (SELECT s.level, s.User_ID, s.item FROM sub s JOIN kept k USING (level, it
 bu AS (SELECT level, count(DISTINCT User_ID) AS U FROM bk GROUP BY level)"""
 
 
-def rules_ctes(specs: list[dict]) -> str:
-    return f"""{basket_ctes(specs)},
+def rules_ctes(specs: list[dict], lines: str | None = None) -> str:
+    return f"""{basket_ctes(specs, lines)},
 co AS (SELECT a.level, a.item AS item_a, b.item AS item_b, count(*) AS co
        FROM bk a JOIN bk b ON a.level = b.level AND a.User_ID = b.User_ID AND a.item < b.item
        GROUP BY 1, 2, 3),
@@ -219,22 +226,28 @@ S_CATEGORY = dict(level="category", item="category_item", frac=0.04, conf=0.35,
 S_CATEGORY_LOOSE = dict(level="category", item="category_item", frac=0.04, conf=0.30, lift=1.05)
 S_PRODUCT = dict(level="product", item="product_item", frac=0.02, conf=0.03, lift=1.30, top_n=40)
 S_SEGMENT = dict(level="category", item="category_item", frac=0.05, conf=0.35, lift=1.25, abs=40, segment=True)
+# reference production profile
+P_CATEGORY = dict(level="category", item="category_item", frac=0.04, conf=0.35, lift=1.25)
+P_PRODUCT = dict(level="product", item="product_item", frac=0.02, conf=0.35, lift=1.30, top_n=40)
+PRODUCTION = [P_CATEGORY, P_PRODUCT, S_SEGMENT]
 
 
-def sql_rules(specs, src="dedup") -> str:
-    return f"WITH {rules_ctes(specs)}\n{RULE_SELECT.format(src=src)}"
+def sql_rules(specs, src="dedup", lines=None) -> str:
+    return f"WITH {rules_ctes(specs, lines)}\n{RULE_SELECT.format(src=src)}"
 
 
-def sql_top_rules(specs, n=200) -> str:
+def sql_top_rules(specs, n=200, order="lift") -> str:
+    keys = ("lift DESC, confidence DESC, support DESC, LEAST(antecedent, consequent), "
+            "GREATEST(antecedent, consequent), antecedent") if order == "lift" else \
+        "LEAST(antecedent, consequent), GREATEST(antecedent, consequent), confidence DESC, lift DESC, support DESC"
     return f"""WITH {rules_ctes(specs)},
-ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY level ORDER BY lift DESC, confidence DESC, support DESC,
-             LEAST(antecedent, consequent), GREATEST(antecedent, consequent), antecedent) AS rank FROM dedup)
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY level ORDER BY {keys}) AS rank FROM dedup)
 SELECT level, antecedent, consequent, ROUND(support, 6) AS support, ROUND(confidence, 6) AS confidence,
        ROUND(lift, 6) AS lift, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= {n}"""
 
 
-def sql_run_summary(specs) -> str:
-    return f"""WITH {rules_ctes(specs)},
+def sql_run_summary(specs, lines=None) -> str:
+    return f"""WITH {rules_ctes(specs, lines)},
 lv AS (SELECT DISTINCT level FROM par),
 ni AS (SELECT level, count(*) AS n_items FROM kept GROUP BY level),
 nr AS (SELECT level, count(*) AS n_rules FROM dedup GROUP BY level)
@@ -431,4 +444,12 @@ def oracles() -> dict[str, str]:
         "euclidean_silhouette": sql_silhouette("euclidean"),
         "niche_split_given_labels": sql_niche_split(),
         "cluster_profile": sql_cluster_profile(),
+        "production_rules": sql_rules(PRODUCTION, lines=PRODUCTION_LINES),
+        "production_summary": sql_run_summary(PRODUCTION, lines=PRODUCTION_LINES),
+        "production_item_support": f"WITH {basket_ctes(PRODUCTION, PRODUCTION_LINES)}\n"
+                                   "SELECT level, item, CAST(user_count AS BIGINT) AS user_count FROM kept",
+        "top_rules_pair_order": sql_top_rules([S_CATEGORY_LOOSE], 200, "pair"),
+        "category_frequency": f"WITH {clean_ctes()}\nSELECT Product_Category_str AS label, CAST(count(*) AS BIGINT) AS n "
+                              "FROM tx GROUP BY 1",
+        "sample_assignments": f"WITH s AS ({sql_niche_split()})\nSELECT * FROM s ORDER BY cluster, User_ID LIMIT 5000",
     }
