@@ -55,10 +55,18 @@ def _interp(lo_v: float, hi_v: float, t: float) -> float:
     return float(lo_v + (hi_v - lo_v) * t)
 
 
+def quantile_stat_columns(cols: list[str]) -> list:
+    """Aggregate expressions (count, min, max per column) a caller can fold into
+    one of its own aggregates and pass back as ``stats_row``."""
+    return [x for i, c in enumerate(cols) for x in (
+        F.count(_valid(c)).alias(f"__qn{i}"), F.min(_valid(c)).alias(f"__qlo{i}"),
+        F.max(_valid(c)).alias(f"__qhi{i}"))]
+
+
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
                      method: str = "auto", small_n: int = 2_000_000,
                      bins: int = 1024, finish: int = 100_000,
-                     accuracy: int = 1_000_000) -> dict[str, list[float]]:
+                     accuracy: int = 1_000_000, stats_row=None) -> dict[str, list[float]]:
     """Quantiles of each column at ``probs``; NULL and NaN are ignored.
 
     ``method``: ``"auto"`` (exact; built-in aggregate for small columns,
@@ -76,10 +84,9 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
         return {c: [float("nan") if v is None else float(v) for v in (row[f"q{i}"] or [None] * len(probs))]
                 for i, c in enumerate(cols)}
 
-    vals = [_valid(c) for c in cols]
-    row = df.agg(*[x for i, v in enumerate(vals) for x in (
-        F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"))]).collect()[0]
-    stats = {i: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(cols)) if row[f"n{i}"]}
+    row = stats_row if stats_row is not None else df.agg(*quantile_stat_columns(cols)).collect()[0]
+    stats = {i: (row[f"__qn{i}"], row[f"__qlo{i}"], row[f"__qhi{i}"]) for i in range(len(cols))
+             if row[f"__qn{i}"]}
     max_n = max([s[0] for s in stats.values()], default=0)
     if method == "spark" or (method == "auto" and max_n <= small_n):
         return _builtin(df, cols, probs)

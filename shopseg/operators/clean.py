@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopseg.functions.quantiles import quantile_bounds
+from shopseg.functions.quantiles import quantile_bounds, quantile_stat_columns
 from shopseg.functions.scalar import (UNKNOWN_LEVEL, category_label, clip, coerce_category,
                                       fill_purchase, strip_plus_to_int)
 from shopseg.sources.transactions import TRANSACTION_COLUMNS, _typed
@@ -55,8 +55,10 @@ def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Table-wide mode (ties -> smallest, all NULL -> 0), only used where NULLs exist.
+    winsor = 0 < q_low < q_high < 1
     agg = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in MODE_IMPUTED],
-                   *[F.mode(F.col(c), True).alias(f"{c}__mode") for c in MODE_IMPUTED]).collect()[0]
+                   *[F.mode(F.col(c), True).alias(f"{c}__mode") for c in MODE_IMPUTED],
+                   *(quantile_stat_columns(["Purchase"]) if winsor else [])).collect()[0]
     filled = base
     for c in MODE_IMPUTED:
         if agg[f"{c}__nulls"]:
@@ -65,8 +67,9 @@ def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99
             filled = filled.withColumn(c, F.coalesce(F.col(c), F.lit(fill).cast(base.schema[c].dataType)))
 
     # Row-level winsorizing of Purchase.
-    if 0 < q_low < q_high < 1:
-        lo, hi = quantile_bounds(base, ["Purchase"], q_low, q_high, method=quantile_method)["Purchase"]
+    if winsor:
+        lo, hi = quantile_bounds(base, ["Purchase"], q_low, q_high, method=quantile_method,
+                                 stats_row=agg)["Purchase"]
         filled = filled.withColumn("Purchase", clip(F.col("Purchase"), lo, hi))
     return filled.select(*TRANSACTION_COLUMNS, "Product_Category_str")
 

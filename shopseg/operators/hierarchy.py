@@ -223,7 +223,8 @@ class Tree:
 def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", max_leaves: int = MAX_LEAVES,
                  mode: str = "auto", seed: int = 42) -> tuple[DataFrame, DataFrame, int, bool]:
     """Stage 1: ``(point -> leaf, leaf table(leaf, size, min_id, x), n_leaves, exact)``."""
-    n = points.count()
+    row = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(col)).alias("d")).collect()[0]
+    n, dims = row["n"], row["d"]
     if mode not in ("auto", "exact", "micro"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "exact" and n > max_leaves:
@@ -239,7 +240,6 @@ def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", m
     km = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=20, initSteps=2).fit(vec)
     assigned = km.transform(vec).select(F.col(id_col), F.col("_leaf").cast("long").alias("leaf"))
     assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    dims = len(points.select(col).first()[col])
     with_x = assigned.join(points.select(id_col, col), id_col)
     leaves = with_x.groupBy("leaf").agg(
         F.count(F.lit(1)).cast("long").alias("size"), F.min(F.col(id_col)).cast("long").alias("min_id"),

@@ -122,7 +122,8 @@ class PCAResult:
 
 
 def pca_by_variance(x: DataFrame, target: float | int, id_col: str = "User_ID", col: str = "x",
-                    center: bool = False, keep: list[str] | None = None) -> tuple[DataFrame, PCAResult]:
+                    center: bool = False, keep: list[str] | None = None,
+                    d: int | None = None) -> tuple[DataFrame, PCAResult]:
     """M5: project onto the fewest components whose cumulative explained
     variance ratio exceeds ``target`` (an int ``target`` keeps that many).
 
@@ -131,7 +132,8 @@ def pca_by_variance(x: DataFrame, target: float | int, id_col: str = "User_ID",
     absolute loading is positive. Scores are uncentered unless ``center``
     (distances do not depend on it).
     """
-    d = len(x.select(col).first()[col])
+    if d is None:
+        d = x.agg(F.max(F.size(col))).collect()[0][0]
     vec = x.select(F.col(id_col), *(keep or []), array_to_vector(F.col(col)).alias("_v"))
     model = PCA(k=d, inputCol="_v", outputCol="_p").fit(vec)
     ratios = np.array(model.explainedVariance.toArray())

@@ -8,6 +8,7 @@ implementation by value hash.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,7 +208,8 @@ def _winsorized(spark, sf):
     from shopseg.plans.segmentation import TX_Q, USER_Q_DETECT
     tx = clean_transactions(transactions_from_tables(spark, sf), *TX_Q)
     feats, buckets = user_features(tx)
-    return feats, winsorize_features(feats, *USER_Q_DETECT), buckets
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    return feats, winsorize_features(feats, *USER_Q_DETECT).persist(StorageLevel.MEMORY_AND_DISK), buckets
 
 
 MONEY_FEATURES = ["total_purchase", "avg_purchase", "median_purchase", "std_purchase"]

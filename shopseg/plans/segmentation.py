@@ -60,7 +60,7 @@ def prepare(tx: DataFrame, user_q: tuple[float, float], pca_target: float | None
     x, names = feature_matrix(wins, quantile_method)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     if pca_target:
-        points, res = pca_by_variance(x, pca_target)
+        points, res = pca_by_variance(x, pca_target, d=len(names))
     else:
         points, res = x.select("User_ID", F.col("x").alias("pca")), None
     points = cut_lineage(points)
