@@ -31,6 +31,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopseg.functions import sqltext as sq
+
 
 @dataclass
 class _Bracket:
@@ -43,10 +45,9 @@ class _Bracket:
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    structs = [F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
-               for i, c in enumerate(cols)]
-    return (df.select(F.inline(F.array(*structs)))
-              .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    structs = ", ".join(f"named_struct('ci', {i}, 'v', CAST({sq.q(c)} AS DOUBLE))" for i, c in enumerate(cols))
+    return (df.selectExpr(f"inline(array({structs}))")
+              .where("v IS NOT NULL AND NOT isnan(v)"))
 
 
 def _interp(lo_v: float, hi_v: float, t: float) -> float:
@@ -55,20 +56,23 @@ def _interp(lo_v: float, hi_v: float, t: float) -> float:
     return float(lo_v + (hi_v - lo_v) * t)
 
 
-def quantile_stat_columns(cols: list[str]) -> list:
-    """Aggregate expressions (count, min, max per column) a caller can fold into
-    one of its own aggregates and pass back as ``stats_row``."""
+def quantile_stat_columns(cols: list[str]) -> list[str]:
+    """Aggregate expressions (SQL text: count, min, max per column) a caller can
+    fold into one of its own aggregates and pass back as ``stats_row``."""
     return [x for i, c in enumerate(cols) for x in (
-        F.count(_valid(c)).alias(f"__qn{i}"), F.min(_valid(c)).alias(f"__qlo{i}"),
-        F.max(_valid(c)).alias(f"__qhi{i}"))]
+        f"count({sq.valid(c)}) AS __qn{i}", f"min({sq.valid(c)}) AS __qlo{i}", f"max({sq.valid(c)}) AS __qhi{i}")]
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
                      method: str = "auto", small_n: int = 2_000_000,
                      bins: int = 1024, finish: int = 100_000,
-                     accuracy: int = 1_000_000, stats_row=None) -> dict[str, list[float]]:
+                     accuracy: int = 1_000_000, stats_row=None,
+                     n_hint: int | None = None) -> dict[str, list[float]]:
     """Quantiles of each column at ``probs``; NULL and NaN are ignored.
 
+    ``n_hint`` (the row count, when the caller already knows it) lets small
+    inputs skip the statistics pass.
+
     ``method``: ``"auto"`` (exact; built-in aggregate for small columns,
     refinement for large ones), ``"refine"`` (always refinement), ``"spark"``
     (always the built-in aggregate) or ``"approx"`` (``percentile_approx``).
@@ -84,7 +88,9 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
         return {c: [float("nan") if v is None else float(v) for v in (row[f"q{i}"] or [None] * len(probs))]
                 for i, c in enumerate(cols)}
 
-    row = stats_row if stats_row is not None else df.agg(*quantile_stat_columns(cols)).collect()[0]
+    if method == "spark" or (method == "auto" and n_hint is not None and n_hint <= small_n):
+        return _builtin(df, cols, probs)      # row count known to be small: one job
+    row = stats_row if stats_row is not None else df.selectExpr(*quantile_stat_columns(cols)).collect()[0]
     stats = {i: (row[f"__qn{i}"], row[f"__qlo{i}"], row[f"__qhi{i}"]) for i in range(len(cols))
              if row[f"__qn{i}"]}
     max_n = max([s[0] for s in stats.values()], default=0)
@@ -97,14 +103,22 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
         long.unpersist()
 
 
-def _valid(c: str):
-    v = F.col(c).cast("double")
-    return F.when(~F.isnan(v), v)
+def builtin_quantile_columns(cols: list[str], probs: list[float]) -> list[str]:
+    """``percentile`` aggregate expressions (SQL text, aliases ``q<i>``) for folding into another aggregate."""
+    arr = "array(" + ", ".join(sq.d(p) for p in probs) + ")"
+    return [f"percentile({sq.valid(c)}, {arr}) AS q{i}" for i, c in enumerate(cols)]
+
+
+def builtin_result(row, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
+    out = {}
+    for i, c in enumerate(cols):
+        q = row[f"q{i}"]
+        out[c] = [float("nan")] * len(probs) if q is None else [float(v) for v in q]
+    return out
 
 
 def _builtin(df: DataFrame, cols, probs) -> dict[str, list[float]]:
-    row = df.agg(*[F.percentile(_valid(c), F.array(*[F.lit(p) for p in probs])).alias(f"q{i}")
-                   for i, c in enumerate(cols)]).collect()[0]
+    row = df.selectExpr(*builtin_quantile_columns(cols, probs)).collect()[0]
     out = {}
     for i, c in enumerate(cols):
         q = row[f"q{i}"]
@@ -217,9 +231,8 @@ def grouped_quantiles(df: DataFrame, group_col: str, cols: list[str], probs: lis
     """
     groups = [r[0] for r in df.select(group_col).distinct().orderBy(group_col).collect()]
     gi = {g: i for i, g in enumerate(groups)}
-    mapping = F.create_map(*[x for g, i in gi.items() for x in (F.lit(g), F.lit(i))])
-    keyed = df.select(*[F.when(F.element_at(mapping, F.col(group_col)) == F.lit(i), F.col(c)).alias(f"_{i}_{j}")
-                        for i in range(len(groups)) for j, c in enumerate(cols)])
+    keyed = df.selectExpr(*[f"CASE WHEN {sq.q(group_col)} = {sq.lit(g)} THEN {sq.q(c)} END AS _{i}_{j}"
+                            for g, i in gi.items() for j, c in enumerate(cols)])
     names = [f"_{i}_{j}" for i in range(len(groups)) for j in range(len(cols))]
     got = column_quantiles(keyed, names, probs, **kw)
     return {(g, c): got[f"_{gi[g]}_{j}"] for g in groups for j, c in enumerate(cols)}

@@ -56,9 +56,9 @@ def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99
 
     # Table-wide mode (ties -> smallest, all NULL -> 0), only used where NULLs exist.
     winsor = 0 < q_low < q_high < 1
-    agg = base.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in MODE_IMPUTED],
-                   *[F.mode(F.col(c), True).alias(f"{c}__mode") for c in MODE_IMPUTED],
-                   *(quantile_stat_columns(["Purchase"]) if winsor else [])).collect()[0]
+    agg = base.selectExpr(*[f"count_if({c} IS NULL) AS {c}__nulls" for c in MODE_IMPUTED],
+                          *[f"mode({c}, true) AS {c}__mode" for c in MODE_IMPUTED],
+                          *(quantile_stat_columns(["Purchase"]) if winsor else [])).collect()[0]
     filled = base
     for c in MODE_IMPUTED:
         if agg[f"{c}__nulls"]:

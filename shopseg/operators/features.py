@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopseg.functions.scalar import OTHER_CATEGORY, UNKNOWN_LEVEL, entropy_term, safe_div
+from shopseg.functions import sqltext as sq
+from shopseg.functions.scalar import ENTROPY_FLOOR, OTHER_CATEGORY, UNKNOWN_LEVEL
 
 # Column name conventions of the feature table (fixed values).
 MODE_SOURCES = [("Age", "Age_mode"), ("Gender", "Gender_mode"), ("City_Category", "City_Category_mode"),
@@ -72,50 +73,51 @@ def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None =
     t = tx.withColumn("_bucket", bucket_column(top))
 
     aggs = [
-        F.count(F.lit(1)).alias("n_transactions"),
-        F.sum("Purchase").alias("total_purchase"),
-        F.avg("Purchase").alias("avg_purchase"),
-        F.median("Purchase").alias("median_purchase"),
-        F.coalesce(F.stddev_samp("Purchase"), F.lit(0.0)).alias("std_purchase"),
+        "count(1) AS n_transactions",
+        "sum(Purchase) AS total_purchase",
+        "avg(Purchase) AS avg_purchase",
+        "median(Purchase) AS median_purchase",
+        "coalesce(stddev_samp(Purchase), 0.0D) AS std_purchase",
     ]
-    aggs += [F.mode(F.col(src), True).alias(dst) for src, dst in MODE_SOURCES]
+    aggs += [f"mode({sq.q(src)}, true) AS {dst}" for src, dst in MODE_SOURCES]
     for i, b in enumerate(buckets):
-        in_b = F.col("_bucket") == F.lit(b)
-        aggs.append(F.count(F.when(in_b, F.col("Product_ID"))).alias(f"_n{i}"))
-        aggs.append(F.sum(F.when(in_b, F.col("Purchase")).otherwise(F.lit(0.0))).alias(f"_r{i}"))
-    g = t.groupBy("User_ID").agg(*aggs)
+        aggs.append(f"count(CASE WHEN _bucket = {sq.s(b)} THEN Product_ID END) AS _n{i}")
+        aggs.append(f"sum(CASE WHEN _bucket = {sq.s(b)} THEN Purchase ELSE 0.0D END) AS _r{i}")
+    g = t.groupBy("User_ID").agg(*[F.expr(e) for e in aggs])
     # distinct products: its own two-step aggregate (a distinct aggregate inside the big one would
     # force the expand + sort-based path for every column); both sides come out hash-partitioned by
     # User_ID, so the join adds no shuffle.
     uniq = (tx.select("User_ID", "Product_ID").where(F.col("Product_ID").isNotNull()).distinct()
               .groupBy("User_ID").agg(F.count(F.lit(1)).alias("unique_products")))
-    g = g.join(uniq, "User_ID", "left").withColumn("unique_products", F.coalesce("unique_products", F.lit(0)))
-
-    n_total = sum((F.col(f"_n{i}") for i in range(len(buckets))), F.lit(0))
-    r_total = sum((F.col(f"_r{i}") for i in range(len(buckets))), F.lit(0.0))
-    g = g.withColumn("_nt", n_total).withColumn("_rt", r_total)
-    entropy = sum((entropy_term(F.col(f"_n{i}") / F.col("_nt")) for i in range(len(buckets))), F.lit(0.0))
+    g = g.join(uniq, "User_ID", "left")
+
+    nb = len(buckets)
+    nt = " + ".join(f"_n{i}" for i in range(nb))
+    rt = " + ".join(f"_r{i}" for i in range(nb))
+    g = g.selectExpr("*", f"({nt}) AS _nt", f"({rt}) AS _rt")
+    # p clipped to [1e-12, 1]: empty buckets contribute -1e-12 * ln(1e-12) each
+    terms = []
+    for i in range(nb):
+        p = f"least(greatest(_n{i} / _nt, {ENTROPY_FLOOR!r}D), 1.0D)"
+        terms.append(f"(-{p} * ln({p}))")
     cols = [
-        F.col("User_ID"),
-        F.col("n_transactions").cast("long").alias("n_transactions"),
+        "User_ID",
+        "CAST(n_transactions AS BIGINT) AS n_transactions",
         "total_purchase", "avg_purchase", "median_purchase", "std_purchase",
-        F.col("unique_products").cast("long").alias("unique_products"),
-        *[F.coalesce(F.col(c), F.lit(UNKNOWN_LEVEL)).alias(c) for c in STRING_MODES],
-        *[F.coalesce(F.col(c).cast("smallint"), F.lit(-1).cast("smallint")).alias(c) for c in INT_MODES],
-        *[safe_div(F.col(f"_n{i}").cast("double"), F.col("_nt")).alias(f"{SHARE_PREFIX}{b}")
+        "CAST(coalesce(unique_products, 0) AS BIGINT) AS unique_products",
+        *[f"coalesce({c}, {sq.s(UNKNOWN_LEVEL)}) AS {c}" for c in STRING_MODES],
+        *[f"coalesce(CAST({c} AS SMALLINT), CAST(-1 AS SMALLINT)) AS {c}" for c in INT_MODES],
+        *[f"CAST(_n{i} AS DOUBLE) / CASE WHEN _nt = 0 THEN 1.0D ELSE _nt END AS {sq.q(SHARE_PREFIX + b)}"
           for i, b in enumerate(buckets)],
-        *[safe_div(F.col(f"_r{i}"), F.col("_rt")).alias(f"{REV_SHARE_PREFIX}{b}")
+        *[f"_r{i} / CASE WHEN _rt = 0 THEN 1.0D ELSE _rt END AS {sq.q(REV_SHARE_PREFIX + b)}"
           for i, b in enumerate(buckets)],
-        F.when(F.col("_nt") <= 0, F.lit(0.0)).otherwise(entropy).alias("cat_entropy"),
-        sum((F.when(F.col(f"_n{i}") > 0, F.lit(1)).otherwise(F.lit(0)) for i in range(len(buckets))),
-            F.lit(0)).cast("long").alias("n_unique_categories"),
-        *[F.log1p(F.col(c).cast("double")).alias(f"{c}_log1p") for c in LOG_BASES],
+        f"CASE WHEN _nt <= 0 THEN 0.0D ELSE {' + '.join(terms)} END AS cat_entropy",
+        "CAST(" + " + ".join(f"CASE WHEN _n{i} > 0 THEN 1 ELSE 0 END" for i in range(nb)) + " AS BIGINT) AS n_unique_categories",
+        *[f"log1p(CAST({c} AS DOUBLE)) AS {c}_log1p" for c in LOG_BASES],
     ]
-    feats = g.select(*cols)
-    # Any numeric NULL -> 0 (cannot arise from the aggregates above, kept for parity).
-    num = [f.name for f in feats.schema.fields
-           if isinstance(f.dataType, T.NumericType) and f.name != "User_ID"]
-    feats = feats.na.fill(0, subset=num)
+    feats = g.selectExpr(*cols)
+    # Numeric NULLs -> 0. The aggregates above cannot produce one (counts are counts, sums of a
+    # non-null column, coalesced std), so this is the identity here and is kept implicit.
     return feats, buckets
 
 

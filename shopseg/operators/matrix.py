@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopseg.functions.quantiles import column_quantiles, quantile_bounds
-from shopseg.functions.scalar import clip
+from shopseg.functions.quantiles import (builtin_quantile_columns, builtin_result, column_quantiles,
+                                        quantile_bounds)
+from shopseg.functions import sqltext as sq
 from shopseg.operators.features import INT_MODES, REV_SHARE_PREFIX, SHARE_PREFIX
 
 # Matrix layout of the reference (fixed values).
@@ -34,7 +35,7 @@ def _numeric(df: DataFrame, exclude=("User_ID", "cluster")) -> list[str]:
 
 
 def winsorize_features(feats: DataFrame, q_low: float, q_high: float, include_mode_columns: bool = True,
-                       quantile_method: str = "auto") -> DataFrame:
+                       quantile_method: str = "auto", n_hint: int | None = None) -> DataFrame:
     """Clip every numeric column but ``User_ID`` to its quantiles.
 
     Guarded like the one-pass variant: nothing happens unless
@@ -45,9 +46,9 @@ def winsorize_features(feats: DataFrame, q_low: float, q_high: float, include_mo
     if not (0 < q_low < q_high < 1):
         return feats
     cols = [c for c in _numeric(feats) if include_mode_columns or c not in INT_MODES]
-    bounds = quantile_bounds(feats, cols, q_low, q_high, method=quantile_method)
-    return feats.select(*[clip(F.col(c).cast("double"), *bounds[c]).alias(c) if c in bounds else F.col(c)
-                          for c in feats.columns])
+    bounds = quantile_bounds(feats, cols, q_low, q_high, method=quantile_method, n_hint=n_hint)
+    return feats.selectExpr(*[f"{sq.clip(c, *bounds[c])} AS {sq.q(c)}" if c in bounds else sq.q(c)
+                              for c in feats.columns])
 
 
 def matrix_columns(feats: DataFrame) -> tuple[list[str], list[str]]:
@@ -59,25 +60,28 @@ def matrix_columns(feats: DataFrame) -> tuple[list[str], list[str]]:
     return numeric, [c for c in CATEGORICAL if c in feats.columns]
 
 
-def robust_scale(df: DataFrame, cols: list[str], quantile_method: str = "auto") -> DataFrame:
+ROBUST_PROBS = [0.25, 0.5, 0.75]
+
+
+def robust_scale(df: DataFrame, cols: list[str], quantile_method: str = "auto", n_hint: int | None = None,
+                 quantiles: dict | None = None) -> DataFrame:
     """M2: ``(x - median) / (q75 - q25)``, a zero IQR divides by 1."""
-    q = column_quantiles(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
+    q = quantiles or column_quantiles(df, cols, ROBUST_PROBS, method=quantile_method, n_hint=n_hint)
     out = []
     for c in df.columns:
         if c in q:
             q25, med, q75 = q[c]
             iqr = q75 - q25
             scale = 1.0 if (iqr == 0 or np.isnan(iqr)) else iqr
-            out.append(((F.col(c).cast("double") - F.lit(med)) / F.lit(scale)).alias(c))
+            out.append(f"(CAST({sq.q(c)} AS DOUBLE) - {sq.d(med)}) / {sq.d(scale)} AS {sq.q(c)}")
         else:
-            out.append(F.col(c))
-    return df.select(*out)
+            out.append(sq.q(c))
+    return df.selectExpr(*out)
 
 
 def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
     """Sorted distinct non-null values per column (the encoder's categories)."""
-    exprs = [F.array_sort(F.collect_set(F.col(c))).alias(c) for c in cols]
-    row = df.agg(*exprs).collect()[0]
+    row = df.selectExpr(*[f"array_sort(collect_set({sq.q(c)})) AS {sq.q(c)}" for c in cols]).collect()[0]
     levels = {c: list(row[c]) for c in cols}
     for c, v in levels.items():
         if len(v) > MAX_LEVELS:
@@ -94,21 +98,34 @@ def one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None = Non
         for v in levels[c]:
             name = f"{c}={v}"
             new_cols.append(name)
-            exprs.append(F.when(F.col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(name))
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    return df.select(*keep, *exprs), new_cols
+            exprs.append(f"CASE WHEN {sq.q(c)} = {sq.lit(v)} THEN 1.0D ELSE 0.0D END AS {sq.q(name)}")
+    keep = [sq.q(c) for c in df.columns if c not in cols]
+    return df.selectExpr(*keep, *exprs), new_cols
 
 
 def assemble(df: DataFrame, cols: list[str], id_col: str = "User_ID", out: str = "x") -> DataFrame:
     """M4: ``id, x`` with ``x`` the dense feature array in the given column order."""
-    return df.select(F.col(id_col), F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias(out))
+    arr = ", ".join(f"CAST({sq.q(c)} AS DOUBLE)" for c in cols)
+    return df.selectExpr(sq.q(id_col), f"array({arr}) AS {sq.q(out)}")
 
 
-def feature_matrix(feats: DataFrame, quantile_method: str = "auto") -> tuple[DataFrame, list[str]]:
-    """M2-M4: ``User_ID, x`` (robust-scaled numeric block, then one-hot block) and column names."""
+def feature_matrix(feats: DataFrame, quantile_method: str = "auto", n_hint: int | None = None
+                   ) -> tuple[DataFrame, list[str]]:
+    """M2-M4: ``User_ID, x`` (robust-scaled numeric block, then one-hot block) and column names.
+
+    With a small known row count the scaling quantiles and the one-hot levels
+    come from one aggregate.
+    """
     numeric, categorical = matrix_columns(feats)
-    scaled = robust_scale(feats.select("User_ID", *numeric, *categorical), numeric, quantile_method)
-    encoded, hot = one_hot(scaled, categorical)
+    base = feats.select("User_ID", *numeric, *categorical)
+    q = levels = None
+    if quantile_method == "spark" or (quantile_method == "auto" and n_hint is not None and n_hint <= 2_000_000):
+        row = base.selectExpr(*builtin_quantile_columns(numeric, ROBUST_PROBS),
+                              *[f"array_sort(collect_set({sq.q(c)})) AS lv_{c}" for c in categorical]).collect()[0]
+        q = builtin_result(row, numeric, ROBUST_PROBS)
+        levels = {c: list(row[f"lv_{c}"]) for c in categorical}
+    scaled = robust_scale(base, numeric, quantile_method, n_hint, quantiles=q)
+    encoded, hot = one_hot(scaled, categorical, levels)
     names = numeric + hot
     return assemble(encoded, names), names
 
@@ -146,12 +163,12 @@ def pca_by_variance(x: DataFrame, target: float | int, id_col: str = "User_ID",
     signs = np.sign(pc[np.argmax(np.abs(pc), axis=0), np.arange(m)])
     signs[signs == 0] = 1.0
     pc = pc * signs
-    w = [[float(v) for v in pc[:, j]] for j in range(m)]
     # scores as JVM-side dot products with the (tiny) literal basis
-    xs = F.col(col)
-    scores = [F.aggregate(F.zip_with(xs, F.array(*[F.lit(v) for v in w[j]]), lambda a, b: a * b),
-                          F.lit(0.0), lambda acc, y: acc + y) for j in range(m)]
-    out = x.select(F.col(id_col), *(keep or []), F.array(*scores).alias("pca"))
+    scores = []
+    for j in range(m):
+        basis = "array(" + ", ".join(sq.d(v) for v in pc[:, j]) + ")"
+        scores.append(f"aggregate(zip_with({sq.q(col)}, {basis}, (a, b) -> a * b), 0.0D, (acc, y) -> acc + y)")
+    out = x.selectExpr(sq.q(id_col), *[sq.q(k) for k in (keep or [])], f"array({', '.join(scores)}) AS pca")
     mean_scores = None
     if center:
         mean_row = out.agg(*[F.avg(F.col("pca")[j]).alias(f"m{j}") for j in range(m)]).collect()[0]

@@ -392,7 +392,7 @@ def sql_one_hot() -> str:
     return f"""WITH {feature_ctes()},
 lv AS ({levels}),
 uv AS ({vals})
-SELECT u.User_ID, lv.col || '=' || lv.lvl AS feature, CASE WHEN u.v = lv.lvl THEN 1.0 ELSE 0.0 END AS value
+SELECT u.User_ID, lv.col || '=' || lv.lvl AS feature, CAST(CASE WHEN u.v = lv.lvl THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value
 FROM uv u JOIN lv ON lv.col = u.col"""
 
 

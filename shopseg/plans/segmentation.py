@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopseg.operators.basket import checked_broadcast
 from shopseg.operators.clean import clean_transactions
 from shopseg.operators.features import user_features
 from shopseg.operators.hierarchy import MAX_LEAVES, Tree, agglomerate
@@ -55,9 +56,10 @@ def prepare(tx: DataFrame, user_q: tuple[float, float], pca_target: float | None
     """Features -> user winsorizing -> scale / encode -> optional PCA."""
     feats, buckets = user_features(tx, top_cat)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    wins = winsorize_features(feats, *user_q, quantile_method=quantile_method)
+    n_users = feats.count()
+    wins = winsorize_features(feats, *user_q, quantile_method=quantile_method, n_hint=n_users)
     wins = wins.persist(StorageLevel.MEMORY_AND_DISK)
-    x, names = feature_matrix(wins, quantile_method)
+    x, names = feature_matrix(wins, quantile_method, n_hint=n_users)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     if pca_target:
         points, res = pca_by_variance(x, pca_target, d=len(names))
@@ -204,7 +206,11 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     niche_users = cut_lineage(niche_users)
     if core_users.isEmpty():
         raise ValueError("every detection cluster is a niche; there is no core to recluster")
-    core_raw = raw.join(core_users, "User_ID", "left_semi")          # J4
+    # J4 via J5: every user with rows has a detection label, so core rows are the rows of users that
+    # are not niche -- an anti join against the small niche side (broadcast only if its count allows)
+    n_niche = niche_users.count()
+    core_raw = (raw.where(F.col("User_ID").isNotNull())
+                .join(checked_broadcast(niche_users.select("User_ID"), n_niche), "User_ID", "left_anti"))
     if split_path:
         seg = (core_users.select("User_ID", F.lit("core").alias("segment"))
                .unionByName(niche_users.select("User_ID", F.lit("niche").alias("segment"))))
