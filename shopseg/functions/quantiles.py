@@ -8,7 +8,7 @@ distinct value of a column in one task, which does not hold for a column with
 
 ``column_quantiles`` therefore works in two regimes:
 
-* small columns (``n <= small_n``): one ``percentile`` aggregate;
+* small columns (``n <= small_n``, default 100,000): one ``percentile`` aggregate;
 * large columns: distributed selection by histogram refinement. Each round is
   one grouped count over the (cached) long ``(column, value)`` table, bucketing
   only the values inside each target's current bracket into ``bins``
@@ -64,8 +64,8 @@ def quantile_stat_columns(cols: list[str]) -> list[str]:
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
-                     method: str = "auto", small_n: int = 2_000_000,
-                     bins: int = 1024, finish: int = 100_000,
+                     method: str = "auto", small_n: int = 100_000,
+                     bins: int = 1024, finish: int = 20_000,
                      accuracy: int = 1_000_000, stats_row=None,
                      n_hint: int | None = None) -> dict[str, list[float]]:
     """Quantiles of each column at ``probs``; NULL and NaN are ignored.
@@ -96,11 +96,15 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
     max_n = max([s[0] for s in stats.values()], default=0)
     if method == "spark" or (method == "auto" and max_n <= small_n):
         return _builtin(df, cols, probs)
-    long = _long_values(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    long = _long_values(df, cols)
+    cached = df.is_cached                     # rounds re-scan a cheap projection of a cached input
+    if not cached:
+        long = long.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _refine(long, cols, probs, stats, bins, finish)
     finally:
-        long.unpersist()
+        if not cached:
+            long.unpersist()
 
 
 def builtin_quantile_columns(cols: list[str], probs: list[float]) -> list[str]:

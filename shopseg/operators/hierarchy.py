@@ -237,7 +237,7 @@ def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", m
         return leaf_of, leaves, n, True
     k = min(max_leaves, n)
     vec = points.select(F.col(id_col), array_to_vector(F.col(col)).alias("_v"))
-    km = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=20, initSteps=1).fit(vec)
+    km = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=10, initSteps=1).fit(vec)
     assigned = km.transform(vec).select(F.col(id_col), F.col("_leaf").cast("long").alias("leaf"))
     assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
     with_x = assigned.join(points.select(id_col, col), id_col)

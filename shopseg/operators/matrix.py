@@ -119,7 +119,7 @@ def feature_matrix(feats: DataFrame, quantile_method: str = "auto", n_hint: int
     numeric, categorical = matrix_columns(feats)
     base = feats.select("User_ID", *numeric, *categorical)
     q = levels = None
-    if quantile_method == "spark" or (quantile_method == "auto" and n_hint is not None and n_hint <= 2_000_000):
+    if quantile_method == "spark" or (quantile_method == "auto" and n_hint is not None and n_hint <= 100_000):
         row = base.selectExpr(*builtin_quantile_columns(numeric, ROBUST_PROBS),
                               *[f"array_sort(collect_set({sq.q(c)})) AS lv_{c}" for c in categorical]).collect()[0]
         q = builtin_result(row, numeric, ROBUST_PROBS)
