@@ -298,12 +298,19 @@ def q_merge_tail(spark: SparkSession, sf: str) -> DataFrame:
 
 def _variant(name):
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        from shopseg.plans.segmentation import segment_variant
-        return segment_variant(_detect_points(spark, sf, "clean").points, name).labels
+        """The one-pass pipeline with the given preset (row winsor 0.01/0.995, PCA 80 %)."""
+        from shopseg.plans.segmentation import one_pass
+        return one_pass(transactions_from_tables(spark, sf), name)[0].labels
     q.__name__ = f"q_segments_{name}"
     return q
 
 
+def q_one_pass_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """A19 of the one-pass pipeline: winsorized features per cluster of the ``test2`` preset."""
+    from shopseg.plans.segmentation import one_pass
+    return rounded(one_pass(transactions_from_tables(spark, sf), "test2")[2], places=4)
+
+
 def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
     """Silhouette per k (2..10) of the Ward tree; ``best`` marks the chosen k."""
     from shopseg.plans.segmentation import choose_k
@@ -447,6 +454,7 @@ QUERIES = {
     "segments_test1": _variant("test1"),
     "segments_test2": _variant("test2"),
     "segments_test3": _variant("test3"),
+    "one_pass_profile": q_one_pass_profile,
     "choose_k": q_choose_k,
     "niche_users": q_niche_users,
     "core_transactions": q_core_transactions,
