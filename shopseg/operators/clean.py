@@ -31,16 +31,19 @@ def typed_deduplicated(raw: DataFrame) -> DataFrame:
 
 
 def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99,
-                       quantile_method: str = "auto", persist: bool = True) -> DataFrame:
+                       quantile_method: str = "auto", persist: bool = True,
+                       deduplicated: bool = False) -> DataFrame:
     """S1 + P1-P8: the reference's read-and-clean step as one plan.
 
     Output columns: the ten transaction columns (Stay as tinyint, category as
     smallint) plus ``Product_Category_str``; ``Purchase`` is double, clipped to
     its ``[q_low, q_high]`` quantiles when ``0 < q_low < q_high < 1``.
     Two small driver round trips: the global modes (one aggregate row) and the
-    quantile bounds; both are inlined as literals.
+    quantile bounds; both are inlined as literals. ``deduplicated=True`` takes
+    the output of ``typed_deduplicated`` (e.g. filtered to some users: dedupe
+    commutes with a filter on a row column), skipping the read and the dedupe.
     """
-    d = typed_deduplicated(raw)
+    d = raw if deduplicated else typed_deduplicated(raw)
     base = d.select(
         F.col("User_ID"),
         F.col("Product_ID"),

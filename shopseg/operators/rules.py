@@ -141,10 +141,11 @@ def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int =
                     F.col("freq").cast("long").alias("freq")))
 
 
-def _triple_counts(triples: np.ndarray, chunk_users: int):
-    """mapInPandas body: per-task user counts of candidate triples (idx a<b<c)."""
+def _triple_counts(triples_bc, chunk_users: int):
+    """mapInPandas body: per-task user counts of candidate triples (idx a<b<c, a broadcast array)."""
 
     def run(batches):
+        triples = triples_bc.value
         acc = np.zeros(len(triples), dtype=np.int64)
         carry = None
         for pdf in batches:
@@ -165,6 +166,7 @@ def _triple_counts(triples: np.ndarray, chunk_users: int):
     def _add(pdf, acc):
         if not len(pdf):
             return
+        triples = triples_bc.value
         n = int(triples.max()) + 1
         users, codes = np.unique(pdf["User_ID"].to_numpy(), return_inverse=True)
         idx = pdf["idx"].to_numpy()
@@ -221,7 +223,7 @@ def frequent_itemsets_apriori(bk: Basket, level: str, min_support: float, max_le
              if (b, c) in pairs]
     if not cands:
         return out
-    triples = np.array(cands, dtype=np.int64)
+    triples = spark.sparkContext.broadcast(np.array(cands, dtype=np.int64))  # bounded by kept items³/6
     ordered = (level_basket.select("User_ID", "idx")
                .repartition(spark.sparkContext.defaultParallelism, "User_ID")
                .sortWithinPartitions("User_ID"))

@@ -360,6 +360,18 @@ def q_niche_split_given_labels(spark: SparkSession, sf: str) -> DataFrame:
     return reattach(core_labels, niche)
 
 
+def q_core_rows_given_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 / J5 / K2 routing with given labels: raw rows of every user tagged core or niche."""
+    from shopseg.operators.profile import cluster_sizes
+    from shopseg.plans.segmentation import niche_clusters, split_users
+    det = _nation_labels(spark, sf)
+    core, niche = split_users(det, niche_clusters(cluster_sizes(det)))
+    seg = (core.select("User_ID", F.lit("core").alias("segment"))
+           .unionByName(niche.select("User_ID", F.lit("niche").alias("segment"))))
+    raw = transactions_from_tables(spark, sf)
+    return rounded(raw.join(seg, "User_ID"), money=("Purchase",))
+
+
 def q_cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
     """A19 with given labels (region), long form ``cluster, feature, count, mean, median``."""
     from shopseg.operators.profile import profile_clusters
@@ -462,6 +474,7 @@ QUERIES = {
     "hybrid_silhouettes": q_hybrid_silhouettes,
     "niche_split_given_labels": q_niche_split_given_labels,
     "cluster_profile": q_cluster_profile,
+    "core_rows_given_labels": q_core_rows_given_labels,
     "production_rules": q_production_rules,
     "production_summary": q_production_summary,
     "production_item_support": q_production_item_support,

@@ -374,6 +374,23 @@ SELECT d.User_ID, CAST(n.r + nl.next_label AS INTEGER) AS cluster
 FROM det d JOIN niche_rank n USING (cluster) CROSS JOIN nl"""
 
 
+def sql_core_rows() -> str:
+    return f"""WITH {BASKET_LINES},
+users AS (SELECT DISTINCT User_ID FROM bl),
+det AS (SELECT CAST(c.c_custkey AS INTEGER) AS User_ID, CAST(c.c_nationkey AS INTEGER) AS cluster
+        FROM customer c WHERE CAST(c.c_custkey AS INTEGER) IN (SELECT User_ID FROM users)),
+sz AS (SELECT cluster, count(*) AS size FROM det GROUP BY cluster),
+tot AS (SELECT sum(size) AS total FROM sz),
+niche AS (SELECT cluster FROM sz, tot WHERE size < 50 OR size / CAST(total AS DOUBLE) < 0.01),
+seg AS (SELECT User_ID, CASE WHEN cluster IN (SELECT cluster FROM niche) THEN 'niche' ELSE 'core' END AS segment
+        FROM det),
+raw AS ({tx_raw()})
+SELECT r.User_ID, r.Product_ID, r.Gender, r.Age, r.Occupation, r.City_Category,
+       r.Stay AS Stay_In_Current_City_Years, r.Marital_Status, r.Product_Category,
+       ROUND(CAST(r.Purchase AS DOUBLE), 4) AS Purchase, s.segment
+FROM raw r JOIN seg s USING (User_ID)"""
+
+
 def sql_cluster_profile() -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
     return f"""WITH {feature_ctes()}, {REGION},
@@ -444,6 +461,7 @@ def oracles() -> dict[str, str]:
         "euclidean_silhouette": sql_silhouette("euclidean"),
         "niche_split_given_labels": sql_niche_split(),
         "cluster_profile": sql_cluster_profile(),
+        "core_rows_given_labels": sql_core_rows(),
         "production_rules": sql_rules(PRODUCTION, lines=PRODUCTION_LINES),
         "production_summary": sql_run_summary(PRODUCTION, lines=PRODUCTION_LINES),
         "production_item_support": f"WITH {basket_ctes(PRODUCTION, PRODUCTION_LINES)}\n"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopseg.operators.basket import checked_broadcast
-from shopseg.operators.clean import clean_transactions
+from shopseg.operators.clean import clean_transactions, typed_deduplicated
 from shopseg.operators.features import user_features
 from shopseg.operators.hierarchy import MAX_LEAVES, Tree, agglomerate
 from shopseg.operators.matrix import PCAResult, feature_matrix, pca_by_variance, winsorize_features
@@ -195,7 +195,8 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     the core / niche split is always recomputed (``split_path`` optional);
     labels are canonical (size desc, then smallest user id).
     """
-    tx = clean_transactions(raw, *TX_Q)
+    base = typed_deduplicated(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    tx = clean_transactions(base, *TX_Q, deduplicated=True)
     det = prepare(tx, USER_Q_DETECT, PCA_DETECT, top_cat)
     det_tree = agglomerate(det.points, "average", "manhattan", [DETECT_K], max_leaves=max_leaves, mode=mode)
     det_labels = cut_lineage(det_tree.labels(DETECT_K))
@@ -209,13 +210,16 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     # J4 via J5: every user with rows has a detection label, so core rows are the rows of users that
     # are not niche -- an anti join against the small niche side (broadcast only if its count allows)
     n_niche = niche_users.count()
-    core_raw = (raw.where(F.col("User_ID").isNotNull())
-                .join(checked_broadcast(niche_users.select("User_ID"), n_niche), "User_ID", "left_anti"))
+    niche_ids = checked_broadcast(niche_users.select("User_ID"), n_niche)
+    core_raw = raw.where(F.col("User_ID").isNotNull()).join(niche_ids, "User_ID", "left_anti")
     if split_path:
         seg = (core_users.select("User_ID", F.lit("core").alias("segment"))
                .unionByName(niche_users.select("User_ID", F.lit("niche").alias("segment"))))
         write_split(raw, seg, split_path)                             # K2
-    core_tx = clean_transactions(core_raw, *TX_Q)
+    # the core pass re-cleans core rows only (own modes, bounds, top categories); the deduplicated
+    # rows are reused instead of reading and deduplicating the raw rows again
+    core_base = base.where(F.col("User_ID").isNotNull()).join(niche_ids, "User_ID", "left_anti")
+    core_tx = clean_transactions(core_base, *TX_Q, deduplicated=True)
     core = prepare(core_tx, USER_Q_CORE, PCA_CORE, top_cat)
     core_tree = agglomerate(core.points, CORE_LINKAGE, CORE_METRIC, [CORE_K], max_leaves=max_leaves, mode=mode)
     core_labels = cut_lineage(core_tree.labels(CORE_K))
