@@ -45,7 +45,8 @@ class _Bracket:
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    structs = ", ".join(f"named_struct('ci', {i}, 'v', CAST({sq.q(c)} AS DOUBLE))" for i, c in enumerate(cols))
+    structs = ", ".join(f"named_struct('ci', CAST({i} AS BIGINT), 'v', CAST({sq.q(c)} AS DOUBLE))"
+                        for i, c in enumerate(cols))
     return (df.selectExpr(f"inline(array({structs}))")
               .where("v IS NOT NULL AND NOT isnan(v)"))
 
@@ -130,14 +131,14 @@ def _builtin(df: DataFrame, cols, probs) -> dict[str, list[float]]:
     return out
 
 
-def _refine(long: DataFrame, cols, probs, stats, bins: int, finish: int) -> dict[str, list[float]]:
+def _refine_keys(long: DataFrame, stats: dict, probs, bins: int, finish: int) -> dict:
+    """Exact quantiles of ``v`` per key ``ci`` of a long table; ``stats``: key -> (n, min, max)."""
     spark = long.sparkSession
-    plan: dict[int, list[tuple[int, int, float]]] = {}
+    plan: dict = {}
     brackets: list[_Bracket] = []
-    for ci in range(len(cols)):
-        if ci not in stats:
+    for ci, (n, lo, hi) in stats.items():
+        if not n:
             continue
-        n, lo, hi = stats[ci]
         wanted = []
         for p in probs:
             h = (n - 1) * p
@@ -159,7 +160,7 @@ def _refine(long: DataFrame, cols, probs, stats, bins: int, finish: int) -> dict
         big = [b for b in brackets if b.lo < b.hi and b.count > finish]
         if small:
             bt = spark.createDataFrame([(i, b.ci, b.lo, b.hi) for i, b in enumerate(small)],
-                                       "bid int, bci int, blo double, bhi double")
+                                       "bid int, bci bigint, blo double, bhi double")
             rows = (long.join(F.broadcast(bt), (F.col("ci") == F.col("bci"))
                               & (F.col("v") >= F.col("blo")) & (F.col("v") <= F.col("bhi")))
                         .groupBy("bid", "v").count().collect())
@@ -179,7 +180,7 @@ def _refine(long: DataFrame, cols, probs, stats, bins: int, finish: int) -> dict
         nxt: list[_Bracket] = []
         if big:
             bt = spark.createDataFrame([(i, b.ci, b.lo, b.hi) for i, b in enumerate(big)],
-                                       "bid int, bci int, blo double, bhi double")
+                                       "bid int, bci bigint, blo double, bhi double")
             binned = F.least(
                 F.floor((F.col("v") - F.col("blo")) / (F.col("bhi") - F.col("blo")) * F.lit(float(bins))),
                 F.lit(bins - 1)).cast("int")
@@ -209,13 +210,13 @@ def _refine(long: DataFrame, cols, probs, stats, bins: int, finish: int) -> dict
                 nxt.extend(children.values())
         brackets = nxt
 
-    out = {}
-    for i, c in enumerate(cols):
-        if i not in plan:
-            out[c] = [float("nan")] * len(probs)
-            continue
-        out[c] = [_interp(resolved[(i, r0)], resolved[(i, r1)], t) for r0, r1, t in plan[i]]
-    return out
+    return {ci: [_interp(resolved[(ci, r0)], resolved[(ci, r1)], t) for r0, r1, t in wanted]
+            for ci, wanted in plan.items()}
+
+
+def _refine(long: DataFrame, cols, probs, stats, bins: int, finish: int) -> dict[str, list[float]]:
+    got = _refine_keys(long, stats, probs, bins, finish)
+    return {c: got.get(i, [float("nan")] * len(probs)) for i, c in enumerate(cols)}
 
 
 def quantile_bounds(df: DataFrame, cols: list[str], q_low: float, q_high: float,
@@ -225,18 +226,47 @@ def quantile_bounds(df: DataFrame, cols: list[str], q_low: float, q_high: float,
     return {c: (v[0], v[1]) for c, v in got.items()}
 
 
+def quantiles_by_key(long: DataFrame, probs: list[float], *, method: str = "auto",
+                     small_n: int = 100_000, bins: int = 1024, finish: int = 20_000) -> dict:
+    """Exact quantiles of ``v`` for every key ``ci`` of a long ``(ci bigint, v double)`` table.
+
+    The number of keys must be bounded (they come back to the driver); the
+    number of values per key is not: large keys are refined, small ones use
+    one grouped ``percentile``.
+    """
+    long = long.where("v IS NOT NULL AND NOT isnan(v)")
+    stats = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in
+             long.groupBy("ci").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+             .collect()}
+    if not stats:
+        return {}
+    if method == "spark" or (method == "auto" and max(n for n, _, _ in stats.values()) <= small_n):
+        arr = F.array(*[F.lit(float(p)) for p in probs])
+        return {r["ci"]: [float(x) for x in r["q"]]
+                for r in long.groupBy("ci").agg(F.percentile("v", arr).alias("q")).collect()}
+    persisted = long.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _refine_keys(persisted, stats, probs, bins, finish)
+    finally:
+        persisted.unpersist()
+
+
 def grouped_quantiles(df: DataFrame, group_col: str, cols: list[str], probs: list[float],
                       **kw) -> dict[tuple, list[float]]:
     """Quantiles of each column within each group (few groups, e.g. cluster labels).
 
-    Same exact algorithm as ``column_quantiles``: each (group, column) pair is
-    one key of the long table, so a group holding most rows is refined like
-    any large column instead of being merged in one task.
+    Each (group, column) pair is one key of a long table, so a group holding
+    most rows is refined like any large column instead of being merged in one task.
     """
     groups = [r[0] for r in df.select(group_col).distinct().orderBy(group_col).collect()]
+    if not groups:
+        return {}
     gi = {g: i for i, g in enumerate(groups)}
-    keyed = df.selectExpr(*[f"CASE WHEN {sq.q(group_col)} = {sq.lit(g)} THEN {sq.q(c)} END AS _{i}_{j}"
-                            for g, i in gi.items() for j, c in enumerate(cols)])
-    names = [f"_{i}_{j}" for i in range(len(groups)) for j in range(len(cols))]
-    got = column_quantiles(keyed, names, probs, **kw)
-    return {(g, c): got[f"_{gi[g]}_{j}"] for g in groups for j, c in enumerate(cols)}
+    idx = "element_at(map(" + ", ".join(f"{sq.lit(g)}, {i}" for g, i in gi.items()) + f"), {sq.q(group_col)})"
+    nc = len(cols)
+    structs = ", ".join(f"named_struct('ci', CAST({idx} AS BIGINT) * {nc} + {j}, 'v', {sq.valid(c)})"
+                        for j, c in enumerate(cols))
+    long = df.selectExpr(f"inline(array({structs}))")
+    got = quantiles_by_key(long, probs, **kw)
+    nan = [float("nan")] * len(probs)
+    return {(g, c): got.get(i * nc + j, nan) for g, i in gi.items() for j, c in enumerate(cols)}
