@@ -63,11 +63,6 @@ def clip(c: Column, lo: float | None, hi: float | None) -> Column:
     return out
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den with a zero denominator read as 1 (the row-share rule)."""
-    return num / F.when(den == 0, F.lit(1.0)).otherwise(den)
-
-
 def pair_key(a: Column, b: Column) -> Column:
     """F8: unordered pair key."""
     return F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
@@ -76,9 +71,3 @@ def pair_key(a: Column, b: Column) -> Column:
 def itemset_text(items: Column) -> Column:
     """``", "``-joined sorted items."""
     return F.array_join(F.array_sort(items), ", ")
-
-
-def entropy_term(p: Column) -> Column:
-    """One bucket's -p*ln(p) with p clipped to [1e-12, 1]."""
-    q = F.least(F.greatest(p, F.lit(ENTROPY_FLOOR)), F.lit(1.0))
-    return -q * F.log(q)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopseg.functions.scalar import itemset_text
+from shopseg.functions.scalar import itemset_text, pair_key
 from shopseg.operators.basket import Basket, checked_broadcast, cooccurrence
 
 RULE_COLUMNS = ["level", "antecedent", "consequent", "support", "confidence", "lift"]
@@ -88,8 +88,8 @@ def top_rules(rules: DataFrame, n: int = 200, order: str = "lift") -> DataFrame:
     ties). ``order="pair"``: the reference's literal file order after dedupe,
     i.e. by unordered pair key.
     """
-    lo = F.least("antecedent", "consequent")
-    hi = F.greatest("antecedent", "consequent")
+    key = pair_key(F.col("antecedent"), F.col("consequent"))
+    lo, hi = key["lo"], key["hi"]
     if order == "pair":
         keys = [lo.asc(), hi.asc(), F.desc("confidence"), F.desc("lift"), F.desc("support")]
     else:
