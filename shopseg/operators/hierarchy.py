@@ -215,6 +215,11 @@ class Tree:
         ll = self.leaf_labels.where(F.col("k") == k).select("leaf", F.col("label").alias("cluster"))
         return self.leaves.join(F.broadcast(ll), "leaf").select(id_col, "cluster")
 
+    def labels_all(self, id_col: str = "User_ID") -> DataFrame:
+        """``id, k, cluster`` for every cut the tree was built with."""
+        ll = self.leaf_labels.select("k", "leaf", F.col("label").alias("cluster"))
+        return self.leaves.join(F.broadcast(ll), "leaf").select(id_col, "k", "cluster")
+
     def tail(self, p: int = 50) -> DataFrame:
         """The last ``p - 1`` merges (the ones a ``lastp`` dendrogram draws)."""
         return self.merges.orderBy(F.desc("step")).limit(max(p - 1, 0))

@@ -16,7 +16,7 @@ from shopseg.operators.features import user_features
 from shopseg.operators.hierarchy import MAX_LEAVES, Tree, agglomerate
 from shopseg.operators.matrix import PCAResult, feature_matrix, pca_by_variance, winsorize_features
 from shopseg.operators.profile import cluster_sizes, profile_clusters
-from shopseg.operators.silhouette import silhouette_score
+from shopseg.operators.silhouette import silhouette_score, silhouette_scores
 from shopseg.session import cut_lineage
 from shopseg.sources.transactions import write_split
 
@@ -86,13 +86,10 @@ def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k
     n = points.count()
     ks = [k for k in range(k_min, k_max + 1) if 2 <= k <= n - 1]
     tree = agglomerate(points, linkage, metric, ks or [max(2, k_min)], max_leaves=max_leaves, mode=mode)
-    scores = []
     sil_metric = "euclidean" if linkage == "ward" else metric
-    for k in ks:
-        lab = tree.labels(k)
-        if lab.select("cluster").distinct().count() < 2:
-            continue
-        scores.append((k, silhouette_score(points, lab, sil_metric)))
+    # every cut has exactly k clusters (k <= n - 1), so all are valid; one pass scores them all
+    by_k = silhouette_scores(points, tree.labels_all(), sil_metric) if ks else {}
+    scores = sorted(by_k.items())
     if not scores:
         return max(2, k_min), scores, tree
     best = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
@@ -110,7 +107,7 @@ def segment_variant(points: DataFrame, variant: str, k_min: int = K_MIN, k_max:
     else:
         tree = agglomerate(points, linkage, metric, ks, max_leaves=max_leaves, mode=mode)
         sil_metric = "euclidean" if linkage == "ward" else metric
-        scores = [(kk, silhouette_score(points, tree.labels(kk), sil_metric)) for kk in ks]
+        scores = sorted(silhouette_scores(points, tree.labels_all(), sil_metric).items())
         k = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
     return VariantResult(variant, linkage, metric, k, tree.labels(k), scores, tree)
 
