@@ -187,6 +187,20 @@ def q_category_entropy(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(f.select("User_ID", "cat_entropy", "n_unique_categories"))
 
 
+def q_user_features_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 on the dirty mapping: NULL products, junk categories, missing ages / stays / purchases."""
+    f, _ = user_features(clean_transactions(transactions_from_tables(spark, sf, "dirty")))
+    return rounded(f.select("User_ID", "n_transactions", "total_purchase", "avg_purchase", "median_purchase",
+                            "std_purchase", "unique_products", "Age_mode", "Gender_mode", "City_Category_mode",
+                            "Stay_mode", "Marital_mode", "Occupation_mode", "cat_entropy", "n_unique_categories"),
+                   money=("total_purchase",))
+
+
+def q_category_shares_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    f, buckets = user_features(clean_transactions(transactions_from_tables(spark, sf, "dirty")))
+    return rounded(share_long(f, buckets).select("User_ID", "bucket", "share", "rev_share"))
+
+
 def q_user_features(spark: SparkSession, sf: str) -> DataFrame:
     f, _ = user_features(_clean(spark, sf))
     keep = [c for c in f.columns if not c.startswith("cat_share__") and not c.startswith("cat_rev_share__")]
@@ -453,6 +467,8 @@ QUERIES = {
     "revenue_shares": q_revenue_shares,
     "category_entropy": q_category_entropy,
     "user_features": q_user_features,
+    "user_features_dirty": q_user_features_dirty,
+    "category_shares_dirty": q_category_shares_dirty,
     "winsorized_features": q_winsorized_features,
     "robust_scaled": q_robust_scaled,
     "one_hot_modes": q_one_hot_modes,

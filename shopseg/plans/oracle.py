@@ -84,12 +84,12 @@ SELECT User_ID, Product_ID, Gender, Age, Occupation, City_Category, Stay_In_Curr
 # Features
 # ---------------------------------------------------------------------------
 
-def feature_ctes(top_cat: int = 10) -> str:
+def feature_ctes(top_cat: int = 10, variant: str = "clean") -> str:
     mode = lambda src, dst: f"""{dst} AS (SELECT User_ID, {src} AS v FROM (
     SELECT User_ID, {src}, ROW_NUMBER() OVER (PARTITION BY User_ID ORDER BY n DESC, {src}) AS rn
     FROM (SELECT User_ID, {src}, count(*) AS n FROM tx WHERE {src} IS NOT NULL GROUP BY User_ID, {src}))
   WHERE rn = 1)"""
-    return f"""{clean_ctes()},
+    return f"""{clean_ctes(variant)},
 basics AS (SELECT User_ID, CAST(count(*) AS BIGINT) AS n_transactions, sum(Purchase) AS total_purchase,
     avg(Purchase) AS avg_purchase, quantile_cont(Purchase, 0.5) AS median_purchase,
     COALESCE(stddev_samp(Purchase), 0) AS std_purchase, CAST(count(DISTINCT Product_ID) AS BIGINT) AS unique_products
@@ -130,8 +130,8 @@ feats AS (SELECT b.*, COALESCE(a.v, 'Unknown') AS Age_mode, COALESCE(g.v, 'Unkno
   LEFT JOIN m_occ oc USING (User_ID) LEFT JOIN ent e USING (User_ID))"""
 
 
-def sql_features(select: str) -> str:
-    return f"WITH {feature_ctes()}\n{select}"
+def sql_features(select: str, variant: str = "clean") -> str:
+    return f"WITH {feature_ctes(variant=variant)}\n{select}"
 
 
 # ---------------------------------------------------------------------------
@@ -452,6 +452,13 @@ def oracles() -> dict[str, str]:
             "ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories, ROUND(avg_purchase_log1p, 6) AS avg_purchase_log1p, "
             "ROUND(median_purchase_log1p, 6) AS median_purchase_log1p, ROUND(std_purchase_log1p, 6) AS std_purchase_log1p "
             "FROM feats"),
+        "user_features_dirty": sql_features(
+            "SELECT User_ID, n_transactions, ROUND(total_purchase, 4) AS total_purchase, ROUND(avg_purchase, 6) AS avg_purchase, "
+            "ROUND(median_purchase, 6) AS median_purchase, ROUND(std_purchase, 6) AS std_purchase, unique_products, "
+            "Age_mode, Gender_mode, City_Category_mode, Stay_mode, Marital_mode, Occupation_mode, "
+            "ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories FROM feats", "dirty"),
+        "category_shares_dirty": sql_features("SELECT User_ID, bucket, ROUND(share, 6) AS share, "
+                                              "ROUND(rev_share, 6) AS rev_share FROM shares", "dirty"),
         "winsorized_features": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, CASE WHEN feature IN "
                                "('total_purchase', 'avg_purchase', 'median_purchase', 'std_purchase') "
                                "THEN ROUND(value, 4) ELSE ROUND(value, 6) END AS value FROM wlong",
