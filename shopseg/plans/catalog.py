@@ -29,12 +29,19 @@ T_SEGMENT = LevelSpec("category", "category_item", 0.05, 0.35, 1.25, min_users_a
 ITEMSET_SUPPORT = 0.04
 
 
+# Money-scale columns: per-user averages keep 4 places, sums of a user's purchases 2, so that
+# summation-order differences (~1e-15 relative) cannot cross a rounding boundary.
+MONEY_AVG = ("avg_purchase", "median_purchase", "std_purchase")
+MONEY_SUM = ("total_purchase",)
+
+
 def rounded(df: DataFrame, places: int = 6, money: tuple[str, ...] = ()) -> DataFrame:
-    """Round every double column (``money`` columns to 4 places)."""
+    """Round every double column (``money`` and per-user money averages to 4 places, sums to 2)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), 4 if f.name in money else places).alias(f.name))
+            p = 2 if f.name in MONEY_SUM else 4 if (f.name in money or f.name in MONEY_AVG) else places
+            cols.append(F.round(F.col(f.name).cast("double"), p).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -233,8 +240,10 @@ def q_winsorized_features(spark: SparkSession, sf: str) -> DataFrame:
     from shopseg.operators.features import numeric_feature_columns
     _, w, _ = _winsorized(spark, sf)
     long = _numeric_long(w, numeric_feature_columns(w))
-    return long.select("User_ID", "feature", F.when(F.col("feature").isin(MONEY_FEATURES), F.round("value", 4))
-                       .otherwise(F.round("value", 6)).alias("value"))
+    return long.select("User_ID", "feature",
+                       F.when(F.col("feature").isin(list(MONEY_SUM)), F.round("value", 2))
+                        .when(F.col("feature").isin(MONEY_FEATURES), F.round("value", 4))
+                        .otherwise(F.round("value", 6)).alias("value"))
 
 
 def _scaled(spark, sf):

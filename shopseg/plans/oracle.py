@@ -437,30 +437,30 @@ def oracles() -> dict[str, str]:
         "itemset_rules": sql_itemset_rules(S_CATEGORY, 0.04),
         "top_categories": f"WITH {clean_ctes()},\nfreq AS (SELECT Product_Category_str AS label, count(*) AS n FROM tx GROUP BY 1)\n"
                           "SELECT label, CAST(n AS BIGINT) AS n FROM freq ORDER BY n DESC, label LIMIT 10",
-        "user_basics": feats("SELECT User_ID, n_transactions, ROUND(total_purchase, 4) AS total_purchase, "
-                             "ROUND(avg_purchase, 6) AS avg_purchase, ROUND(median_purchase, 6) AS median_purchase, "
-                             "ROUND(std_purchase, 6) AS std_purchase, unique_products FROM basics"),
+        "user_basics": feats("SELECT User_ID, n_transactions, ROUND(total_purchase, 2) AS total_purchase, "
+                             "ROUND(avg_purchase, 4) AS avg_purchase, ROUND(median_purchase, 4) AS median_purchase, "
+                             "ROUND(std_purchase, 4) AS std_purchase, unique_products FROM basics"),
         "user_modes": feats("SELECT User_ID, Age_mode, Gender_mode, City_Category_mode, Stay_mode, Marital_mode, "
                             "Occupation_mode FROM feats"),
         "category_shares": feats("SELECT User_ID, bucket, ROUND(share, 6) AS share FROM shares"),
         "revenue_shares": feats("SELECT User_ID, bucket, ROUND(rev_share, 6) AS rev_share FROM shares"),
         "category_entropy": feats("SELECT User_ID, ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories FROM ent"),
         "user_features": feats(
-            "SELECT User_ID, n_transactions, ROUND(total_purchase, 4) AS total_purchase, ROUND(avg_purchase, 6) AS avg_purchase, "
-            "ROUND(median_purchase, 6) AS median_purchase, ROUND(std_purchase, 6) AS std_purchase, unique_products, "
+            "SELECT User_ID, n_transactions, ROUND(total_purchase, 2) AS total_purchase, ROUND(avg_purchase, 4) AS avg_purchase, "
+            "ROUND(median_purchase, 4) AS median_purchase, ROUND(std_purchase, 4) AS std_purchase, unique_products, "
             "Age_mode, Gender_mode, City_Category_mode, Stay_mode, Marital_mode, Occupation_mode, "
             "ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories, ROUND(avg_purchase_log1p, 6) AS avg_purchase_log1p, "
             "ROUND(median_purchase_log1p, 6) AS median_purchase_log1p, ROUND(std_purchase_log1p, 6) AS std_purchase_log1p "
             "FROM feats"),
         "user_features_dirty": sql_features(
-            "SELECT User_ID, n_transactions, ROUND(total_purchase, 4) AS total_purchase, ROUND(avg_purchase, 6) AS avg_purchase, "
-            "ROUND(median_purchase, 6) AS median_purchase, ROUND(std_purchase, 6) AS std_purchase, unique_products, "
+            "SELECT User_ID, n_transactions, ROUND(total_purchase, 2) AS total_purchase, ROUND(avg_purchase, 4) AS avg_purchase, "
+            "ROUND(median_purchase, 4) AS median_purchase, ROUND(std_purchase, 4) AS std_purchase, unique_products, "
             "Age_mode, Gender_mode, City_Category_mode, Stay_mode, Marital_mode, Occupation_mode, "
             "ROUND(cat_entropy, 6) AS cat_entropy, n_unique_categories FROM feats", "dirty"),
         "category_shares_dirty": sql_features("SELECT User_ID, bucket, ROUND(share, 6) AS share, "
                                               "ROUND(rev_share, 6) AS rev_share FROM shares", "dirty"),
-        "winsorized_features": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, CASE WHEN feature IN "
-                               "('total_purchase', 'avg_purchase', 'median_purchase', 'std_purchase') "
+        "winsorized_features": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, CASE WHEN feature = 'total_purchase' "
+                               "THEN ROUND(value, 2) WHEN feature IN ('avg_purchase', 'median_purchase', 'std_purchase') "
                                "THEN ROUND(value, 4) ELSE ROUND(value, 6) END AS value FROM wlong",
         "robust_scaled": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, ROUND(value, 6) AS value FROM rlong",
         "one_hot_modes": sql_one_hot(),
