@@ -29,7 +29,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SHOPSEG_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SHOPSEG_DRIVER_MEMORY", "4g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
