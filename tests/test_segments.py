@@ -51,3 +51,22 @@ def test_all_niche_raises(spark):
     labels = spark.createDataFrame([(i, i % 3) for i in range(30)], "User_ID int, cluster int")
     core, _ = split_users(labels, niche_clusters(cluster_sizes(labels)))
     assert core.isEmpty()
+
+
+def test_hybrid_split_files_and_small_data(spark):
+    import tempfile
+    from tests.conftest import SF001
+    from shopseg.plans.segmentation import hybrid_segments
+    from shopseg.sources.transactions import transactions_from_tables
+    raw = transactions_from_tables(spark, SF001)
+    out = tempfile.mkdtemp(prefix="shopseg-split-")
+    h = hybrid_segments(raw, split_path=out)
+    split = spark.read.option("header", True).csv(out)
+    assert split.count() == raw.count()
+    niche_users = {r.User_ID for r in h.niche_users.collect()}
+    niche_rows = {int(r.User_ID) for r in split.where(F.col("segment") == "niche").select("User_ID").collect()}
+    assert niche_rows == niche_users
+    final = {r.User_ID: r.cluster for r in h.final.collect()}
+    assert len(final) == 150
+    assert all(final[u] >= 4 for u in niche_users)          # niches come after the 4 core labels
+    assert -1 <= h.silhouette_core <= 1 and -1 <= h.silhouette_detect <= 1
