@@ -83,10 +83,14 @@ def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
     """Sorted distinct non-null values per column (the encoder's categories)."""
     row = df.selectExpr(*[f"array_sort(collect_set({sq.q(c)})) AS {sq.q(c)}" for c in cols]).collect()[0]
     levels = {c: list(row[c]) for c in cols}
+    _check_levels(levels)
+    return levels
+
+
+def _check_levels(levels: dict) -> None:
     for c, v in levels.items():
         if len(v) > MAX_LEVELS:
             raise ValueError(f"{c} has {len(v)} levels; one-hot encoding is meant for low-cardinality modes")
-    return levels
 
 
 def one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None = None
@@ -124,6 +128,7 @@ def feature_matrix(feats: DataFrame, quantile_method: str = "auto", n_hint: int
                               *[f"array_sort(collect_set({sq.q(c)})) AS lv_{c}" for c in categorical]).collect()[0]
         q = builtin_result(row, numeric, ROBUST_PROBS)
         levels = {c: list(row[f"lv_{c}"]) for c in categorical}
+        _check_levels(levels)
     scaled = robust_scale(base, numeric, quantile_method, n_hint, quantiles=q)
     encoded, hot = one_hot(scaled, categorical, levels)
     names = numeric + hot
