@@ -203,9 +203,8 @@ def cooccurrence(basket: DataFrame, kept_sizes: dict, tile: int = 2048,
         b = (b.withColumn("u", F.explode(others))
               .withColumn("ta", F.least("t", "u")).withColumn("tb", F.greatest("t", "u")))
     parts = b.select("level", "ta", "tb", "User_ID", "idx")
-    n_part = basket.sparkSession.sparkContext.defaultParallelism
-    ordered = (parts.repartition(max(n_part, int(basket.sparkSession.conf.get(
-                   "spark.sql.shuffle.partitions"))), "level", "User_ID")
-               .sortWithinPartitions("level", "ta", "tb", "User_ID"))
+    # hash by (level, user): a user's basket is whole in one task; the partition count is left to
+    # spark.sql.shuffle.partitions and AQE coalescing
+    ordered = parts.repartition("level", "User_ID").sortWithinPartitions("level", "ta", "tb", "User_ID")
     partial = ordered.mapInPandas(_gram_partition(tile, chunk_users), COOC_SCHEMA)
     return partial.groupBy("level", "a", "b").agg(F.sum("co").cast("long").alias("co"))

@@ -224,9 +224,7 @@ def frequent_itemsets_apriori(bk: Basket, level: str, min_support: float, max_le
     if not cands:
         return out
     triples = spark.sparkContext.broadcast(np.array(cands, dtype=np.int64))  # bounded by kept items³/6
-    ordered = (level_basket.select("User_ID", "idx")
-               .repartition(spark.sparkContext.defaultParallelism, "User_ID")
-               .sortWithinPartitions("User_ID"))
+    ordered = level_basket.select("User_ID", "idx").repartition("User_ID").sortWithinPartitions("User_ID")
     counts = (ordered.mapInPandas(_triple_counts(triples, 4096), "t int, co long")
               .groupBy("t").agg(F.sum("co").alias("co"))
               .where(F.col("co") / F.lit(float(U)) >= F.lit(min_support)))
