@@ -1,0 +1 @@
+"""Column expressions, SQL-text builders and the exact distributed quantiles."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: cleaning, features, matrix, clustering, silhouette, baskets, rules, profiles."""

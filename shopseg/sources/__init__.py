@@ -1,0 +1 @@
+"""Transaction reads (CSV / parquet / star-schema test tables), assignments, result sinks."""
