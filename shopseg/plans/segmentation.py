@@ -196,12 +196,14 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     tx = clean_transactions(base, *TX_Q, deduplicated=True)
     det = prepare(tx, USER_Q_DETECT, PCA_DETECT, top_cat)
     det_tree = agglomerate(det.points, "average", "manhattan", [DETECT_K], max_leaves=max_leaves, mode=mode)
-    det_labels = cut_lineage(det_tree.labels(DETECT_K))
+    # labels are a cheap join of persisted leaf assignments with the checkpointed tree: persisting is
+    # enough (a lost block is recomputed from that short lineage)
+    det_labels = det_tree.labels(DETECT_K).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = cluster_sizes(det_labels)
     niches = niche_clusters(sizes)
     core_users, niche_users = split_users(det_labels, niches)
-    core_users = cut_lineage(core_users)
-    niche_users = cut_lineage(niche_users)
+    core_users = core_users.persist(StorageLevel.MEMORY_AND_DISK)
+    niche_users = niche_users.persist(StorageLevel.MEMORY_AND_DISK)
     if core_users.isEmpty():
         raise ValueError("every detection cluster is a niche; there is no core to recluster")
     # J4 via J5: every user with rows has a detection label, so core rows are the rows of users that
@@ -219,8 +221,8 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     core_tx = clean_transactions(core_base, *TX_Q, deduplicated=True)
     core = prepare(core_tx, USER_Q_CORE, PCA_CORE, top_cat)
     core_tree = agglomerate(core.points, CORE_LINKAGE, CORE_METRIC, [CORE_K], max_leaves=max_leaves, mode=mode)
-    core_labels = cut_lineage(core_tree.labels(CORE_K))
-    final = cut_lineage(reattach(core_labels, niche_users))
+    core_labels = core_tree.labels(CORE_K).persist(StorageLevel.MEMORY_AND_DISK)
+    final = cut_lineage(reattach(core_labels, niche_users))        # the pipeline's result: written out
     # Un-winsorized first-pass features of every finally labelled user; numeric NULL -> 0
     prof_in = det.feats.join(final, "User_ID", "right")
     num = [f for f, t in prof_in.dtypes if f not in ("User_ID", "cluster") and t in
