@@ -98,3 +98,19 @@ def test_quantile_bounds_mapping(spark):
     d = typed_deduplicated(transactions_from_tables(spark, SF01))
     lo, hi = quantile_bounds(d.select(F.col("Purchase").cast("double").alias("p")), ["p"], 0.01, 0.99)["p"]
     assert math.isclose(lo, 1909.713, abs_tol=1e-3) and math.isclose(hi, 103940.157, abs_tol=1e-3)
+
+
+def test_csv_read_path_matches_table_path(spark):
+    import tempfile
+    from tests.conftest import SF001
+    from shopseg.sources.transactions import read_transactions, transactions_from_tables
+    raw = transactions_from_tables(spark, SF001, "dirty")
+    path = tempfile.mkdtemp(prefix="shopseg-csv-") + "/tx.csv"
+    # write text the way a pandas-produced CSV looks: missing values as empty or NA tokens
+    text = raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("NA" if c == "Age" else "")).alias(c)
+                        for c in raw.columns])
+    text.coalesce(1).write.option("header", True).csv(path)
+    from_csv = clean_transactions(read_transactions(spark, path), 0.01, 0.99)
+    direct = clean_transactions(raw, 0.01, 0.99)
+    assert from_csv.count() == direct.count()
+    assert from_csv.exceptAll(direct).count() == 0
