@@ -366,6 +366,11 @@ def q_hybrid_silhouettes(spark: SparkSession, sf: str) -> DataFrame:
                                          "pass string, k int, silhouette double"))
 
 
+def q_pair_rules_hybrid_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """R8 + J2 on real segments: category pair rules per final hybrid segment (planted data)."""
+    return rounded(_mine(spark, sf, [T_SEGMENT], _hybrid(spark, sf).final).rules)
+
+
 def _nation_labels(spark, sf):
     users = basket_lines(spark, sf).select("User_ID").distinct()
     c = spark.read.parquet(f"{sf}/customer.parquet").select(
@@ -497,6 +502,7 @@ QUERIES = {
     "core_transactions": q_core_transactions,
     "hybrid_segments": q_hybrid_segments,
     "hybrid_silhouettes": q_hybrid_silhouettes,
+    "pair_rules_hybrid_segments": q_pair_rules_hybrid_segments,
     "niche_split_given_labels": q_niche_split_given_labels,
     "cluster_profile": q_cluster_profile,
     "core_rows_given_labels": q_core_rows_given_labels,
