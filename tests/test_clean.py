@@ -114,3 +114,27 @@ def test_csv_read_path_matches_table_path(spark):
     direct = clean_transactions(raw, 0.01, 0.99)
     assert from_csv.count() == direct.count()
     assert from_csv.exceptAll(direct).count() == 0
+
+
+def test_keyed_and_grouped_quantiles_match_pandas(spark):
+    import pandas as pd
+    from shopseg.functions.quantiles import grouped_quantiles, quantiles_by_key
+    rng = np.random.default_rng(12)
+    keys = np.concatenate([np.zeros(3000, dtype=int), rng.integers(1, 40, size=1000)])   # one dominant key
+    vals = np.round(rng.gamma(2.0, 10.0, size=len(keys)), 1)                           # many ties
+    pdf = pd.DataFrame({"g": keys, "v": vals, "w": vals * -2})
+    df = spark.createDataFrame(pdf)
+    long = df.selectExpr("CAST(g AS BIGINT) AS ci", "CAST(v AS DOUBLE) AS v")
+    probs = [0.01, 0.5, 0.99]
+    got = quantiles_by_key(long, probs, method="refine", bins=8, finish=50)
+    exp = pdf.groupby("g")["v"].quantile(probs).unstack()
+    for k, row in exp.iterrows():
+        assert got[k] == pytest.approx(list(row.values), abs=1e-9)
+    builtin = quantiles_by_key(long, probs, method="spark")
+    assert set(builtin) == set(got)
+    for k in got:
+        assert builtin[k] == pytest.approx(got[k], abs=1e-9)
+    gq = grouped_quantiles(df, "g", ["v", "w"], [0.5], method="refine", bins=8, finish=50)
+    for k in exp.index:
+        assert gq[(k, "v")][0] == pytest.approx(exp.loc[k, 0.5])
+        assert gq[(k, "w")][0] == pytest.approx(pdf[pdf.g == k]["w"].median())

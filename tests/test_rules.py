@@ -100,3 +100,19 @@ def test_itemsets_fpgrowth_equals_apriori_and_rules(spark):
     ir = {(r.antecedent, r.consequent) for r in itemset_rules(pairs2, bk.basket_users, params).collect()}
     d = directed_rules(bk, params).where(F.col("support") >= 0.1)
     assert ir == {(r.antecedent, r.consequent) for r in d.collect()}
+
+
+def test_itemset_rule_metrics_by_hand(spark):
+    from shopseg.operators.rules import itemset_rules
+    sets = spark.createDataFrame([("t", ["A"], 4), ("t", ["B"], 4), ("t", ["C"], 2), ("t", ["A", "B"], 3),
+                                  ("t", ["B", "C"], 2)], "level string, items array<string>, freq long")
+    users = spark.createDataFrame([("t", 5)], "level string, U long")
+    params = spark.createDataFrame([("t", 0.0, 0.0)], "level string, min_conf double, min_lift double")
+    r = {(x.antecedent, x.consequent): x for x in itemset_rules(sets, users, params).collect()}
+    assert set(r) == {("A", "B"), ("B", "A"), ("B", "C"), ("C", "B")}
+    cb = r[("C", "B")]
+    assert (cb.support, cb.confidence, cb.lift) == pytest.approx((0.4, 1.0, 1.25))
+    assert cb.leverage == pytest.approx(0.4 - 0.4 * 0.8) and cb.conviction == float("inf")
+    ab = r[("A", "B")]
+    assert ab.conviction == pytest.approx((1 - 0.8) / (1 - 0.75))
+    assert list(ab.antecedents) == ["A"] and ab.consequent == "B"
