@@ -120,14 +120,24 @@ def run_summary(levels: DataFrame, bk: Basket, rules: DataFrame) -> DataFrame:
 ITEMSET_SCHEMA = "level string, items array<string>, freq long"
 
 
-def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int = 3) -> DataFrame:
+def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int = 3,
+                      method: str = "fpgrowth") -> DataFrame:
     """FP-growth (MLlib) on the level's baskets, itemsets up to ``max_len``.
 
     Support is counted over basket users (rows of the basket matrix). MLlib
     derives its count floor with ``ceil``; the floor is lowered by a hair and
     the exact ``freq / U >= min_support`` test applied afterwards, so float
     rounding in ``min_support * U`` cannot drop an itemset.
+
+    MLlib's FP-growth has no length limit: it mines every frequent itemset and
+    the ``max_len`` filter comes after. At low support on long baskets, use
+    ``method="apriori"`` (R4), which never builds candidates longer than
+    ``max_len`` and returns the same itemsets.
     """
+    if method == "apriori":
+        return frequent_itemsets_apriori(bk, level, min_support, max_len)
+    if method != "fpgrowth":
+        raise ValueError(f"unknown method {method!r}")
     from pyspark.ml.fpm import FPGrowth
 
     baskets = (bk.basket.where(F.col("level") == level).groupBy("User_ID")
