@@ -138,3 +138,18 @@ def test_keyed_and_grouped_quantiles_match_pandas(spark):
     for k in exp.index:
         assert gq[(k, "v")][0] == pytest.approx(exp.loc[k, 0.5])
         assert gq[(k, "w")][0] == pytest.approx(pdf[pdf.g == k]["w"].median())
+
+
+def test_auto_quantiles_above_builtin_threshold(spark):
+    from pyspark import StorageLevel
+    n = 150_000                                   # above small_n: the default path refines
+    df = spark.range(n).selectExpr("CAST(((id * 7919) % 100003) / 7.0 AS DOUBLE) AS v",
+                                   "CAST(id % 17 AS DOUBLE) AS w")
+    ids = np.arange(n)
+    v = ((ids * 7919) % 100003) / 7.0
+    w = (ids % 17).astype(float)
+    probs = [0.005, 0.25, 0.5, 0.75, 0.995]
+    for frame in (df, df.persist(StorageLevel.MEMORY_AND_DISK)):   # uncached and cached inputs
+        got = column_quantiles(frame, ["v", "w"], probs)
+        assert got["v"] == pytest.approx(list(np.quantile(v, probs)), abs=1e-9)
+        assert got["w"] == pytest.approx(list(np.quantile(w, probs)), abs=1e-9)
