@@ -143,7 +143,7 @@ def test_keyed_and_grouped_quantiles_match_pandas(spark):
 def test_auto_quantiles_above_builtin_threshold(spark):
     from pyspark import StorageLevel
     n = 150_000                                   # above small_n: the default path refines
-    df = spark.range(n).selectExpr("CAST(((id * 7919) % 100003) / 7.0 AS DOUBLE) AS v",
+    df = spark.range(n).selectExpr("CAST((id * 7919) % 100003 AS DOUBLE) / 7.0D AS v",
                                    "CAST(id % 17 AS DOUBLE) AS w")
     ids = np.arange(n)
     v = ((ids * 7919) % 100003) / 7.0
