@@ -23,3 +23,22 @@ def test_stream_split_matches_batch(spark):
     assert s.exceptAll(b).count() == 0
     counts = {r.segment: r["count"] for r in s.groupBy("segment").count().collect()}
     assert set(counts) == {"core", "niche"}
+
+
+def test_stream_split_reruns_are_incremental(spark):
+    from tests.conftest import SF001
+    src = tempfile.mkdtemp(prefix="shopseg-src2-")
+    raw = transactions_from_tables(spark, SF001).select(*TRANSACTION_COLUMNS)
+    first, second = raw.randomSplit([0.5, 0.5], seed=3)
+    first.coalesce(1).write.mode("overwrite").option("header", True).csv(src + "/part1")
+    seg = raw.select("User_ID").distinct().select("User_ID", F.lit("core").alias("segment"))
+    out = tempfile.mkdtemp(prefix="shopseg-out2-")
+    ckpt = tempfile.mkdtemp(prefix="shopseg-ck2-")
+    # the stream watches one folder; the second part arrives later as a new file in it
+    split_stream(spark, src + "/part1", seg, out, checkpoint=ckpt)
+    n1 = spark.read.option("header", True).csv(out).count()
+    split_stream(spark, src + "/part1", seg, out, checkpoint=ckpt)          # rerun: nothing new
+    assert spark.read.option("header", True).csv(out).count() == n1 == first.count()
+    second.coalesce(1).write.mode("append").option("header", True).csv(src + "/part1")
+    split_stream(spark, src + "/part1", seg, out, checkpoint=ckpt)          # only the new file
+    assert spark.read.option("header", True).csv(out).count() == raw.count()
