@@ -52,7 +52,7 @@ class Basket:
     kept_sizes: dict        # level -> number of kept items (driver side, small)
 
 
-def build_basket(rows: DataFrame, params: DataFrame) -> Basket:
+def build_basket(rows: DataFrame, params: DataFrame, need_base_users: bool | None = None) -> Basket:
     """R1 for every level of ``rows`` at once.
 
     ``rows``: ``level, User_ID, item``. ``params``: one row per level with
@@ -62,15 +62,21 @@ def build_basket(rows: DataFrame, params: DataFrame) -> Basket:
     item holders).
 
     threshold = max(1, ceil(min_support * base), min_users_abs), computed in
-    double arithmetic as the reference does.
+    double arithmetic as the reference does. The all-rows user count (one more
+    pass) is only computed when some level uses it (``need_base_users``;
+    looked up in the small params table when not given).
     """
-    spark = rows.sparkSession
+    if need_base_users is None:
+        need_base_users = bool(params.where(F.col("use_base_users")).limit(1).count())
     base = rows.where(F.col("User_ID").isNotNull())
-    base_users = base.groupBy("level").agg(F.count_distinct("User_ID").alias("base_users"))
     sub = (base.where(F.col("item").isNotNull()).select("level", "User_ID", "item").distinct()
            .persist(StorageLevel.MEMORY_AND_DISK))
-    users = (sub.groupBy("level").agg(F.count_distinct("User_ID").alias("n_users"))
-             .join(base_users, "level", "left"))
+    users = sub.groupBy("level").agg(F.count_distinct("User_ID").alias("n_users"))
+    if need_base_users:
+        base_users = base.groupBy("level").agg(F.count_distinct("User_ID").alias("base_users"))
+        users = users.join(base_users, "level", "left")
+    else:
+        users = users.withColumn("base_users", F.col("n_users"))
     item_counts = sub.groupBy("level", "item").agg(F.count(F.lit(1)).alias("user_count"))
 
     p = params.select("level", "min_support", "min_users_abs", "top_n", "use_base_users")

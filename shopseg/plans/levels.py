@@ -97,7 +97,7 @@ def mine_levels(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
     """Pair-mode mining of every level family, plus the run summary (K3)."""
     rows, params = level_inputs(tx, specs, assignments, user_col)
     params = params.cache()
-    bk = build_basket(rows, params)
+    bk = build_basket(rows, params, need_base_users=assignments is not None and any(s.segment for s in specs))
     rules = pair_rules(bk, params)
     directed = directed_rules(bk, params)
     summary = run_summary(params, bk, rules)
