@@ -100,7 +100,10 @@ def top_rules(rules: DataFrame, n: int = 200, order: str = "lift") -> DataFrame:
 
 
 def run_summary(levels: DataFrame, bk: Basket, rules: DataFrame) -> DataFrame:
-    """K3: ``level, n_users, n_items, n_rules, mode``; levels without rules stay (0)."""
+    """K3: ``level, n_users, n_items, n_rules, mode``; levels without rules stay (0).
+
+    ``rules`` needs only a ``level`` column (one row per rule, any mode).
+    """
     n_items = bk.kept.groupBy("level").agg(F.count(F.lit(1)).alias("n_items"))
     n_rules = rules.groupBy("level").agg(F.count(F.lit(1)).alias("n_rules"))
     return (levels.select("level", "mode")

@@ -30,7 +30,8 @@ class LevelSpec:
     top_n: int | None = None
     min_users_abs: int | None = None
     segment: bool = False
-    mode: str = "PAIR"
+    mode: str = "PAIR"          # "PAIR" (1 -> 1 rules) or "ITEMSETS" (FP-growth itemsets -> rules)
+    max_len: int = 3
 
 
 # Reference production profile (fixed values).
@@ -87,21 +88,43 @@ def level_inputs(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
 class Mined:
     basket: Basket
     params: DataFrame
-    rules: DataFrame          # one direction per pair
-    directed: DataFrame       # every passing direction
+    rules: DataFrame          # pair mode: one direction per pair
+    directed: DataFrame       # pair mode: every passing direction
     summary: DataFrame
+    itemset_rules: DataFrame | None = None   # itemset mode levels
 
 
 def mine_levels(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame | None = None,
                 user_col: str = "User_ID") -> Mined:
-    """Pair-mode mining of every level family, plus the run summary (K3)."""
+    """Mining of every level family, plus the run summary (K3).
+
+    Pair-mode levels share one plan. Itemset-mode levels (few: their names are
+    read from the small params table) run FP-growth per level and their rules
+    are unioned; the summary counts the rules of the mode each level ran in.
+    """
     rows, params = level_inputs(tx, specs, assignments, user_col)
     params = params.cache()
     bk = build_basket(rows, params, need_base_users=assignments is not None and any(s.segment for s in specs))
-    rules = pair_rules(bk, params)
-    directed = directed_rules(bk, params)
-    summary = run_summary(params, bk, rules)
-    return Mined(bk, params, rules, directed, summary)
+    pair_params = params.where(F.col("mode") == "PAIR")
+    rules = pair_rules(bk, pair_params)
+    directed = directed_rules(bk, pair_params)
+    counted = rules.select("level")
+    item_rules = None
+    if any(s.mode == "ITEMSETS" for s in specs):
+        from shopseg.operators.rules import frequent_itemsets, itemset_rules
+        max_len = {s.name: s.max_len for s in specs}
+        levels = [(r["level"], r["min_support"]) for r in
+                  params.where(F.col("mode") == "ITEMSETS").select("level", "min_support").collect()]
+        sets = None
+        for level, support in levels:
+            name = level.split("_", 2)[-1] if level.startswith("cluster_") else level
+            fi = frequent_itemsets(bk, level, support, max_len.get(name, 3))
+            sets = fi if sets is None else sets.unionByName(fi)
+        if sets is not None:
+            item_rules = itemset_rules(sets, bk.basket_users, params)
+            counted = counted.unionByName(item_rules.select("level"))
+    summary = run_summary(params, bk, counted)
+    return Mined(bk, params, rules, directed, summary, item_rules)
 
 
 def production_levels(tx: DataFrame, assignments: DataFrame | None = None) -> Mined:

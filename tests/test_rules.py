@@ -116,3 +116,16 @@ def test_itemset_rule_metrics_by_hand(spark):
     ab = r[("A", "B")]
     assert ab.conviction == pytest.approx((1 - 0.8) / (1 - 0.75))
     assert list(ab.antecedents) == ["A"] and ab.consequent == "B"
+
+
+def test_itemset_mode_level(spark):
+    from tests.conftest import SF001
+    from shopseg.sources.transactions import basket_lines
+    specs = [LevelSpec("category", "category_item", 0.1, 0.35, 1.25, mode="ITEMSETS"),
+             LevelSpec("product", "product_item", 0.02, 0.03, 1.30, top_n=40)]
+    m = mine_levels(basket_lines(spark, SF001), specs)
+    s = {r.level: r for r in m.summary.collect()}
+    assert s["category"]["mode"] == "ITEMSETS" and s["product"]["mode"] == "PAIR"
+    assert s["category"].n_rules == m.itemset_rules.count() > 0
+    assert m.rules.where(F.col("level") == "category").count() == 0
+    assert s["product"].n_rules == m.rules.count()
