@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import linededup, packing, shared, sharding, token_ids
+from shopseg.llm import linededup, packing, shared, sharding, simhash, token_ids
 
 
 def op1_token_ids(spark, sf_dir):
@@ -17,6 +17,11 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(shared.documents(spark, sf_dir), capacity=2048)
 
 
+def op5_simhash(spark, sf_dir):
+    out = simhash.near_duplicates(shared.documents(spark, sf_dir), shingle=4, distance=4)
+    return out.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
 def op6_sharding(spark, sf_dir):
     placed = sharding.shard_by_bytes(shared.documents(spark, sf_dir), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -55,6 +60,7 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
