@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import linededup, packing, shared, sharding, simhash, token_ids
+from shopseg.llm import decontaminate, linededup, packing, shared, sharding, simhash, token_ids
 
 
 def op1_token_ids(spark, sf_dir):
@@ -28,6 +28,13 @@ def op6_sharding(spark, sf_dir):
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_decontamination(spark, sf_dir):
+    out = decontaminate.contamination(shared.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_line_dedup(spark, sf_dir):
     docs = shared.documents(spark, sf_dir).select("doc_id", "text")
     out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_chars=10))
@@ -57,14 +64,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+SQL_DECONTAMINATION = f"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all({SQL_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, len, array_to_string(w[s : s + len - 1], ' ') AS phrase FROM (
+    SELECT item_id, w, least(10, len(w)) AS len, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s
+    FROM item_words WHERE len(w) > 0)),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce({SQL_LOWER.format("text")}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+spots AS (
+  SELECT doc_id, w, len, unnest(generate_series(1, len(w) - len + 1)) AS s
+  FROM doc_words, (SELECT DISTINCT len FROM windows) WHERE len(w) >= len),
+hits AS (
+  SELECT doc_id, s, spots.len, item_id FROM spots
+  JOIN windows ON windows.len = spots.len AND windows.phrase = array_to_string(w[s : s + spots.len - 1], ' ')),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(generate_series(s, s + len - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+"""
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
+    "op8_decontamination": op8_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op8_decontamination": SQL_DECONTAMINATION,
     "op10_line_dedup": SQL_LINE_DEDUP,
 }
