@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import decontaminate, linededup, packing, shared, sharding, simhash, token_ids
+from shopseg.llm import decontaminate, linededup, packing, shared, sharding, simhash, token_ids, toxicity
 
 
 def op1_token_ids(spark, sf_dir):
@@ -28,6 +28,20 @@ def op6_sharding(spark, sf_dir):
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _fold(n):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = shared.documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(~held_out), labels.where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_decontamination(spark, sf_dir):
     out = decontaminate.contamination(shared.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -96,6 +110,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
