@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import decontaminate, linededup, packing, shared, sharding, simhash, token_ids, toxicity
+from shopseg.llm import decontaminate, language, linededup, packing, shared, sharding, simhash, token_ids, toxicity
 
 
 def op1_token_ids(spark, sf_dir):
@@ -13,6 +13,19 @@ def op1_token_ids(spark, sf_dir):
     return token_ids.read_token_ids(spark, path)
 
 
+def _fold(n):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op2_language(spark, sf_dir):
+    docs = shared.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    out = language.identify(docs.drop("lang"), language.train(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), F.col("__lang_pred").alias("lang_pred"),
+                      F.col("__score").alias("score"), F.col("__rejected").alias("rejected"))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(shared.documents(spark, sf_dir), capacity=2048)
 
@@ -28,11 +41,6 @@ def op6_sharding(spark, sf_dir):
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _fold(n):
-    """crc32 of the id as text, modulo ``n``."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
-
-
 def op7_toxicity(spark, sf_dir):
     docs = shared.documents(spark, sf_dir).select("doc_id", "text")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
@@ -107,6 +115,7 @@ FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN items i ON
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
+    "op2_language": op2_language,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopseg.llm import shared
-from shopseg.llm.arrays import chunks, letters
+from shopseg.llm.arrays import chunks, letters, span_hashes
 
 #: Expected number of documents at most in either training sample.
 POSITIVES, UNLABELLED = 1_500, 4_500
@@ -38,27 +38,18 @@ def features(points: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     word = letters()[points]
     edge = np.diff(word.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    rows, found = [], []
+    lengths = ends - starts
+    rows, found = [owner[starts]], [span_hashes(points, starts, ends) >> np.uint64(32)]
     h = np.zeros(len(starts), np.uint64)
-    alive, lengths = np.arange(len(starts)), ends - starts
-    k = 0
     with np.errstate(over="ignore"):
-        while len(alive):  # one letter of every word that has one left
-            at = starts[alive] + k
-            h[alive] = (h[alive] ^ points[at]) * _MIX
-            h[alive] ^= h[alive] >> np.uint64(29)
-            k += 1
+        for k in range(1, max(BEGINNINGS) + 1):  # one letter more of every word that has one left
+            long = lengths >= k
+            starts, lengths, h = starts[long], lengths[long], h[long]
+            h = (h ^ points[starts + k - 1]) * _MIX
+            h ^= h >> np.uint64(29)
             if k in BEGINNINGS:
-                rows.append(owner[starts[alive]])
-                found.append((h[alive] + np.uint64(k)) * _MIX >> np.uint64(32))
-            done = lengths[alive] == k
-            if done.any():
-                whole = alive[done]
-                rows.append(owner[starts[whole]])
-                found.append((h[whole] ^ np.uint64(0xFFFF)) * _MIX >> np.uint64(32))
-                alive = alive[~done]
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+                rows.append(owner[starts])
+                found.append((h + np.uint64(k)) * _MIX >> np.uint64(32))
     return np.concatenate(rows), np.concatenate(found).astype(np.uint32)
 
 
