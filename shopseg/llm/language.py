@@ -25,7 +25,7 @@ DIMS = 8_192
 #: Bound of the clustering sample (expected number of documents, shared by the languages) and centroids per language.
 SAMPLE_DOCS, CENTROIDS, ROUNDS = 1_600, 4, 12
 #: Share of a low quantile of comparable learning texts' cosines under which a text is rejected; their classes by size.
-SLACK, LOW, SIZES = 0.3, 0.02, 14
+SLACK, LOW, SIZES = 0.15, 0.02, 14
 UNKNOWN = "und"
 
 _A, _B, _C = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
