@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import decontaminate, language, linededup, packing, shared, sharding, simhash, token_ids, toxicity
+from shopseg.llm import decontaminate, language, linededup, packing, pii, shared, sharding, simhash, token_ids, toxicity
 
 
 def op1_token_ids(spark, sf_dir):
@@ -57,6 +57,14 @@ def op8_decontamination(spark, sf_dir):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_pii(spark, sf_dir):
+    out = pii.find_spans(shared.documents(spark, sf_dir))
+    counts = {f"n_{k}": F.expr(f"size(filter(spans, s -> s.kind = {i}))").cast("long") for i, k in enumerate(pii.KINDS) if k != pii.TERM}
+    return out.select("doc_id", *(c.alias(k) for k, c in counts.items()),
+                      F.sha2(pii.listed("spans", f"s.kind < {pii.KINDS.index(pii.TERM)}").cast("binary"), 256).alias("base_sha256"),
+                      pii.listed("spans").alias("spans"))
+
+
 def op10_line_dedup(spark, sf_dir):
     docs = shared.documents(spark, sf_dir).select("doc_id", "text")
     out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_chars=10))
@@ -121,6 +129,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
 
