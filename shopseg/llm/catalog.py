@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import decontaminate, language, linededup, packing, pii, shared, sharding, simhash, token_ids, toxicity
+from shopseg.llm import decontaminate, language, linededup, minhash, packing, pii, shared, sharding, simhash, token_ids, toxicity
 
 
 def op1_token_ids(spark, sf_dir):
@@ -26,6 +26,11 @@ def op2_language(spark, sf_dir):
                       F.col("__score").alias("score"), F.col("__rejected").alias("rejected"))
 
 
+def op3_minhash(spark, sf_dir):
+    out = minhash.compare_with_next(shared.documents(spark, sf_dir))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(shared.documents(spark, sf_dir), capacity=2048)
 
@@ -124,6 +129,7 @@ FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN items i ON
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_language": op2_language,
+    "op3_minhash": op3_minhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
