@@ -26,6 +26,8 @@ from shopseg.llm.arrays import chunks, letters, span_hashes
 #: Expected number of documents at most in either training sample.
 POSITIVES, UNLABELLED = 1_500, 4_500
 FEATURES = 1_024
+#: G statistic (one degree of freedom) from which a feature is taken to tell the sets apart.
+TELLING = 7.0
 #: Lengths, in code points, of the beginnings of words that are features.
 BEGINNINGS = (3, 4, 5, 6, 7)
 STEPS, RATE, DECAY = 400, 0.1, 1e-3
@@ -88,12 +90,17 @@ def choose_features(pos: list[np.ndarray], unl: list[np.ndarray], n: int) -> np.
     both = np.union1d(fp, fu)
     p, u = np.zeros(len(both)), np.zeros(len(both))
     p[np.searchsorted(both, fp)], u[np.searchsorted(both, fu)] = cp, cu
-    often = p + u >= 3  # what one or two texts hold says nothing
-    p, u, both = p[often] / len(pos), u[often] / len(unl), both[often]
-    m, eps = (p + u) / 2, 1e-9
-    told = p * np.log((p + eps) / (m + eps)) + u * np.log((u + eps) / (m + eps)) \
-        + (1 - p) * np.log((1 - p + eps) / (1 - m + eps)) + (1 - u) * np.log((1 - u + eps) / (1 - m + eps))
-    return np.sort(both[np.argsort(-told, kind="stable")[:n]])
+    n_p, n_u = len(pos), len(unl)
+    m = (p + u) / (n_p + n_u)
+
+    def told(count, size):  # what the counts of one set add to the G statistic
+        x, y = count / size, 1 - count / size
+        return 2 * size * (np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / m), 0)
+                           + np.where(y > 0, y * np.log(np.maximum(y, 1e-12) / np.maximum(1 - m, 1e-12)), 0))
+
+    g = told(p, n_p) + told(u, n_u)
+    best = np.argsort(-g, kind="stable")[:n]
+    return np.sort(both[best[g[best] > TELLING]])
 
 
 def _matrix(sets: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
