@@ -14,7 +14,7 @@ have a bitmap each (told apart by a hash of the text). An empty table gives no r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopseg.llm import shared
@@ -49,10 +49,18 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["h1", "h2", "doc_id", "pos"]
     hashes = shared.written(line_hashes(docs, min_chars), "lines")  # sampled and dealt without reading texts again
-    dealt = shared.written(hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order), "sorted")
-    firsts = dealt.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
-        .where("first < last").select("h1", "h2", "first")
-    gone = dealt.join(firsts, ["h1", "h2"]).where("doc_id > first")
+    dealt = shared.written(hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                           .withColumn("part", F.spark_partition_id()), "sorted")
+    # a hash can go on from one partition to the next: the first document of the one each partition starts with
+    edges = dealt.groupBy("part").agg(F.min(F.struct("h1", "h2")).alias("lo"),
+                                      F.max(F.struct("h1", "h2", F.bitwise_not("doc_id").alias("rev"))).alias("hi"))
+    began = edges.groupBy(F.col("hi.h1").alias("h1"), F.col("hi.h2").alias("h2")) \
+        .agg(F.min(F.bitwise_not("hi.rev")).alias("earlier"))
+    carried = edges.select("part", "lo.h1", "lo.h2").join(began, ["h1", "h2"])  # a row per partition at most
+    stream = Window.partitionBy("part", "h1", "h2").orderBy("doc_id", "pos")
+    gone = dealt.withColumn("first", F.first("doc_id").over(stream)) \
+        .join(F.broadcast(carried), ["part", "h1", "h2"], "left") \
+        .where(F.col("doc_id") > F.least("first", "earlier"))
     words = gone.groupBy("doc_id", "text_hash", F.expr(f"pos div {WORD}").cast("int").alias("word")) \
         .agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {WORD})")).alias("bits"))
     return words.groupBy("doc_id", "text_hash").agg(
