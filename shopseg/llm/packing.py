@@ -153,7 +153,7 @@ def pack_items(items: DataFrame, capacity: int) -> DataFrame:
     spark = items.sparkSession
     sizes = items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `capacity` rows
     runs = pack_histogram({r.length: r.n for r in sizes}, capacity)
-    salts = 1 + sum(r.n for r in sizes) // GROUP
+    salts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(r.n for r in sizes) // GROUP)
     ties = [c for c in items.columns if c not in ("length", "doc_id", "piece")]
     salted = items.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
     numbered = salted.withColumn("__n", F.row_number().over(
