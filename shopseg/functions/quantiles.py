@@ -6,17 +6,15 @@ the same numbers, but its final merge keeps a value -> count map of *every*
 distinct value of a column in one task, which does not hold for a column with
 10^9 distinct values.
 
-``column_quantiles`` therefore works in two regimes:
-
-* small columns (``n <= small_n``, default 100,000): one ``percentile`` aggregate;
-* large columns: distributed selection by histogram refinement. Each round is
-  one grouped count over the (cached) long ``(column, value)`` table, bucketing
-  only the values inside each target's current bracket into ``bins``
-  equal-width bins and keeping the bin that holds the target rank (bin bounds
-  are taken from the data's own min/max per bin, so no rounding error enters).
-  Once a bracket holds at most ``finish`` rows, its distinct values and counts
-  are collected and the order statistic is read off exactly. The driver only
-  ever receives ``columns x targets x bins`` rows per round.
+``column_quantiles`` therefore selects by histogram refinement, at every size:
+each round is one grouped count over the long ``(column, value)`` table,
+bucketing only the values inside each target's current bracket into ``bins``
+equal-width bins and keeping the bin that holds the target rank (bin bounds are
+taken from the data's own min/max per bin, so no rounding error enters). A
+bracket of at most ``finish`` rows is finished by running counts over its
+distinct values, filtered to the asked ranks. The driver only ever receives
+``columns x targets x bins`` rows per round, and one value per target at the end.
+``method="spark"`` (the built-in aggregate) and ``"approx"`` are there to compare.
 
 Heavy duplicates are harmless: equal values always share a bin, and a bracket
 whose min equals its max is resolved at once.
@@ -28,7 +26,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopseg.functions import sqltext as sq
@@ -65,18 +63,12 @@ def quantile_stat_columns(cols: list[str]) -> list[str]:
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
-                     method: str = "auto", small_n: int = 100_000,
-                     bins: int = 1024, finish: int = 20_000,
-                     accuracy: int = 1_000_000, stats_row=None,
-                     n_hint: int | None = None) -> dict[str, list[float]]:
+                     method: str = "refine", bins: int = 1024, finish: int = 20_000,
+                     accuracy: int = 1_000_000, stats_row=None) -> dict[str, list[float]]:
     """Quantiles of each column at ``probs``; NULL and NaN are ignored.
 
-    ``n_hint`` (the row count, when the caller already knows it) lets small
-    inputs skip the statistics pass.
-
-    ``method``: ``"auto"`` (exact; built-in aggregate for small columns,
-    refinement for large ones), ``"refine"`` (always refinement), ``"spark"``
-    (always the built-in aggregate) or ``"approx"`` (``percentile_approx``).
+    ``method``: ``"refine"`` (exact), ``"spark"`` (the built-in exact aggregate)
+    or ``"approx"`` (``percentile_approx``).
     """
     cols = list(cols)
     probs = [float(p) for p in probs]
@@ -89,14 +81,11 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
         return {c: [float("nan") if v is None else float(v) for v in (row[f"q{i}"] or [None] * len(probs))]
                 for i, c in enumerate(cols)}
 
-    if method == "spark" or (method == "auto" and n_hint is not None and n_hint <= small_n):
-        return _builtin(df, cols, probs)      # row count known to be small: one job
+    if method == "spark":
+        return _builtin(df, cols, probs)
     row = stats_row if stats_row is not None else df.selectExpr(*quantile_stat_columns(cols)).collect()[0]
     stats = {i: (row[f"__qn{i}"], row[f"__qlo{i}"], row[f"__qhi{i}"]) for i in range(len(cols))
              if row[f"__qn{i}"]}
-    max_n = max([s[0] for s in stats.values()], default=0)
-    if method == "spark" or (method == "auto" and max_n <= small_n):
-        return _builtin(df, cols, probs)
     long = _long_values(df, cols)
     cached = df.is_cached                     # rounds re-scan a cheap projection of a cached input
     if not cached:
@@ -108,22 +97,14 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], *,
             long.unpersist()
 
 
-def builtin_quantile_columns(cols: list[str], probs: list[float]) -> list[str]:
-    """``percentile`` aggregate expressions (SQL text, aliases ``q<i>``) for folding into another aggregate."""
+def _builtin_columns(cols: list[str], probs: list[float]) -> list[str]:
+    """``percentile`` aggregate expressions (SQL text, aliases ``q<i>``)."""
     arr = "array(" + ", ".join(sq.d(p) for p in probs) + ")"
     return [f"percentile({sq.valid(c)}, {arr}) AS q{i}" for i, c in enumerate(cols)]
 
 
-def builtin_result(row, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
-    out = {}
-    for i, c in enumerate(cols):
-        q = row[f"q{i}"]
-        out[c] = [float("nan")] * len(probs) if q is None else [float(v) for v in q]
-    return out
-
-
 def _builtin(df: DataFrame, cols, probs) -> dict[str, list[float]]:
-    row = df.selectExpr(*builtin_quantile_columns(cols, probs)).collect()[0]
+    row = df.selectExpr(*_builtin_columns(cols, probs)).collect()[0]
     out = {}
     for i, c in enumerate(cols):
         q = row[f"q{i}"]
@@ -159,24 +140,20 @@ def _refine_keys(long: DataFrame, stats: dict, probs, bins: int, finish: int) ->
         small = [b for b in brackets if b.lo < b.hi and b.count <= finish]
         big = [b for b in brackets if b.lo < b.hi and b.count > finish]
         if small:
+            # running counts over each bracket's distinct values (at most `finish` of them); only the values
+            # at the asked ranks come back
             bt = spark.createDataFrame([(i, b.ci, b.lo, b.hi) for i, b in enumerate(small)],
                                        "bid int, bci bigint, blo double, bhi double")
-            rows = (long.join(F.broadcast(bt), (F.col("ci") == F.col("bci"))
-                              & (F.col("v") >= F.col("blo")) & (F.col("v") <= F.col("bhi")))
-                        .groupBy("bid", "v").count().collect())
-            per: dict[int, list[tuple[float, int]]] = {}
-            for r in rows:
-                per.setdefault(r["bid"], []).append((r["v"], r["count"]))
-            for i, b in enumerate(small):
-                vals = sorted(per.get(i, []))
-                for rank in b.ranks:
-                    local = rank - b.offset
-                    acc = 0
-                    for v, cnt in vals:
-                        acc += cnt
-                        if local < acc:
-                            resolved[(b.ci, rank)] = float(v)
-                            break
+            rt = spark.createDataFrame([(i, rank - b.offset, rank) for i, b in enumerate(small) for rank in sorted(b.ranks)],
+                                       "bid int, local bigint, rank bigint")
+            counts = (long.join(F.broadcast(bt), (F.col("ci") == F.col("bci"))
+                                & (F.col("v") >= F.col("blo")) & (F.col("v") <= F.col("bhi")))
+                          .groupBy("bid", "v").agg(F.count("*").alias("n")))
+            upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("bid").orderBy("v")))
+            for r in (upto.join(F.broadcast(rt), "bid")
+                          .where((F.col("local") < F.col("upto")) & (F.col("local") >= F.col("upto") - F.col("n")))
+                          .select("bid", "rank", "v").collect()):
+                resolved[(small[r["bid"]].ci, r["rank"])] = float(r["v"])
         nxt: list[_Bracket] = []
         if big:
             bt = spark.createDataFrame([(i, b.ci, b.lo, b.hi) for i, b in enumerate(big)],
@@ -226,13 +203,12 @@ def quantile_bounds(df: DataFrame, cols: list[str], q_low: float, q_high: float,
     return {c: (v[0], v[1]) for c, v in got.items()}
 
 
-def quantiles_by_key(long: DataFrame, probs: list[float], *, method: str = "auto",
-                     small_n: int = 100_000, bins: int = 1024, finish: int = 20_000) -> dict:
+def quantiles_by_key(long: DataFrame, probs: list[float], *, method: str = "refine",
+                     bins: int = 1024, finish: int = 20_000) -> dict:
     """Exact quantiles of ``v`` for every key ``ci`` of a long ``(ci bigint, v double)`` table.
 
     The number of keys must be bounded (they come back to the driver); the
-    number of values per key is not: large keys are refined, small ones use
-    one grouped ``percentile``.
+    number of values per key is not.
     """
     long = long.where("v IS NOT NULL AND NOT isnan(v)")
     stats = {r["ci"]: (r["n"], r["lo"], r["hi"]) for r in
@@ -240,7 +216,7 @@ def quantiles_by_key(long: DataFrame, probs: list[float], *, method: str = "auto
              .collect()}
     if not stats:
         return {}
-    if method == "spark" or (method == "auto" and max(n for n, _, _ in stats.values()) <= small_n):
+    if method == "spark":
         arr = F.array(*[F.lit(float(p)) for p in probs])
         return {r["ci"]: [float(x) for x in r["q"]]
                 for r in long.groupBy("ci").agg(F.percentile("v", arr).alias("q")).collect()}

@@ -23,8 +23,9 @@ def na_to_null(c: Column) -> Column:
 
 
 def strip_plus_to_int(c: Column) -> Column:
-    """``"4+"`` -> 4, junk -> NULL (tinyint)."""
-    return _try_cast(F.trim(F.replace(c.cast("string"), F.lit("+"), F.lit(""))), "tinyint")
+    """``"4+"`` -> 4, ``"2.0"`` -> 2, junk and fractions -> NULL (tinyint)."""
+    f = _try_cast(F.trim(F.replace(c.cast("string"), F.lit("+"), F.lit(""))), "double")
+    return F.when(F.isnan(f) | (f != F.floor(f)), F.lit(None)).otherwise(_try_cast(f, "tinyint"))
 
 
 def _try_cast(c: Column, to: str) -> Column:

@@ -120,7 +120,7 @@ COOC_SCHEMA = "level string, a int, b int, co long"
 def _gram_partition(tile: int, chunk_users: int):
     """mapInPandas body: rows sorted by (level, ta, tb, User_ID) -> partial BᵀB entries."""
 
-    def flush(key, acc, out):
+    def flush(key, acc):
         if acc is None:
             return
         level, ta, tb = key
@@ -131,12 +131,12 @@ def _gram_partition(tile: int, chunk_users: int):
         vals = acc[ii, jj]
         nz = vals > 0
         if nz.any():
-            out.append(pd.DataFrame({
+            yield pd.DataFrame({
                 "level": level,
                 "a": (ii[nz] + ta * tile).astype("int32"),
                 "b": (jj[nz] + tb * tile).astype("int32"),
                 "co": vals[nz].astype("int64"),
-            }))
+            })
 
     def add_chunk(pdf, acc, ta, tb):
         users, ucode = np.unique(pdf["User_ID"].to_numpy(), return_inverse=True)
@@ -158,7 +158,6 @@ def _gram_partition(tile: int, chunk_users: int):
             acc += (ba.T @ bb).astype(np.int64)
 
     def run(batches):
-        out: list[pd.DataFrame] = []
         key, acc = None, None
         carry = None
         for pdf in batches:
@@ -173,21 +172,16 @@ def _gram_partition(tile: int, chunk_users: int):
             carry, work = pdf[tail], pdf[~tail]
             for gkey, g in work.groupby(["level", "ta", "tb"], sort=False):
                 if gkey != key:
-                    flush(key, acc, out)
+                    yield from flush(key, acc)
                     key, acc = gkey, np.zeros((tile, tile), dtype=np.int64)
                 add_chunk(g, acc, int(gkey[1]), int(gkey[2]))
-            if len(out) > 16:
-                yield pd.concat(out, ignore_index=True)
-                out = []
         if carry is not None and len(carry):
             for gkey, g in carry.groupby(["level", "ta", "tb"], sort=False):
                 if gkey != key:
-                    flush(key, acc, out)
+                    yield from flush(key, acc)
                     key, acc = gkey, np.zeros((tile, tile), dtype=np.int64)
                 add_chunk(g, acc, int(gkey[1]), int(gkey[2]))
-        flush(key, acc, out)
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        yield from flush(key, acc)
 
     return run
 

@@ -22,16 +22,17 @@ def typed_deduplicated(raw: DataFrame) -> DataFrame:
     already a float, as in the reference, so rows that differ only in ways
     the reader erases count as duplicates. The dedupe is one shuffle with a
     map-side partial aggregate, so heavily repeated rows collapse before it.
+    Rows without ``User_ID`` belong to no customer and are dropped here.
     """
     typed = _typed(raw.select(*[c for c in TRANSACTION_COLUMNS if c in raw.columns]))
     typed = typed.withColumn(
         "Product_Category",
         F.col("Product_Category").try_cast("float"))
-    return typed.dropDuplicates()
+    return typed.where(F.col("User_ID").isNotNull()).dropDuplicates()
 
 
 def clean_transactions(raw: DataFrame, q_low: float = 0.01, q_high: float = 0.99,
-                       quantile_method: str = "auto", persist: bool = True,
+                       quantile_method: str = "refine", persist: bool = True,
                        deduplicated: bool = False) -> DataFrame:
     """S1 + P1-P8: the reference's read-and-clean step as one plan.
 

@@ -11,7 +11,7 @@ concentrate raw rows in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,16 +57,22 @@ def bucket_column(top: list[str]) -> F.Column:
             .otherwise(F.lit(OTHER_CATEGORY))
 
 
-HEAVY_USER_ROWS = 1_000_000   # users with more rows get their median by distributed refinement
+def user_medians(tx: DataFrame) -> DataFrame:
+    """``User_ID, median_purchase`` for all users in one plan.
 
-
-def heavy_users(tx: DataFrame, rows: int = HEAVY_USER_ROWS) -> list:
-    """Users holding more than ``rows`` lines (at most total rows / ``rows`` of them)."""
-    return [r[0] for r in tx.groupBy("User_ID").count().where(F.col("count") > rows).select("User_ID").collect()]
+    Equal purchases of a user are counted first (map-side, so a user with a third of all rows arrives as
+    distinct prices), then running counts find the middle ranks.
+    """
+    counts = tx.groupBy("User_ID", "Purchase").agg(F.count(F.lit(1)).alias("n"))
+    user = Window.partitionBy("User_ID")
+    c = counts.withColumns({"upto": F.sum("n").over(user.orderBy("Purchase")), "all": F.sum("n").over(user)})
+    middle = c.where("upto > (all - 1) div 2 AND upto - n <= all div 2")  # holds rank (all-1)/2 or all/2, from 0
+    return middle.groupBy("User_ID").agg(F.min("Purchase").alias("lo"), F.max("Purchase").alias("hi")) \
+        .select("User_ID", (F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("median_purchase"))
 
 
-def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None = None,
-                  heavy_rows: int | None = HEAVY_USER_ROWS) -> tuple[DataFrame, list[str]]:
+def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None = None
+                  ) -> tuple[DataFrame, list[str]]:
     """M1: one feature row per user; returns ``(features, buckets)``.
 
     Columns: ``User_ID, n_transactions, total_purchase, avg_purchase,
@@ -74,30 +80,18 @@ def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None =
     cat_share__<b>..., cat_rev_share__<b>..., cat_entropy, n_unique_categories,
     avg/median/std_purchase_log1p``.
 
-    Skew: every aggregate is partial except the exact median, whose final
-    merge holds a user's distinct purchase values in one task. Users above
-    ``heavy_rows`` lines are therefore split off: their rows are left out of
-    that aggregate and their medians come from the distributed exact
-    refinement keyed by user (``quantiles_by_key``).
+    Skew: every aggregate is partial; medians and distinct products have their own
+    two-step aggregates, joined on the same hash partitioning.
     """
     if buckets is None:
         top, has_other = top_categories(tx, top_cat)
         buckets = bucket_list(top, has_other)
     top = [b for b in buckets if b != OTHER_CATEGORY]
     t = tx.withColumn("_bucket", bucket_column(top))
-    heavy = heavy_users(tx, heavy_rows) if heavy_rows else []
-    median = "median(Purchase)"
-    if heavy:
-        spark = tx.sparkSession
-        hv = spark.createDataFrame([(u,) for u in heavy], "User_ID int").withColumn("_heavy", F.lit(True))
-        t = t.join(F.broadcast(hv), "User_ID", "left")       # bounded: total rows / heavy_rows users
-        median = "median(CASE WHEN _heavy IS NULL THEN Purchase END)"
-
     aggs = [
         "count(1) AS n_transactions",
         "sum(Purchase) AS total_purchase",
         "avg(Purchase) AS avg_purchase",
-        f"{median} AS median_purchase",
         "coalesce(stddev_samp(Purchase), 0.0D) AS std_purchase",
     ]
     aggs += [f"mode({sq.q(src)}, true) AS {dst}" for src, dst in MODE_SOURCES]
@@ -110,15 +104,7 @@ def user_features(tx: DataFrame, top_cat: int = 10, buckets: list[str] | None =
     # User_ID, so the join adds no shuffle.
     uniq = (tx.select("User_ID", "Product_ID").where(F.col("Product_ID").isNotNull()).distinct()
               .groupBy("User_ID").agg(F.count(F.lit(1)).alias("unique_products")))
-    g = g.join(uniq, "User_ID", "left")
-    if heavy:
-        from shopseg.functions.quantiles import quantiles_by_key
-        long = tx.join(F.broadcast(hv), "User_ID").selectExpr("CAST(User_ID AS BIGINT) AS ci",
-                                                               "CAST(Purchase AS DOUBLE) AS v")
-        med = quantiles_by_key(long, [0.5], method="refine")
-        hm = spark.createDataFrame([(int(k), float(v[0])) for k, v in med.items()], "User_ID int, _hm double")
-        g = (g.join(F.broadcast(hm), "User_ID", "left")
-              .withColumn("median_purchase", F.coalesce("_hm", "median_purchase")).drop("_hm"))
+    g = g.join(uniq, "User_ID", "left").join(user_medians(tx), "User_ID", "left")
 
     nb = len(buckets)
     nt = " + ".join(f"_n{i}" for i in range(nb))

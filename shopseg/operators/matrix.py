@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopseg.functions.quantiles import (builtin_quantile_columns, builtin_result, column_quantiles,
-                                        quantile_bounds)
+from shopseg.functions.quantiles import column_quantiles, quantile_bounds
 from shopseg.functions import sqltext as sq
-from shopseg.operators.features import INT_MODES, REV_SHARE_PREFIX, SHARE_PREFIX
+from shopseg.operators.features import INT_MODES, REV_SHARE_PREFIX, SHARE_PREFIX, numeric_feature_columns
 
 # Matrix layout of the reference (fixed values).
 NUMERIC_BASE = ["n_transactions", "unique_products", "cat_entropy", "n_unique_categories"]
@@ -29,13 +28,8 @@ CATEGORICAL = ["Age_mode", "Gender_mode", "City_Category_mode", "Stay_mode", "Ma
 MAX_LEVELS = 10_000
 
 
-def _numeric(df: DataFrame, exclude=("User_ID", "cluster")) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
-
-
 def winsorize_features(feats: DataFrame, q_low: float, q_high: float, include_mode_columns: bool = True,
-                       quantile_method: str = "auto", n_hint: int | None = None) -> DataFrame:
+                       quantile_method: str = "refine") -> DataFrame:
     """Clip every numeric column but ``User_ID`` to its quantiles.
 
     Guarded like the one-pass variant: nothing happens unless
@@ -45,8 +39,8 @@ def winsorize_features(feats: DataFrame, q_low: float, q_high: float, include_mo
     """
     if not (0 < q_low < q_high < 1):
         return feats
-    cols = [c for c in _numeric(feats) if include_mode_columns or c not in INT_MODES]
-    bounds = quantile_bounds(feats, cols, q_low, q_high, method=quantile_method, n_hint=n_hint)
+    cols = [c for c in numeric_feature_columns(feats) if include_mode_columns or c not in INT_MODES]
+    bounds = quantile_bounds(feats, cols, q_low, q_high, method=quantile_method)
     return feats.selectExpr(*[f"{sq.clip(c, *bounds[c])} AS {sq.q(c)}" if c in bounds else sq.q(c)
                               for c in feats.columns])
 
@@ -63,10 +57,9 @@ def matrix_columns(feats: DataFrame) -> tuple[list[str], list[str]]:
 ROBUST_PROBS = [0.25, 0.5, 0.75]
 
 
-def robust_scale(df: DataFrame, cols: list[str], quantile_method: str = "auto", n_hint: int | None = None,
-                 quantiles: dict | None = None) -> DataFrame:
+def robust_scale(df: DataFrame, cols: list[str], quantile_method: str = "refine") -> DataFrame:
     """M2: ``(x - median) / (q75 - q25)``, a zero IQR divides by 1."""
-    q = quantiles or column_quantiles(df, cols, ROBUST_PROBS, method=quantile_method, n_hint=n_hint)
+    q = column_quantiles(df, cols, ROBUST_PROBS, method=quantile_method)
     out = []
     for c in df.columns:
         if c in q:
@@ -80,17 +73,18 @@ def robust_scale(df: DataFrame, cols: list[str], quantile_method: str = "auto",
 
 
 def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
-    """Sorted distinct non-null values per column (the encoder's categories)."""
-    row = df.selectExpr(*[f"array_sort(collect_set({sq.q(c)})) AS {sq.q(c)}" for c in cols]).collect()[0]
-    levels = {c: list(row[c]) for c in cols}
-    _check_levels(levels)
-    return levels
+    """Sorted distinct non-null values per column (the encoder's categories).
 
-
-def _check_levels(levels: dict) -> None:
-    for c, v in levels.items():
-        if len(v) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(v)} levels; one-hot encoding is meant for low-cardinality modes")
+    Distinct values are found by a grouped count, not merged in one task; a column with more than
+    ``MAX_LEVELS`` of them is an error before the rest is fetched.
+    """
+    levels = {}
+    for c in cols:
+        found = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; one-hot encoding is meant for low-cardinality modes")
+        levels[c] = sorted(found)
+    return levels
 
 
 def one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None = None
@@ -113,24 +107,12 @@ def assemble(df: DataFrame, cols: list[str], id_col: str = "User_ID", out: str =
     return df.selectExpr(sq.q(id_col), f"array({arr}) AS {sq.q(out)}")
 
 
-def feature_matrix(feats: DataFrame, quantile_method: str = "auto", n_hint: int | None = None
-                   ) -> tuple[DataFrame, list[str]]:
-    """M2-M4: ``User_ID, x`` (robust-scaled numeric block, then one-hot block) and column names.
-
-    With a small known row count the scaling quantiles and the one-hot levels
-    come from one aggregate.
-    """
+def feature_matrix(feats: DataFrame, quantile_method: str = "refine") -> tuple[DataFrame, list[str]]:
+    """M2-M4: ``User_ID, x`` (robust-scaled numeric block, then one-hot block) and column names."""
     numeric, categorical = matrix_columns(feats)
     base = feats.select("User_ID", *numeric, *categorical)
-    q = levels = None
-    if quantile_method == "spark" or (quantile_method == "auto" and n_hint is not None and n_hint <= 100_000):
-        row = base.selectExpr(*builtin_quantile_columns(numeric, ROBUST_PROBS),
-                              *[f"array_sort(collect_set({sq.q(c)})) AS lv_{c}" for c in categorical]).collect()[0]
-        q = builtin_result(row, numeric, ROBUST_PROBS)
-        levels = {c: list(row[f"lv_{c}"]) for c in categorical}
-        _check_levels(levels)
-    scaled = robust_scale(base, numeric, quantile_method, n_hint, quantiles=q)
-    encoded, hot = one_hot(scaled, categorical, levels)
+    scaled = robust_scale(base, numeric, quantile_method)
+    encoded, hot = one_hot(scaled, categorical)
     names = numeric + hot
     return assemble(encoded, names), names
 
@@ -192,10 +174,3 @@ def pca_projection(x: DataFrame, labels: DataFrame | None = None, n: int = 3, id
         out = out.join(labels, id_col, "left")
     return out, res
 
-
-def as_vector(df: DataFrame, col: str = "pca", out: str = "features") -> DataFrame:
-    return df.withColumn(out, array_to_vector(F.col(col)))
-
-
-def as_array(df: DataFrame, col: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(col)))

@@ -15,7 +15,7 @@ def cluster_sizes(labels: DataFrame, label_col: str = "cluster") -> DataFrame:
 
 
 def profile_clusters(df: DataFrame, label_col: str = "cluster", id_col: str = "User_ID",
-                     columns: list[str] | None = None, quantile_method: str = "auto") -> DataFrame:
+                     columns: list[str] | None = None, quantile_method: str = "refine") -> DataFrame:
     """Per cluster, ``{feature}__count``, ``__mean`` and ``__median`` of every numeric feature.
 
     Counts and means are one partial aggregate; medians use the exact grouped

@@ -12,15 +12,12 @@ needed.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopseg.functions.scalar import itemset_text, pair_key
 from shopseg.operators.basket import Basket, checked_broadcast, cooccurrence
+from shopseg.session import cut_lineage
 
 RULE_COLUMNS = ["level", "antecedent", "consequent", "support", "confidence", "lift"]
 
@@ -120,22 +117,13 @@ def run_summary(levels: DataFrame, bk: Basket, rules: DataFrame) -> DataFrame:
 # Frequent itemsets and itemset rules
 # ---------------------------------------------------------------------------
 
-ITEMSET_SCHEMA = "level string, items array<string>, freq long"
-
-
 def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int = 3,
-                      method: str = "fpgrowth") -> DataFrame:
-    """FP-growth (MLlib) on the level's baskets, itemsets up to ``max_len``.
-
-    Support is counted over basket users (rows of the basket matrix). MLlib
-    derives its count floor with ``ceil``; the floor is lowered by a hair and
-    the exact ``freq / U >= min_support`` test applied afterwards, so float
-    rounding in ``min_support * U`` cannot drop an itemset.
-
-    MLlib's FP-growth has no length limit: it mines every frequent itemset and
-    the ``max_len`` filter comes after. At low support on long baskets, use
-    ``method="apriori"`` (R4), which never builds candidates longer than
-    ``max_len`` and returns the same itemsets.
+                      method: str = "apriori") -> DataFrame:
+    """Itemsets of a level up to ``max_len`` with ``freq / U >= min_support``.
+
+    Support is counted over basket users (rows of the basket matrix). ``"apriori"`` never builds a set
+    longer than ``max_len``. ``"fpgrowth"`` (MLlib) is the cross-check: it mines every length first, with a
+    count floor lowered by a hair so that float rounding in ``min_support * U`` cannot drop a set.
     """
     if method == "apriori":
         return frequent_itemsets_apriori(bk, level, min_support, max_len)
@@ -154,101 +142,77 @@ def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int =
                     F.col("freq").cast("long").alias("freq")))
 
 
-def _triple_counts(triples_bc, chunk_users: int):
-    """mapInPandas body: per-task user counts of candidate triples (idx a<b<c, a broadcast array)."""
-
-    def run(batches):
-        triples = triples_bc.value
-        acc = np.zeros(len(triples), dtype=np.int64)
-        carry = None
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            last_user = pdf["User_ID"].iloc[-1]
-            tail = pdf["User_ID"] == last_user
-            carry, work = pdf[tail], pdf[~tail]
-            _add(work, acc)
-        if carry is not None and len(carry):
-            _add(carry, acc)
-        nz = np.nonzero(acc)[0]
-        if len(nz):
-            yield pd.DataFrame({"t": nz.astype("int32"), "co": acc[nz]})
-
-    def _add(pdf, acc):
-        if not len(pdf):
-            return
-        triples = triples_bc.value
-        n = int(triples.max()) + 1
-        users, codes = np.unique(pdf["User_ID"].to_numpy(), return_inverse=True)
-        idx = pdf["idx"].to_numpy()
-        for s in range(0, len(users), chunk_users):
-            sel = (codes >= s) & (codes < s + chunk_users)
-            m = np.zeros((min(chunk_users, len(users) - s), n), dtype=np.bool_)
-            ok = idx[sel] < n
-            m[codes[sel][ok] - s, idx[sel][ok]] = True
-            for c0 in range(0, len(triples), 4096):
-                t = triples[c0:c0 + 4096]
-                hit = m[:, t[:, 0]] & m[:, t[:, 1]] & m[:, t[:, 2]]
-                acc[c0:c0 + len(t)] += hit.sum(axis=0)
-
-    return run
+def frequent_itemsets_apriori(bk: Basket, level: str, min_support: float, max_len: int = 3) -> DataFrame:
+    """``frequent_itemsets_by_level`` for one level."""
+    spark = bk.basket.sparkSession
+    return frequent_itemsets_by_level(bk, spark.createDataFrame([(level, float(min_support), int(max_len))],
+                                                               "level string, min_support double, max_len int"))
 
 
-def frequent_itemsets_apriori(bk: Basket, level: str, min_support: float, max_len: int = 3) -> DataFrame:
-    """Level-wise (Apriori) itemsets up to length 3, same answer as R3.
+def frequent_itemsets_by_level(bk: Basket, params: DataFrame) -> DataFrame:
+    """R4 for every level of ``params`` (``level, min_support, max_len``): ``level, items, freq``, level-wise.
 
-    Length 1 from the kept-item counts, length 2 from the co-occurrence Gram
-    matrix, length 3 by counting only candidates whose three sub-pairs are
-    frequent (per-task partial counts, summed).
+    Length 1 comes from the kept-item counts, length 2 from the co-occurrence counts. Longer sets are
+    candidates from joining two frequent sets that differ in their last item, kept if all their
+    subsets are frequent, and counted by joining them with the users who hold their prefix: each length's
+    holders (set, user) extend to the next one's, so a user's whole basket is never enumerated.
     """
-    spark = bk.basket.sparkSession
-    U = bk.basket_users.where(F.col("level") == level).collect()
-    if not U:
-        return spark.createDataFrame([], ITEMSET_SCHEMA)
-    U = U[0]["U"]
-    kept = bk.kept.where(F.col("level") == level).select("idx", "item", "user_count")
-    f1 = kept.where(F.col("user_count") / F.lit(float(U)) >= F.lit(min_support))
-    out = f1.select(F.lit(level).alias("level"), F.array("item").alias("items"),
-                    F.col("user_count").cast("long").alias("freq"))
-    if max_len < 2:
-        return out
-    level_basket = bk.basket.where(F.col("level") == level)
-    co = cooccurrence(level_basket, {level: bk.kept_sizes.get(level, 0)})
-    f1_idx = f1.select("idx")
-    f2 = (co.join(f1_idx.withColumnRenamed("idx", "a"), "a").join(f1_idx.withColumnRenamed("idx", "b"), "b")
-            .where(F.col("co") / F.lit(float(U)) >= F.lit(min_support)).select("a", "b", "co"))
-    names = kept.select("idx", "item")
-    na = names.select(F.col("idx").alias("a"), F.col("item").alias("ia"))
-    nb = names.select(F.col("idx").alias("b"), F.col("item").alias("ib"))
-    out = out.unionByName(
-        f2.join(F.broadcast(na), "a").join(F.broadcast(nb), "b")
-          .select(F.lit(level).alias("level"), F.array_sort(F.array("ia", "ib")).alias("items"),
-                  F.col("co").cast("long").alias("freq")))
-    if max_len < 3:
-        return out
-    pairs = {(r["a"], r["b"]) for r in f2.select("a", "b").collect()}  # frequent pairs: bounded by kept²
-    by_first: dict[int, list[int]] = {}
-    for a, b in sorted(pairs):
-        by_first.setdefault(a, []).append(b)
-    cands = [(a, b, c) for a, bs in by_first.items() for i, b in enumerate(bs) for c in bs[i + 1:]
-             if (b, c) in pairs]
-    if not cands:
-        return out
-    triples = spark.sparkContext.broadcast(np.array(cands, dtype=np.int64))  # bounded by kept items³/6
-    ordered = level_basket.select("User_ID", "idx").repartition("User_ID").sortWithinPartitions("User_ID")
-    counts = (ordered.mapInPandas(_triple_counts(triples, 4096), "t int, co long")
-              .groupBy("t").agg(F.sum("co").alias("co"))
-              .where(F.col("co") / F.lit(float(U)) >= F.lit(min_support)))
-    tdf = spark.createDataFrame([(i, int(a), int(b), int(c)) for i, (a, b, c) in enumerate(cands)],
-                                "t int, a int, b int, c int")
-    nc = names.select(F.col("idx").alias("c"), F.col("item").alias("ic"))
-    trip = (counts.join(tdf, "t").join(F.broadcast(na), "a").join(F.broadcast(nb), "b")
-            .join(F.broadcast(nc), "c")
-            .select(F.lit(level).alias("level"), F.array_sort(F.array("ia", "ib", "ic")).alias("items"),
-                    F.col("co").cast("long").alias("freq")))
-    return out.unionByName(trip)
+    floor = params.select("level", "min_support", "max_len").join(bk.basket_users, "level") \
+        .withColumn("U", F.col("U").cast("double"))
+    floor = cut_lineage(floor)
+    longest = floor.agg(F.max("max_len")).first()[0] or 0
+
+    def frequent(counted: DataFrame, length: int) -> DataFrame:
+        return counted.join(F.broadcast(floor.where(F.col("max_len") >= length)), "level") \
+            .where(F.col("freq") / F.col("U") >= F.col("min_support")).select("level", "items", "freq")
+
+    found = [cut_lineage(frequent(bk.kept.select("level", F.array("item").alias("items"),
+                                                F.col("user_count").cast("long").alias("freq")), 1))]
+    if longest >= 2:
+        names = checked_broadcast(bk.kept.select("level", "idx", "item"), sum(bk.kept_sizes.values()))
+        wanted = floor.where("max_len >= 2").select("level")
+        co = cooccurrence(bk.basket.join(F.broadcast(wanted), "level", "left_semi"), bk.kept_sizes)
+        pairs = co.join(names.select("level", F.col("idx").alias("a"), F.col("item").alias("ia")), ["level", "a"]) \
+            .join(names.select("level", F.col("idx").alias("b"), F.col("item").alias("ib")), ["level", "b"])
+        found.append(cut_lineage(frequent(pairs.select("level", F.array_sort(F.array("ia", "ib")).alias("items"),
+                                                       F.col("co").cast("long").alias("freq")), 2)))
+    member = bk.basket.select("level", "User_ID", "item")
+    holders = None
+    for length in range(3, longest + 1):
+        last = found[-1]
+        candidates = _candidates(last, length)
+        if candidates.isEmpty():
+            break
+        if holders is None:  # who holds the frequent pairs that begin a candidate
+            begin = candidates.select("level", F.slice("items", 1, length - 1).alias("prefix")).distinct()
+            first = begin.select("level", "prefix", F.col("prefix")[0].alias("item"))
+            holders = first.join(member, ["level", "item"]).select("level", "prefix", "User_ID", F.col("prefix")[1].alias("item")) \
+                .join(member, ["level", "User_ID", "item"]).select("level", "User_ID", F.col("prefix").alias("items"))
+        grown = holders.withColumnRenamed("items", "prefix").join(
+            candidates.withColumn("prefix", F.slice("items", 1, length - 1)), ["level", "prefix"]) \
+            .withColumn("item", F.element_at("items", -1)).join(member, ["level", "User_ID", "item"]) \
+            .select("level", "User_ID", "items")
+        counted = frequent(grown.groupBy("level", "items").agg(F.count(F.lit(1)).alias("freq")), length)
+        found.append(cut_lineage(counted))
+        if length < longest:
+            holders = cut_lineage(grown.join(found[-1].select("level", "items"), ["level", "items"], "left_semi"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.select("level", "items", F.col("freq").cast("long").alias("freq"))
+
+
+def _candidates(sets: DataFrame, length: int) -> DataFrame:
+    """``level, items``: sets of ``length`` all of whose subsets of one item less are among ``sets``."""
+    head = sets.select("level", F.slice("items", 1, length - 2).alias("head"), F.element_at("items", -1).alias("x"))
+    joined = head.join(head.withColumnRenamed("x", "y"), ["level", "head"]).where("x < y") \
+        .select("level", F.concat("head", F.array("x", "y")).alias("items"))
+    subsets = joined.select("level", F.col("items").alias("whole"), F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(length - 1)),
+        lambda k: F.filter("items", lambda _, i: i != k))).alias("items"))
+    return cut_lineage(subsets.join(sets.select("level", "items"), ["level", "items"], "left_semi")
+                       .groupBy("level", F.col("whole").alias("items")).agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") == length).select("level", "items"))
 
 
 def itemset_rules(itemsets: DataFrame, basket_users: DataFrame, params: DataFrame) -> DataFrame:
@@ -281,7 +245,3 @@ def itemset_rules(itemsets: DataFrame, basket_users: DataFrame, params: DataFram
         F.when(F.col("confidence") >= 1.0, F.lit(float("inf")))
          .otherwise((1 - F.col("consequent_support")) / (1 - F.col("confidence"))).alias("conviction"))
 
-
-def min_count(min_support: float, n: int) -> int:
-    """Python twin of the threshold rule (double arithmetic, like the reference)."""
-    return max(1, math.ceil(min_support * n))

@@ -8,6 +8,8 @@ implementation by value hash.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,7 +142,7 @@ def q_frequent_itemsets(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_frequent_itemsets_apriori(spark: SparkSession, sf: str) -> DataFrame:
     bk, _ = _category_basket(spark, sf)
-    return _itemsets_out(frequent_itemsets_apriori(bk, "category", ITEMSET_SUPPORT, 3))
+    return _itemsets_out(frequent_itemsets_apriori(bk, "category", ITEMSET_SUPPORT, 4))
 
 
 def q_itemset_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,6 +153,14 @@ def q_itemset_rules(spark: SparkSession, sf: str) -> DataFrame:
                             "support", "confidence", "lift"))
 
 
+def q_itemset_rules_by_level(spark: SparkSession, sf: str) -> DataFrame:
+    """R9 in itemset mode: sets of two for all customers, of three per region, each with its own support."""
+    r = _mine(spark, sf, [replace(T_CATEGORY, mode="ITEMSETS", max_len=2), replace(T_SEGMENT, mode="ITEMSETS", max_len=3)],
+              region_assignments(spark, sf)).itemset_rules
+    return rounded(r.select("level", "antecedent", "consequent", "antecedent_support", "consequent_support",
+                            "support", "confidence", "lift"))
+
+
 # ---------------------------------------------------------------------------
 # Features
 # ---------------------------------------------------------------------------
@@ -474,6 +484,7 @@ QUERIES = {
     "frequent_itemsets": q_frequent_itemsets,
     "frequent_itemsets_apriori": q_frequent_itemsets_apriori,
     "itemset_rules": q_itemset_rules,
+    "itemset_rules_by_level": q_itemset_rules_by_level,
     "top_categories": q_top_categories,
     "user_basics": q_user_basics,
     "user_modes": q_user_modes,

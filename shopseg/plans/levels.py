@@ -30,7 +30,7 @@ class LevelSpec:
     top_n: int | None = None
     min_users_abs: int | None = None
     segment: bool = False
-    mode: str = "PAIR"          # "PAIR" (1 -> 1 rules) or "ITEMSETS" (FP-growth itemsets -> rules)
+    mode: str = "PAIR"          # "PAIR" (1 -> 1 rules) or "ITEMSETS" (frequent itemsets -> rules)
     max_len: int = 3
 
 
@@ -42,7 +42,7 @@ SEGMENT_CATEGORY = LevelSpec("category", "Product_Category_str", 0.05, 0.35, 1.2
 SAVE_TOP_N = 200
 
 PARAM_SCHEMA = ("level string, min_support double, min_conf double, min_lift double, "
-                "top_n int, min_users_abs int, use_base_users boolean, mode string")
+                "top_n int, min_users_abs int, use_base_users boolean, mode string, max_len int")
 
 
 def segment_level(cluster_col: str, name: str) -> F.Column:
@@ -65,15 +65,18 @@ def level_inputs(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
             joined = tx.join(a, user_col, "inner")               # J2
             lv = segment_level("cluster", s.name)
             rows.append(level_rows(joined, lv, s.item_col, user_col))
-            params.append(a.select(lv.alias("level")).distinct().select(
+            # the levels there are: of segments with transactions
+            params.append(joined.select(lv.alias("level")).distinct().select(
                 "level", F.lit(s.min_support).alias("min_support"), F.lit(s.min_conf).alias("min_conf"),
                 F.lit(s.min_lift).alias("min_lift"), F.lit(s.top_n).cast("int").alias("top_n"),
                 F.lit(s.min_users_abs).cast("int").alias("min_users_abs"),
-                F.lit(True).alias("use_base_users"), F.lit(s.mode).alias("mode")))
+                F.lit(True).alias("use_base_users"), F.lit(s.mode).alias("mode"),
+                F.lit(s.max_len).alias("max_len")))
         else:
             rows.append(level_rows(tx, s.name, s.item_col, user_col))
             params.append(spark.createDataFrame(
-                [(s.name, s.min_support, s.min_conf, s.min_lift, s.top_n, s.min_users_abs, False, s.mode)],
+                [(s.name, s.min_support, s.min_conf, s.min_lift, s.top_n, s.min_users_abs, False, s.mode,
+                  s.max_len)],
                 PARAM_SCHEMA))
     all_rows = rows[0]
     for r in rows[1:]:
@@ -98,9 +101,9 @@ def mine_levels(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
                 user_col: str = "User_ID") -> Mined:
     """Mining of every level family, plus the run summary (K3).
 
-    Pair-mode levels share one plan. Itemset-mode levels (few: their names are
-    read from the small params table) run FP-growth per level and their rules
-    are unioned; the summary counts the rules of the mode each level ran in.
+    Pair-mode levels share one plan, and so do itemset-mode levels (each with
+    its own ``min_support`` and ``max_len``); the summary counts the rules of
+    the mode each level ran in.
     """
     rows, params = level_inputs(tx, specs, assignments, user_col)
     params = params.cache()
@@ -111,18 +114,10 @@ def mine_levels(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
     counted = rules.select("level")
     item_rules = None
     if any(s.mode == "ITEMSETS" for s in specs):
-        from shopseg.operators.rules import frequent_itemsets, itemset_rules
-        max_len = {s.name: s.max_len for s in specs}
-        levels = [(r["level"], r["min_support"]) for r in
-                  params.where(F.col("mode") == "ITEMSETS").select("level", "min_support").collect()]
-        sets = None
-        for level, support in levels:
-            name = level.split("_", 2)[-1] if level.startswith("cluster_") else level
-            fi = frequent_itemsets(bk, level, support, max_len.get(name, 3))
-            sets = fi if sets is None else sets.unionByName(fi)
-        if sets is not None:
-            item_rules = itemset_rules(sets, bk.basket_users, params)
-            counted = counted.unionByName(item_rules.select("level"))
+        from shopseg.operators.rules import frequent_itemsets_by_level, itemset_rules
+        sets = frequent_itemsets_by_level(bk, params.where(F.col("mode") == "ITEMSETS"))
+        item_rules = itemset_rules(sets, bk.basket_users, params)
+        counted = counted.unionByName(item_rules.select("level"))
     summary = run_summary(params, bk, counted)
     return Mined(bk, params, rules, directed, summary, item_rules)
 

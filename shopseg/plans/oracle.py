@@ -21,14 +21,16 @@ def tx_raw(variant: str = "clean") -> str:
     stay = "CASE WHEN l.l_linenumber >= 4 THEN '4+' ELSE CAST(l.l_linenumber AS VARCHAR) END"
     category = "CASE WHEN p.p_size = 50 THEN NULL ELSE split_part(p.p_brand, '#', 2) END"
     purchase = "l.l_extendedprice"
-    age = "o.o_orderpriority"
+    age, user = "o.o_orderpriority", "o.o_custkey"
     if variant == "dirty":
         purchase = f"CASE WHEN l.l_quantity = 50 THEN NULL ELSE {purchase} END"
         stay = f"CASE WHEN l.l_discount = CAST(0.1 AS DOUBLE) THEN NULL ELSE {stay} END"
         age = f"CASE WHEN l.l_linenumber = 7 THEN NULL ELSE {age} END"
         product = f"CASE WHEN l.l_partkey % 97 = 0 THEN NULL ELSE {product} END"
         category = f"CASE WHEN p.p_size = 49 THEN 'abc' ELSE {category} END"
-    body = f"""SELECT CAST(o.o_custkey AS INTEGER) AS User_ID,
+        stay = f"CASE WHEN l.l_linenumber = 2 AND l.l_quantity < 10 THEN '2.0' ELSE {stay} END"
+        user = "CASE WHEN o.o_orderkey % 101 = 0 THEN NULL ELSE o.o_custkey END"
+    body = f"""SELECT CAST({user} AS INTEGER) AS User_ID,
       {product} AS Product_ID,
       l.l_linestatus AS Gender,
       {age} AS Age,
@@ -55,13 +57,13 @@ def clean_ctes(variant: str = "clean", q_low: float = 0.01, q_high: float = 0.99
     purchase = "LEAST(GREATEST(Purchase0, q.lo), q.hi)" if winsor else "Purchase0"
     return f"""raw AS ({tx_raw(variant)}),
 dd AS (SELECT DISTINCT User_ID, Product_ID, Gender, Age, Occupation, City_Category, Stay, Marital_Status,
-         TRY_CAST(Product_Category AS FLOAT) AS pc, Purchase FROM raw),
+         TRY_CAST(Product_Category AS FLOAT) AS pc, Purchase FROM raw WHERE User_ID IS NOT NULL),
 b AS (SELECT User_ID, Product_ID, COALESCE(Gender, 'Unknown') AS Gender, COALESCE(Age, 'Unknown') AS Age,
         Occupation, COALESCE(City_Category, 'Unknown') AS City_Category,
-        TRY_CAST(trim(replace(Stay, '+', '')) AS TINYINT) AS Stay, Marital_Status,
+        CASE WHEN stay0 = floor(stay0) THEN TRY_CAST(stay0 AS TINYINT) END AS Stay, Marital_Status,
         CASE WHEN pc IS NULL OR isnan(pc) OR pc <> floor(pc) THEN NULL ELSE CAST(pc AS SMALLINT) END AS Product_Category,
         CASE WHEN Purchase IS NULL OR isnan(Purchase) THEN CAST(0 AS DOUBLE) ELSE CAST(Purchase AS DOUBLE) END AS Purchase0
-      FROM dd),
+      FROM (SELECT *, TRY_CAST(trim(replace(Stay, '+', '')) AS DOUBLE) AS stay0 FROM dd)),
 m AS (SELECT COALESCE({mode('Occupation')}, 0) AS mode_occ, COALESCE({mode('Marital_Status')}, 0) AS mode_mar,
         COALESCE({mode("Stay")}, 0) AS mode_stay),
 q AS ({q}),
@@ -171,8 +173,8 @@ def basket_ctes(specs: list[dict], lines: str | None = None) -> str:
          f"CAST({s['frac']} AS DOUBLE) AS frac, {s.get('abs') or 0} AS abs_floor, "
          f"{s.get('top_n') or 'NULL'} AS top_n, {str(bool(s.get('segment'))).upper()} AS use_base, "
          f"CAST({s['conf']} AS DOUBLE) AS min_conf, CAST({s['lift']} AS DOUBLE) AS min_lift"
-         + (f" FROM (SELECT DISTINCT 'cluster_' || CAST(cluster AS VARCHAR) || '_{s['level']}' AS level FROM asg)"
-            if s.get("segment") else ""))
+         + (f" FROM (SELECT DISTINCT 'cluster_' || CAST(a.cluster AS VARCHAR) || '_{s['level']}' AS level "
+            f"FROM asg a JOIN bl ON bl.User_ID = a.User_ID)" if s.get("segment") else ""))
         for s in specs)
     need_asg = any(s.get("segment") for s in specs)
     return f"""{lines or BASKET_LINES},{(' ' + REGION + ',') if need_asg else ''}
@@ -256,30 +258,35 @@ SELECT lv.level, CAST(COALESCE(nu.n_users, 0) AS BIGINT) AS n_users, CAST(COALES
 FROM lv LEFT JOIN nu USING (level) LEFT JOIN ni USING (level) LEFT JOIN nr USING (level)"""
 
 
-def sql_itemsets(spec, min_support: float) -> str:
-    return f"""WITH {basket_ctes([spec])},
-s1 AS (SELECT level, item AS i1, count(*) AS freq FROM bk GROUP BY 1, 2),
-s2 AS (SELECT a.level, a.item AS i1, b.item AS i2, count(*) AS freq FROM bk a JOIN bk b
-         ON a.level = b.level AND a.User_ID = b.User_ID AND a.item < b.item GROUP BY 1, 2, 3),
-s3 AS (SELECT a.level, a.item AS i1, b.item AS i2, c.item AS i3, count(*) AS freq FROM bk a
-         JOIN bk b ON a.level = b.level AND a.User_ID = b.User_ID AND a.item < b.item
-         JOIN bk c ON a.level = c.level AND a.User_ID = c.User_ID AND b.item < c.item GROUP BY 1, 2, 3, 4),
-sets AS (
-  SELECT level, [i1] AS items, freq FROM s1
-  UNION ALL SELECT level, [i1, i2], freq FROM s2
-  UNION ALL SELECT level, [i1, i2, i3], freq FROM s3),
-fi AS (SELECT s.level, s.items, s.freq, s.freq / CAST(bu.U AS DOUBLE) AS supp FROM sets s JOIN bu USING (level)
-       WHERE s.freq / CAST(bu.U AS DOUBLE) >= CAST({min_support} AS DOUBLE))"""
-
-
-def sql_itemsets_out(spec, min_support: float) -> str:
-    return (sql_itemsets(spec, min_support) +
+def sql_itemsets(specs: list[dict], max_len: dict | int = 3) -> str:
+    """``fi``: itemsets up to ``max_len`` (a number, or one per level kind) with the level's own support."""
+    longest = max_len if isinstance(max_len, int) else max(max_len.values())
+    allowed = str(max_len) if isinstance(max_len, int) else \
+        f"CASE WHEN level LIKE 'cluster%' THEN {max_len['segment']} ELSE {max_len['whole']} END"
+    parts, unions = [], []
+    for n in range(1, longest + 1):
+        names = "abcdefgh"[:n]
+        joins = "".join(f" JOIN bk {y} ON {y}.level = {x}.level AND {y}.User_ID = {x}.User_ID AND {x}.item < {y}.item"
+                        for x, y in zip(names, names[1:]))
+        items = ", ".join(f"{x}.item" for x in names)
+        parts.append(f"s{n} AS (SELECT a.level, [{items}] AS items, count(*) AS freq FROM bk a{joins} GROUP BY 1, 2)")
+        unions.append(f"SELECT * FROM s{n}")
+    return f"""WITH {basket_ctes(specs)},
+{", ".join(parts)},
+sets AS ({" UNION ALL ".join(unions)}),
+fi AS (SELECT s.level, s.items, s.freq, s.freq / CAST(bu.U AS DOUBLE) AS supp
+       FROM sets s JOIN bu USING (level) JOIN (SELECT DISTINCT level, frac, min_conf, min_lift FROM par) p USING (level)
+       WHERE s.freq / CAST(bu.U AS DOUBLE) >= p.frac AND len(s.items) <= {allowed})"""
+
+
+def sql_itemsets_out(spec, max_len: int = 3) -> str:
+    return (sql_itemsets([spec], max_len) +
             "\nSELECT level, array_to_string(items, ', ') AS itemset, CAST(len(items) AS INTEGER) AS n_items, "
             "CAST(freq AS BIGINT) AS freq FROM fi")
 
 
-def sql_itemset_rules(spec, min_support: float) -> str:
-    return sql_itemsets(spec, min_support) + f""",
+def sql_itemset_rules(specs, max_len: dict | int = 3) -> str:
+    return sql_itemsets(specs, max_len) + """,
 splits AS (
   SELECT level, items, supp, [items[1]] AS ante, [items[2]] AS cons FROM fi WHERE len(items) = 2
   UNION ALL SELECT level, items, supp, [items[2]], [items[1]] FROM fi WHERE len(items) = 2
@@ -296,7 +303,8 @@ r AS (SELECT s.level, s.ante, s.cons, a.supp AS antecedent_support, c.supp AS co
 SELECT level, array_to_string(ante, ', ') AS antecedent, array_to_string(cons, ', ') AS consequent,
        ROUND(antecedent_support, 6) AS antecedent_support, ROUND(consequent_support, 6) AS consequent_support,
        ROUND(support, 6) AS support, ROUND(confidence, 6) AS confidence, ROUND(lift, 6) AS lift
-FROM r WHERE confidence >= CAST({spec['conf']} AS DOUBLE) AND lift >= CAST({spec['lift']} AS DOUBLE)"""
+FROM r JOIN (SELECT DISTINCT level, min_conf, min_lift FROM par) p USING (level)
+WHERE confidence >= min_conf AND lift >= min_lift"""
 
 
 
@@ -432,9 +440,10 @@ def oracles() -> dict[str, str]:
         "pair_rules_deduped": sql_rules([S_CATEGORY_LOOSE]),
         "top_rules": sql_top_rules([S_CATEGORY_LOOSE]),
         "run_summary": sql_run_summary([S_CATEGORY, S_PRODUCT, S_SEGMENT]),
-        "frequent_itemsets": sql_itemsets_out(S_CATEGORY, 0.04),
-        "frequent_itemsets_apriori": sql_itemsets_out(S_CATEGORY, 0.04),
-        "itemset_rules": sql_itemset_rules(S_CATEGORY, 0.04),
+        "frequent_itemsets": sql_itemsets_out(S_CATEGORY),
+        "frequent_itemsets_apriori": sql_itemsets_out(S_CATEGORY, 4),
+        "itemset_rules": sql_itemset_rules([S_CATEGORY]),
+        "itemset_rules_by_level": sql_itemset_rules([S_CATEGORY, S_SEGMENT], {"whole": 2, "segment": 3}),
         "top_categories": f"WITH {clean_ctes()},\nfreq AS (SELECT Product_Category_str AS label, count(*) AS n FROM tx GROUP BY 1)\n"
                           "SELECT label, CAST(n AS BIGINT) AS n FROM freq ORDER BY n DESC, label LIMIT 10",
         "user_basics": feats("SELECT User_ID, n_transactions, ROUND(total_purchase, 2) AS total_purchase, "

@@ -52,14 +52,13 @@ class Prepared:
 
 
 def prepare(tx: DataFrame, user_q: tuple[float, float], pca_target: float | None,
-            top_cat: int = 10, quantile_method: str = "auto") -> Prepared:
+            top_cat: int = 10, quantile_method: str = "refine") -> Prepared:
     """Features -> user winsorizing -> scale / encode -> optional PCA."""
     feats, buckets = user_features(tx, top_cat)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    n_users = feats.count()
-    wins = winsorize_features(feats, *user_q, quantile_method=quantile_method, n_hint=n_users)
+    wins = winsorize_features(feats, *user_q, quantile_method=quantile_method)
     wins = wins.persist(StorageLevel.MEMORY_AND_DISK)
-    x, names = feature_matrix(wins, quantile_method, n_hint=n_users)
+    x, names = feature_matrix(wins, quantile_method)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     if pca_target:
         points, res = pca_by_variance(x, pca_target, d=len(names))

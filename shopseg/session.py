@@ -40,8 +40,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to shared storage and we only read it.
-    Only when it is unset (local tests) is a fresh scratch folder used.
+    On a cluster the deployment sets it to shared storage and we only read it; executors there
+    cannot see a folder of the driver's machine, so an unset value is an error. Only a local
+    master (tests, bench) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="shopseg-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -7,8 +7,6 @@ tables (``lineitem ⋈ orders ⋈ customer ⋈ part``).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +73,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None,
 
 
 def read_raw_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, nothing dropped or deduplicated."""
+    """Every column as text, nothing dropped or deduplicated (the batch input of ``write_split``)."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
@@ -86,11 +84,19 @@ def read_assignments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(F.col("User_ID").cast("int"), F.col("cluster").cast("int"))
 
 
-def optional_assignments(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The per-segment mining level runs only when assignments exist."""
-    if not path or not os.path.exists(path):
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any store that Spark reads exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def optional_assignments(spark: SparkSession, source: str | DataFrame | None) -> DataFrame | None:
+    """The per-segment mining level runs only when assignments exist (a path, or a table already at hand)."""
+    if isinstance(source, DataFrame):
+        return source.select(F.col("User_ID").cast("int"), F.col("cluster").cast("int"))
+    if not source or not path_exists(spark, source):
         return None
-    return read_assignments(spark, path)
+    return read_assignments(spark, source)
 
 
 # ---------------------------------------------------------------------------
@@ -136,12 +142,16 @@ def transactions_from_tables(spark: SparkSession, sf_dir: str, variant: str = "c
         age = F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(age)
         product = F.when(F.col("l_partkey") % 97 == 0, F.lit(None)).otherwise(product)
         category = F.when(F.col("p_size") == 49, F.lit("abc")).otherwise(category)
+        stay = F.when((F.col("l_linenumber") == 2) & (F.col("l_quantity") < 10), F.lit("2.0")).otherwise(stay)
     if variant == "planted":
         planted = F.col("o_custkey") % 50 == 0
         category = F.when(planted, F.lit("26")).otherwise(category)
         purchase = F.when(planted, F.lit(5.0) * F.col("l_extendedprice") / F.lit(100.0)).otherwise(purchase)
+    user = F.col("o_custkey")
+    if variant == "dirty":
+        user = F.when(F.col("o_orderkey") % 101 == 0, F.lit(None)).otherwise(user)
     out = j.select(
-        F.col("o_custkey").cast("int").alias("User_ID"),
+        user.cast("int").alias("User_ID"),
         product.alias("Product_ID"),
         F.col("l_linestatus").alias("Gender"),
         age.alias("Age"),

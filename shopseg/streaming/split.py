@@ -3,8 +3,8 @@
 The reference routes the raw transaction file into a core file and a niche
 file by reading it in 200,000-row chunks and appending each chunk's rows to
 the right file, header once. The streaming form reads the transaction folder
-as a file stream (every file once, exactly-once bookkeeping in the shared
-checkpoint folder), joins each micro-batch with the static ``User_ID ->
+as a file stream (every file once, exactly-once bookkeeping next to the
+output), joins each micro-batch with the static ``User_ID ->
 segment`` table and appends to ``segment=core`` / ``segment=niche``
 partitions. ``availableNow`` processes what is there and stops, which is the
 reference's one-shot behaviour; new files dropped later are picked up by the
@@ -13,15 +13,11 @@ next run without reprocessing old ones.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopseg.operators.basket import BROADCAST_ROWS
-from shopseg.session import checkpoint_dir
 from shopseg.sources.transactions import TRANSACTION_COLUMNS
 
 TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in TRANSACTION_COLUMNS])
@@ -34,6 +30,8 @@ def split_stream(spark: SparkSession, source_dir: str, segments: DataFrame, out_
 
     ``segments``: ``User_ID int, segment string``. Rows of users without a
     segment are dropped, as in the reference. Returns the query's last progress.
+    Progress is kept in ``checkpoint``, by default a hidden folder of ``out_dir``: the file sink's own
+    log counts batches, so a run with a fresh checkpoint would take new files for written ones.
     """
     reader = spark.readStream.schema(TEXT_SCHEMA).option("header", True)
     if max_files_per_trigger:
@@ -43,7 +41,7 @@ def split_stream(spark: SparkSession, source_dir: str, segments: DataFrame, out_
     n = seg.count()
     seg = F.broadcast(seg) if n <= BROADCAST_ROWS else seg
     routed = (stream.join(seg, F.col("User_ID").cast("int") == F.col("_uid"), "inner").drop("_uid"))
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"split-stream-{uuid.uuid4().hex}")
+    ckpt = checkpoint or f"{out_dir.rstrip('/')}/_split_checkpoint"
     writer = (routed.writeStream.format(fmt).outputMode("append").option("path", out_dir)
               .option("checkpointLocation", ckpt).partitionBy("segment").trigger(availableNow=True))
     if fmt == "csv":

@@ -140,9 +140,9 @@ def test_keyed_and_grouped_quantiles_match_pandas(spark):
         assert gq[(k, "w")][0] == pytest.approx(pdf[pdf.g == k]["w"].median())
 
 
-def test_auto_quantiles_above_builtin_threshold(spark):
+def test_default_quantiles_of_many_rows(spark):
     from pyspark import StorageLevel
-    n = 150_000                                   # above small_n: the default path refines
+    n = 150_000
     df = spark.range(n).selectExpr("CAST((id * 7919) % 100003 AS DOUBLE) / 7.0D AS v",
                                    "CAST(id % 17 AS DOUBLE) AS w")
     ids = np.arange(n)
@@ -153,3 +153,39 @@ def test_auto_quantiles_above_builtin_threshold(spark):
         got = column_quantiles(frame, ["v", "w"], probs)
         assert got["v"] == pytest.approx(list(np.quantile(v, probs)), abs=1e-9)
         assert got["w"] == pytest.approx(list(np.quantile(w, probs)), abs=1e-9)
+
+
+def test_stay_text_and_null_users(spark):
+    from shopseg.functions.scalar import strip_plus_to_int
+    from shopseg.operators.features import user_features
+    from pyspark.sql import functions as F
+    cells = [("2.0", 2), ("4+", 4), (" 3 ", 3), ("2.5", None), ("x", None), (None, None), ("400", None), ("NaN", None)]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cells)], "i int, s string")
+    got = {r.i: r.v for r in df.select("i", strip_plus_to_int(F.col("s")).alias("v")).collect()}
+    assert got == {i: c[1] for i, c in enumerate(cells)}
+    from tests.conftest import SF001
+    from shopseg.sources.transactions import transactions_from_tables
+    raw = transactions_from_tables(spark, SF001, "dirty")
+    assert raw.where("User_ID IS NULL").count() > 0
+    tx = clean_transactions(raw)
+    assert tx.where("User_ID IS NULL").count() == 0
+    assert user_features(tx)[0].where("User_ID IS NULL").count() == 0
+
+
+def test_optional_assignments_paths(spark, tmp_path):
+    from shopseg.sources.transactions import optional_assignments
+    path = f"file://{tmp_path}/labels"
+    assert optional_assignments(spark, None) is None and optional_assignments(spark, path) is None
+    df = spark.createDataFrame([(1, 2)], "User_ID int, cluster int")
+    df.write.parquet(path)
+    assert [tuple(r) for r in optional_assignments(spark, path).collect()] == [(1, 2)]
+    assert [tuple(r) for r in optional_assignments(spark, df).collect()] == [(1, 2)]
+
+
+def test_checkpoint_folder_must_be_shared_off_local(monkeypatch):
+    import pytest as pt
+    from types import SimpleNamespace as N
+    from shopseg.session import checkpoint_dir
+    sc = N(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pt.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(N(sparkContext=sc, conf=N(get=lambda *a: None)))

@@ -68,17 +68,15 @@ def test_other_bucket_and_invariants(spark):
     assert f.count() == 150
 
 
-def test_heavy_user_median_split(spark):
+def test_medians_of_heavy_and_light_users(spark):
     import numpy as np
     rng = np.random.default_rng(2)
     vals = np.round(rng.exponential(50, size=400), 2)
     rows = [_r(1, f"P{i}", i % 3, float(v)) for i, v in enumerate(vals)]
     rows += [_r(2, "P1", 1, 5.0), _r(2, "P2", 2, 7.0), _r(3, "P1", 1, 3.0)]
     tx = _tx(spark, rows)
-    split, _ = user_features(tx, heavy_rows=10)          # user 1 is heavy
-    plain, _ = user_features(tx, heavy_rows=None)
-    a = {r.User_ID: r.median_purchase for r in split.collect()}
-    b = {r.User_ID: r.median_purchase for r in plain.collect()}
-    assert a == b
+    a = {r.User_ID: r.median_purchase for r in user_features(tx)[0].collect()}
+    b = {r.User_ID: r.m for r in tx.groupBy("User_ID").agg(F.median("Purchase").alias("m")).collect()}
+    assert a == pytest.approx(b)
     assert a[1] == pytest.approx(float(np.median(vals)))
     assert a[2] == 6.0 and a[3] == 3.0

@@ -129,3 +129,41 @@ def test_itemset_mode_level(spark):
     assert s["category"].n_rules == m.itemset_rules.count() > 0
     assert m.rules.where(F.col("level") == "category").count() == 0
     assert s["product"].n_rules == m.rules.count()
+
+
+def test_itemsets_of_any_length_per_level(spark):
+    """Lengths 1 to 5 at once for two levels with their own bounds, against counting every subset."""
+    from itertools import combinations
+    import random
+    from shopseg.operators.basket import build_basket
+    from shopseg.operators.rules import frequent_itemsets_by_level
+    rng = random.Random(4)
+    baskets = [sorted(rng.sample("abcdefg", rng.randint(1, 7))) for _ in range(60)]
+    rows = [(lv, u, i) for lv in ("one", "two") for u, b in enumerate(baskets) for i in b]
+    tx = spark.createDataFrame(rows, "level string, User_ID int, item string")
+    params = spark.createDataFrame(
+        [("one", 0.2, 0.1, 0.0, None, None, False, "ITEMSETS", 5), ("two", 0.3, 0.1, 0.0, None, None, False, "ITEMSETS", 2)],
+        "level string, min_support double, min_conf double, min_lift double, top_n int, min_users_abs int, "
+        "use_base_users boolean, mode string, max_len int")
+    bk = build_basket(tx, params)
+    got = {(r["level"], tuple(r["items"])): r.freq for r in frequent_itemsets_by_level(bk, params).collect()}
+    want = {}
+    for lv, support, longest in (("one", 0.2, 5), ("two", 0.3, 2)):
+        for n in range(1, longest + 1):
+            for c in combinations("abcdefg", n):
+                f = sum(set(c) <= set(b) for b in baskets)
+                if f / len(baskets) >= support:
+                    want[(lv, c)] = f
+    assert got == want and max(len(c) for _, c in want) >= 4
+    fp = {tuple(r["items"]): r.freq for r in frequent_itemsets(bk, "one", 0.2, 5, method="fpgrowth").collect()}
+    assert fp == {c: f for (lv, c), f in want.items() if lv == "one"}
+
+
+def test_max_len_is_the_levels_own(spark):
+    from dataclasses import replace
+    from shopseg.plans.levels import CATEGORY, SEGMENT_CATEGORY, level_inputs
+    tx = spark.createDataFrame([(1, "a"), (2, "b")], "User_ID int, Product_Category_str string")
+    asg = spark.createDataFrame([(1, 0), (9, 7)], "User_ID int, cluster int")
+    specs = [replace(CATEGORY, mode="ITEMSETS", max_len=2), replace(SEGMENT_CATEGORY, mode="ITEMSETS", max_len=3)]
+    got = {r["level"]: r.max_len for r in level_inputs(tx, specs, asg)[1].collect()}
+    assert got == {"category": 2, "cluster_0_category": 3}          # segment 7 has no transactions: no level

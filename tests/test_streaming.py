@@ -42,3 +42,13 @@ def test_stream_split_reruns_are_incremental(spark):
     second.coalesce(1).write.mode("append").option("header", True).csv(src + "/part1")
     split_stream(spark, src + "/part1", seg, out, checkpoint=ckpt)          # only the new file
     assert spark.read.option("header", True).csv(out).count() == raw.count()
+
+
+def test_new_files_arrive_with_the_default_checkpoint(spark):
+    src, out = tempfile.mkdtemp(prefix="shopseg-src3-"), tempfile.mkdtemp(prefix="shopseg-out3-")
+    seg = spark.createDataFrame([(i, "core") for i in range(3)], "User_ID int, segment string")
+    for i in range(3):
+        row = spark.createDataFrame([(str(i), *["1"] * 9)], ", ".join(f"{c} string" for c in TRANSACTION_COLUMNS))
+        row.coalesce(1).write.mode("append").option("header", True).csv(src)
+        split_stream(spark, src, seg, out)
+        assert spark.read.option("header", True).csv(out).count() == i + 1
