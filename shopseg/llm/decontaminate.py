@@ -3,9 +3,10 @@
 A window is a run of ``width`` consecutive words of a benchmark item (the whole item if it is shorter).
 Corpus counts of the benchmark's words, over all documents, name the two rarest positions of each window.
 One pass over the documents then stores the postings (term, document, position) of those terms as a table;
-postings of a rarest term carry the words around them. The two lists of each window, moved by their offsets to
-the window's start, are intersected by equality of document and start; the words around the posting then
-confirm the whole phrase. Starts that agree only within ``slack`` words are proximity matches.
+postings of a rarest term carry the words around them. The rarest term's list, moved by its offset to the
+window's start, is intersected with the second term's by document and adjusted position. The words around a
+posting rule out most candidates before that join and decide the rest: the whole phrase is an exact match; the second term
+within ``slack`` words of its place, with most of the window's words (``LIKE`` of them) around, is a proximity match.
 
 Words: A-Z lowered, runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``. Null or empty text has no words. A benchmark row
 without words has no window; one with null ``item_id`` marks words as hit but is not counted or listed as an
@@ -25,6 +26,8 @@ BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 END = "\x00"
 #: A benchmark-side table is broadcast up to so many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
+#: Share of a window's different words that a proximity match has.
+LIKE = 0.8
 
 
 def words_of(text: str = "text"):
@@ -37,12 +40,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``__id`` and ``__h``, which tell documents apart even where ``doc_id`` is null or repeated."""
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-                             "__h": F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))})
-
-
 def windows(benchmark: DataFrame, width: int) -> DataFrame:
     """``item_id, words``: each item's windows."""
     items = benchmark.select("item_id", words_of().alias("all")).where(F.size("all") > 0)
@@ -73,7 +70,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack
     members = pairs.select("window", "item_id").where(F.col("item_id").isNotNull()).distinct()
     phrases = pairs.select("window", "words").distinct()
 
-    tokens = keyed(shared.texts(docs)).select("doc_id", "__id", "__h", words_of().alias("words"))
+    tokens = shared.keyed(shared.texts(docs)).select("doc_id", "__id", "__h", words_of().alias("words"))
     terms = _small(phrases.select(F.explode("words").alias("term")).distinct())
     counts = shared.written(tokens.select(F.explode("words").alias("term")).join(terms, "term")
                             .groupBy("term").agg(F.count(F.lit(1)).alias("n")), "counts")
@@ -84,7 +81,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack
     wanted = first.unionByName(plan.select(F.col("t2").alias("term"), F.lit(False).alias("around"))) \
         .groupBy("term").agg(F.max("around").alias("around"))
     end = docs.sparkSession.createDataFrame([(END, False)], "term string, around boolean")
-    reach = width - 1
+    reach = width - 1 + slack
     postings = tokens.select("doc_id", "__id", "__h", "words",
                              F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("pos", "term")) \
         .join(_small(wanted.unionByName(end)), "term") \
@@ -92,22 +89,25 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack
             f"slice(words, greatest(pos - {reach}, 0) + 1, {2 * reach + 1})")).alias("near"))
     index = shared.written(postings, "postings")
 
+    # candidates: the rarest term's list moved to the window's start; the words around rule most of them out
     lists = index.where(F.col("term") != END)
-    one = lists.join(_small(plan.withColumnRenamed("t1", "term").select("term", "o1", "window", "words")), "term") \
+    first = f"greatest(pos - {reach}, 0)"  # where `near` begins
+
+    def around(a, z):  # words a to z (exclusive) of the document, as far as `near` has them
+        return f"slice(near, greatest({a} - {first}, 0) + 1, greatest({z} - greatest({a}, {first}), 0))"
+
+    found = lists.join(_small(plan.withColumnRenamed("t1", "term")), "term") \
         .withColumn("start", F.col("pos") - F.col("o1")).where("start >= 0") \
-        .withColumn("phrase", F.expr(f"slice(near, start - greatest(pos - {reach}, 0) + 1, size(words)) = words"))
-    two = lists.join(_small(plan.withColumnRenamed("t2", "term").select("term", "o2", "window")), "term") \
-        .select("__id", "__h", "window", (F.col("pos") - F.col("o2")).alias("start2")).where("start2 >= 0")
-    # starts within `slack` lie in the same or in neighbouring stretches of that length
-    stretch = slack + 1
-    one = one.select("__id", "__h", "window", "start", F.size("words").alias("length"), "phrase",
-                     F.expr(f"start div {stretch}").alias("stretch")).distinct()
-    two = two.select("__id", "__h", "window", "start2", F.explode(F.expr(
-        f"array_distinct(array(start2 div {stretch}, (start2 + {slack}) div {stretch}, "
-        f"(start2 - least({slack}, start2)) div {stretch}))")).alias("stretch")).distinct()
-    met = one.join(two, ["__id", "__h", "window", "stretch"]).where(F.abs(F.col("start") - F.col("start2")) <= slack)
-    met = met.groupBy("__id", "__h", "window", "start", "length").agg(
-        F.max(F.col("phrase") & (F.col("start") == F.col("start2"))).alias("exact"))
+        .where(F.expr(f"array_contains({around(f'start + o2 - {slack}', f'start + o2 + {slack + 1}')}, t2)")) \
+        .withColumn("phrase", F.expr(f"{around('start', 'start + size(words)')} = words")) \
+        .where(F.expr(f"phrase OR size(array_intersect(words, {around(f'start - {slack}', f'start + size(words) + {slack}')})) "
+                      f">= {LIKE} * size(array_distinct(words))")) \
+        .select("__id", "__h", "window", "start", F.size("words").alias("length"), "phrase", "t2", "o2").distinct()
+    # intersection with the second term's list, at its own offset or up to `slack` words off
+    probes = found.withColumn("off", F.explode(F.sequence(F.lit(-slack), F.lit(slack)))) \
+        .select("*", F.col("t2").alias("term"), F.expr("start + o2 + off").alias("pos"))
+    met = probes.join(lists.select("term", "__id", "__h", "pos"), ["term", "__id", "__h", "pos"]) \
+        .groupBy("__id", "__h", "window", "start", "length").agg(F.max(F.col("phrase") & (F.col("off") == 0)).alias("exact"))
     matches = met.select("__id", "__h", "window", F.col("start").cast("long"), F.col("length").cast("long"),
                          F.when(F.col("exact"), "exact").otherwise("proximity").alias("kind"))
     lengths = index.where(F.col("term") == END).select("__id", "__h", "doc_id", F.col("pos").cast("long").alias("n_words"))
@@ -141,4 +141,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the documents that hold any window."""
     matches, _, _ = phrase_matches(docs, benchmark, width, slack=0)
     bad = matches.where("kind = 'exact'").select("__id", "__h").distinct()
-    return keyed(docs).join(_small(shared.written(bad, "contaminated")), ["__id", "__h"], "left_anti").select(*docs.columns)
+    return shared.keyed(docs).join(_small(shared.written(bad, "contaminated")), ["__id", "__h"], "left_anti").select(*docs.columns)
