@@ -78,13 +78,14 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every row."""
+    """``doc_id, __id, __h, fp`` (the fingerprint as a signed long) of every row."""
     def rows(batches):
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b["text"]), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["__id"], b["__h"], pa.array(fps.view(np.int64))],
+                                             ["doc_id", "__id", "__h", "fp"])
 
-    return shared.texts(docs).mapInArrow(rows, "doc_id long, fp long")
+    return shared.keyed(shared.texts(docs)).mapInArrow(rows, "doc_id long, __id long, __h long, fp long")
 
 
 def segments(distance: int, bits: int = 64) -> list[tuple[int, int]]:
@@ -150,16 +151,27 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest ``doc_id`` that can be reached over links, per row."""
     fps = shared.written(fingerprints(docs, shingle), "fingerprints")
-    return _with_classes(fps, distance)
+    return _with_classes(fps, distance).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest ``doc_id``, and of rows that repeat that id one
+    of the least hash of the text. A group of rows without ``doc_id`` keeps one, too."""
+    classes = _with_classes(shared.written(fingerprints(docs, shingle), "fingerprints"), distance)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "__h", "__id"))
+    kept = classes.groupBy("class_fp").agg(order.alias("first")).select("first.__id", "first.__h")
+    return shared.keyed(docs).join(kept, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"]).select(*docs.columns)
 
 
 def _with_classes(fps: DataFrame, distance: int) -> DataFrame:
+    """``fps`` plus ``class_fp`` (smallest fingerprint of the class) and ``component_id`` (smallest ``doc_id``, null if none)."""
     least = shared.written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = shared.written(components(links(least.select("fp"), distance)), "roots")
     smallest = roots.join(least.withColumnRenamed("fp", "node"), "node").groupBy("root").agg(F.min("least").alias("smallest"))
-    linked = roots.join(smallest, "root").select(F.col("node").alias("fp"), "smallest")
-    ids = least.join(linked, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
-    return fps.join(ids, "fp").select(*fps.columns, "component_id")
+    linked = roots.join(smallest, "root").select(F.col("node").alias("fp"), "root", "smallest")
+    ids = least.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class_fp"),
+                                                  F.coalesce("smallest", "least").alias("component_id"))
+    return fps.join(ids, "fp").select(*fps.columns, "class_fp", "component_id")
 
 
 def hex16(fp):
