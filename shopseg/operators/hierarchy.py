@@ -1,24 +1,20 @@
 """Agglomerative (hierarchical) clustering on Spark: M8, M10 cuts, M17.
 
-Exact agglomeration with average / complete / Ward linkage needs every
-pairwise distance, i.e. O(n²) work and memory; the reference does it in one
-process. Here it is split in two stages, in the spirit of two-phase
-(micro-cluster + global) hierarchical clustering:
-
-1. **Leaves.** If the number of points is at most ``max_leaves`` every point
-   is its own leaf and the result is exact. Otherwise MLlib k-means
-   (distributed) summarizes the points into ``max_leaves`` micro-clusters;
-   each leaf carries its size, its mean and its smallest point id.
-2. **Merge tree.** The leaves (a table whose size is bounded by
-   ``max_leaves`` whatever the data size) are agglomerated in one task with
-   the nearest-neighbour-chain algorithm and Lance-Williams updates
-   (size-weighted, so a leaf of 100 points counts 100 times), the merges are
-   sorted by height and numbered like a SciPy linkage matrix, and the tree is
-   cut at every requested k in the same task.
-
-Point labels are then a join of points -> leaf -> cluster (the leaf table is
-broadcast; its size is bounded by ``max_leaves``). Labels are canonical:
-clusters are numbered by size descending, then smallest member id.
+Exact agglomeration of n points needs all O(n^2) distances. Here the same two steps run at every size, with an
+explicit bound that always applies:
+
+1. **Leaves.** MLlib k-means (distributed) summarizes the points into at most ``leaves`` weighted leaves; each
+   carries its size, its mean and its smallest point id. Points never meet in pairs.
+2. **Merge tree.** The distances between leaves are a table of at most ``leaves * (leaves - 1) / 2`` rows. Each round
+   finds every cluster's nearest neighbour, merges all pairs that are each other's nearest, and aggregates the
+   distance rows of merged clusters (average, complete) or recomputes them from the merged means (Ward). For these
+   linkages merging mutual nearest neighbours gives the same tree as merging the closest pair each time. Only the
+   merges, fewer than ``leaves`` rows in all, reach the driver, which numbers them like a linkage matrix
+   and cuts the tree.
+
+The result is the exact tree of the leaves; how well it stands for the points' own tree depends on ``leaves`` (see
+README for measured agreement). Labels are canonical: clusters are numbered by size descending, then
+smallest member id.
 """
 
 from __future__ import annotations
@@ -26,8 +22,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -36,114 +30,88 @@ from pyspark.sql import functions as F
 from shopseg.session import cut_lineage
 
 LINKAGES = ("average", "complete", "ward")
-METRICS = ("manhattan", "euclidean")
-MAX_LEAVES = 2000
+# Names under which each metric is known (fixed values).
+METRICS = {"manhattan": "manhattan", "l1": "manhattan", "cityblock": "manhattan",
+           "euclidean": "euclidean", "l2": "euclidean"}
+LEAVES = 256
 
 
-def check_linkage(linkage: str, metric: str) -> None:
+def check_linkage(linkage: str, metric: str) -> str:
+    """The metric's own name; unknown or impossible combinations are errors."""
     if linkage not in LINKAGES:
-        raise ValueError(f"unknown linkage {linkage!r}")
-    if metric in ("l1", "cityblock"):
-        metric = "manhattan"
-    if metric in ("l2",):
-        metric = "euclidean"
+        raise ValueError(f"linkage must be one of {LINKAGES}, not {linkage!r}")
     if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}")
-    if linkage == "ward" and metric != "euclidean":
-        raise ValueError("Ward linkage requires the Euclidean metric.")
+        raise ValueError(f"metric must be one of {tuple(METRICS)}, not {metric!r}")
+    if linkage == "ward" and METRICS[metric] != "euclidean":
+        raise ValueError(f"ward merges by squared Euclidean distance to means; {metric!r} has no means")
+    return METRICS[metric]
 
 
 # ---------------------------------------------------------------------------
-# In-task kernels (bounded input: at most max_leaves rows)
+# Merge tree of the leaves
 # ---------------------------------------------------------------------------
 
-def _distances(x: np.ndarray, metric: str) -> np.ndarray:
-    m = len(x)
-    d = np.empty((m, m), dtype=np.float64)
-    step = max(1, int(4e6 // max(1, m * x.shape[1])))
-    for s in range(0, m, step):
-        diff = x[s:s + step, None, :] - x[None, :, :]
-        if metric == "manhattan":
-            d[s:s + step] = np.abs(diff).sum(axis=2)
-        else:
-            d[s:s + step] = np.sqrt((diff * diff).sum(axis=2))
-    return d
-
-
-def nn_chain(x: np.ndarray, w: np.ndarray, linkage: str, metric: str) -> np.ndarray:
-    """Merges ``(a, b, height, size)`` of the leaves in SciPy linkage form.
-
-    ``x``: leaf coordinates, ``w``: leaf sizes. With unit sizes this is exact
-    agglomerative clustering; with larger sizes the leaves start as weighted
-    points (Ward: exact Ward distance between the leaf groups' means).
-    """
-    m = len(x)
-    if m < 2:
-        return np.zeros((0, 4))
-    d = _distances(x, "euclidean" if linkage == "ward" else metric)
-    size = w.astype(np.float64).copy()
+def _distance(metric: str) -> str:
+    """SQL: distance of the arrays ``x`` and ``y``."""
+    if metric == "manhattan":
+        return "aggregate(zip_with(x, y, (a, b) -> abs(a - b)), 0D, (s, v) -> s + v)"
+    return "sqrt(aggregate(zip_with(x, y, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v))"
+
+
+def _pairs(clusters: DataFrame, linkage: str, metric: str) -> DataFrame:
+    """``a, b, d, w`` for clusters a < b (columns leaf, size, x); ``w``: product of their sizes. The table of clusters is
+    bounded by the leaf count."""
+    left = clusters.select(F.col("leaf").alias("a"), F.col("size").alias("na"), "x")
+    right = clusters.select(F.col("leaf").alias("b"), F.col("size").alias("nb"), F.col("x").alias("y"))
+    d = _distance("euclidean" if linkage == "ward" else metric)
     if linkage == "ward":
-        d = d * np.sqrt(2.0 * np.outer(size, size) / np.add.outer(size, size))
-    np.fill_diagonal(d, np.inf)
-    active = np.ones(m, dtype=bool)
-    merges = []
-    chain: list[int] = []
-    for _ in range(m - 1):
-        if not chain:
-            chain.append(int(np.argmax(active)))
-        while True:
-            a = chain[-1]
-            row = np.where(active, d[a], np.inf)
-            row[a] = np.inf
-            b = int(np.argmin(row))
-            best = row[b]
-            if len(chain) > 1 and row[chain[-2]] <= best:
-                b = chain[-2]
-                best = row[b]
-                break
-            chain.append(b)
-        chain.pop()
-        chain.pop()
-        a, b = (a, b) if a < b else (b, a)
-        na, nb = size[a], size[b]
-        # Lance-Williams update into slot b; slot a retires
-        if linkage == "average":
-            new = (na * d[a] + nb * d[b]) / (na + nb)
-        elif linkage == "complete":
-            new = np.maximum(d[a], d[b])
+        d = f"sqrt(2D * na * nb / (na + nb)) * {d}"
+    return left.join(F.broadcast(right), F.col("a") < F.col("b")).selectExpr("a", "b", f"{d} AS d", "CAST(na AS DOUBLE) * nb AS w")
+
+
+def merge_leaves(leaves: DataFrame, linkage: str, metric: str) -> list[tuple[int, int, float]]:
+    """Merges ``(kept leaf, absorbed leaf, height)`` of the leaves (leaf, size, x), children before parents."""
+    spark = leaves.sparkSession
+    state = cut_lineage(leaves.select("leaf", F.col("size").cast("double").alias("size"), "x")) if linkage == "ward" else None
+    pairs = cut_lineage(_pairs(state if linkage == "ward" else leaves, linkage, metric))
+    merges: list[tuple[int, int, float]] = []
+    while True:
+        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "d").unionByName(
+            pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "d"))
+        # the same order of pairs from either end, so that the closest pair of all is always mutual
+        nearest = both.groupBy("u").agg(F.min(F.struct("d", F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))).alias("p"))
+        mutual = nearest.groupBy("p.lo", "p.hi").agg(F.first("p.d").alias("d"), F.count(F.lit(1)).alias("n")).where("n = 2")
+        now = sorted((r.d, r.lo, r.hi) for r in mutual.collect())  # at most half the clusters
+        if not now:
+            return merges
+        merges += [(lo, hi, d) for d, lo, hi in now]
+        moved = spark.createDataFrame([(hi, lo) for _, lo, hi in now], "gone long, kept long")
+
+        def renamed(df: DataFrame, col: str) -> DataFrame:
+            return df.join(F.broadcast(moved.withColumnRenamed("gone", col)), col, "left") \
+                .withColumn(col, F.coalesce("kept", col)).drop("kept")
+
+        if linkage == "ward":
+            d = len(state.first()["x"])
+            merged = renamed(state, "leaf").groupBy("leaf").agg(F.sum("size").alias("size"), F.array(
+                *[F.sum(F.col("size") * F.col("x")[i]) / F.sum("size") for i in range(d)]).alias("x"))
+            state = cut_lineage(merged)
+            pairs = cut_lineage(_pairs(state, linkage, metric))
         else:
-            nk = size
-            new = np.sqrt(np.maximum(((nk + na) * d[a] ** 2 + (nk + nb) * d[b] ** 2 - nk * best ** 2)
-                                     / (nk + na + nb), 0.0))
-        merges.append((a, b, best, na + nb))
-        active[a] = False
-        size[b] = na + nb
-        d[b, :] = new
-        d[:, b] = new
-        d[b, b] = np.inf
-        d[a, :] = np.inf
-        d[:, a] = np.inf
-    z = np.array(merges, dtype=np.float64)
-    # sort by height (stable) and relabel the way a linkage matrix numbers clusters
-    order = np.argsort(z[:, 2], kind="mergesort")
-    z = z[order]
-    parent = list(range(m))
-    cid = list(range(m))
+            height = F.sum(F.col("d") * F.col("w")) / F.sum("w") if linkage == "average" else F.max("d")
+            pairs = cut_lineage(renamed(renamed(pairs, "a"), "b").where("a <> b").groupBy(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(height.alias("d"), F.sum("w").alias("w")))
 
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
-    out = np.zeros((m - 1, 4))
-    for s, (a, b, h, n) in enumerate(z):
-        ra, rb = find(int(a)), find(int(b))
-        ia, ib = sorted((cid[ra], cid[rb]))
-        out[s] = (ia, ib, h, n)
-        parent[ra] = rb
-        cid[rb] = m + s
-    return out
+def linkage_matrix(merges: list[tuple[int, int, float]], sizes: dict[int, int]) -> np.ndarray:
+    """Rows ``(a, b, height, size)`` by height, clusters numbered as in a linkage matrix (leaf i: i-th smallest id)."""
+    place = {leaf: i for i, leaf in enumerate(sorted(sizes))}
+    number, size, out = dict(place), dict(sizes), []
+    for step, (kept, gone, height) in enumerate(sorted(merges, key=lambda m: m[2])):  # stable: children stay first
+        size[kept] += size[gone]
+        out.append((*sorted((number[kept], number[gone])), height, size[kept]))
+        number[kept] = len(place) + step
+    return np.array(out, dtype=np.float64).reshape(-1, 4)
 
 
 def cut(z: np.ndarray, m: int, k: int) -> np.ndarray:
@@ -177,38 +145,12 @@ def canonical(lab: np.ndarray, sizes: np.ndarray, min_ids: np.ndarray) -> np.nda
     return remap[lab]
 
 
-TREE_SCHEMA = ("kind string, step int, left long, right long, height double, size long, "
-               "k int, leaf long, label int")
-
-
-def _tree_task(linkage: str, metric: str, ks: list[int]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("leaf").reset_index(drop=True)
-        x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-        w = pdf["size"].to_numpy().astype(np.float64)
-        m = len(pdf)
-        z = nn_chain(x, w, linkage, metric)
-        parts = [pd.DataFrame({"kind": "merge", "step": np.arange(len(z), dtype=np.int32),
-                               "left": z[:, 0].astype(np.int64), "right": z[:, 1].astype(np.int64),
-                               "height": z[:, 2], "size": z[:, 3].astype(np.int64)})]
-        for k in ks:
-            if k > m or k < 1:
-                raise ValueError(f"cannot cut {m} leaves into k={k} clusters")
-            lab = canonical(cut(z, m, k), w, pdf["min_id"].to_numpy())
-            parts.append(pd.DataFrame({"kind": "label", "k": np.int32(k), "leaf": pdf["leaf"].astype(np.int64),
-                                       "label": lab.astype(np.int32)}))
-        return pd.concat(parts, ignore_index=True)
-
-    return run
-
-
 @dataclass
 class Tree:
     leaves: DataFrame       # id, leaf
     merges: DataFrame       # step, left, right, height, size  (leaf i = i-th smallest leaf id)
     leaf_labels: DataFrame  # k, leaf, label
     n_leaves: int
-    exact: bool
 
     def labels(self, k: int, id_col: str = "User_ID") -> DataFrame:
         """``id, cluster`` at cut ``k``."""
@@ -225,42 +167,38 @@ class Tree:
         return self.merges.orderBy(F.desc("step")).limit(max(p - 1, 0))
 
 
-def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", max_leaves: int = MAX_LEAVES,
-                 mode: str = "auto", seed: int = 42) -> tuple[DataFrame, DataFrame, int, bool]:
-    """Stage 1: ``(point -> leaf, leaf table(leaf, size, min_id, x), n_leaves, exact)``."""
+def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", leaves: int = LEAVES,
+                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Stage 1: ``(id -> leaf, leaf table (leaf, size, min_id, x))``."""
     row = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(col)).alias("d")).collect()[0]
-    n, dims = row["n"], row["d"]
-    if mode not in ("auto", "exact", "micro"):
-        raise ValueError(f"unknown mode {mode!r}")
-    if mode == "exact" and n > max_leaves:
-        raise ValueError(f"{n} points exceed max_leaves={max_leaves}; exact agglomeration needs all "
-                         f"pairwise distances -- use mode='micro' or raise max_leaves")
-    if n <= max_leaves and mode != "micro":
-        leaf_of = points.select(F.col(id_col), F.col(id_col).cast("long").alias("leaf"))
-        leaves = points.select(F.col(id_col).cast("long").alias("leaf"), F.lit(1).cast("long").alias("size"),
-                               F.col(id_col).cast("long").alias("min_id"), F.col(col).alias("x"))
-        return leaf_of, leaves, n, True
-    k = min(max_leaves, n)
-    vec = points.select(F.col(id_col), array_to_vector(F.col(col)).alias("_v"))
-    km = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=10, initSteps=1).fit(vec)
-    assigned = km.transform(vec).select(F.col(id_col), F.col("_leaf").cast("long").alias("leaf"))
-    assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    with_x = assigned.join(points.select(id_col, col), id_col)
-    leaves = with_x.groupBy("leaf").agg(
+    vec = points.select(F.col(id_col), F.col(col), array_to_vector(F.col(col)).alias("_v"))
+    km = KMeans(k=max(2, min(leaves, row["n"])), seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=10, initSteps=1).fit(vec)
+    assigned = cut_lineage(km.transform(vec).select(id_col, col, F.col("_leaf").cast("long").alias("leaf")))
+    table = cut_lineage(assigned.groupBy("leaf").agg(
         F.count(F.lit(1)).cast("long").alias("size"), F.min(F.col(id_col)).cast("long").alias("min_id"),
-        F.array(*[F.avg(F.col(col)[j]) for j in range(dims)]).alias("x"))
-    n_leaves = leaves.count()
-    return assigned, leaves, n_leaves, False
+        F.array(*[F.avg(F.col(col)[j]) for j in range(row["d"])]).alias("x")))
+    return assigned.select(id_col, "leaf"), table
+
+
+def tree_of_leaves(leaf_of: DataFrame, leaves: DataFrame, linkage: str, metric: str, ks: list[int]) -> Tree:
+    """Merge tree and cuts of a given leaf table (leaf, size, min_id, x)."""
+    metric = check_linkage(linkage, metric)
+    spark = leaves.sparkSession
+    table = sorted((r.leaf, r["size"], r.min_id) for r in leaves.select("leaf", "size", "min_id").collect())
+    z = linkage_matrix(merge_leaves(leaves, linkage, metric), {leaf: n for leaf, n, _ in table})
+    merges = spark.createDataFrame([(i, int(a), int(b), float(h), int(n)) for i, (a, b, h, n) in enumerate(z)],
+                                   "step int, left long, right long, height double, size long")
+    labels = []
+    for k in ks:
+        if not 1 <= k <= len(table):
+            raise ValueError(f"cannot cut {len(table)} leaves into k={k} clusters")
+        lab = canonical(cut(z, len(table), k), np.array([n for _, n, _ in table], float), np.array([m for *_, m in table]))
+        labels += [(k, leaf, int(c)) for (leaf, _, _), c in zip(table, lab)]
+    return Tree(leaf_of, merges, spark.createDataFrame(labels, "k int, leaf long, label int"), len(table))
 
 
 def agglomerate(points: DataFrame, linkage: str, metric: str, ks: list[int], id_col: str = "User_ID",
-                col: str = "pca", max_leaves: int = MAX_LEAVES, mode: str = "auto", seed: int = 42) -> Tree:
+                col: str = "pca", leaves: int = LEAVES, seed: int = 42) -> Tree:
     """M8 (+ M10 cuts): merge tree of ``points`` and labels at each k in ``ks``."""
     check_linkage(linkage, metric)
-    metric = {"l1": "manhattan", "cityblock": "manhattan", "l2": "euclidean"}.get(metric, metric)
-    leaf_of, leaves, n_leaves, exact = build_leaves(points, id_col, col, max_leaves, mode, seed)
-    tree = leaves.groupBy(F.lit(0).alias("_g")).applyInPandas(_tree_task(linkage, metric, ks), TREE_SCHEMA)
-    tree = cut_lineage(tree)
-    merges = tree.where(F.col("kind") == "merge").select("step", "left", "right", "height", "size")
-    labels = tree.where(F.col("kind") == "label").select("k", "leaf", "label")
-    return Tree(leaf_of, merges, labels, n_leaves, exact)
+    return tree_of_leaves(*build_leaves(points, id_col, col, leaves, seed), linkage, metric, ks)

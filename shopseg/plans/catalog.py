@@ -329,6 +329,36 @@ def q_merge_tail(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(agglomerate(_detect_points(spark, sf).points, "complete", "manhattan", [4]).tail(50))
 
 
+def _given_leaves(spark, sf):
+    """A leaf table without k-means: each nation's mean vector of the scaled block."""
+    nations = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").cast("int").alias("User_ID"),
+                                                                 F.col("c_nationkey").cast("long").alias("leaf"))
+    points = _scaled_points(spark, sf)
+    d = len(points.first()["pca"])
+    return points.join(nations, "User_ID").groupBy("leaf").agg(
+        F.count(F.lit(1)).cast("long").alias("size"), F.min("leaf").alias("min_id"),
+        F.array(*[F.avg(F.col("pca")[i]) for i in range(d)]).alias("x"))
+
+
+def _given_trees(spark, sf):
+    from shopseg.operators.hierarchy import tree_of_leaves
+    from shopseg.session import cut_lineage
+    leaves = cut_lineage(_given_leaves(spark, sf))
+    return {lk: tree_of_leaves(leaves.select("leaf"), leaves, lk, "manhattan", [2, 4, 10]) for lk in ("average", "complete")}
+
+
+def q_merge_heights_given_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: heights of the Manhattan trees of given leaves, average and complete."""
+    a, c = (t.merges.select(F.lit(lk).alias("linkage"), "step", "height") for lk, t in _given_trees(spark, sf).items())
+    return rounded(a.unionByName(c))
+
+
+def q_labels_given_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """M8 / M10 cuts of the same trees at k = 2, 4, 10, numbered by size, then smallest leaf."""
+    a, c = (t.leaf_labels.select(F.lit(lk).alias("linkage"), "k", "leaf", "label") for lk, t in _given_trees(spark, sf).items())
+    return a.unionByName(c)
+
+
 def _variant(name):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         """The one-pass pipeline with the given preset (row winsor 0.01/0.995, PCA 80 %)."""
@@ -503,6 +533,8 @@ QUERIES = {
     "pca_projection": q_pca_projection,
     "merge_tree": q_merge_tree,
     "merge_tail": q_merge_tail,
+    "merge_heights_given_leaves": q_merge_heights_given_leaves,
+    "labels_given_leaves": q_labels_given_leaves,
     "segments_original": _variant("original"),
     "segments_test1": _variant("test1"),
     "segments_test2": _variant("test2"),

@@ -362,6 +362,44 @@ SELECT User_ID, cluster, ROUND(a, 6) AS a, ROUND(b, 6) AS b,
 FROM ab"""
 
 
+def given_leaves_ctes() -> str:
+    """``step(linkage, step, own, h)``: greedy merging of the nations' mean vectors; ``own``: each leaf's cluster."""
+    def greedy(linkage: str, height: str) -> str:
+        return f"""{linkage}(step, own, h) AS (
+  SELECT 0, (SELECT list(i ORDER BY i) FROM leaf), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT step + 1, list_transform(own, lambda c: CASE WHEN c = m.b THEN m.a ELSE c END), m.h FROM (
+    SELECT t.step, t.own, (SELECT struct_pack(a := a, b := b, h := h) FROM (
+        SELECT least(t.own[d.i], t.own[d.j]) AS a, greatest(t.own[d.i], t.own[d.j]) AS b, {height} AS h
+        FROM d WHERE t.own[d.i] <> t.own[d.j] GROUP BY 1, 2) ORDER BY h, a, b LIMIT 1) AS m
+    FROM {linkage} t WHERE len(list_distinct(t.own)) > 1))"""
+    return f"""WITH RECURSIVE {matrix_ctes()},
+nat AS (SELECT CAST(c_custkey AS INTEGER) AS User_ID, CAST(c_nationkey AS BIGINT) AS leaf FROM customer),
+points AS (SELECT leaf, User_ID, feature, value FROM rlong JOIN nat USING (User_ID)),
+leaf AS (SELECT leaf, count(DISTINCT User_ID) AS n, row_number() OVER (ORDER BY leaf) AS i FROM points GROUP BY leaf),
+mean AS (SELECT leaf, feature, avg(value) AS v FROM points GROUP BY 1, 2),
+d AS (SELECT la.i, lb.i AS j, sum(abs(a.v - b.v)) AS d, CAST(la.n AS DOUBLE) * lb.n AS w
+      FROM mean a JOIN mean b ON a.feature = b.feature AND a.leaf < b.leaf JOIN leaf la ON la.leaf = a.leaf
+      JOIN leaf lb ON lb.leaf = b.leaf GROUP BY la.i, lb.i, la.n, lb.n),
+{greedy("average", "sum(d.d * d.w) / sum(d.w)")},
+{greedy("complete", "max(d.d)")},
+step AS (SELECT 'average' AS linkage, * FROM average UNION ALL SELECT 'complete', * FROM complete)"""
+
+
+def sql_merge_heights() -> str:
+    return given_leaves_ctes() + """
+SELECT linkage, CAST(step - 1 AS INTEGER) AS step, ROUND(h, 6) AS height FROM step WHERE step > 0"""
+
+
+def sql_leaf_labels() -> str:
+    return given_leaves_ctes() + """,
+cut AS (SELECT linkage, len(list_distinct(own)) AS k, unnest(own) AS c, generate_subscripts(own, 1) AS i FROM step),
+sized AS (SELECT linkage, k, c, sum(leaf.n) AS size, min(leaf.leaf) AS least FROM cut JOIN leaf USING (i) GROUP BY 1, 2, 3),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY linkage, k ORDER BY size DESC, least) - 1 AS label FROM sized)
+SELECT cut.linkage, CAST(cut.k AS INTEGER) AS k, leaf.leaf, CAST(label AS INTEGER) AS label
+FROM cut JOIN leaf USING (i) JOIN numbered USING (linkage, k, c) WHERE cut.k IN (2, 4, 10)"""
+
+
 def sql_niche_split() -> str:
     return f"""WITH {BASKET_LINES}, {REGION},
 users AS (SELECT DISTINCT User_ID FROM bl),
@@ -475,6 +513,8 @@ def oracles() -> dict[str, str]:
         "one_hot_modes": sql_one_hot(),
         "l1_silhouette": sql_silhouette("manhattan"),
         "euclidean_silhouette": sql_silhouette("euclidean"),
+        "merge_heights_given_leaves": sql_merge_heights(),
+        "labels_given_leaves": sql_leaf_labels(),
         "niche_split_given_labels": sql_niche_split(),
         "cluster_profile": sql_cluster_profile(),
         "core_rows_given_labels": sql_core_rows(),

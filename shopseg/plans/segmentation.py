@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shopseg.operators.basket import checked_broadcast
 from shopseg.operators.clean import clean_transactions, typed_deduplicated
 from shopseg.operators.features import user_features
-from shopseg.operators.hierarchy import MAX_LEAVES, Tree, agglomerate
+from shopseg.operators.hierarchy import LEAVES, Tree, agglomerate
 from shopseg.operators.matrix import PCAResult, feature_matrix, pca_by_variance, winsorize_features
 from shopseg.operators.profile import cluster_sizes, profile_clusters
 from shopseg.operators.silhouette import silhouette_score, silhouette_scores
@@ -80,11 +80,11 @@ class VariantResult:
 
 
 def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k_max: int = K_MAX,
-             max_leaves: int = MAX_LEAVES, mode: str = "auto") -> tuple[int, list[tuple[int, float]], Tree]:
+             leaves: int = LEAVES) -> tuple[int, list[tuple[int, float]], Tree]:
     """Silhouette for each k, best k (ties -> smaller k); one tree, many cuts."""
     n = points.count()
     ks = [k for k in range(k_min, k_max + 1) if 2 <= k <= n - 1]
-    tree = agglomerate(points, linkage, metric, ks or [max(2, k_min)], max_leaves=max_leaves, mode=mode)
+    tree = agglomerate(points, linkage, metric, ks or [max(2, k_min)], leaves=leaves)
     sil_metric = "euclidean" if linkage == "ward" else metric
     # every cut has exactly k clusters (k <= n - 1), so all are valid; one pass scores them all
     by_k = silhouette_scores(points, tree.labels_all(), sil_metric) if ks else {}
@@ -96,15 +96,15 @@ def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k
 
 
 def segment_variant(points: DataFrame, variant: str, k_min: int = K_MIN, k_max: int = K_MAX,
-                    max_leaves: int = MAX_LEAVES, mode: str = "auto") -> VariantResult:
+                    leaves: int = LEAVES) -> VariantResult:
     """The four presets of the one-pass pipeline."""
     if variant not in VARIANTS:
         raise ValueError(f"unknown variant {variant!r}")
     linkage, metric, ks = VARIANTS[variant]
     if ks is None:
-        k, scores, tree = choose_k(points, linkage, metric, k_min, k_max, max_leaves, mode)
+        k, scores, tree = choose_k(points, linkage, metric, k_min, k_max, leaves)
     else:
-        tree = agglomerate(points, linkage, metric, ks, max_leaves=max_leaves, mode=mode)
+        tree = agglomerate(points, linkage, metric, ks, leaves=leaves)
         sil_metric = "euclidean" if linkage == "ward" else metric
         scores = sorted(silhouette_scores(points, tree.labels_all(), sil_metric).items())
         k = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
@@ -112,12 +112,11 @@ def segment_variant(points: DataFrame, variant: str, k_min: int = K_MIN, k_max:
 
 
 def one_pass(raw: DataFrame, variant: str = "original", use_pca: bool = True, pca_target: float = 0.80,
-             top_cat: int = 10, tx_q=TX_Q_ONE_PASS, user_q=USER_Q_DETECT, max_leaves: int = MAX_LEAVES,
-             mode: str = "auto") -> tuple[VariantResult, Prepared, DataFrame]:
+             top_cat: int = 10, tx_q=TX_Q_ONE_PASS, user_q=USER_Q_DETECT, leaves: int = LEAVES) -> tuple[VariantResult, Prepared, DataFrame]:
     """The one-pass pipeline: clean -> features -> variant; profile of winsorized features."""
     tx = clean_transactions(raw, *tx_q)
     prep = prepare(tx, user_q, pca_target if use_pca else None, top_cat)
-    res = segment_variant(prep.points, variant, max_leaves=max_leaves, mode=mode)
+    res = segment_variant(prep.points, variant, leaves=leaves)
     profile = profile_clusters(prep.winsorized.join(res.labels, "User_ID"))
     return res, prep, profile
 
@@ -183,7 +182,7 @@ class HybridResult:
     core_prepared: Prepared = field(repr=False, default=None)
 
 
-def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "auto", top_cat: int = 10,
+def hybrid_segments(raw: DataFrame, leaves: int = LEAVES, top_cat: int = 10,
                     split_path: str | None = None, silhouettes: bool = True) -> HybridResult:
     """The reference's hybrid pipeline end to end.
 
@@ -194,7 +193,7 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     base = typed_deduplicated(raw).persist(StorageLevel.MEMORY_AND_DISK)
     tx = clean_transactions(base, *TX_Q, deduplicated=True)
     det = prepare(tx, USER_Q_DETECT, PCA_DETECT, top_cat)
-    det_tree = agglomerate(det.points, "average", "manhattan", [DETECT_K], max_leaves=max_leaves, mode=mode)
+    det_tree = agglomerate(det.points, "average", "manhattan", [DETECT_K], leaves=leaves)
     # labels are a cheap join of persisted leaf assignments with the checkpointed tree: persisting is
     # enough (a lost block is recomputed from that short lineage)
     det_labels = det_tree.labels(DETECT_K).persist(StorageLevel.MEMORY_AND_DISK)
@@ -219,7 +218,7 @@ def hybrid_segments(raw: DataFrame, max_leaves: int = MAX_LEAVES, mode: str = "a
     core_base = base.where(F.col("User_ID").isNotNull()).join(niche_ids, "User_ID", "left_anti")
     core_tx = clean_transactions(core_base, *TX_Q, deduplicated=True)
     core = prepare(core_tx, USER_Q_CORE, PCA_CORE, top_cat)
-    core_tree = agglomerate(core.points, CORE_LINKAGE, CORE_METRIC, [CORE_K], max_leaves=max_leaves, mode=mode)
+    core_tree = agglomerate(core.points, CORE_LINKAGE, CORE_METRIC, [CORE_K], leaves=leaves)
     core_labels = core_tree.labels(CORE_K).persist(StorageLevel.MEMORY_AND_DISK)
     final = cut_lineage(reattach(core_labels, niche_users))        # the pipeline's result: written out
     # Un-winsorized first-pass features of every finally labelled user; numeric NULL -> 0

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from shopseg.operators.hierarchy import agglomerate, canonical, cut, nn_chain
+from shopseg.operators.hierarchy import agglomerate, canonical, cut, linkage_matrix, merge_leaves
 
 
 def _brute(x, linkage, metric):
@@ -36,12 +36,18 @@ def _brute(x, linkage, metric):
     return np.array(heights), labels_at
 
 
+def _tree(spark, x, linkage, metric):
+    """Linkage matrix with every point a leaf of its own."""
+    leaves = spark.createDataFrame([(i, 1, [float(v) for v in row]) for i, row in enumerate(x)], "leaf long, size long, x array<double>")
+    return linkage_matrix(merge_leaves(leaves, linkage, metric), {i: 1 for i in range(len(x))})
+
+
 @pytest.mark.parametrize("linkage,metric", [("average", "manhattan"), ("complete", "manhattan"),
                                             ("ward", "euclidean"), ("average", "euclidean")])
-def test_nn_chain_matches_sequential(linkage, metric):
+def test_rounds_match_sequential(spark, linkage, metric):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(0, 1, (25, 3)), rng.normal(5, 1, (20, 3)), rng.normal(-4, 0.5, (15, 3))])
-    z = nn_chain(x, np.ones(len(x)), linkage, metric)
+    z = _tree(spark, x, linkage, metric)
     heights, labels_at = _brute(x, linkage, metric)
     assert np.allclose(np.sort(z[:, 2]), np.sort(heights))
     assert np.all(np.diff(z[:, 2]) >= -1e-12)
@@ -51,11 +57,11 @@ def test_nn_chain_matches_sequential(linkage, metric):
         assert groups == labels_at[k]
 
 
-def test_fixture_points_heights_and_cut():
+def test_fixture_points_heights_and_cut(spark):
     x = np.array([[0.0], [1.0], [5.0], [6.0], [20.0]])
     exp = {"average": [1, 1, 5, 17], "complete": [1, 1, 6, 20], "ward": [1, 1, 7.071068, 21.503488]}
     for lk, h in exp.items():
-        z = nn_chain(x, np.ones(5), lk, "euclidean" if lk == "ward" else "manhattan")
+        z = _tree(spark, x, lk, "euclidean" if lk == "ward" else "manhattan")
         assert z[:, 2] == pytest.approx(h, abs=1e-6)
         assert z[:, 3].tolist() == [2, 2, 4, 5]
         lab = canonical(cut(z, 5, 3), np.ones(5), np.arange(5))
@@ -66,21 +72,17 @@ def _points(spark, x):
     return spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "User_ID int, pca array<double>")
 
 
-def test_spark_agglomerate_exact_and_micro(spark):
+def test_agglomerate_separated_groups(spark):
     rng = np.random.default_rng(11)
     x = np.concatenate([rng.normal(0, 0.3, (40, 2)), rng.normal(6, 0.3, (30, 2)), rng.normal([0, 8], 0.3, (10, 2))])
     pts = _points(spark, x)
-    t = agglomerate(pts, "average", "manhattan", [3], max_leaves=100)
-    assert t.exact and t.merges.count() == len(x) - 1
+    t = agglomerate(pts, "average", "manhattan", [3], leaves=30)
+    assert t.n_leaves <= 30 and t.merges.count() == t.n_leaves - 1
     lab = {r.User_ID: r.cluster for r in t.labels(3).collect()}
     assert [sum(1 for v in lab.values() if v == c) for c in range(3)] == [40, 30, 10]
     assert lab[0] == 0 and lab[40] == 1 and lab[70] == 2
-    m = agglomerate(pts, "complete", "manhattan", [3], max_leaves=20, mode="micro")
-    assert not m.exact and m.n_leaves <= 20
-    lab_m = {r.User_ID: r.cluster for r in m.labels(3).collect()}
-    assert lab_m == lab          # well separated groups survive the micro-cluster summary
+    m = agglomerate(pts, "complete", "manhattan", [3], leaves=20)
+    assert {r.User_ID: r.cluster for r in m.labels(3).collect()} == lab
     assert m.tail(5).count() == 4
     with pytest.raises(ValueError):
         agglomerate(pts, "ward", "manhattan", [3])
-    with pytest.raises(ValueError):
-        agglomerate(pts, "average", "manhattan", [3], max_leaves=10, mode="exact")
