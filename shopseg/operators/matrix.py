@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -117,6 +118,29 @@ def feature_matrix(feats: DataFrame, quantile_method: str = "refine") -> tuple[D
     return assemble(encoded, names), names
 
 
+def feature_covariance(x: DataFrame, names: list[str], col: str = "x") -> DataFrame:
+    """Sample covariance ``a, b, cov`` of every pair of columns (a at or before b in ``names``).
+
+    Each task adds up products of its rows' deviations from the column means; only these d x d partial
+    sums are shuffled.
+    """
+    d = len(names)
+    row = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(col)[i]).alias(f"m{i}") for i in range(d)]).collect()[0]
+    n, means = row["n"], np.array([row[f"m{i}"] or 0.0 for i in range(d)])
+    ii, jj = np.triu_indices(d)
+
+    def products(batches):
+        total = np.zeros((d, d))
+        for b in batches:
+            v = np.stack(b[col].to_numpy()) - means if len(b) else np.zeros((0, d))
+            total += v.T @ v
+        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "s": total[ii, jj]})
+
+    sums = x.select(col).mapInPandas(products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    name = F.array(*[F.lit(c) for c in names])
+    return sums.select(name[F.col("i")].alias("a"), name[F.col("j")].alias("b"), (F.col("s") / F.lit(float(max(n - 1, 1)))).alias("cov"))
+
+
 @dataclass
 class PCAResult:
     n_components: int

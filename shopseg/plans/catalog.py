@@ -281,6 +281,46 @@ def _scaled_points(spark, sf):
     return sc.select("User_ID", F.array(*[F.col(f"`{c}`") for c in numeric]).alias("pca"))
 
 
+def _matrix(spark, sf):
+    from shopseg.operators.matrix import feature_matrix
+    _, w, _ = _winsorized(spark, sf)
+    return feature_matrix(w)
+
+
+def q_feature_matrix_long(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: every cell of the assembled matrix (scaled block, then one-hot block)."""
+    x, names = _matrix(spark, sf)
+    name = F.array(*[F.lit(c) for c in names])
+    return rounded(x.select("User_ID", F.posexplode("x").alias("i", "value")).select("User_ID", name[F.col("i")].alias("feature"), "value"))
+
+
+def q_feature_covariance(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: sample covariance of the assembled matrix (each unordered pair of columns once, by name)."""
+    from shopseg.operators.matrix import feature_covariance
+    c = feature_covariance(*_matrix(spark, sf))
+    return rounded(c.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cov"), places=4)
+
+
+def q_pca_total_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: the variance that the explained ratios are shares of (trace of the covariance)."""
+    from shopseg.operators.matrix import feature_covariance
+    c = feature_covariance(*_matrix(spark, sf))
+    return rounded(c.where("a = b").agg(F.count(F.lit(1)).alias("n_columns"), F.sum("cov").alias("total_variance")), places=4)
+
+
+def q_cluster_profile_final(spark: SparkSession, sf: str) -> DataFrame:
+    """A19 + J3 + P16: profile of given final labels over un-winsorized features, every share column included;
+    labelled users without a feature row count with zeros."""
+    from shopseg.operators.profile import profile_clusters
+    from shopseg.plans.segmentation import TX_Q
+    feats, _ = user_features(clean_transactions(transactions_from_tables(spark, sf), *TX_Q))
+    cols = [c for c, t in feats.dtypes if c != "User_ID" and t != "string"]
+    joined = feats.join(region_assignments(spark, sf), "User_ID", "right").na.fill(0, subset=cols)
+    prof = profile_clusters(joined, columns=cols)
+    stack = ", ".join(f"'{c}', CAST(`{c}__count` AS BIGINT), `{c}__mean`, `{c}__median`" for c in cols)
+    return rounded(prof.selectExpr("cluster", f"stack({len(cols)}, {stack}) as (feature, count, mean, median)"), places=4)
+
+
 def q_l1_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     """Per-user Manhattan silhouette of the scaled numeric block, labels = region."""
     from shopseg.operators.silhouette import l1_silhouette_samples
@@ -491,6 +531,20 @@ def q_category_frequency(spark: SparkSession, sf: str) -> DataFrame:
                                                         F.col("n").cast("long"))
 
 
+def q_first_assignments(spark: SparkSession, sf: str) -> DataFrame:
+    """O7 with a limit that bites at every size: the first 100 of the same order."""
+    from shopseg.plans.segmentation import sample_assignments
+    return sample_assignments(q_niche_split_given_labels(spark, sf), 100)
+
+
+def q_production_rules_loose(spark: SparkSession, sf: str) -> DataFrame:
+    """R6-R8 over the reference's own columns with thresholds that rules of this data pass."""
+    from shopseg.operators.clean import basket_transactions
+    from shopseg.plans.levels import CATEGORY, PRODUCT, SEGMENT_CATEGORY
+    specs = [replace(s, min_conf=0.02, min_lift=1.0) for s in (CATEGORY, PRODUCT, SEGMENT_CATEGORY)]
+    return rounded(mine_levels(basket_transactions(transactions_from_tables(spark, sf)), specs, region_assignments(spark, sf)).rules)
+
+
 def q_sample_assignments(spark: SparkSession, sf: str) -> DataFrame:
     """First 5,000 final assignments (core labels first, then user id)."""
     from shopseg.plans.segmentation import sample_assignments
@@ -527,6 +581,10 @@ QUERIES = {
     "winsorized_features": q_winsorized_features,
     "robust_scaled": q_robust_scaled,
     "one_hot_modes": q_one_hot_modes,
+    "feature_matrix_long": q_feature_matrix_long,
+    "feature_covariance": q_feature_covariance,
+    "pca_total_variance": q_pca_total_variance,
+    "cluster_profile_final": q_cluster_profile_final,
     "l1_silhouette": q_l1_silhouette,
     "euclidean_silhouette": q_euclidean_silhouette,
     "pca_variance": q_pca_variance,
@@ -550,6 +608,8 @@ QUERIES = {
     "cluster_profile": q_cluster_profile,
     "core_rows_given_labels": q_core_rows_given_labels,
     "production_rules": q_production_rules,
+    "production_rules_loose": q_production_rules_loose,
+    "first_assignments": q_first_assignments,
     "production_summary": q_production_summary,
     "production_item_support": q_production_item_support,
     "top_rules_pair_order": q_top_rules_pair_order,

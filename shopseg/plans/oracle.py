@@ -459,6 +459,30 @@ SELECT u.User_ID, lv.col || '=' || lv.lvl AS feature, CAST(CASE WHEN u.v = lv.lv
 FROM uv u JOIN lv ON lv.col = u.col"""
 
 
+def matrix_long_ctes() -> str:
+    """``x(User_ID, feature, value)``: the whole matrix. The modes are clipped like every number before they are encoded."""
+    texts = " UNION ALL ".join(f"SELECT User_ID, '{c}' AS col, {c} AS v FROM feats" for c in ("Age_mode", "Gender_mode", "City_Category_mode"))
+    return f"""{matrix_ctes()},
+uv AS ({texts} UNION ALL SELECT User_ID, feature, CAST(value AS VARCHAR) FROM wlong
+       WHERE feature IN ('Stay_mode', 'Marital_mode', 'Occupation_mode')),
+lv AS (SELECT DISTINCT col, v FROM uv),
+x AS (SELECT User_ID, feature, value FROM rlong UNION ALL
+      SELECT u.User_ID, lv.col || '=' || lv.v, CASE WHEN u.v = lv.v THEN 1.0 ELSE 0.0 END FROM uv u JOIN lv ON lv.col = u.col)"""
+
+
+def sql_cluster_profile_final() -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
+    return f"""WITH {feature_ctes()}, {REGION},
+pl AS (SELECT User_ID, feature, value FROM (UNPIVOT (SELECT User_ID, {casts} FROM feats)
+    ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value)
+  UNION ALL SELECT User_ID, 'cat_share__' || bucket, share FROM shares
+  UNION ALL SELECT User_ID, 'cat_rev_share__' || bucket, rev_share FROM shares),
+grid0 AS (SELECT a.User_ID, a.cluster, f.feature FROM asg a CROSS JOIN (SELECT DISTINCT feature FROM pl) f)
+SELECT g.cluster, g.feature, CAST(count(*) AS BIGINT) AS count, ROUND(avg(COALESCE(pl.value, 0)), 4) AS mean,
+       ROUND(quantile_cont(COALESCE(pl.value, 0), 0.5), 4) AS median
+FROM grid0 g LEFT JOIN pl ON pl.User_ID = g.User_ID AND pl.feature = g.feature GROUP BY g.cluster, g.feature"""
+
+
 def oracles() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
     feats = lambda sel: sql_features(sel)
@@ -511,6 +535,15 @@ def oracles() -> dict[str, str]:
                                "THEN ROUND(value, 4) ELSE ROUND(value, 6) END AS value FROM wlong",
         "robust_scaled": f"WITH {matrix_ctes()}\nSELECT User_ID, feature, ROUND(value, 6) AS value FROM rlong",
         "one_hot_modes": sql_one_hot(),
+        "feature_matrix_long": f"WITH {matrix_long_ctes()}\nSELECT User_ID, feature, ROUND(CAST(value AS DOUBLE), 6) AS value FROM x",
+        "feature_covariance": f"WITH {matrix_long_ctes()}\nSELECT a.feature AS a, b.feature AS b, "
+                              "ROUND(covar_samp(a.value, b.value), 4) AS cov FROM x a JOIN x b "
+                              "ON a.User_ID = b.User_ID AND a.feature <= b.feature GROUP BY 1, 2",
+        "pca_total_variance": f"WITH {matrix_long_ctes()}, v AS (SELECT feature, var_samp(value) AS v FROM x GROUP BY 1)\n"
+                              "SELECT CAST(count(*) AS BIGINT) AS n_columns, ROUND(sum(v), 4) AS total_variance FROM v",
+        "cluster_profile_final": sql_cluster_profile_final(),
+        "first_assignments": f"WITH s AS ({sql_niche_split()})\nSELECT * FROM s ORDER BY cluster, User_ID LIMIT 100",
+        "production_rules_loose": sql_rules([s | {"conf": 0.02, "lift": 1.0} for s in PRODUCTION], lines=PRODUCTION_LINES),
         "l1_silhouette": sql_silhouette("manhattan"),
         "euclidean_silhouette": sql_silhouette("euclidean"),
         "merge_heights_given_leaves": sql_merge_heights(),
