@@ -1,14 +1,16 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-A 64-bit fingerprint is cut into few enough segments (three for up to five differing bits) that two linked
-fingerprints differ by at most one bit in one of them. Each fingerprint is indexed under every segment
-with every single bit of it deleted, 64 keys in all; fingerprints that share a key are candidates, joined
-by equality and verified by their distance.
-
-Only classes are asked for, so a bucket's pairs are not all formed: its members are compared with the
-bucket's smallest fingerprint first, and after the components of these links only members of *different*
-components are compared with each other. Buckets with many such members are cut once more by the same
-rule on their remaining bits (43 or 42), which loses no link either. No cap on buckets or candidates.
+A 64-bit fingerprint is cut into few enough segments (three for up to four differing bits) that two linked
+fingerprints differ by at most one bit in one of them. Each fingerprint is indexed under every segment with every
+single bit of it deleted; fingerprints that share a key are candidates, joined by equality and verified by their
+distance. So that a key tells more than a third of the bits, it also holds bits outside its segment: if one segment is
+equal, one of ``distance + 1`` pieces of the rest is, too; if none is, two segments differ by exactly one bit, and one half
+of the second is equal. That makes 141 keys of about 30 bits for four differing bits, and chance hardly fills a bucket.
+
+Only classes are asked for, so a bucket's pairs are not all formed: its members are compared with one of them
+(picked by hash) first, and after the components of these links only members of *different* components are compared with
+each other. Large buckets are cut once more, by pieces of the bits that the key leaves open; that loses no
+link either. No cap on buckets or candidates.
 
 Words are runs without ``[\\x20\\x09-\\x0D]`` of the text with A-Z lowered; fewer words than the shingle length
 make one shingle, none the fingerprint 0. Null text has no words. Equal texts share a fingerprint and so a
@@ -21,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopseg.llm import shared
@@ -88,28 +90,31 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return shared.keyed(shared.texts(docs)).mapInArrow(rows, "doc_id long, __id long, __h long, fp long")
 
 
-def segments(distance: int, bits: int = 64) -> list[tuple[int, int]]:
-    """``(first bit, width)`` of the fewest segments of which one differs by at most one bit."""
-    n = max(2, distance // 2 + 1)
-    cuts = [bits * i // n for i in range(n + 1)]
-    return [(a, z - a) for a, z in zip(cuts, cuts[1:])]
+def _even(bits: list[int], n: int) -> list[int]:
+    """Masks of ``n`` pieces of these bits."""
+    cuts = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << b for b in bits[a:z]) for a, z in zip(cuts, cuts[1:])]
+
+
+def segments(distance: int) -> list[list[int]]:
+    """Bits of the fewest segments of which, if none is equal, two at least differ by one bit only."""
+    n = max(2, (distance + 1) // 2 + 1)
+    return [list(range(64 * i // n, 64 * (i + 1) // n)) for i in range(n)]
 
 
-def _variants(value: str, cut: list[tuple[int, int]]) -> str:
-    """SQL array of the keys of ``value``: each segment with each bit deleted, tagged with that bit's number."""
-    keys = [f"shiftleft({a + i}L, 54) | (shiftrightunsigned({value}, {a}) & {((1 << w) - 1) & ~(1 << i)}L)"
-            for a, w in cut for i in range(w)]
-    return f"array({', '.join(keys)})"
+def key_masks(distance: int) -> list[int]:
+    """The bits that each key holds."""
+    own, masks = segments(distance), []
+    for i, seg in enumerate(own):
+        rest = [b for b in range(64) if b not in seg]
+        masks += [sum(1 << b for b in seg) | piece for piece in _even(rest, distance + 1)]
+        for other in own[i + 1:]:
+            masks += [sum(1 << b for b in seg if b != gone) | half for gone in seg for half in _even(other, 2)]
+    return masks
 
 
-def _rest(cut: list[tuple[int, int]]) -> str:
-    """SQL: the bits of ``fp`` outside the segment that ``key`` is of, moved together."""
-    cases = []
-    for a, w in cut:
-        low = f"(fp & {(1 << a) - 1}L)"
-        high = f"shiftleft(shiftrightunsigned(fp, {a + w}), {a})" if a + w < 64 else "0L"
-        cases.append(f"WHEN shiftrightunsigned(key, 54) < {a + w} THEN {low} | {high}")
-    return f"CASE {' '.join(cases)} END"
+def _long(mask: int) -> str:
+    return f"{mask - (1 << 64) if mask >> 63 else mask}L".replace("-9223372036854775808L", "(-9223372036854775807L - 1L)")
 
 
 def links(fps: DataFrame, distance: int) -> DataFrame:
@@ -117,35 +122,43 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
 
     Each edge is a verified pair within ``distance`` bits; pairs already connected otherwise may be missing.
     """
-    cut = segments(distance)
+    masks = key_masks(distance)
+    if len(masks) > 256:
+        raise ValueError("the distance needs more keys than a key's low byte can number")
+    listed = f"array({', '.join(map(_long, masks))})"
     near = f"bit_count(a ^ b) <= {distance}"
-    keyed = fps.select("fp", F.explode(F.expr(_variants("fp", cut))).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("pivot")).where("n > 1")
-    members = shared.written(keyed.join(buckets, "key").where("fp <> pivot"), "members")
+    # a key: hash of the bits it holds, its number in the low byte; candidates are verified, so a clash costs a look
+    keys = ", ".join(f"(xxhash64(fp & {_long(m)}) & -256L) | {tag}L" for tag, m in enumerate(masks))
+    spread = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    keyed = spread.select("fp", F.explode(F.expr(f"array({keys})")).alias("key"))
+    bucket = Window.partitionBy("key").orderBy(F.xxhash64("fp", "key"))
+    members = keyed.withColumns({"pivot": F.first("fp").over(bucket), "n": F.row_number().over(bucket)}).where("n > 1")
+    members = shared.written(members.select("key", "fp", "pivot"), "members")
 
     star = shared.written(members.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).where(near).distinct(), "star")
     roots = components(star)
 
     # members other than the pivot, with their class so far; a pair of them is open if the classes differ
-    open_ = members.where("n > 2").join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+    open_ = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("key", "fp", F.coalesce("root", "fp").alias("class"))
     open_ = shared.written(open_, "open")
-    mixed = open_.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"),
-                                     F.count(F.lit(1)).alias("left")).where("lo <> hi").select("key", "left")
+    mixed = open_.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")) \
+        .where("lo <> hi").select("key", "n")
     left = open_.join(mixed, "key")
-    rest = 64 - max(w for _, w in cut)
-    sub = segments(distance, rest + 1)
-    left = left.where(f"left <= {REFINE}").select("key", F.lit(-1).cast("long").alias("sub"), "fp", "class").unionByName(
-        left.where(f"left > {REFINE}").withColumn("rest", F.expr(_rest(cut)))
-        .select("key", F.explode(F.expr(_variants("rest", sub))).alias("sub"), "fp", "class"))
-    left = shared.written(left, "left")
-    # pairs of classes first, so that members of one class never meet
-    classes = left.select("key", "sub", "class").distinct()
-    pairs = classes.withColumnRenamed("class", "c1").join(
-        classes.withColumnRenamed("class", "c2"), ["key", "sub"]).where("c1 < c2")
-    crossed = pairs.join(left.select("key", "sub", F.col("class").alias("c1"), F.col("fp").alias("a")), ["key", "sub", "c1"]) \
-        .join(left.select("key", "sub", F.col("class").alias("c2"), F.col("fp").alias("b")), ["key", "sub", "c2"])
-    return star.unionByName(crossed.where(near).select("a", "b").distinct())
+    free = [_even([b for b in range(64) if not m >> b & 1], distance + 1) for m in masks]
+    pieces = f"array({', '.join('array(' + ', '.join(map(_long, f)) + ')' for f in free)})[cast(key & 255L as int)]"
+    whole = left.where(f"n <= {REFINE}").select("key", F.lit(-1).alias("piece"), F.lit(0).cast("long").alias("more"), "fp", "class")
+    cut = left.where(f"n > {REFINE}").select("key", F.posexplode(F.expr(f"transform({pieces}, m -> fp & m)")).alias("piece", "more"),
+                                             "fp", "class")
+    left = shared.written(whole.unionByName(cut), "left")
+    key = ["key", "piece", "more"]
+    one, two = left.select(*key, F.col("fp").alias("a"), F.col("class").alias("c1")), \
+        left.select(*key, F.col("fp").alias("b"), F.col("class").alias("c2"))
+    # of the keys that a pair shares, the first one finds it
+    first = f"NOT exists(slice({listed}, 1, cast(x.key & 255L as int)), m -> ((a ^ b) & m) = 0L)"
+    same = " AND ".join(f"x.{k} = y.{k}" for k in key)
+    crossed = one.alias("x").join(two.alias("y"), F.expr(f"{same} AND c1 < c2 AND {near} AND {first}"))
+    return star.unionByName(crossed.select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
@@ -171,6 +184,7 @@ def _with_classes(fps: DataFrame, distance: int) -> DataFrame:
     linked = roots.join(smallest, "root").select(F.col("node").alias("fp"), "root", "smallest")
     ids = least.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class_fp"),
                                                   F.coalesce("smallest", "least").alias("component_id"))
+    ids = shared.written(ids, "ids")  # so that both sides of the join are dealt out anew and a hot fingerprint can be split
     return fps.join(ids, "fp").select(*fps.columns, "class_fp", "component_id")
 
 
