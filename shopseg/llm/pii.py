@@ -1,13 +1,16 @@
 """Information-theoretic sanitisation of personal data (DataFrame functions only).
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers found by pattern and check. They are
-the protected entities. What else gives an entity away is estimated from the whole corpus: a word (run of letters) near
-an occurrence of the entity discloses it as far as their pointwise mutual information
-``log2(n(term, entity) * N / (n(term) * n(entity)))`` comes near the entity's own information ``log2(N / n(entity))``.
-Counts are over different texts (copies say nothing new): ``n(term)`` over all texts of the corpus, ``n(term, entity)`` over
-those that have the term within ``REACH`` code points of the entity. A term is disclosing if it was seen with the
-entity in at least ``SUPPORT`` different texts and its PMI is at least ``GENERALISE`` of the entity's information; from
-``REMOVE`` on it is removed, below that generalised to ``[TERM]``. Its spans are added to the base spans, which stay.
+the protected entities. What else gives an entity away is estimated from the whole corpus: a term (run of letters, marks and
+digits of any length, outside the base spans) discloses an entity of the same text as far as their pointwise mutual
+information ``log2(p(entity | term) * N / n(entity))`` comes near the entity's own information ``log2(N / n(entity))``.
+All counts are over different whole texts (copies say nothing new): ``N`` of the corpus, ``n(term)``, ``n(entity)``,
+``n(term, entity)``, and pooled by the entity's kind ``n(kind)`` and ``n(term, kind)``. ``p(entity | term)`` is smoothed, so that
+entities and terms of one or two texts are judged as well: the texts of a term count together with ``PRIOR`` more that follow
+the kind, ``p(kind | term) * n(entity) / n(kind)``, where ``p(kind | term)`` is smoothed by ``n(kind) / N`` the same way. From
+a share ``GENERALISE`` of the entity's information on a term is generalised to ``[TERM]``, from ``REMOVE`` on it is removed.
+Its spans are all its places in the texts that hold the entity; they are added to the base spans, which stay. A term
+stays in texts without the entity.
 
 Spans are ``kind, start, end`` in code points, end exclusive. Null or empty text has none. Rows with null or repeated
 ``doc_id`` are handled by their own text; equal texts have equal spans. Empty tables give no rows.
@@ -34,16 +37,14 @@ PATTERNS = {
 HINTS = {EMAIL: "@", IP: r"[0-9]\.[0-9]++\.[0-9]", CARD: r"[0-9](?:[\x20-]?[0-9]){15}", PHONE: r"\+[0-9]"}
 TERM = "term"
 KINDS = [EMAIL, IP, CARD, PHONE, TERM]
-REACH, SUPPORT = 60, 3
+REACH = 60
 GENERALISE, REMOVE = 0.8, 0.95
-#: Candidate terms are broadcast up to so many; beyond, the join shuffles.
+#: Texts that the estimate by kind counts for beside the texts of a term.
+PRIOR = 2.5
+#: Hashes of copied texts are broadcast up to so many; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
 
 
-#: Spans are compared with those in the same or a neighbouring stretch of so many code points.
-STRETCH = 128
-
-
 def _sql(s: str) -> str:
     return "r'" + s + "'"
 
@@ -60,6 +61,13 @@ def _valid() -> str:
             f"ELSE length({digits}) BETWEEN 8 AND 15 END")
 
 
+def _hint(kind: str) -> str:
+    """SQL condition that any text with a match of the kind satisfies."""
+    if kind == EMAIL:
+        return "contains(text, '@')"
+    return ("contains(text, '+') AND " if kind == PHONE else "") + f"text RLIKE {_sql(HINTS[kind])}"
+
+
 def _matches(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, h, kind, idx, gap, m, before, after``: a row per pattern match, or one of nulls per text without any.
 
@@ -68,8 +76,7 @@ def _matches(docs: DataFrame) -> DataFrame:
     """
     found = shared.texts(docs).withColumns({"rid": F.monotonically_increasing_id(), "h": F.xxhash64("text")})
     for k, (kind, pattern) in enumerate(PATTERNS.items()):
-        hint = f"text RLIKE {_sql(HINTS[kind])}" if kind in (IP, CARD) else \
-            f"contains(text, '@')" if kind == EMAIL else f"contains(text, '+') AND text RLIKE {_sql(HINTS[kind])}"
+        hint = _hint(kind)
         found = found.withColumns({
             f"m{k}": F.expr(f"CASE WHEN {hint} THEN regexp_extract_all(text, {_sql(pattern)}, 0) END"),
             f"g{k}": F.expr(f"CASE WHEN {hint} THEN split(text, {_sql(pattern)}, -1) END")})
@@ -81,55 +88,69 @@ def _matches(docs: DataFrame) -> DataFrame:
     return shared.written(found.select("rid", "doc_id", "h", F.expr(f"inline_outer(concat({kinds}))")), "matches")
 
 
-def _words_of(side: str, base: str) -> str:
-    """SQL: the words of a context with their places, the first of which is ``base``. A context is short."""
-    word = r"r'\p{L}+'"
-    pairs = f"arrays_zip(regexp_extract_all({side}, {word}, 0), split({side}, {word}, -1))"
-    return (f"aggregate(filter({pairs}, z -> z.`0` IS NOT NULL), "
-            f"named_struct('at', cast({base} AS bigint), 'out', cast(array() AS array<struct<start:bigint,word:string>>)), "
-            "(s, z) -> named_struct('at', s.at + char_length(z.`1`) + char_length(z.`0`), 'out', "
-            "concat(s.out, array(named_struct('start', s.at + char_length(z.`1`), 'word', z.`0`)))), s -> s.out)")
-
-
-def _stretches(start: str, end: str):
-    return F.explode(F.expr(f"sequence({start} div {STRETCH}, ({end} - 1) div {STRETCH})"))
-
-
-def _terms(spans: DataFrame) -> DataFrame:
-    """``rid, h, value, term, start, end``: the words near each entity that are no part of a base span."""
-    sides = spans.select("rid", "h", F.col("m").alias("value"), "start", "end", "before", "after", F.explode(F.expr(
-        f"concat(transform({_words_of('before', 'start - char_length(before)')}, x -> struct(x.start AS at, x.word AS word)), "
-        f"transform({_words_of('after', 'end')}, x -> struct(x.start AS at, x.word AS word)))")).alias("x"))
-    sides = sides.select("rid", "h", "value", F.col("x.at").alias("s"), (F.col("x.at") + F.char_length("x.word")).alias("e"),
-                         F.lower("x.word").alias("term"),
-                         # a word at the outer end of a full context may be cut off
-                         ((F.col("x.at") == F.col("start") - REACH) | (F.col("x.at") + F.char_length("x.word") == F.col("end") + REACH)).alias("cut"))
-    sides = sides.where(~F.col("cut") & (F.char_length("term") >= 3)).withColumn("stretch", _stretches("s", "e"))
-    base = spans.select("rid", "start", "end", _stretches("start", "end").alias("stretch"))
-    return sides.alias("t").join(
-        base.alias("b"), F.expr("t.rid = b.rid AND t.stretch = b.stretch AND t.s < b.end AND b.start < t.e"), "left_anti") \
-        .groupBy("rid", "h", "value", "term", "s", "e").agg(F.count_distinct("stretch").alias("n")) \
-        .where(F.expr(f"n = size(sequence(s div {STRETCH}, (e - 1) div {STRETCH}))")) \
-        .select("rid", "h", "value", "term", F.col("s").alias("start"), F.col("e").alias("end"))
-
-
-def disclosing(docs: DataFrame, matches: DataFrame, terms: DataFrame) -> DataFrame:
-    """``value, term, removed``: the terms that give an entity away, and whether they are removed or generalised."""
+def _words(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``h, term, start, end``: the words outside base spans, once for each different text with an entity."""
+    word = r"r'[\p{L}\p{M}\p{N}]+'"
+    own = shared.texts(docs).where(" OR ".join(f"({_hint(k)})" for k in PATTERNS)).select(F.xxhash64("text").alias("h"), "text") \
+        .join(spans.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"])
+    pairs = own.select("h", F.posexplode(F.expr(f"arrays_zip(regexp_extract_all(text, {word}, 0), split(text, {word}, -1))")).alias("i", "z")) \
+        .select("h", "i", F.col("z.0").alias("word"), F.char_length("z.1").alias("gap")).where("word IS NOT NULL")
+    placed = pairs.withColumn("end", F.sum(F.col("gap") + F.char_length("word")).over(Window.partitionBy("h").orderBy("i"))) \
+        .select("h", F.lower("word").alias("term"), (F.col("end") - F.char_length("word")).alias("start"), "end")
+    both = placed.unionByName(spans.select("h", F.lit(None).cast("string").alias("term"), "start", "end").distinct())
+    base = F.col("term").isNull()
+    before = Window.partitionBy("h").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("h").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    both = both.withColumns({"reached": F.max(F.when(base, F.col("end"))).over(before), "next": F.min(F.when(base, F.col("start"))).over(after)})
+    return both.where(F.expr("term IS NOT NULL AND coalesce(reached <= start, true) AND coalesce(next >= end, true)")) \
+        .select("h", "term", "start", "end")
+
+
+def _text_counts(docs: DataFrame, matches: DataFrame) -> DataFrame:
+    """``term, n_term``: the number of different texts that hold each word of the corpus.
+
+    Rows of a text that no other row has are counted where they are read; only texts with copies are shuffled.
+    """
+    copied = shared.written(matches.select("rid", "h").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "copied")
+    if copied.count() <= BROADCAST_ROWS:
+        copied = F.broadcast(copied)
+    every = shared.texts(docs).where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), "text")
+
+    def words(df):
+        return df.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+"))).alias("term"))
+
+    once = words(every.join(copied, "h", "left_anti")).unionByName(words(every.join(copied, "h", "left_semi").dropDuplicates(["h"])))
+    return once.where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+
+
+def disclosing(docs: DataFrame, matches: DataFrame, spans: DataFrame, words: DataFrame) -> DataFrame:
+    """``h, term, removed``: the terms of each text that give an entity of it away, and whether they are removed or generalised."""
     n = matches.select("h").distinct().count()
-    pairs = terms.select("value", "term", "h").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("n_both")) \
-        .where(F.col("n_both") >= SUPPORT)
-    entities = terms.select("value", "h").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = shared.written(pairs.join(entities, "value"), "pairs")
-    candidates = pairs.select("term").distinct()
-    if candidates.count() <= BROADCAST_ROWS:
-        candidates = F.broadcast(candidates)
-    words = shared.texts(docs).select(F.xxhash64("text").alias("h"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("term"))
-    counts = words.join(candidates, "term").groupBy("term", "h").agg(F.lit(1).alias("one")) \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    told = pairs.join(counts, "term").withColumn("pmi", F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))) \
-        .withColumn("information", F.log2(F.lit(float(n)) / F.col("n_entity"))).where("information > 0")
-    share = F.col("pmi") / F.col("information")
-    return told.where(share >= GENERALISE).select("value", "term", (share >= REMOVE).alias("removed"))
+    held = spans.select("h", "kind", F.col("m").alias("value")).distinct()
+    # entities of a kind in the very same texts have the same counts: one class stands for them
+    group = ["kind", "n_entity", "a", "b"]
+    counts = held.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity"), F.bit_xor("h").alias("a"),
+                                               F.bit_xor(F.xxhash64("h")).alias("b"))
+    classes = shared.written(held.join(counts, ["kind", "value"]).select("h", *group).distinct(), "classes")
+    kinds = classes.groupBy("h", "kind").agg(F.max("n_entity").alias("most"))
+    pooled = F.broadcast(kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n_kind"), F.max("most").alias("most_of_kind")))  # four rows
+
+    def possible(most):  # no share of GENERALISE is reached beyond, whatever the other counts are
+        return F.expr(f"(least({most}, n_term) + {PRIOR}D) / (n_term + {PRIOR}D) >= pow({most} / {float(n)}D, {1 - GENERALISE}D) - 1e-9D")
+
+    terms = words.select("h", "term").distinct().join(kinds, "h")
+    told = terms.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("n_both_kind")).join(_text_counts(docs, matches), "term", "left") \
+        .withColumn("n_term", F.greatest(F.coalesce("n_term", F.lit(0)), "n_both_kind")).join(pooled, "kind").where(possible("most_of_kind"))
+    pairs = shared.written(terms.join(told, ["term", "kind"]).where(possible("most")).drop("most", "most_of_kind")
+                           .join(classes, ["h", "kind"]).where(possible("n_entity")), "pairs")
+    own = F.expr(f"n_entity / {float(n)}D")
+    of_kind = F.expr(f"(n_both_kind + {PRIOR}D * n_kind / {float(n)}D) / (n_term + {PRIOR}D)")
+    p = (F.col("n_both") + PRIOR * of_kind * F.col("n_entity") / F.col("n_kind")) / (F.col("n_term") + PRIOR)
+    share = F.log2(p / own) / -F.log2(own)
+    judged = pairs.groupBy(*group, "term", "n_term", "n_both_kind", "n_kind").agg(F.count(F.lit(1)).alias("n_both")) \
+        .where(own < 1).withColumn("share", share).where(F.col("share") >= GENERALISE)
+    return pairs.select("h", *group, "term").join(judged.select(*group, "term", "share"), [*group, "term"]) \
+        .groupBy("h", "term").agg((F.max("share") >= REMOVE).alias("removed"))
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
@@ -142,17 +163,16 @@ def find_spans(docs: DataFrame) -> DataFrame:
     placed = matches.where("m IS NOT NULL").withColumn("end", F.sum(F.col("gap") + F.char_length("m")).over(each)) \
         .withColumn("start", F.col("end") - F.char_length("m")).where(F.expr(_valid()))
     spans = shared.written(placed.select("rid", "h", "kind", "start", "end", "m", "before", "after"), "spans")
-    terms = shared.written(_terms(spans), "terms")
-    added = terms.join(disclosing(docs, matches, terms), ["value", "term"]) \
-        .groupBy("rid", "start", "end").agg(F.max("removed").alias("removed"))
+    words = shared.written(_words(docs, spans), "words")
     span = "struct<kind:int,start:bigint,end:bigint,removed:boolean>"
+    added = words.join(disclosing(docs, matches, spans, words), ["h", "term"]).groupBy("h").agg(F.collect_list(
+        F.struct(F.lit(KINDS.index(TERM)).alias("kind"), "start", "end", "removed").cast(span)).alias("added"))
     every = matches.select("rid", "doc_id", "h", F.lit(None).cast(span).alias("span")).distinct().unionByName(
         spans.select("rid", F.lit(None).cast("long").alias("doc_id"), "h",
-                     F.struct("kind", "start", "end", F.lit(False).alias("removed")).cast(span).alias("span"))).unionByName(
-        added.select("rid", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("h"),
-                     F.struct(F.lit(KINDS.index(TERM)).alias("kind"), "start", "end", "removed").cast(span).alias("span")))
-    return every.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("h").alias("h"),
-                                    F.sort_array(F.collect_list("span")).alias("spans"))
+                     F.struct("kind", "start", "end", F.lit(False).alias("removed")).cast(span).alias("span")))
+    return every.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("h").alias("h"), F.collect_list("span").alias("spans")) \
+        .join(added, "h", "left") \
+        .select("rid", "doc_id", "h", F.sort_array(F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.concat("spans", "added"))).alias("spans"))
 
 
 def listed(spans: str, where: str = "true"):

@@ -100,3 +100,28 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, *_ in own) for x, _ in RULES]
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_entities_of_one_or_two_texts(spark):
+    """The estimate against brute force; terms far from the entity, with digits, short, at every place of the text."""
+    import math
+    filler = " ".join(f"fill{i}" for i in range(30))
+    texts = [f"Zorblax7 {filler} pay ann@corp.example today {filler} zorblax7 Q9", f"Vextrum {filler} bob@corp.example today", f"vextrum again {filler} bob@corp.example"]
+    texts += [f"today {filler} no {i % 500}" for i in range(1500)]
+    docs = table(spark, texts)
+    got = {r.doc_id: {(s.start, s.end, s.removed) for s in r.spans if s.kind == 4} for r in check(spark, docs)}
+    held = {r.text: set(re.findall(r"\w+", re.sub(r"\S+@\S+", " ", r.text.lower()))) for r in docs.collect()}
+    n, b = len(held), pii.PRIOR
+    for i, who in ((0, "ann@"), (1, "bob@"), (2, "bob@")):
+        want, n_e, n_k = set(), sum(who in t for t in held), sum("@" in t for t in held)
+        for m in re.finditer(r"\w+", re.sub(r"\S+@\S+", lambda x: " " * len(x[0]), texts[i].lower())):
+            mine = [t for t in held if m[0] in re.findall(r"\w+", t.lower())]
+            of_kind = (sum("@" in t for t in mine) + b * n_k / n) / (len(mine) + b)
+            p = (sum(who in t for t in mine) + b * of_kind * n_e / n_k) / (len(mine) + b)
+            share = math.log2(p * n / n_e) / math.log2(n / n_e)
+            want |= {(m.start(), m.end(), share >= pii.REMOVE)} if share >= pii.GENERALISE else set()
+        assert got[i] == want
+    words = {i: {texts[i][a:z] for a, z, _ in got[i]} for i in range(3)}
+    assert {"Zorblax7", "zorblax7", "Q9"} <= words[0] and "Vextrum" in words[1] and "vextrum" in words[2]
+    assert not any("fill" in w or w == "today" for i in words for w in words[i])
+    assert not any(got[i] for i in range(3, len(texts)))
