@@ -37,7 +37,6 @@ PATTERNS = {
 HINTS = {EMAIL: "@", IP: r"[0-9]\.[0-9]++\.[0-9]", CARD: r"[0-9](?:[\x20-]?[0-9]){15}", PHONE: r"\+[0-9]"}
 TERM = "term"
 KINDS = [EMAIL, IP, CARD, PHONE, TERM]
-REACH = 60
 GENERALISE, REMOVE = 0.8, 0.95
 #: Texts that the estimate by kind counts for beside the texts of a term.
 PRIOR = 2.5
@@ -69,10 +68,9 @@ def _hint(kind: str) -> str:
 
 
 def _matches(docs: DataFrame) -> DataFrame:
-    """``rid, doc_id, h, kind, idx, gap, m, before, after``: a row per pattern match, or one of nulls per text without any.
+    """``rid, doc_id, h, kind, idx, gap, m``: a row per pattern match, or one of nulls per text without any.
 
-    ``gap``: code points between the match before it and this one; ``before`` / ``after``: up to ``REACH`` of them at
-    either side. The texts are read once, here; ``rid`` is unique.
+    ``gap``: code points between the match before it and this one. The texts are read once, here; ``rid`` is unique.
     """
     found = shared.texts(docs).withColumns({"rid": F.monotonically_increasing_id(), "h": F.xxhash64("text")})
     for k, (kind, pattern) in enumerate(PATTERNS.items()):
@@ -80,11 +78,9 @@ def _matches(docs: DataFrame) -> DataFrame:
         found = found.withColumns({
             f"m{k}": F.expr(f"CASE WHEN {hint} THEN regexp_extract_all(text, {_sql(pattern)}, 0) END"),
             f"g{k}": F.expr(f"CASE WHEN {hint} THEN split(text, {_sql(pattern)}, -1) END")})
-    found = found.withColumns({f"n{k}": F.expr(f"slice(g{k}, 2, size(g{k}))") for k in range(4)})
-    one = ("struct({k} AS kind, i AS idx, char_length(z.g{k}) AS gap, z.m{k} AS m, "
-           "right(z.g{k}, {r}) AS before, left(z.n{k}, {r}) AS after)")
-    kinds = ", ".join(f"coalesce(transform(filter(arrays_zip(m{k}, g{k}, n{k}), z -> z.m{k} IS NOT NULL), "
-                      f"(z, i) -> {one.format(k=k, r=REACH)}), array())" for k in range(4))
+    one = "struct({k} AS kind, i AS idx, char_length(z.g{k}) AS gap, z.m{k} AS m)"
+    kinds = ", ".join(f"coalesce(transform(filter(arrays_zip(m{k}, g{k}), z -> z.m{k} IS NOT NULL), "
+                      f"(z, i) -> {one.format(k=k)}), array())" for k in range(4))
     return shared.written(found.select("rid", "doc_id", "h", F.expr(f"inline_outer(concat({kinds}))")), "matches")
 
 
@@ -162,7 +158,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     each = Window.partitionBy("rid", "kind").orderBy("idx")
     placed = matches.where("m IS NOT NULL").withColumn("end", F.sum(F.col("gap") + F.char_length("m")).over(each)) \
         .withColumn("start", F.col("end") - F.char_length("m")).where(F.expr(_valid()))
-    spans = shared.written(placed.select("rid", "h", "kind", "start", "end", "m", "before", "after"), "spans")
+    spans = shared.written(placed.select("rid", "h", "kind", "start", "end", "m"), "spans")
     words = shared.written(_words(docs, spans), "words")
     span = "struct<kind:int,start:bigint,end:bigint,removed:boolean>"
     added = words.join(disclosing(docs, matches, spans, words), ["h", "term"]).groupBy("h").agg(F.collect_list(

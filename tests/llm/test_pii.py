@@ -125,3 +125,12 @@ def test_entities_of_one_or_two_texts(spark):
     assert {"Zorblax7", "zorblax7", "Q9"} <= words[0] and "Vextrum" in words[1] and "vextrum" in words[2]
     assert not any("fill" in w or w == "today" for i in words for w in words[i])
     assert not any(got[i] for i in range(3, len(texts)))
+
+
+def test_other_matches_cut_no_context(spark):
+    """Numbers that are no card, and other entities, hide no term from an entity; words within entities are no terms."""
+    own = ["Zorblax paid 2024 by card 4111 1111 1111 1111 on 12 May 1999", "Quuxby x@y.example, z@y.example, +49 30 1234567 or 1.2.3.400"]
+    got = {r.doc_id: r for r in check(spark, table(spark, [*own, *(f"paid by card on 12 May 1999, or in 2024 {i}" for i in range(1500))]))}
+    terms = {i: {own[i][s.start:s.end] for s in got[i].spans if s.kind == 4} for i in range(2)}
+    assert "Zorblax" in terms[0] and "Quuxby" in terms[1]
+    assert not terms[0] & {"paid", "2024", "card", "4111", "1999"} and not terms[1] & {"x", "y", "z", "example", "49", "30"}
