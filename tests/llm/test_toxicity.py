@@ -64,3 +64,24 @@ def test_non_negative_risk_prefers_the_planted_feature():
 
     assert np.mean([score(s) > 0.5 for s in pos]) > 0.95
     assert np.mean([score(s) > 0.5 for i, s in enumerate(unl) if i % 10]) < 0.05
+
+
+def test_rare_toxic_word_beyond_the_samples(spark, monkeypatch):
+    """Features are counted over all learning rows: a word that hardly any sampled document holds is learned all the same."""
+    monkeypatch.setattr(toxicity, "POSITIVES", 12)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 36)
+    rare = lambda i: i % 200 == 0
+    texts = [f"plain {'abcdefgh'[i % 8] * 3} words" + (" vrxq" if rare(i) else " zkwth" if i % 10 == 0 else "") for i in range(4000)]
+    docs = table(spark, texts)
+    marks = labels(spark, [(i, int(i % 10 == 0)) for i in range(4000)])
+    rows = docs.select("doc_id", "text", (docs.doc_id % 10 == 0).alias("toxic"))
+    counts = {r.feature: (r.p, r.u) for r in toxicity.feature_counts(rows).collect()}
+    want = {}
+    for t, i in zip(texts, range(4000)):
+        for f in toxicity._feature_sets([t])[0].tolist():
+            p, u = want.get(f, (0, 0))
+            want[f] = (p + (i % 10 == 0), u + 1)
+    assert counts == want
+    model = toxicity.train(docs, marks)
+    got = {r.doc_id: r.score for r in toxicity.score(table(spark, ["plain vrxq words", "plain zkwth words", "plain aaa words"]), model).collect()}
+    assert got[0] >= 0.5 and got[1] >= 0.5 and got[2] < 0.5
