@@ -3,8 +3,9 @@
 A text's letters (white space and all else as one space) give character trigrams, hashed to ``DIMS`` counts; the vector
 is ``ln(1 + tf) * idf``, normalised. Document frequencies come from all learning documents. Spherical k-means on a
 bounded sample finds several centroids per language; a text gets the language of the centroid with the
-highest cosine. It is rejected if its distance to that centroid is far beyond those of the sample's texts with about as
-many different trigrams (short texts lie further off): its cosine is under ``SLACK`` times their ``LOW`` quantile.
+highest cosine. It is rejected if its distance to that centroid is far beyond those of the learning texts (all of them) with about
+as many different trigrams: its cosine is under ``SLACK`` times their ``LOW`` quantile, ``SHORT_SLACK`` times for texts of a class below
+``LONG``, which lie further off.
 
 Null text, and text without a letter, is ``und`` with score 0 and rejected. Learning rows without text or ``lang`` are
 ignored. Without any learning row everything is ``und``. Rows that repeat a ``doc_id`` are judged one by one. An
@@ -25,7 +26,9 @@ DIMS = 8_192
 #: Bound of the clustering sample (expected number of documents, shared by the languages) and centroids per language.
 SAMPLE_DOCS, CENTROIDS, ROUNDS = 1_600, 4, 12
 #: Share of a low quantile of comparable learning texts' cosines under which a text is rejected; their classes by size.
-SLACK, LOW, SIZES = 0.15, 0.02, 14
+SLACK, SHORT_SLACK, LOW, SIZES = 0.5, 0.15, 0.02, 14
+#: Class from which a text counts as long (63 different trigrams), and the bins in which cosines are counted.
+LONG, BINS = 6, 2_000
 UNKNOWN = "und"
 
 _A, _B, _C = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
@@ -95,6 +98,24 @@ def _size(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(1 + (counts > 0).sum(1)).astype(int), SIZES - 1)
 
 
+def _cosines(docs: DataFrame, centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """How many texts of ``docs`` (text) are in each size class and bin of the cosine to the nearest centroid."""
+    def partial(batches):
+        out = np.zeros(SIZES * (BINS + 1), np.int64)
+        for b in batches:
+            for _, counts in trigram_counts(b["text"].to_pylist()):
+                some = counts[counts.sum(1) > 0]
+                top = (vectors(some, idf) @ centroids.T).max(1, initial=0)
+                out += np.bincount(_size(some) * (BINS + 1) + np.minimum(top * BINS, BINS).astype(int), minlength=len(out))
+        at = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["at", "n"])
+
+    out = np.zeros(SIZES * (BINS + 1), np.int64)
+    for r in docs.select("text").mapInArrow(partial, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r.n
+    return out.reshape(SIZES, BINS + 1)
+
+
 def train(docs: DataFrame):
     """The model of learning rows ``docs`` (doc_id, text, lang): ``(languages, centroid language, centroids, idf, floors)``."""
     docs = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
@@ -128,15 +149,13 @@ def train(docs: DataFrame):
     if not owner:
         return [], np.zeros(0, int), np.zeros((0, DIMS), np.float32), idf, np.zeros(SIZES)
     centroids = np.vstack(centroids).astype(np.float32)
-    size, cosine = np.zeros(0, int), np.zeros(0)
-    for a in range(0, len(counts), 256):
-        part = counts[a:a + 256][counts[a:a + 256].sum(1) > 0].astype(np.float32)
-        size = np.append(size, _size(part))
-        cosine = np.append(cosine, (vectors(part, idf) @ centroids.T).max(1, initial=0))
-    floors = np.zeros(SIZES)
+    near, floors = _cosines(docs, centroids, idf), np.zeros(SIZES)
     for k in range(SIZES):  # with the neighbouring classes; one without texts has the floor of the one before it
-        near = cosine[np.abs(size - k) <= 1]
-        floors[k] = SLACK * np.quantile(near, LOW) if len(near) else floors[k - 1] if k else 0
+        below = np.cumsum(near[max(k - 1, 0):k + 2].sum(0))
+        if below[-1]:
+            floors[k] = (SLACK if k >= LONG else SHORT_SLACK) * np.searchsorted(below, max(LOW * below[-1], 1)) / BINS
+        elif k:
+            floors[k] = floors[k - 1]
     return names, np.array(owner), centroids, idf, floors
 
 

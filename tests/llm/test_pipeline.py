@@ -117,3 +117,15 @@ def test_trigrams_of_long_texts_add_up(monkeypatch):
     for r, c in language.trigram_counts(texts):
         got[r] += c
     assert (got == want).all()
+
+
+def test_language_rejects_junk_and_left_out_languages(spark):
+    """Long texts: lettered junk and a language not learned are rejected, learned ones are not."""
+    rng = np.random.default_rng(0)
+    junk = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(n)) for n in (30, 100, 300)]
+    docs = corpus(spark, "sf0.01")
+    model = language.train(docs.where("lang <> 'de'"))
+    assert all(r["__rejected"] for r in language.identify(table(spark, junk), model).collect())
+    out = {r.german: r.share for r in language.identify(docs.where("length(text) > 400"), model).groupBy((F.col("lang") == "de").alias("german"))
+           .agg(F.avg(F.col("__rejected").cast("int")).alias("share")).collect()}
+    assert out[True] > 0.9 and out[False] < 0.02
