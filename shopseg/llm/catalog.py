@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopseg.llm import decontaminate, language, linededup, minhash, packing, pii, shared, sharding, simhash, token_ids, toxicity
+from shopseg.llm import (collocations, curriculum, decontaminate, divergence, language, linededup, minhash, packing, pii, shared,
+                         sharding, simhash, token_ids, toxicity)
 
 
 def op1_token_ids(spark, sf_dir):
@@ -77,6 +78,20 @@ def op10_line_dedup(spark, sf_dir):
                       F.sha2(F.encode("__kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(shared.documents(spark, sf_dir), least=30, longest=4, share=80, top=2000)
+
+
+def op12_curriculum(spark, sf_dir):
+    out = curriculum.mixed(shared.documents(spark, sf_dir), share=1.5, most=2)
+    # documents that the mix never takes come first, at -1
+    return out.na.fill(-1, ["at", "time"]).repartitionByRange("time").sortWithinPartitions("time")
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(shared.documents(spark, sf_dir), least_docs=3, top=200)
+
+
 #: A-Z lowered and nothing else.
 SQL_LOWER = f"translate({{}}, '{shared.UPPER}', '{shared.LOWER}')"
 
@@ -126,6 +141,105 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """
 
+SQL_COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+         unnest(regexp_split_to_array({SQL_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase FROM (
+    SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s
+    FROM worded, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT lang, k, phrase, w, a, unnest(generate_series(1, k - 1)) AS j FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.j, l.f AS l, r.f AS r, (2000000 * c.a) // (l.f + r.f) AS score FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1 : c.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[s : s + m - 1], ' ') AS phrase, max(a) AS longer FROM (
+    SELECT lang, w, a, m, unnest(generate_series(1, k - m + 1)) AS s FROM (
+      SELECT lang, k, w, a, unnest(generate_series(2, k - 1)) AS m FROM candidates WHERE k > 2)) GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT r.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked r JOIN n ON r.lang = n.lang WHERE rank <= 2000
+"""
+
+SQL_CURRICULUM = """
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5(CAST(doc_id AS VARCHAR)) AS draw
+  FROM documents),
+sources AS (
+  SELECT source, source_size, [5.0::DOUBLE, 2.0, 1.0][place % 3 + 1] AS weight, [7.5::DOUBLE, 2.0, 0.5][place % 3 + 1] AS w0,
+         [-5.0::DOUBLE, 0.0, 1.0][place % 3 + 1] AS slope, place, 2 * source_size AS cap
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place
+        FROM sized GROUP BY source)),
+filling AS (
+  SELECT *, cap / weight AS full_at,
+         ((SELECT sum(source_size) * 1.5::DOUBLE FROM sources) - coalesce(sum(cap) OVER before, 0))
+         / ((SELECT sum(weight) FROM sources) - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM sources WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT level FROM filling WHERE level <= full_at ORDER BY full_at, place LIMIT 1),
+targets AS (
+  SELECT source, source_size, weight, w0, slope, least(CAST(cap AS DOUBLE), weight * coalesce((SELECT level FROM level), 'inf')) AS target
+  FROM sources),
+placed AS (
+  SELECT s.*, t.* EXCLUDE (source), coalesce(sum(size) OVER (
+    PARTITION BY s.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - start - copy * source_size)) AS words
+  FROM placed, (SELECT unnest([0, 1]) AS copy)),
+demands AS (
+  SELECT *, (CAST(start + copy * source_size AS DOUBLE) + words / 2.0::DOUBLE) / target * weight AS y FROM copies WHERE words > 0),
+timed AS (
+  SELECT *, least(1.0::DOUBLE, 2 * y / (w0 + sqrt(greatest(w0 * w0 + 2 * slope * y, 0.0::DOUBLE)))) AS time FROM demands),
+numbered AS (SELECT *, row_number() OVER (ORDER BY time, draw, copy) - 1 AS at FROM timed)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       CAST((SELECT sum(words) FROM copies c WHERE c.doc_id = p.doc_id) AS BIGINT) AS taken,
+       coalesce(n.time, -1.0::DOUBLE) AS time, coalesce(n.at, -1) AS at
+FROM placed p LEFT JOIN numbered n ON n.doc_id = p.doc_id AND n.copy = 0
+"""
+
+SQL_DIVERGENCE = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+terms AS (SELECT lang, source, doc_id, unnest(w) AS term FROM docs),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM terms GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+own AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, l.n AS n_lang, coalesce(s.n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs l ON g.lang = l.lang
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM own GROUP BY ALL) s ON g.lang = s.lang AND g.source = s.source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 1)) // (g.n + v) AS p,
+         1 + (1000000000 * (total + 1)) // (n_lang + v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, (
+    SELECT coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+priced AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM priced)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_language": op2_language,
@@ -137,9 +251,15 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_curriculum": op12_curriculum,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE_SQL = {
     "op8_decontamination": SQL_DECONTAMINATION,
     "op10_line_dedup": SQL_LINE_DEDUP,
+    "op11_collocations": SQL_COLLOCATIONS,
+    "op12_curriculum": SQL_CURRICULUM,
+    "op13_divergence": SQL_DIVERGENCE,
 }
