@@ -42,8 +42,9 @@ def document_pieces(docs: DataFrame, capacity: int, tokenizer: str | None = None
         enc = tokens.encoder(tokenizer)
         for b in batches:
             out = []
-            for i, t in zip(b["doc_id"].to_pylist(), b["text"]):
-                ids = enc.encode(t.as_py() or "") + end
+            texts = [t or b"" for t in b["text"].cast(pa.binary()).to_pylist()]
+            for i, encoded in zip(b["doc_id"].to_pylist(), enc.encode_all(texts)):
+                ids = encoded.tobytes() + end
                 n = len(ids) // 4
                 first = n % capacity or min(n, capacity)
                 cuts = [0, *range(first, n + 1, capacity)]

@@ -42,19 +42,27 @@ READ = "doc_id long, part int, start long, n_tokens long, ids_crc32 long"
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
-    """Dictionary bytes from a bounded, hash-chosen sample (empty if the sample holds nothing)."""
+    """Dictionary bytes from a bounded, hash-chosen sample (empty if the sample holds nothing).
+
+    Of a long document the sample holds ``SAMPLE_IDS`` ids from a place drawn by the text's checksum.
+    """
     n = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(n, 1))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    drawn = docs.withColumn("draw", F.xxhash64("doc_id", "text")) \
+        .where(F.pmod("draw", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    sample = drawn.dropDuplicates(["draw"]).select("text")  # rows that repeat a document count once
 
     def serialized(batches):
         enc = tokens.encoder(tokenizer)
         for b in batches:
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([
-                _serialize(enc.encode(t or ""), end_id, width)[: SAMPLE_IDS * width] for t in b["text"].to_pylist()],
-                pa.binary())})
-
-    samples = [bytes(r.ids) for r in sample.select("text").mapInArrow(serialized, "ids binary").limit(2 * SAMPLE_DOCS).collect()]
+            texts = _bytes(b["text"])
+            out = []
+            for t, ids in zip(texts, enc.encode_all(texts)):
+                at = zlib.crc32(t) % max(len(ids) + 2 - SAMPLE_IDS, 1)
+                out.append(_serialize(ids, end_id, width)[at * width:(at + SAMPLE_IDS) * width])
+            yield pa.RecordBatch.from_pydict({"ids": pa.array(out, pa.binary())})
+
+    samples = [bytes(r.ids) for r in sample.mapInArrow(serialized, "ids binary").collect()]
     if not samples:
         return b""
     try:
@@ -63,9 +71,13 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def _serialize(ids: bytes, end_id: int, width: int) -> bytes:
-    a = np.frombuffer(ids, "<u4")
-    return np.append(a, np.uint32(end_id)).astype("<u2" if width == 2 else "<u4").tobytes()
+def _bytes(texts: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of each text, null as empty."""
+    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+
+
+def _serialize(ids: np.ndarray, end_id: int, width: int) -> bytes:
+    return ids.astype("<u2" if width == 2 else "<u4").tobytes() + end_id.to_bytes(width, "little")
 
 
 def _dictionary(data: bytes):
@@ -99,11 +111,11 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str | None = None, en
                 "ends": pa.array([ends], pa.list_(pa.int64())), "payload": pa.array([b"".join(frames)], pa.binary())})
 
         for b in batches:
-            for i, t in zip(b["doc_id"], b["text"]):
-                raw = _serialize(enc.encode(t.as_py() or ""), end_id, width)
+            for i, encoded in zip(b["doc_id"].to_pylist(), enc.encode_all(_bytes(b["text"]))):
+                raw = _serialize(encoded, end_id, width)
                 frame = squeeze.compress(raw)
                 size += len(frame)
-                ids.append(i.as_py())
+                ids.append(i)
                 counts.append(len(raw) // width)
                 ends.append(size)
                 frames.append(frame)
