@@ -35,7 +35,7 @@ BLOCK, HELD = 6 << 20, 24 << 20
 SPAN = 1 << 17
 SCALE = 1_000_000_000
 
-COUNTS = "lang string, source string, terms array<string>, n array<long>, docs array<long>"
+COUNTS = "lang string, source string, term string, n long, docs long"
 
 
 # ---------------------------------------------------------------------------
@@ -60,8 +60,12 @@ def _long_counts(text: bytes, kinds: np.ndarray):
     return pa.array(total.keys(), pa.binary()), np.fromiter(total.values(), np.int64, len(total)), np.ones(len(total), np.int64)
 
 
-def block_counts(docs: DataFrame) -> DataFrame:
-    """``COUNTS`` rows, several per group; a group without terms has a row with empty arrays."""
+def _rows(value: str, n: int) -> pa.Array:
+    return pa.DictionaryArray.from_arrays(np.zeros(n, np.int32), pa.array([value], pa.string())).cast(pa.string())
+
+
+def group_counts(docs: DataFrame) -> DataFrame:
+    """``lang, source, term, n, docs``: occurrences and documents of each group's terms; every group has a row without a term."""
     kinds = words.byte_kinds(GAPS, b"")
 
     def counted(batches):
@@ -72,13 +76,13 @@ def block_counts(docs: DataFrame) -> DataFrame:
                 parts.append(_cut_counts([t for t in texts if len(t) <= BLOCK], kinds))
             for terms, n, holders in parts:
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang], pa.string()), "source": pa.array([source], pa.string()),
-                    "terms": pa.ListArray.from_arrays([0, len(terms)], terms.view(pa.string())),
-                    "n": pa.ListArray.from_arrays([0, len(terms)], pa.array(n, pa.int64())),
-                    "docs": pa.ListArray.from_arrays([0, len(terms)], pa.array(holders, pa.int64()))})
+                    "lang": _rows(lang, len(terms) + 1), "source": _rows(source, len(terms) + 1),
+                    "term": pa.concat_arrays([terms.view(pa.string()), pa.nulls(1, pa.string())]),
+                    "n": pa.array(np.append(n, 0), pa.int64()), "docs": pa.array(np.append(holders, 0), pa.int64())})
 
     own = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    return shared.written(own.mapInArrow(counted, COUNTS), "block-counts")
+    summed = own.mapInArrow(counted, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return shared.written(summed, "group-counts")
 
 
 class Counts:
@@ -89,10 +93,8 @@ class Counts:
     """
 
     def __init__(self, docs: DataFrame, least_docs: int):
-        blocks = block_counts(docs)
-        each = blocks.select("lang", "source", F.explode(F.arrays_zip("terms", "n", "docs")).alias("t"))
-        counts = shared.written(each.groupBy("lang", "source", F.col("t.terms").alias("term")).agg(
-            F.sum("t.n").alias("n"), F.sum("t.docs").alias("docs")), "group-counts")
+        every = group_counts(docs)
+        counts = every.where(F.col("term").isNotNull())
         kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")) \
             .where(F.col("docs") >= least_docs).select("lang", "term", "total")
         kept = shared.written(numbered(kept, ["lang", "term"], "id", by=["lang"]), "kept")
@@ -101,7 +103,7 @@ class Counts:
         sums = self.own.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
         zero = F.lit(0).cast("long")
         self.groups = shared.written(
-            blocks.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left").select(
+            every.where(F.col("term").isNull()).join(sums, ["lang", "source"], "left").join(langs, "lang", "left").select(
                 "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("n_group", "n_lang", "v")]), "groups")
 
 

@@ -86,7 +86,10 @@ def gathered(batches, key_of, size: int, held: int, ends: re.Pattern | None = No
                 if sizes[key] >= size:
                     total -= sizes.pop(key)
                     yield key, waiting.pop(key)
-            if total >= held:
-                yield from waiting.items()
-                waiting, sizes, total = {}, {}, 0
+            if total >= held:  # the largest go, down to half; small ones wait for more of theirs
+                for k in sorted(sizes, key=sizes.get, reverse=True):
+                    if total < held // 2:
+                        break
+                    total -= sizes.pop(k)
+                    yield k, waiting.pop(k)
     yield from waiting.items()
