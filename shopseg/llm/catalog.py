@@ -85,7 +85,7 @@ def op11_collocations(spark, sf_dir):
 def op12_curriculum(spark, sf_dir):
     out = curriculum.mixed(shared.documents(spark, sf_dir), share=1.5, most=2)
     # documents that the mix never takes come first, at -1
-    return out.na.fill(-1, ["at", "time"]).repartitionByRange("time").sortWithinPartitions("time")
+    return out.na.fill(-1, ["at", "time"]).repartitionByRange("time", "at", "doc_id").sortWithinPartitions("time", "at", "doc_id")
 
 
 def op13_divergence(spark, sf_dir):
