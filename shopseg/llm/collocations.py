@@ -39,7 +39,9 @@ from shopseg.llm import arrays, doublearray, shared, words
 GAPS, ENDS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _END = re.compile(rb"[.,;:!?\n-\r]")
 #: Bytes of text in a block, and bytes of text a task holds back for all languages together.
-BLOCK, HELD = 6 << 20, 24 << 20
+BLOCK, HELD = 2 << 20, 12 << 20
+#: Row groups of the blocks' files: a reader holds one at a time.
+ROW_GROUP = {"parquet.block.size": 8 << 20}
 #: Candidates of one trie, and of all tries broadcast at once.
 SHARD, ROUND = 500_000, 2_000_000
 #: Bits of a bitmap.
@@ -71,7 +73,7 @@ def _blocks(docs: DataFrame, seed: int) -> DataFrame:
                 "counts": pa.ListArray.from_arrays([0, len(hashes)], pa.array(c.counts()))})
 
     own = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return shared.written(own.mapInArrow(cut, BLOCKS), "blocks")
+    return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
 
 
 def _words(blocks: DataFrame) -> DataFrame:
@@ -231,7 +233,10 @@ def _candidates(blocks: DataFrame, k: int, frequent: list[Bits], least: int, siz
                 **{w: pa.array(raw[numbers[at + j] - 1]) for j, w in enumerate(names)}})
 
     schema = "lang string, gram long, " + ", ".join(f"{w} long" for w in names)
-    return shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}"), filled
+    out = shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}")
+    known.destroy()
+    full.destroy()
+    return out, filled
 
 
 TRIES = "lang string, shard int, phrases long, symbols binary, paths binary, base binary, check binary, accept binary, width int"
@@ -266,8 +271,8 @@ class _Trie:
         return np.concatenate([np.zeros(1, np.int64), np.where(self.symbols[at] == hashes, at + 1, 0)])
 
 
-def _counted(blocks: DataFrame, tries: list, k: int, shards: int, frequent: list[Bits], filled: Bits) -> DataFrame:
-    """``lang, w1 .., f`` of the phrases in ``tries`` (collected rows of one round): per-task counts, summed."""
+def _counted(blocks: DataFrame, tries: list, k: int, shards: int, frequent: list[Bits], filled: Bits, least: int) -> DataFrame:
+    """``lang, w, f`` of the frequent phrases in ``tries`` (collected rows of one round): per-task counts, summed."""
     sc = blocks.sparkSession.sparkContext
     sent = sc.broadcast(({(r.lang, r.shard): _Trie(r, k) for r in tries}, frequent, filled))
     langs = sorted({r.lang for r in tries})
@@ -296,7 +301,10 @@ def _counted(blocks: DataFrame, tries: list, k: int, shards: int, frequent: list
 
     schema = "lang string, " + ", ".join(f"{w} long" for w in names) + ", n long"
     own = blocks.where(F.col("lang").isin(langs)).select("lang", "numbers", "hashes")
-    return own.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("f"))
+    summed = own.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    out = shared.written(summed.select("lang", F.array(*names).alias("w"), "f"), f"phrases{k}")
+    sent.destroy()
+    return out
 
 
 def _level(blocks: DataFrame, k: int, frequent: list[Bits], least: int, size: int) -> DataFrame:
@@ -312,13 +320,10 @@ def _level(blocks: DataFrame, k: int, frequent: list[Bits], least: int, size: in
             held = 0
         rounds[-1].append((r.lang, r.shard))
         held += r.phrases
-    names = [f"w{j + 1}" for j in range(k)]
     out = None
     for own in rounds:
         keys = spark.createDataFrame(own, "lang string, shard int")
-        part = _counted(blocks, tries.join(F.broadcast(keys), ["lang", "shard"]).collect(), k, shards, frequent, filled) \
-            .where(F.col("f") >= least).select("lang", F.array(*names).alias("w"), "f")
-        part = shared.written(part, f"phrases{k}")
+        part = _counted(blocks, tries.join(F.broadcast(keys), ["lang", "shard"]).collect(), k, shards, frequent, filled, least)
         out = part if out is None else out.unionByName(part)
     return out
 

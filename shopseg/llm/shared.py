@@ -23,13 +23,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Cut lineage: ``df`` written as Parquet to the shared folder and read again.
 
-    The files survive the loss of any executor, and nothing upstream runs twice.
+    The files survive the loss of any executor, and nothing upstream runs twice. ``options``: of the writer.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
