@@ -140,5 +140,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack:
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the documents that hold any window."""
     matches, _, _ = phrase_matches(docs, benchmark, width, slack=0)
-    bad = matches.where("kind = 'exact'").select("__id", "__h").distinct()
-    return shared.keyed(docs).join(_small(shared.written(bad, "contaminated")), ["__id", "__h"], "left_anti").select(*docs.columns)
+    key = shared.spare(docs, "__id", "__h")
+    bad = matches.where("kind = 'exact'").select("__id", "__h").distinct().toDF(*key)
+    return shared.keyed(docs, *key).join(_small(shared.written(bad, "contaminated")), key, "left_anti").select(*docs.columns)

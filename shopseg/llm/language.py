@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from shopseg.llm import shared
 from shopseg.llm.arrays import chunks, letters
 
 DIMS = 8_192
@@ -176,15 +177,25 @@ def _judged(batch, model):
     return lang, score, rejected
 
 
+#: Columns that ``identify`` adds.
+ADDED = ("__lang_pred", "__score", "__rejected")
+
+
 def identify(docs: DataFrame, model) -> DataFrame:
-    """``docs`` plus ``__lang_pred`` (nearest language, ``und`` without letters), ``__score`` (cosine) and ``__rejected``."""
+    """``docs`` plus ``ADDED``: nearest language (``und`` without letters; of equally near centroids the first counts),
+    cosine, whether the text is rejected.
+
+    Where ``docs`` has such columns itself, the new ones are called ``shared.spare(docs, *ADDED)``.
+    """
+    added = shared.spare(docs, *ADDED)
+
     def rows(batches):
         for b in batches:
             lang, score, rejected = _judged(b, model)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                [*b.schema.names, "__lang_pred", "__score", "__rejected"])
+                [*b.schema.names, *added])
 
-    schema = StructType([*docs.schema.fields, StructField("__lang_pred", StringType()), StructField("__score", DoubleType()),
-                         StructField("__rejected", BooleanType())])
+    kinds = (StringType(), DoubleType(), BooleanType())
+    schema = StructType([*docs.schema.fields, *(StructField(c, k) for c, k in zip(added, kinds))])
     return docs.mapInArrow(rows, schema)

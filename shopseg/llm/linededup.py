@@ -9,7 +9,8 @@ word, only words with a dropped line. ``apply_bitmaps`` makes texts of it.
 
 Null or empty text is one empty line. Documents with null ``doc_id`` are neither index nor dropped: they
 keep every line. Rows with the same ``doc_id`` are one document as far as "several documents" goes; they
-have a bitmap each (told apart by a hash of the text). An empty table gives no rows.
+have a bitmap each (told apart by a hash of the text). An empty table gives no rows. Extra columns come back
+untouched, whatever their names. A text of any length is split and joined again as a whole.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from shopseg.llm import shared
 #: The white space that a key loses at both ends.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = 64
+#: Columns that ``apply_bitmaps`` adds.
+ADDED = ("__n_lines", "__n_dropped", "__kept")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -74,17 +77,21 @@ def dropped_count(dropped):
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept`` (the text without the dropped lines)."""
-    marked = docs.withColumn("__id", F.col("doc_id").cast("long")) \
-        .withColumn("__hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    b = bitmaps.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("dropped").alias("__dropped"))
-    joined = marked.join(b, ["__id", "__hash"], "left")
+    """``docs`` with the columns ``ADDED``: lines, dropped lines, and the text without the dropped lines.
+
+    Where ``docs`` has such columns itself, the new ones are called ``shared.spare(docs, *ADDED)``.
+    """
+    n_lines, n_dropped, kept_text, own_id, own_hash, bits = shared.spare(docs, *ADDED, "__id", "__hash", "__dropped")
+    marked = docs.withColumn(own_id, F.col("doc_id").cast("long")) \
+        .withColumn(own_hash, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    b = bitmaps.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("dropped").alias(bits))
+    joined = marked.join(b, [own_id, own_hash], "left")
     lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
     # an unset word reads as 0
     kept = F.expr(
         f"filter(split(coalesce(cast(text as string), ''), '\\n'), (x, i) -> "
-        f"shiftright(coalesce(try_element_at(__dropped, cast(i div {WORD} as int)), 0L), i % {WORD}) & 1L = 0L)")
-    kept = F.when(F.col("__dropped").isNull(), F.coalesce(F.col("text").cast("string"), F.lit(""))) \
+        f"shiftright(coalesce(try_element_at({bits}, cast(i div {WORD} as int)), 0L), i % {WORD}) & 1L = 0L)")
+    kept = F.when(F.col(bits).isNull(), F.coalesce(F.col("text").cast("string"), F.lit(""))) \
         .otherwise(F.array_join(kept, "\n"))
-    return joined.withColumns({"__n_lines": F.size(lines).cast("long"), "__n_dropped": dropped_count(F.col("__dropped")),
-                               "__kept": kept}).drop("__id", "__hash", "__dropped")
+    return joined.withColumns({n_lines: F.size(lines).cast("long"), n_dropped: dropped_count(F.col(bits)), kept_text: kept}) \
+        .select(*docs.columns, n_lines, n_dropped, kept_text)

@@ -180,16 +180,17 @@ def listed(spans: str, where: str = "true"):
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of all spans: ``[EMAIL]`` and so on for entities, ``[TERM]`` for a generalised term and
     nothing for a removed one. Overlapping spans become one, named by the first."""
-    spans = find_spans(docs).where("size(spans) > 0").select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("__id"),
-                                                          F.col("h").alias("__h"), F.col("spans").alias("__spans")) \
-        .dropDuplicates(["__id", "__h"])
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-                              "__h": F.xxhash64(F.col("text").cast("string"))})
+    own_id, own_hash, found = shared.spare(docs, "__id", "__h", "__spans")
+    spans = find_spans(docs).where("size(spans) > 0").select(F.coalesce("doc_id", F.lit(0).cast("long")).alias(own_id),
+                                                          F.col("h").alias(own_hash), F.col("spans").alias(found)) \
+        .dropDuplicates([own_id, own_hash])
+    keyed = docs.withColumns({own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+                              own_hash: F.xxhash64(F.col("text").cast("string"))})
     labels = "array(" + ", ".join(f"'[{k.upper()}]'" for k in KINDS) + ")"
-    order = "array_sort(transform(__spans, s -> struct(s.start AS start, s.end AS end, CASE WHEN s.removed THEN '' ELSE {}[s.kind] END AS label)))"
+    order = "array_sort(transform(" + found + ", s -> struct(s.start AS start, s.end AS end, CASE WHEN s.removed THEN '' ELSE {}[s.kind] END AS label)))"
     fold = ("aggregate({}, named_struct('at', 0L, 'out', ''), (a, s) -> CASE WHEN s.start < a.at THEN named_struct('at', greatest(a.at, s.end), 'out', a.out) "
             "ELSE named_struct('at', s.end, 'out', concat(a.out, substring(text, cast(a.at AS int) + 1, cast(s.start - a.at AS int)), s.label)) END, "
             "a -> concat(a.out, substring(text, cast(a.at AS int) + 1)))").format(order.format(labels))
-    joined = keyed.join(spans, ["__id", "__h"], "left")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.expr(fold))
+    joined = keyed.join(spans, [own_id, own_hash], "left")
+    text = F.when(F.col(found).isNull(), F.col("text")).otherwise(F.expr(fold))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -38,10 +38,21 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``__id`` and ``__h``, which tell documents apart even where ``doc_id`` is null or repeated."""
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-                             "__h": F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))})
+def spare(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``docs`` is called so."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def keyed(docs: DataFrame, id_name: str = "__id", hash_name: str = "__h") -> DataFrame:
+    """``docs`` plus two columns that tell documents apart even where ``doc_id`` is null or repeated."""
+    return docs.withColumns({id_name: F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+                             hash_name: F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))})
 
 
 def lower_ascii(col):

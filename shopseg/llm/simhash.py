@@ -172,8 +172,10 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     of the least hash of the text. A group of rows without ``doc_id`` keeps one, too."""
     classes = _with_classes(shared.written(fingerprints(docs, shingle), "fingerprints"), distance)
     order = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "__h", "__id"))
-    kept = classes.groupBy("class_fp").agg(order.alias("first")).select("first.__id", "first.__h")
-    return shared.keyed(docs).join(kept, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"]).select(*docs.columns)
+    key = shared.spare(docs, "__id", "__h")
+    kept = classes.groupBy("class_fp").agg(order.alias("first")) \
+        .select(F.col("first.__id").alias(key[0]), F.col("first.__h").alias(key[1]))
+    return shared.keyed(docs, *key).join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
 def _with_classes(fps: DataFrame, distance: int) -> DataFrame:
