@@ -17,14 +17,15 @@ SHINGLE, DISTANCE, WINDOW, CAPACITY = 4, 4, 10, 2048
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those too far from every centroid, or without a letter, go."""
-    out = language.identify(docs, language.train(docs))
-    return out.where(~F.col("__rejected")).select(*docs.columns)
+    _, _, rejected = shared.spare(docs, *language.ADDED)
+    return language.identify(docs, language.train(docs)).where(~F.col(rejected)).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that one of a smaller id holds; ``n_chars`` follows the text. None goes."""
     out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs))
-    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("__kept"))
+    _, _, kept = shared.spare(docs, *linededup.ADDED)
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col(kept))
     return out.withColumns({"text": text, "n_chars": F.char_length(text).cast("long")}).select(*docs.columns)
 
 
