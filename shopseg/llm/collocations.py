@@ -27,9 +27,9 @@ import itertools
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +43,15 @@ BLOCK, HELD = 2 << 20, 12 << 20
 #: Row groups of the blocks' files: a reader holds one at a time.
 ROW_GROUP = {"parquet.block.size": 8 << 20}
 #: Candidates of one trie, and of all tries broadcast at once.
-SHARD, ROUND = 500_000, 2_000_000
+SHARD, ROUND = 250_000, 1_000_000
+#: Rows of blocks, bitmap parts or counts handed to Python at a time.
+BATCH = 4
 #: Bits of a bitmap.
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 29
-#: Entries of a bitmap that one row of the job that fills it stands for.
-SPAN = 1 << 16
+LEAST_BITS, MOST_BITS = 1 << 18, 1 << 29
+#: Parts of a bitmap: a block has a row for each at most, whatever the bitmap's size.
+CHUNKS = 256
+#: Shuffle partitions that sum one chunk side by side, from twice as many on.
+SUMMING = CHUNKS
 
 BLOCKS = "lang string, numbers binary, words array<string>, hashes array<long>, counts array<long>"
 BUCKETS = "chunk int, low binary, n binary"
@@ -73,7 +77,8 @@ def _blocks(docs: DataFrame, seed: int) -> DataFrame:
                 "counts": pa.ListArray.from_arrays([0, len(hashes)], pa.array(c.counts()))})
 
     own = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
+    with shared.arrow_rows(docs.sparkSession, 1_000):
+        return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
 
 
 def _words(blocks: DataFrame) -> DataFrame:
@@ -101,46 +106,59 @@ def _size(entries: int) -> int:
     return min(MOST_BITS, max(LEAST_BITS, 1 << max(entries - 1, 1).bit_length()))
 
 
-def _bucket_rows(h: np.ndarray, n: np.ndarray | None, size: int):
-    """Record batch of ``BUCKETS``: the buckets of the hashes ``h`` and how often each occurs (or ``n`` each)."""
-    own = (h & np.uint64(size - 1)).astype(np.int64)
-    buckets, inverse, counts = np.unique(own, return_inverse=True, return_counts=True)
-    if n is not None:
-        counts = np.bincount(inverse, weights=n).astype(np.int64)
-    chunks = np.unique(buckets // SPAN)
-    bounds = np.searchsorted(buckets, np.append(chunks, chunks[-1:] + 1) * SPAN).tolist() if len(chunks) else []
-    low, counts = (buckets % SPAN).astype("<u2"), np.minimum(counts, (1 << 32) - 1).astype("<u4")
+def _bucket_rows(h: np.ndarray, size: int, least: int):
+    """Record batch of ``BUCKETS``: the buckets of the hashes ``h`` and how often each occurs (up to ``least``, which decides)."""
+    buckets, counts = np.unique((h & np.uint64(size - 1)).astype(np.int64), return_counts=True)
+    span = size // CHUNKS
+    chunks = np.unique(buckets // span)
+    bounds = np.searchsorted(buckets, np.append(chunks, chunks[-1:] + 1) * span).tolist() if len(chunks) else []
+    low, counts = (buckets % span).astype("<u4"), np.minimum(counts, least).astype("<u4")
     spans = list(itertools.pairwise(bounds))
     return pa.RecordBatch.from_pydict({
-        "chunk": pa.array(chunks, pa.int32()), "low": pa.array([low[a:z].tobytes() for a, z in spans], pa.binary()),
-        "n": pa.array([counts[a:z].tobytes() for a, z in spans], pa.binary())})
+        "chunk": pa.array(chunks, pa.int32()),
+        "low": pa.array([zstandard.compress(np.diff(low[a:z], prepend=np.uint32(0)).tobytes(), 1) for a, z in spans], pa.binary()),
+        "n": pa.array([zstandard.compress(counts[a:z].tobytes(), 1) for a, z in spans], pa.binary())})
 
 
-def _bits(rows: DataFrame, size: int, least: int) -> Bits:
-    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``) sum to at least ``least``."""
+def _summed_buckets(rows: DataFrame, size: int, by: list[str], done, column: str) -> DataFrame:
+    """Rows of a chunk (and salt) stream sorted through one task, which keeps one array of counts; ``done`` makes its bytes."""
     def summed(batches):
-        chunk, total = None, None
+        own, total = None, None
 
-        def done():
-            bits = np.packbits(total >= least, bitorder="little")
-            return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
+        def row():
+            return pa.RecordBatch.from_pydict({"chunk": pa.array([own[0]], pa.int32()), column: pa.array([done(total)], pa.binary())})
 
         for b in batches:
-            for c, low, n in zip(b["chunk"].to_pylist(), b["low"].to_pylist(), b["n"].to_pylist()):
-                if c != chunk:
-                    if chunk is not None:
-                        yield done()
-                    chunk, total = c, np.zeros(SPAN, np.int64)
-                total[np.frombuffer(low, "<u2")] += np.frombuffer(n, "<u4")
-        if chunk is not None:
-            yield done()
-
-    # rows of a chunk stream through one task, sorted; a chunk holds its share of hashes, whatever the phrases
+            keys = list(zip(*[b[c].to_pylist() for c in by]))
+            for key, low, n in zip(keys, b["low"].to_pylist(), b["n"].to_pylist()):
+                if key != own:
+                    if own is not None:
+                        yield row()
+                    own, total = key, np.zeros(size // CHUNKS, np.uint32)
+                n = np.frombuffer(zstandard.decompress(n), "<u4")
+                at = np.cumsum(np.frombuffer(zstandard.decompress(low), "<u4"), dtype=np.int64) if low is not None else slice(None)
+                total[at] = np.minimum(total[at].astype(np.int64) + n, (1 << 32) - 1)
+        if own is not None:
+            yield row()
+
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "chunk").sortWithinPartitions("chunk")
-    data = np.zeros((size // SPAN, SPAN // 8), np.uint8)
-    for r in dealt.mapInArrow(summed, "chunk int, bits binary").collect():  # size / 8 bytes in all
-        data[r.chunk] = np.frombuffer(r.bits, np.uint8)
+    return rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(summed, f"chunk int, {column} binary")
+
+
+def _bits(rows: DataFrame, size: int, least: int) -> Bits:
+    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``) sum to at least ``least``."""
+    # many partitions sum a chunk side by side first
+    salts = _salts(rows.sparkSession)
+    if salts > 1:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("low"), F.lit(salts)))
+        rows = _summed_buckets(rows, size, ["chunk", "salt"], lambda t: zstandard.compress(t.tobytes(), 1), "n") \
+            .select("chunk", F.lit(None).cast("binary").alias("low"), "n")
+    packed = _summed_buckets(rows, size, ["chunk"], lambda t: np.packbits(t >= least, bitorder="little").tobytes(), "bits")
+    data = np.zeros((CHUNKS, size // CHUNKS // 8), np.uint8)
+    with shared.arrow_rows(rows.sparkSession, BATCH):
+        bits = packed.toArrow().to_pylist()  # size / 8 bytes in all
+    for r in bits:
+        data[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
     return Bits(size, data.reshape(-1))
 
 
@@ -214,7 +232,7 @@ def _candidates(blocks: DataFrame, k: int, frequent: list[Bits], least: int, siz
 
     def buckets(batches):
         for lang, numbers, hashes in _each_block(batches):
-            yield _bucket_rows(_places(lang, numbers, hashes, known.value)[1], None, size)
+            yield _bucket_rows(_places(lang, numbers, hashes, known.value)[1], size, least)
 
     filled = _bits(numbers_only.mapInArrow(buckets, BUCKETS), size, least)
     full = sc.broadcast(filled)
@@ -233,7 +251,8 @@ def _candidates(blocks: DataFrame, k: int, frequent: list[Bits], least: int, siz
                 **{w: pa.array(raw[numbers[at + j] - 1]) for j, w in enumerate(names)}})
 
     schema = "lang string, gram long, " + ", ".join(f"{w} long" for w in names)
-    out = shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}")
+    with shared.arrow_rows(blocks.sparkSession, BATCH):
+        out = shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}")
     known.destroy()
     full.destroy()
     return out, filled
@@ -246,24 +265,26 @@ def _tries(candidates: DataFrame, k: int, shards: int) -> DataFrame:
     """One double-array trie per language and shard of candidates."""
     names = [f"w{j + 1}" for j in range(k)]
 
-    def built(group: pd.DataFrame) -> pd.DataFrame:
-        own = group[names].to_numpy(np.int64).view(np.uint64)
+    def built(group: pa.Table) -> pa.Table:
+        own = np.stack([group[w].to_numpy() for w in names], 1).view(np.uint64)
         symbols, numbers = np.unique(own, return_inverse=True)
         paths = numbers.reshape(own.shape) + 1
         paths = paths[np.lexsort(paths.T[::-1])].astype("<i4")
         trie = doublearray.build(paths)
-        return pd.DataFrame([(group["lang"].iloc[0], int(group["shard"].iloc[0]), len(paths), symbols.tobytes(), paths.tobytes(),
-                              trie["base"].tobytes(), trie["check"].tobytes(), trie["accept"].tobytes(), trie["width"])])
+        arrays_ = {"symbols": symbols, "paths": paths} | {c: trie[c].astype("<i4") for c in ("base", "check", "accept")}
+        return pa.table({"lang": group["lang"].slice(0, 1), "shard": group["shard"].slice(0, 1), "phrases": pa.array([len(paths)], pa.int64()),
+                         **{c: pa.array([a.tobytes()], pa.binary()) for c, a in arrays_.items()},
+                         "width": pa.array([trie["width"]], pa.int32())})
 
     dealt = candidates.withColumn("shard", F.pmod("gram", F.lit(shards)).cast("int"))
-    return shared.written(dealt.groupBy("lang", "shard").applyInPandas(built, TRIES), f"tries{k}")
+    return shared.written(dealt.groupBy("lang", "shard").applyInArrow(built, TRIES), f"tries{k}")
 
 
 class _Trie:
-    def __init__(self, r, k: int):
-        self.symbols = np.frombuffer(r.symbols, np.uint64)
-        self.paths = np.frombuffer(r.paths, "<i4").reshape(-1, k)
-        self.trie = {c: np.frombuffer(r[c], "<i4") for c in ("base", "check", "accept")} | {"width": r.width, "words": k}
+    def __init__(self, r: dict, k: int):
+        self.symbols = np.frombuffer(r["symbols"], np.uint64)
+        self.paths = np.frombuffer(r["paths"], "<i4").reshape(-1, k)
+        self.trie = {c: np.frombuffer(r[c], "<i4") for c in ("base", "check", "accept")} | {"width": r["width"], "words": k}
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The trie's number of each word hash, with 0 for words that no phrase of it has (and at index 0)."""
@@ -271,12 +292,53 @@ class _Trie:
         return np.concatenate([np.zeros(1, np.int64), np.where(self.symbols[at] == hashes, at + 1, 0)])
 
 
-def _counted(blocks: DataFrame, tries: list, k: int, shards: int, frequent: list[Bits], filled: Bits, least: int) -> DataFrame:
+COUNTED = "lang string, shard int, n binary"
+
+
+def _counts_row(lang: str, shard: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"lang": pa.array([lang], pa.string()), "shard": pa.array([shard], pa.int32()),
+                                       "n": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def _running(batches):
+    """``(lang, shard, sum of the counts)`` of sorted ``COUNTED`` rows; one array is held."""
+    own, total = None, None
+    for b in batches:
+        for lang, shard, n in zip(b["lang"].to_pylist(), b["shard"].to_pylist(), b["n"].to_pylist()):
+            n = np.frombuffer(zstandard.decompress(n), np.int64)
+            if (lang, shard) == own:
+                total = total + n
+                continue
+            if own is not None:
+                yield *own, total
+            own, total = (lang, shard), n
+    if own is not None:
+        yield *own, total
+
+
+def _dealt(counts: DataFrame) -> DataFrame:
+    """``COUNTED`` rows (and ``salt``), those of a trie sorted in one partition, few of each: many are summed side by side first."""
+    spark = counts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if _salts(spark) > 1:
+        def summed(batches):
+            for row in _running(batches):
+                yield _counts_row(*row)
+
+        counts = counts.repartition(parts, "lang", "shard", "salt").sortWithinPartitions("salt", "lang", "shard") \
+            .drop("salt").mapInArrow(summed, COUNTED)
+    return counts.repartition(parts, "lang", "shard").sortWithinPartitions("lang", "shard").select("lang", "shard", "n")
+
+
+def _salts(spark) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // SUMMING)
+
+
+def _counted(blocks: DataFrame, tries: list[dict], k: int, shards: int, frequent: list[Bits], filled: Bits, least: int) -> DataFrame:
     """``lang, w, f`` of the frequent phrases in ``tries`` (collected rows of one round): per-task counts, summed."""
-    sc = blocks.sparkSession.sparkContext
-    sent = sc.broadcast(({(r.lang, r.shard): _Trie(r, k) for r in tries}, frequent, filled))
-    langs = sorted({r.lang for r in tries})
-    names = [f"w{j + 1}" for j in range(k)]
+    spark = blocks.sparkSession
+    sent = spark.sparkContext.broadcast(({(r["lang"], r["shard"]): _Trie(r, k) for r in tries}, frequent, filled))
+    langs = sorted({r["lang"] for r in tries})
 
     def count(batches):
         known, parts, full = sent.value
@@ -293,16 +355,22 @@ def _counted(blocks: DataFrame, tries: list, k: int, shards: int, frequent: list
                 total = totals.setdefault((lang, s), np.zeros(len(trie.paths) + 1, np.int64))
                 total += np.bincount(found, minlength=len(total))
         for (lang, s), total in totals.items():
-            trie, at = known[lang, s], np.flatnonzero(total)
+            yield _counts_row(lang, s, total)
+
+    def found(batches):
+        known = sent.value[0]
+        for lang, s, total in _running(batches):
+            trie, at = known[lang, s], np.flatnonzero(total >= least)
             raw = trie.symbols.view(np.int64)
+            own = raw[trie.paths[at - 1].reshape(-1) - 1]
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([lang] * len(at), pa.string()),
-                **{w: pa.array(raw[trie.paths[at - 1, j] - 1]) for j, w in enumerate(names)}, "n": pa.array(total[at])})
+                "w": pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * k, pa.array(own)), "f": pa.array(total[at])})
 
-    schema = "lang string, " + ", ".join(f"{w} long" for w in names) + ", n long"
     own = blocks.where(F.col("lang").isin(langs)).select("lang", "numbers", "hashes")
-    summed = own.mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    out = shared.written(summed.select("lang", F.array(*names).alias("w"), "f"), f"phrases{k}")
+    counts = _dealt(own.mapInArrow(count, COUNTED).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_salts(spark)))))
+    with shared.arrow_rows(spark, BATCH):
+        out = shared.written(counts.mapInArrow(found, "lang string, w array<long>, f long"), f"phrases{k}")
     sent.destroy()
     return out
 
@@ -323,7 +391,7 @@ def _level(blocks: DataFrame, k: int, frequent: list[Bits], least: int, size: in
     out = None
     for own in rounds:
         keys = spark.createDataFrame(own, "lang string, shard int")
-        part = _counted(blocks, tries.join(F.broadcast(keys), ["lang", "shard"]).collect(), k, shards, frequent, filled, least)
+        part = _counted(blocks, tries.join(F.broadcast(keys), ["lang", "shard"]).toArrow().to_pylist(), k, shards, frequent, filled, least)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -339,7 +407,7 @@ def _bits_of(phrases: DataFrame) -> Bits:
             gram = arrays.mixed(w[:, 0] ^ langs)
             for j in range(1, w.shape[1]):
                 gram = _further(gram, arrays.mixed(w[:, j] ^ langs))
-            yield _bucket_rows(gram, None, size)
+            yield _bucket_rows(gram, size, 1)
 
     return _bits(phrases.select("lang", "w").mapInArrow(rows, BUCKETS), size, 1)
 

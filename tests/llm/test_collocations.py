@@ -78,10 +78,14 @@ def test_many_tries_and_rounds_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(docs, least=4).collect())) == want
 
 
+def test_many_partitions_sum_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SUMMING", 2)  # of 4 partitions
+    check(table(spark, made(6, 80), lang="xx"), 4)
+
+
 def test_full_bitmaps_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "LEAST_BITS", 1 << 16)
-    monkeypatch.setattr(collocations, "MOST_BITS", 1 << 16)
-    monkeypatch.setattr(collocations, "_STEP", np.uint64(0))  # all phrases that end in a word share a bucket
+    monkeypatch.setattr(collocations, "LEAST_BITS", 1 << 12)
+    monkeypatch.setattr(collocations, "MOST_BITS", 1 << 12)
     check(table(spark, made(3), lang="xx"), 4)
 
 
