@@ -3,18 +3,21 @@
 Exact agglomeration of n points needs all O(n^2) distances. Here the same two steps run at every size, with an
 explicit bound that always applies:
 
-1. **Leaves.** MLlib k-means (distributed) summarizes the points into at most ``leaves`` weighted leaves; each
-   carries its size, its mean and its smallest point id. Points never meet in pairs.
-2. **Merge tree.** The distances between leaves are a table of at most ``leaves * (leaves - 1) / 2`` rows. Each round
-   finds every cluster's nearest neighbour, merges all pairs that are each other's nearest, and aggregates the
-   distance rows of merged clusters (average, complete) or recomputes them from the merged means (Ward). For these
-   linkages merging mutual nearest neighbours gives the same tree as merging the closest pair each time. Only the
-   merges, fewer than ``leaves`` rows in all, reach the driver, which numbers them like a linkage matrix
-   and cuts the tree.
-
-The result is the exact tree of the leaves; how well it stands for the points' own tree depends on ``leaves`` (see
-README for measured agreement). Labels are canonical: clusters are numbered by size descending, then
-smallest member id.
+1. **Leaves.** The points are summarized by at most ``leaves`` leaves and never meet in pairs. For average and complete linkage
+   the leaves are a farthest-point cover (``cover.py``) with a radius each; for Ward they are MLlib k-means clusters, whose means
+   are all that Ward's distances need.
+2. **Merge tree.** The distances between leaves are a table of at most ``leaves * (leaves - 1) / 2`` rows, written once.
+   Average linkage with Manhattan distance has the true average over all member pairs there. Each round is one job: the table
+   is aggregated by the current leaf-to-cluster map (average and complete; Ward recomputes from merged means), every
+   cluster's nearest neighbour found, and all pairs that are each other's nearest merge. For these
+   linkages that gives the same tree as merging the closest pair each time. Only nearest neighbours, a row per cluster, reach
+   the driver, which numbers the merges like a linkage matrix and cuts the tree.
+
+What the leaves hide is stated: each merge has a ``lower`` and ``upper`` bound of its height between the very points on
+both sides, and is ``certain`` if the cluster it makes is one of the points' own tree, too: because its members lie closer
+together than anything else does, or because both sides are certain and no height within the bounds would merge either with another
+cluster first. A cut is certain if its clusters are and all of them were made before any two of them could merge. Labels are
+canonical: clusters are numbered by size descending, then smallest member id.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopseg.operators.cover import cover, distance_sums
 from shopseg.session import cut_lineage
 
 LINKAGES = ("average", "complete", "ward")
@@ -59,48 +63,105 @@ def _distance(metric: str) -> str:
 
 
 def _pairs(clusters: DataFrame, linkage: str, metric: str) -> DataFrame:
-    """``a, b, d, w`` for clusters a < b (columns leaf, size, x); ``w``: product of their sizes. The table of clusters is
-    bounded by the leaf count."""
-    left = clusters.select(F.col("leaf").alias("a"), F.col("size").alias("na"), "x")
-    right = clusters.select(F.col("leaf").alias("b"), F.col("size").alias("nb"), F.col("x").alias("y"))
+    """``a, b, d, w, lo, hi, gap, far`` for clusters a < b (columns leaf, size, x, and centre and radius of a cover).
+
+    ``d``: distance (of the means; middle of its bounds for complete linkage over a cover), ``w``: product of the sizes,
+    ``lo`` and ``hi``: bounds of the linkage distance of the members, ``gap`` and ``far``: least and greatest distance any two members can have. The
+    table of clusters is bounded by the leaf count.
+    """
+    known = "radius" in clusters.columns
+    extra = ["centre", "radius"] if known else []
+    left = clusters.select(F.col("leaf").alias("a"), F.col("size").alias("na"), "x", *[F.col(c).alias(f"{c}_a") for c in extra])
+    right = clusters.select(F.col("leaf").alias("b"), F.col("size").alias("nb"), F.col("x").alias("y"), *[F.col(c).alias(f"{c}_b") for c in extra])
     d = _distance("euclidean" if linkage == "ward" else metric)
     if linkage == "ward":
         d = f"sqrt(2D * na * nb / (na + nb)) * {d}"
-    return left.join(F.broadcast(right), F.col("a") < F.col("b")).selectExpr("a", "b", f"{d} AS d", "CAST(na AS DOUBLE) * nb AS w")
+    met = left.join(F.broadcast(right), F.col("a") < F.col("b")).withColumn("w", F.expr("CAST(na AS DOUBLE) * nb")).withColumn("d", F.expr(d))
+    if not known:
+        return met.selectExpr("a", "b", "d", "w", "d AS lo", "d AS hi", "d AS gap", "d AS far")
+    between = _distance(metric).replace("zip_with(x, y,", "zip_with(centre_a, centre_b,")
+    met = met.withColumn("between", F.expr(between)).withColumn("reach", F.expr("radius_a + radius_b"))
+    if linkage == "complete":  # both centres are members
+        return met.selectExpr("a", "b", "between + reach / 2 AS d", "w", "between AS lo", "between + reach AS hi",
+                              "greatest(between - reach, 0D) AS gap", "between + reach AS far")
+    return met.selectExpr("a", "b", "d", "w", "greatest(between - reach, 0D) AS lo", "between + reach AS hi",
+                          "greatest(between - reach, 0D) AS gap", "between + reach AS far")
 
 
-def merge_leaves(leaves: DataFrame, linkage: str, metric: str) -> list[tuple[int, int, float]]:
-    """Merges ``(kept leaf, absorbed leaf, height)`` of the leaves (leaf, size, x), children before parents."""
-    spark = leaves.sparkSession
-    state = cut_lineage(leaves.select("leaf", F.col("size").cast("double").alias("size"), "x")) if linkage == "ward" else None
-    pairs = cut_lineage(_pairs(state if linkage == "ward" else leaves, linkage, metric))
-    merges: list[tuple[int, int, float]] = []
-    while True:
-        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "d").unionByName(
-            pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "d"))
-        # the same order of pairs from either end, so that the closest pair of all is always mutual
-        nearest = both.groupBy("u").agg(F.min(F.struct("d", F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))).alias("p"))
-        mutual = nearest.groupBy("p.lo", "p.hi").agg(F.first("p.d").alias("d"), F.count(F.lit(1)).alias("n")).where("n = 2")
-        now = sorted((r.d, r.lo, r.hi) for r in mutual.collect())  # at most half the clusters
-        if not now:
-            return merges
-        merges += [(lo, hi, d) for d, lo, hi in now]
-        moved = spark.createDataFrame([(hi, lo) for _, lo, hi in now], "gone long, kept long")
-
-        def renamed(df: DataFrame, col: str) -> DataFrame:
-            return df.join(F.broadcast(moved.withColumnRenamed("gone", col)), col, "left") \
-                .withColumn(col, F.coalesce("kept", col)).drop("kept")
+def true_average(pairs: DataFrame, sums: DataFrame) -> DataFrame:
+    """``pairs`` with the average distance of all member pairs instead (``sums``: ``a, b, total``), which is no estimate."""
+    met = pairs.drop("d", "lo", "hi").join(F.broadcast(sums), ["a", "b"]).withColumn("d", F.col("total") / F.col("w"))
+    return met.select("a", "b", "d", "w", F.col("d").alias("lo"), F.col("d").alias("hi"), "gap", "far")
+
 
+@dataclass
+class Merge:
+    kept: int        # smallest leaf of the one side
+    gone: int        # and of the other
+    height: float
+    lower: float
+    upper: float
+    sure: bool       # both sides are certain and would merge first in any case
+    certain: bool
+
+
+def merge_rounds(pairs: DataFrame, radii: dict[int, float], linkage: str, leaves: DataFrame | None = None) -> list[Merge]:
+    """Merges of the leaves in ``radii`` (leaf -> radius), children before parents.
+
+    ``pairs`` is read in every round: pass a stored table, in one partition. Ward needs the table of ``leaves``, too.
+    """
+    spark = pairs.sparkSession
+    if linkage == "ward":
+        leaves = cut_lineage(leaves.select("leaf", F.col("size").cast("double").alias("size"), "x").repartition(1))
+        dims = len(leaves.first()["x"]) if radii else 0
+    certain = dict.fromkeys(radii, False)
+    width = {leaf: 2 * radius for leaf, radius in radii.items()}  # greatest distance within each cluster
+    cluster, made = {leaf: leaf for leaf in radii}, {}
+    merges: list[Merge] = []
+    while len(set(cluster.values())) > 1:
+        moved = spark.createDataFrame(list(cluster.items()), "leaf long, cluster long")
         if linkage == "ward":
-            d = len(state.first()["x"])
-            merged = renamed(state, "leaf").groupBy("leaf").agg(F.sum("size").alias("size"), F.array(
-                *[F.sum(F.col("size") * F.col("x")[i]) / F.sum("size") for i in range(d)]).alias("x"))
-            state = cut_lineage(merged)
-            pairs = cut_lineage(_pairs(state, linkage, metric))
+            merged = leaves.join(F.broadcast(moved), "leaf").groupBy(F.col("cluster").alias("leaf")).agg(F.sum("size").alias("size"), F.array(
+                *[F.sum(F.col("size") * F.col("x")[i]) / F.sum("size") for i in range(dims)]).alias("x"))
+            now = _pairs(merged, linkage, "euclidean")
         else:
-            height = F.sum(F.col("d") * F.col("w")) / F.sum("w") if linkage == "average" else F.max("d")
-            pairs = cut_lineage(renamed(renamed(pairs, "a"), "b").where("a <> b").groupBy(
-                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(height.alias("d"), F.sum("w").alias("w")))
+            now = pairs.join(F.broadcast(moved.toDF("a", "ca")), "a").join(F.broadcast(moved.toDF("b", "cb")), "b").where("ca <> cb")
+            height = [F.min("gap").alias("gap"), F.max("far").alias("far")] + [F.max(c).alias(c) if linkage == "complete" else (F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c) for c in ("d", "lo", "hi")]
+            now = now.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(*height)
+        rest = ["d", "lo", "hi", "gap", "far"]
+        both = now.select(F.col("a").alias("u"), F.col("b").alias("v"), *rest).unionByName(
+            now.select(F.col("b").alias("u"), F.col("a").alias("v"), *rest))
+        # the same order of pairs from either end, so that the closest pair of all is always mutual
+        nearest = both.groupBy("u").agg(
+            F.min(F.struct("d", F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y"), "lo", "hi", "far")).alias("p"),
+            F.min("gap").alias("gap"), F.slice(F.array_sort(F.collect_list(F.struct("lo", "v"))), 1, 2).alias("lowest"))
+        found = {r.u: r for r in nearest.collect()}  # a row per cluster
+        for u, r in found.items():
+            if width[u] <= r.gap:  # nothing lies closer to a member than the members do
+                certain[u] = True
+                if u in made:
+                    made[u].certain = True
+        for u in sorted(found, key=lambda u: (found[u].p.d, u)):
+            p = found[u].p
+            if u != p.x or found[p.y].p.x != p.x or found[p.y].p.y != p.y:
+                continue
+            others = [low.lo for r in (found[p.x], found[p.y]) for low in r.lowest if low.v not in (p.x, p.y)]
+            sure = certain[p.x] and certain[p.y] and all(p.hi <= low for low in others)
+            made[p.x] = Merge(p.x, p.y, p.d, p.lo, p.hi, sure, sure)
+            merges.append(made[p.x])
+            certain[p.x] = sure
+            width[p.x] = max(width[p.x], width[p.y], p.far)
+            cluster = {leaf: p.x if c == p.y else c for leaf, c in cluster.items()}
+    if merges:
+        merges[-1].certain = True  # all points together
+    return merges
+
+
+def merge_leaves(leaves: DataFrame, linkage: str, metric: str) -> list[tuple[int, int, float]]:
+    """Merges ``(kept leaf, absorbed leaf, height)`` of the leaves (leaf, size, x), children before parents."""
+    radii = {r.leaf: 0.0 for r in leaves.select("leaf").collect()}
+    pairs = cut_lineage(_pairs(leaves, linkage, metric).repartition(1))
+    return [(m.kept, m.gone, m.height) for m in merge_rounds(pairs, radii, linkage, leaves)]
 
 
 def linkage_matrix(merges: list[tuple[int, int, float]], sizes: dict[int, int]) -> np.ndarray:
@@ -145,12 +206,42 @@ def canonical(lab: np.ndarray, sizes: np.ndarray, min_ids: np.ndarray) -> np.nda
     return remap[lab]
 
 
+def certain_cuts(pairs: DataFrame, radii: dict[int, float], merges: list[Merge], labels: DataFrame, ks: list[int], linkage: str) -> dict[int, bool]:
+    """Per cut (``labels``: k, leaf, label) whether it is the points' own, for any heights within the bounds."""
+    lab = F.broadcast(labels)  # leaves x cuts rows
+    met = pairs.join(lab.select("k", F.col("leaf").alias("a"), F.col("label").alias("ca")), "a") \
+        .join(lab.select("k", F.col("leaf").alias("b"), F.col("label").alias("cb")), ["k", "b"])
+    low = F.max("lo") if linkage == "complete" else F.sum(F.col("lo") * F.col("w")) / F.sum("w")
+    rows = met.groupBy("k", F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")) \
+        .agg(low.alias("lo"), F.min("gap").alias("gap"), F.max("far").alias("far")).collect()  # clusters squared per cut
+    member = {(r.k, r.leaf): r.label for r in labels.collect()}
+    order, out = sorted(merges, key=lambda m: m.height), {}
+    for k in ks:
+        own = [r for r in rows if r.k == k]
+        width, gap, made = {}, {}, {}
+        for leaf, radius in radii.items():
+            c = member[k, leaf]
+            width[c] = max(width.get(c, 0.0), 2 * radius)
+        for r in own:
+            if r.x == r.y:
+                width[r.x] = max(width[r.x], r.far)
+            else:
+                gap |= {c: min(gap.get(c, np.inf), r.gap) for c in (r.x, r.y)}
+        for m in order[:len(radii) - k]:
+            made[member[k, m.kept]] = m
+        top = {c: made[c].upper if c in made and made[c].sure else width[c] for c in width}
+        known = all(width[c] <= gap.get(c, np.inf) or (c in made and made[c].sure) for c in width)
+        out[k] = known and max(top.values()) <= min((r.lo for r in own if r.x != r.y), default=np.inf)
+    return out
+
+
 @dataclass
 class Tree:
     leaves: DataFrame       # id, leaf
-    merges: DataFrame       # step, left, right, height, size  (leaf i = i-th smallest leaf id)
+    merges: DataFrame       # step, left, right, height, size, lower, upper, certain  (leaf i = i-th smallest leaf id)
     leaf_labels: DataFrame  # k, leaf, label
     n_leaves: int
+    certain: dict[int, bool]  # per cut: whether it is the points' own
 
     def labels(self, k: int, id_col: str = "User_ID") -> DataFrame:
         """``id, cluster`` at cut ``k``."""
@@ -169,7 +260,7 @@ class Tree:
 
 def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", leaves: int = LEAVES,
                  seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Stage 1: ``(id -> leaf, leaf table (leaf, size, min_id, x))``."""
+    """Stage 1 for Ward: ``(id -> leaf, leaf table (leaf, size, min_id, x))`` by k-means."""
     row = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(col)).alias("d")).collect()[0]
     vec = points.select(F.col(id_col), F.col(col), array_to_vector(F.col(col)).alias("_v"))
     km = KMeans(k=max(2, min(leaves, row["n"])), seed=seed, featuresCol="_v", predictionCol="_leaf", maxIter=10, initSteps=1).fit(vec)
@@ -180,25 +271,48 @@ def build_leaves(points: DataFrame, id_col: str = "User_ID", col: str = "pca", l
     return assigned.select(id_col, "leaf"), table
 
 
-def tree_of_leaves(leaf_of: DataFrame, leaves: DataFrame, linkage: str, metric: str, ks: list[int]) -> Tree:
-    """Merge tree and cuts of a given leaf table (leaf, size, min_id, x)."""
+def tree_of_leaves(leaf_of: DataFrame, leaves: DataFrame, linkage: str, metric: str, ks: list[int], sums: DataFrame | None = None) -> Tree:
+    """Merge tree and cuts of a given leaf table (leaf, size, min_id, x; centre and radius of a cover).
+
+    ``sums`` (``a, b, total``: distance sums of the members) make average linkage that of the members, not of the means.
+    """
     metric = check_linkage(linkage, metric)
     spark = leaves.sparkSession
-    table = sorted((r.leaf, r["size"], r.min_id) for r in leaves.select("leaf", "size", "min_id").collect())
-    z = linkage_matrix(merge_leaves(leaves, linkage, metric), {leaf: n for leaf, n, _ in table})
-    merges = spark.createDataFrame([(i, int(a), int(b), float(h), int(n)) for i, (a, b, h, n) in enumerate(z)],
-                                   "step int, left long, right long, height double, size long")
+    known = "radius" in leaves.columns
+    table = sorted((r.leaf, r["size"], r.min_id, r.radius if known else 0.0) for r in leaves.select(
+        "leaf", "size", "min_id", *(["radius"] if known else [])).collect())
+    pairs = _pairs(leaves, linkage, metric)
+    if sums is not None:
+        pairs = true_average(pairs, sums)
+    pairs = cut_lineage(pairs.repartition(1))  # at most leaves * (leaves - 1) / 2 rows
+    radii = {leaf: radius for leaf, _, _, radius in table}
+    found = merge_rounds(pairs, radii, linkage, leaves)
+    z = linkage_matrix([(m.kept, m.gone, m.height) for m in found], {leaf: n for leaf, n, *_ in table})
+    bounds = sorted(found, key=lambda m: m.height)  # the same order: both sorts are stable
+    hidden = linkage == "ward"  # k-means leaves have no bounds
+    merges = spark.createDataFrame(
+        [(i, int(a), int(b), float(h), int(n), None if hidden else m.lower, None if hidden else m.upper, m.certain and not hidden)
+         for i, ((a, b, h, n), m) in enumerate(zip(z, bounds))],
+        "step int, left long, right long, height double, size long, lower double, upper double, certain boolean")
     labels = []
     for k in ks:
         if not 1 <= k <= len(table):
             raise ValueError(f"cannot cut {len(table)} leaves into k={k} clusters")
-        lab = canonical(cut(z, len(table), k), np.array([n for _, n, _ in table], float), np.array([m for *_, m in table]))
-        labels += [(k, leaf, int(c)) for (leaf, _, _), c in zip(table, lab)]
-    return Tree(leaf_of, merges, spark.createDataFrame(labels, "k int, leaf long, label int"), len(table))
+        lab = canonical(cut(z, len(table), k), np.array([n for _, n, *_ in table], float), np.array([m for _, _, m, _ in table]))
+        labels += [(k, leaf, int(c)) for (leaf, *_), c in zip(table, lab)]
+    cuts = spark.createDataFrame(labels, "k int, leaf long, label int")
+    certain = dict.fromkeys(ks, False) if linkage == "ward" else certain_cuts(pairs, radii, found, cuts, ks, linkage)
+    return Tree(leaf_of, merges, cuts, len(table), certain)
 
 
 def agglomerate(points: DataFrame, linkage: str, metric: str, ks: list[int], id_col: str = "User_ID",
                 col: str = "pca", leaves: int = LEAVES, seed: int = 42) -> Tree:
     """M8 (+ M10 cuts): merge tree of ``points`` and labels at each k in ``ks``."""
-    check_linkage(linkage, metric)
-    return tree_of_leaves(*build_leaves(points, id_col, col, leaves, seed), linkage, metric, ks)
+    metric = check_linkage(linkage, metric)
+    if linkage == "ward":
+        return tree_of_leaves(*build_leaves(points, id_col, col, leaves, seed), linkage, metric, ks)
+    members, table = cover(points, leaves, metric, id_col, col)
+    sums = None
+    if linkage == "average" and metric == "manhattan":
+        sums = cut_lineage(distance_sums(members, [r.leaf for r in table.select("leaf").collect()], col))
+    return tree_of_leaves(members.select(id_col, "leaf"), table, linkage, metric, ks, sums)

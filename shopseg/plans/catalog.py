@@ -369,13 +369,17 @@ def q_merge_tail(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(agglomerate(_detect_points(spark, sf).points, "complete", "manhattan", [4]).tail(50))
 
 
-def _given_leaves(spark, sf):
-    """A leaf table without k-means: each nation's mean vector of the scaled block."""
+def _given_members(spark, sf):
+    """Every customer's scaled block with the nation as leaf."""
     nations = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").cast("int").alias("User_ID"),
                                                                  F.col("c_nationkey").cast("long").alias("leaf"))
-    points = _scaled_points(spark, sf)
-    d = len(points.first()["pca"])
-    return points.join(nations, "User_ID").groupBy("leaf").agg(
+    return _scaled_points(spark, sf).join(nations, "User_ID")
+
+
+def _given_leaves(members):
+    """A leaf table without a cover: each nation's mean vector."""
+    d = len(members.first()["pca"])
+    return members.groupBy("leaf").agg(
         F.count(F.lit(1)).cast("long").alias("size"), F.min("leaf").alias("min_id"),
         F.array(*[F.avg(F.col("pca")[i]) for i in range(d)]).alias("x"))
 
@@ -383,7 +387,7 @@ def _given_leaves(spark, sf):
 def _given_trees(spark, sf):
     from shopseg.operators.hierarchy import tree_of_leaves
     from shopseg.session import cut_lineage
-    leaves = cut_lineage(_given_leaves(spark, sf))
+    leaves = cut_lineage(_given_leaves(_given_members(spark, sf)))
     return {lk: tree_of_leaves(leaves.select("leaf"), leaves, lk, "manhattan", [2, 4, 10]) for lk in ("average", "complete")}
 
 
@@ -393,6 +397,18 @@ def q_merge_heights_given_leaves(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(a.unionByName(c))
 
 
+def q_merge_heights_true_average(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: heights of the average tree of given leaves by the distances of all member pairs."""
+    from shopseg.operators.cover import distance_sums
+    from shopseg.operators.hierarchy import tree_of_leaves
+    from shopseg.session import cut_lineage
+    members = cut_lineage(_given_members(spark, sf))
+    leaves = cut_lineage(_given_leaves(members))
+    sums = distance_sums(members, [r.leaf for r in leaves.select("leaf").collect()])
+    t = tree_of_leaves(members, leaves, "average", "manhattan", [2], sums)
+    return rounded(t.merges.select("step", "height", "lower", "upper"))
+
+
 def q_labels_given_leaves(spark: SparkSession, sf: str) -> DataFrame:
     """M8 / M10 cuts of the same trees at k = 2, 4, 10, numbered by size, then smallest leaf."""
     a, c = (t.leaf_labels.select(F.lit(lk).alias("linkage"), "k", "leaf", "label") for lk, t in _given_trees(spark, sf).items())
@@ -592,6 +608,7 @@ QUERIES = {
     "merge_tree": q_merge_tree,
     "merge_tail": q_merge_tail,
     "merge_heights_given_leaves": q_merge_heights_given_leaves,
+    "merge_heights_true_average": q_merge_heights_true_average,
     "labels_given_leaves": q_labels_given_leaves,
     "segments_original": _variant("original"),
     "segments_test1": _variant("test1"),

@@ -362,8 +362,20 @@ SELECT User_ID, cluster, ROUND(a, 6) AS a, ROUND(b, 6) AS b,
 FROM ab"""
 
 
-def given_leaves_ctes() -> str:
-    """``step(linkage, step, own, h)``: greedy merging of the nations' mean vectors; ``own``: each leaf's cluster."""
+def given_leaves_ctes(members: bool = False) -> str:
+    """``step(linkage, step, own, h)``: greedy merging of the nations' mean vectors; ``own``: each leaf's cluster.
+
+    ``members``: by the average distance of all member pairs instead.
+    """
+    d = """d AS (SELECT la.i, lb.i AS j, sum(abs(a.v - b.v)) AS d, CAST(la.n AS DOUBLE) * lb.n AS w
+      FROM mean a JOIN mean b ON a.feature = b.feature AND a.leaf < b.leaf JOIN leaf la ON la.leaf = a.leaf
+      JOIN leaf lb ON lb.leaf = b.leaf GROUP BY la.i, lb.i, la.n, lb.n)"""
+    if members:
+        d = """far AS (SELECT a.leaf AS a, b.leaf AS b, sum(abs(a.value - b.value)) AS total
+      FROM points a JOIN points b ON a.feature = b.feature AND a.leaf < b.leaf GROUP BY a.leaf, b.leaf),
+d AS (SELECT la.i, lb.i AS j, total / (CAST(la.n AS DOUBLE) * lb.n) AS d, CAST(la.n AS DOUBLE) * lb.n AS w
+      FROM far JOIN leaf la ON la.leaf = far.a JOIN leaf lb ON lb.leaf = far.b)"""
+
     def greedy(linkage: str, height: str) -> str:
         return f"""{linkage}(step, own, h) AS (
   SELECT 0, (SELECT list(i ORDER BY i) FROM leaf), CAST(0 AS DOUBLE)
@@ -378,9 +390,7 @@ nat AS (SELECT CAST(c_custkey AS INTEGER) AS User_ID, CAST(c_nationkey AS BIGINT
 points AS (SELECT leaf, User_ID, feature, value FROM rlong JOIN nat USING (User_ID)),
 leaf AS (SELECT leaf, count(DISTINCT User_ID) AS n, row_number() OVER (ORDER BY leaf) AS i FROM points GROUP BY leaf),
 mean AS (SELECT leaf, feature, avg(value) AS v FROM points GROUP BY 1, 2),
-d AS (SELECT la.i, lb.i AS j, sum(abs(a.v - b.v)) AS d, CAST(la.n AS DOUBLE) * lb.n AS w
-      FROM mean a JOIN mean b ON a.feature = b.feature AND a.leaf < b.leaf JOIN leaf la ON la.leaf = a.leaf
-      JOIN leaf lb ON lb.leaf = b.leaf GROUP BY la.i, lb.i, la.n, lb.n),
+{d},
 {greedy("average", "sum(d.d * d.w) / sum(d.w)")},
 {greedy("complete", "max(d.d)")},
 step AS (SELECT 'average' AS linkage, * FROM average UNION ALL SELECT 'complete', * FROM complete)"""
@@ -391,6 +401,12 @@ def sql_merge_heights() -> str:
 SELECT linkage, CAST(step - 1 AS INTEGER) AS step, ROUND(h, 6) AS height FROM step WHERE step > 0"""
 
 
+def sql_merge_heights_true_average() -> str:
+    return given_leaves_ctes(members=True) + """
+SELECT CAST(step - 1 AS INTEGER) AS step, ROUND(h, 6) AS height, ROUND(h, 6) AS lower, ROUND(h, 6) AS upper
+FROM step WHERE step > 0 AND linkage = 'average'"""
+
+
 def sql_leaf_labels() -> str:
     return given_leaves_ctes() + """,
 cut AS (SELECT linkage, len(list_distinct(own)) AS k, unnest(own) AS c, generate_subscripts(own, 1) AS i FROM step),
@@ -547,6 +563,7 @@ def oracles() -> dict[str, str]:
         "l1_silhouette": sql_silhouette("manhattan"),
         "euclidean_silhouette": sql_silhouette("euclidean"),
         "merge_heights_given_leaves": sql_merge_heights(),
+        "merge_heights_true_average": sql_merge_heights_true_average(),
         "labels_given_leaves": sql_leaf_labels(),
         "niche_split_given_labels": sql_niche_split(),
         "cluster_profile": sql_cluster_profile(),

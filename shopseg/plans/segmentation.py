@@ -77,6 +77,7 @@ class VariantResult:
     labels: DataFrame          # User_ID, cluster
     scores: list[tuple[int, float]]
     tree: Tree
+    certain: bool              # whether the cut is the points' own, whatever the leaves hide
 
 
 def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k_max: int = K_MAX,
@@ -108,7 +109,7 @@ def segment_variant(points: DataFrame, variant: str, k_min: int = K_MIN, k_max:
         sil_metric = "euclidean" if linkage == "ward" else metric
         scores = sorted(silhouette_scores(points, tree.labels_all(), sil_metric).items())
         k = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
-    return VariantResult(variant, linkage, metric, k, tree.labels(k), scores, tree)
+    return VariantResult(variant, linkage, metric, k, tree.labels(k), scores, tree, tree.certain.get(k, False))
 
 
 def one_pass(raw: DataFrame, variant: str = "original", use_pca: bool = True, pca_target: float = 0.80,
@@ -179,6 +180,8 @@ class HybridResult:
     core_tree: Tree
     detect_tree: Tree
     core_points: DataFrame
+    detect_certain: bool              # whether each cut is the points' own, whatever the leaves hide
+    core_certain: bool
     core_prepared: Prepared = field(repr=False, default=None)
 
 
@@ -232,7 +235,8 @@ def hybrid_segments(raw: DataFrame, leaves: int = LEAVES, top_cat: int = 10,
         s_core = silhouette_score(core.points, core_labels, CORE_METRIC)
         s_det = silhouette_score(det.points, det_labels, "manhattan")
     return HybridResult(final, det_labels, sizes, niche_users, core_users, core_labels, core_raw, profile,
-                        s_det, s_core, core_tree, det_tree, core.points, core)
+                        s_det, s_core, core_tree, det_tree, core.points, det_tree.certain[DETECT_K],
+                        core_tree.certain[CORE_K], core)
 
 
 def sample_assignments(final: DataFrame, n: int = 5000) -> DataFrame:
