@@ -281,6 +281,17 @@ def _scaled_points(spark, sf):
     return sc.select("User_ID", F.array(*[F.col(f"`{c}`") for c in numeric]).alias("pca"))
 
 
+#: Radius (robust-scaled units) of the registered range join.
+NEAR = 11.0
+
+
+def q_pairwise_manhattan_within(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs of customers whose scaled blocks lie within the radius."""
+    from shopseg.operators.neighbours import pairs_within
+    from shopseg.session import cut_lineage
+    return rounded(pairs_within(cut_lineage(_scaled_points(spark, sf)), NEAR))
+
+
 def _matrix(spark, sf):
     from shopseg.operators.matrix import feature_matrix
     _, w, _ = _winsorized(spark, sf)
@@ -605,6 +616,7 @@ QUERIES = {
     "euclidean_silhouette": q_euclidean_silhouette,
     "pca_variance": q_pca_variance,
     "pca_projection": q_pca_projection,
+    "pairwise_manhattan_within": q_pairwise_manhattan_within,
     "merge_tree": q_merge_tree,
     "merge_tail": q_merge_tail,
     "merge_heights_given_leaves": q_merge_heights_given_leaves,

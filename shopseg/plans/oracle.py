@@ -362,6 +362,13 @@ SELECT User_ID, cluster, ROUND(a, 6) AS a, ROUND(b, 6) AS b,
 FROM ab"""
 
 
+def sql_pairwise_within() -> str:
+    return f"""WITH {matrix_ctes()}
+SELECT a.User_ID AS a, b.User_ID AS b, ROUND(sum(abs(a.value - b.value)), 6) AS distance
+FROM rlong a JOIN rlong b ON a.feature = b.feature AND a.User_ID < b.User_ID
+GROUP BY a.User_ID, b.User_ID HAVING sum(abs(a.value - b.value)) <= 11.0"""
+
+
 def given_leaves_ctes(members: bool = False) -> str:
     """``step(linkage, step, own, h)``: greedy merging of the nations' mean vectors; ``own``: each leaf's cluster.
 
@@ -563,6 +570,7 @@ def oracles() -> dict[str, str]:
         "l1_silhouette": sql_silhouette("manhattan"),
         "euclidean_silhouette": sql_silhouette("euclidean"),
         "merge_heights_given_leaves": sql_merge_heights(),
+        "pairwise_manhattan_within": sql_pairwise_within(),
         "merge_heights_true_average": sql_merge_heights_true_average(),
         "labels_given_leaves": sql_leaf_labels(),
         "niche_split_given_labels": sql_niche_split(),
