@@ -118,13 +118,19 @@ def run_summary(levels: DataFrame, bk: Basket, rules: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def frequent_itemsets(bk: Basket, level: str, min_support: float, max_len: int = 3,
-                      method: str = "apriori") -> DataFrame:
+                      method: str = "vertical") -> DataFrame:
     """Itemsets of a level up to ``max_len`` with ``freq / U >= min_support``.
 
-    Support is counted over basket users (rows of the basket matrix). ``"apriori"`` never builds a set
-    longer than ``max_len``. ``"fpgrowth"`` (MLlib) is the cross-check: it mines every length first, with a
-    count floor lowered by a hair so that float rounding in ``min_support * U`` cannot drop a set.
+    Support is counted over basket users (rows of the basket matrix). ``"vertical"`` intersects compressed user sets and
+    ``"apriori"`` (R4) joins; neither builds a set longer than ``max_len``. ``"fpgrowth"`` (MLlib) is one more
+    cross-check: it mines every length first, with a count floor lowered by a hair so that float rounding in ``min_support * U``
+    cannot drop a set.
     """
+    if method == "vertical":
+        from shopseg.operators.vertical import frequent_itemsets_vertical
+        params = bk.basket.sparkSession.createDataFrame([(level, float(min_support), int(max_len))],
+                                                        "level string, min_support double, max_len int")
+        return frequent_itemsets_vertical(bk, params)
     if method == "apriori":
         return frequent_itemsets_apriori(bk, level, min_support, max_len)
     if method != "fpgrowth":
@@ -180,7 +186,7 @@ def frequent_itemsets_by_level(bk: Basket, params: DataFrame) -> DataFrame:
     holders = None
     for length in range(3, longest + 1):
         last = found[-1]
-        candidates = _candidates(last, length)
+        candidates = candidate_sets(last, length)
         if candidates.isEmpty():
             break
         if holders is None:  # who holds the frequent pairs that begin a candidate
@@ -202,7 +208,7 @@ def frequent_itemsets_by_level(bk: Basket, params: DataFrame) -> DataFrame:
     return out.select("level", "items", F.col("freq").cast("long").alias("freq"))
 
 
-def _candidates(sets: DataFrame, length: int) -> DataFrame:
+def candidate_sets(sets: DataFrame, length: int) -> DataFrame:
     """``level, items``: sets of ``length`` all of whose subsets of one item less are among ``sets``."""
     head = sets.select("level", F.slice("items", 1, length - 2).alias("head"), F.element_at("items", -1).alias("x"))
     joined = head.join(head.withColumnRenamed("x", "y"), ["level", "head"]).where("x < y") \
