@@ -72,6 +72,29 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None,
     return _typed(raw.select(*[c for c in wanted if c in raw.columns])).select(*wanted)
 
 
+REJECTED = "__line"
+
+
+def read_transactions_rescued(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """S1 / S4 for CSV files that may hold bad lines: ``(transactions, rejected)``.
+
+    ``rejected`` has a row per line kept apart: ``reason`` and ``line``. A line is ``fields`` if it has more or fewer fields
+    than the header, and ``bytes`` if it is no valid UTF-8. Lines that are whole but hold values of a wrong type are not bad:
+    such values become NULL, as in ``read_transactions``.
+    """
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in header), T.StructField(REJECTED, T.StringType())])
+    lines = spark.read.option("header", True).option("mode", "PERMISSIVE").option("nullValue", "") \
+        .option("columnNameOfCorruptRecord", REJECTED).schema(schema).csv(path)
+    whole = F.concat_ws("\x1f", *[F.col(f"`{c}`") for c in header])
+    reason = F.when(F.col(REJECTED).isNotNull(), "fields").when(whole.contains("\ufffd"), "bytes")
+    wanted = columns or TRANSACTION_COLUMNS
+    good = lines.where(reason.isNull()).select(*[F.col(f"`{c}`") for c in header if c in wanted])
+    rejected = lines.withColumn("reason", reason).where(F.col("reason").isNotNull()) \
+        .select("reason", F.coalesce(REJECTED, F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])).alias("line"))
+    return _typed(good).select(*wanted), rejected
+
+
 def read_raw_strings(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text, nothing dropped or deduplicated (the batch input of ``write_split``)."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
