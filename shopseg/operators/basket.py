@@ -22,9 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopseg.functions.numbering import numbered
+
 BROADCAST_ROWS = 2_000_000   # broadcast a side only below this many rows (counted first)
 
 
@@ -45,7 +47,7 @@ class Basket:
     """Everything ``build_basket`` derives for a set of levels."""
     users: DataFrame        # level, n_users (non-null item holders), base_users
     item_counts: DataFrame  # level, item, user_count (all items)
-    kept: DataFrame         # level, item, user_count, idx, n_items (kept items only)
+    kept: DataFrame         # level, item, user_count, idx (kept items only)
     basket: DataFrame       # level, User_ID, item, idx  (distinct, kept items only)
     basket_users: DataFrame  # level, U
     thresholds: DataFrame   # level, threshold
@@ -90,18 +92,15 @@ def build_basket(rows: DataFrame, params: DataFrame, need_base_users: bool | Non
             F.coalesce(F.col("min_users_abs"), F.lit(0)).cast("long"),
         ).alias("threshold"),
         "top_n")
-    # Top-N by user count, ties by item; the threshold bounds the group first.
-    rank_w = Window.partitionBy("level").orderBy(F.desc("user_count"), F.asc("item"))
-    kept = (item_counts.join(F.broadcast(thr), "level")
-            .where(F.col("user_count") >= F.col("threshold"))
-            .withColumn("_rank", F.row_number().over(rank_w))
-            .where(F.col("top_n").isNull() | (F.col("_rank") <= F.col("top_n")))
-            .select("level", "item", "user_count"))
-    idx_w = Window.partitionBy("level").orderBy("item")
-    kept = (kept.withColumn("idx", (F.row_number().over(idx_w) - 1).cast("int"))
-                .withColumn("n_items", F.count(F.lit(1)).over(Window.partitionBy("level")).cast("int"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    kept_sizes = {r["level"]: r["n_items"] for r in kept.select("level", "n_items").distinct().collect()}
+    # Top-N by user count, ties by item; the threshold bounds the group first. Places are counted over
+    # range partitions, so a level with most of the items is no task of its own.
+    enough = item_counts.join(F.broadcast(thr), "level").where(F.col("user_count") >= F.col("threshold"))
+    if params.where(F.col("top_n").isNotNull()).limit(1).count():  # a row per level
+        ranked = numbered(enough, ["level", F.desc("user_count"), "item"], "_rank", by=["level"])
+        enough = ranked.where(F.col("top_n").isNull() | (F.col("_rank") < F.col("top_n")))
+    kept = numbered(enough.select("level", "item", "user_count"), ["level", "item"], "idx", by=["level"]) \
+        .withColumn("idx", F.col("idx").cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    kept_sizes = {r["level"]: r["n"] for r in kept.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
     total_kept = sum(kept_sizes.values())
     small = checked_broadcast(kept.select("level", "item", "idx"), total_kept)
     basket = sub.join(small, ["level", "item"]).select("level", "User_ID", "item", "idx")
