@@ -39,13 +39,13 @@ from shopseg.llm import arrays, doublearray, shared, words
 GAPS, ENDS = b" \t", b".,;:!?\n\x0b\x0c\r"
 _END = re.compile(rb"[.,;:!?\n-\r]")
 #: Bytes of text in a block, and bytes of text a task holds back for all languages together.
-BLOCK, HELD = 2 << 20, 12 << 20
+BLOCK, HELD = 1 << 20, 10 << 20
 #: Row groups of the blocks' files: a reader holds one at a time.
 ROW_GROUP = {"parquet.block.size": 8 << 20}
 #: Candidates of one trie, and of all tries broadcast at once.
 SHARD, ROUND = 250_000, 1_000_000
-#: Rows of blocks, bitmap parts or counts handed to Python at a time.
-BATCH = 4
+#: Blocks handed to Python at a time, and rows of texts, bitmap parts or counts.
+BATCH, ROWS = 1, 500
 #: Bits of a bitmap.
 LEAST_BITS, MOST_BITS = 1 << 18, 1 << 29
 #: Parts of a bitmap: a block has a row for each at most, whatever the bitmap's size.
@@ -77,7 +77,7 @@ def _blocks(docs: DataFrame, seed: int) -> DataFrame:
                 "counts": pa.ListArray.from_arrays([0, len(hashes)], pa.array(c.counts()))})
 
     own = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    with shared.arrow_rows(docs.sparkSession, 1_000):
+    with shared.arrow_rows(docs.sparkSession, ROWS):
         return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
 
 
@@ -145,8 +145,10 @@ def _summed_buckets(rows: DataFrame, size: int, by: list[str], done, column: str
     return rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(summed, f"chunk int, {column} binary")
 
 
-def _bits(rows: DataFrame, size: int, least: int) -> Bits:
-    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``) sum to at least ``least``."""
+def _bits(rows: DataFrame, size: int, least: int, batch: int = BATCH) -> Bits:
+    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``, made from blocks) sum to at least ``least``."""
+    with shared.arrow_rows(rows.sparkSession, batch):
+        rows = shared.written(rows, "buckets")
     # many partitions sum a chunk side by side first
     salts = _salts(rows.sparkSession)
     if salts > 1:
@@ -155,7 +157,7 @@ def _bits(rows: DataFrame, size: int, least: int) -> Bits:
             .select("chunk", F.lit(None).cast("binary").alias("low"), "n")
     packed = _summed_buckets(rows, size, ["chunk"], lambda t: np.packbits(t >= least, bitorder="little").tobytes(), "bits")
     data = np.zeros((CHUNKS, size // CHUNKS // 8), np.uint8)
-    with shared.arrow_rows(rows.sparkSession, BATCH):
+    with shared.arrow_rows(rows.sparkSession, ROWS):
         bits = packed.toArrow().to_pylist()  # size / 8 bytes in all
     for r in bits:
         data[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
@@ -368,9 +370,11 @@ def _counted(blocks: DataFrame, tries: list[dict], k: int, shards: int, frequent
                 "w": pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * k, pa.array(own)), "f": pa.array(total[at])})
 
     own = blocks.where(F.col("lang").isin(langs)).select("lang", "numbers", "hashes")
-    counts = _dealt(own.mapInArrow(count, COUNTED).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_salts(spark)))))
     with shared.arrow_rows(spark, BATCH):
-        out = shared.written(counts.mapInArrow(found, "lang string, w array<long>, f long"), f"phrases{k}")
+        counts = shared.written(own.mapInArrow(count, COUNTED).withColumn(
+            "salt", F.pmod(F.spark_partition_id(), F.lit(_salts(spark)))), "counts")
+    with shared.arrow_rows(spark, ROWS):
+        out = shared.written(_dealt(counts).mapInArrow(found, "lang string, w array<long>, f long"), f"phrases{k}")
     sent.destroy()
     return out
 
@@ -409,7 +413,7 @@ def _bits_of(phrases: DataFrame) -> Bits:
                 gram = _further(gram, arrays.mixed(w[:, j] ^ langs))
             yield _bucket_rows(gram, size, 1)
 
-    return _bits(phrases.select("lang", "w").mapInArrow(rows, BUCKETS), size, 1)
+    return _bits(phrases.select("lang", "w").mapInArrow(rows, BUCKETS), size, 1, batch=10_000)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -36,8 +36,8 @@ _RARE_LEAD[[0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _CUT = re.compile(rb"(?<=[^ \t\r\n])(?= )")
 #: A piece that is one pre-token, so that the model alone gives its ids.
 _WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: Pieces that one generation holds (two are kept, about 120 MB together), and the longest piece worth remembering, in bytes.
-REMEMBERED, LONGEST = 400_000, 48
+#: Pieces that one generation holds (two are kept, about 50 MB together), and the longest piece worth remembering, in bytes.
+REMEMBERED, LONGEST = 150_000, 48
 #: Bytes of text cut into pieces at a time, and pieces given to the library at a time.
 SPAN, CALL = 4 << 20, 20_000
 
