@@ -12,8 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +19,7 @@ from pyspark.sql import types as T
 from shopseg.functions.quantiles import column_quantiles, quantile_bounds
 from shopseg.functions import sqltext as sq
 from shopseg.operators.features import INT_MODES, REV_SHARE_PREFIX, SHARE_PREFIX, numeric_feature_columns
+from shopseg.operators.principal import principal_axes
 
 # Matrix layout of the reference (fixed values).
 NUMERIC_BASE = ["n_transactions", "unique_products", "cat_entropy", "n_unique_categories"]
@@ -118,13 +117,12 @@ def feature_matrix(feats: DataFrame, quantile_method: str = "refine") -> tuple[D
     return assemble(encoded, names), names
 
 
-def feature_covariance(x: DataFrame, names: list[str], col: str = "x") -> DataFrame:
-    """Sample covariance ``a, b, cov`` of every pair of columns (a at or before b in ``names``).
+def covariance_sums(x: DataFrame, d: int, col: str = "x") -> tuple[DataFrame, int, np.ndarray]:
+    """``(i, j, s)`` sums of products of the deviations of columns i <= j, the number of rows and the column means.
 
-    Each task adds up products of its rows' deviations from the column means; only these d x d partial
-    sums are shuffled.
+    Each task adds up the products of its rows; only these d x d partial sums are shuffled. One more pass before it
+    gives the means, so that large means do not eat the digits of small variances.
     """
-    d = len(names)
     row = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(col)[i]).alias(f"m{i}") for i in range(d)]).collect()[0]
     n, means = row["n"], np.array([row[f"m{i}"] or 0.0 for i in range(d)])
     ii, jj = np.triu_indices(d)
@@ -137,6 +135,12 @@ def feature_covariance(x: DataFrame, names: list[str], col: str = "x") -> DataFr
         yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "s": total[ii, jj]})
 
     sums = x.select(col).mapInPandas(products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    return sums, n, means
+
+
+def feature_covariance(x: DataFrame, names: list[str], col: str = "x") -> DataFrame:
+    """Sample covariance ``a, b, cov`` of every pair of columns (a at or before b in ``names``)."""
+    sums, n, _ = covariance_sums(x, len(names), col)
     name = F.array(*[F.lit(c) for c in names])
     return sums.select(name[F.col("i")].alias("a"), name[F.col("j")].alias("b"), (F.col("s") / F.lit(float(max(n - 1, 1)))).alias("cov"))
 
@@ -155,25 +159,21 @@ def pca_by_variance(x: DataFrame, target: float | int, id_col: str = "User_ID",
     """M5: project onto the fewest components whose cumulative explained
     variance ratio exceeds ``target`` (an int ``target`` keeps that many).
 
-    The covariance is a distributed tree aggregate; only the d x d eigenproblem
-    runs on the driver. Component signs are fixed so each component's largest
+    The covariance comes from per-task partial sums; of its axes only the wanted ones are worked out
+    (``principal.principal_axes``), on the driver, where the d x d table has the size of the columns squared
+    (at most ``MAX_LEVELS`` levels a column). Component signs are fixed so each component's largest
     absolute loading is positive. Scores are uncentered unless ``center``
     (distances do not depend on it).
     """
     if d is None:
         d = x.agg(F.max(F.size(col))).collect()[0][0]
-    vec = x.select(F.col(id_col), *(keep or []), array_to_vector(F.col(col)).alias("_v"))
-    model = PCA(k=d, inputCol="_v", outputCol="_p").fit(vec)
-    ratios = np.array(model.explainedVariance.toArray())
-    if isinstance(target, int) and not isinstance(target, bool) and target >= 1:
-        m = min(target, d)
-    else:
-        m = int(np.searchsorted(np.cumsum(ratios), float(target), side="right") + 1)
-        m = min(m, d)
-    pc = model.pc.toArray()[:, :m]
-    signs = np.sign(pc[np.argmax(np.abs(pc), axis=0), np.arange(m)])
-    signs[signs == 0] = 1.0
-    pc = pc * signs
+    sums, n, means = covariance_sums(x, d, col)
+    cov = np.zeros((d, d))
+    for i, j, s in sums.collect():
+        cov[i, j] = cov[j, i] = s / max(n - 1, 1)
+    values, pc = principal_axes(cov, target)
+    m, total = len(values), float(np.trace(cov))
+    ratios = values / total if total > 0 else np.zeros(m)
     # scores as JVM-side dot products with the (tiny) literal basis
     scores = []
     for j in range(m):
@@ -182,11 +182,10 @@ def pca_by_variance(x: DataFrame, target: float | int, id_col: str = "User_ID",
     out = x.selectExpr(sq.q(id_col), *[sq.q(k) for k in (keep or [])], f"array({', '.join(scores)}) AS pca")
     mean_scores = None
     if center:
-        mean_row = out.agg(*[F.avg(F.col("pca")[j]).alias(f"m{j}") for j in range(m)]).collect()[0]
-        mean_scores = np.array([mean_row[f"m{j}"] for j in range(m)])
+        mean_scores = means @ pc
         out = out.select(F.col(id_col), *(keep or []),
                          F.array(*[F.col("pca")[j] - F.lit(float(mean_scores[j])) for j in range(m)]).alias("pca"))
-    return out, PCAResult(m, [float(r) for r in ratios[:m]], pc, mean_scores)
+    return out, PCAResult(m, [float(r) for r in ratios], pc, mean_scores)
 
 
 def pca_projection(x: DataFrame, labels: DataFrame | None = None, n: int = 3, id_col: str = "User_ID"

@@ -360,12 +360,19 @@ def q_pca_variance(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.createDataFrame(rows, "component int, explained_ratio double, cumulative double"))
 
 
+def q_pca_components(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: every loading of the components kept for the 80 % target."""
+    prep = _detect_points(spark, sf)
+    rows = [(j + 1, c, float(v)) for j, axis in enumerate(prep.pca.components.T) for c, v in zip(prep.columns, axis)]
+    return rounded(spark.createDataFrame(rows, "component int, feature string, loading double"))
+
+
 def q_pca_projection(spark: SparkSession, sf: str) -> DataFrame:
     """M6: centred 3-D coordinates of the scaled matrix with the region label."""
     from shopseg.operators.matrix import pca_projection
     prep = _detect_points(spark, sf)
     out, _ = pca_projection(prep.x, region_assignments(spark, sf), 3)
-    return rounded(out)
+    return rounded(out, places=4)
 
 
 def q_merge_tree(spark: SparkSession, sf: str) -> DataFrame:
@@ -615,6 +622,7 @@ QUERIES = {
     "l1_silhouette": q_l1_silhouette,
     "euclidean_silhouette": q_euclidean_silhouette,
     "pca_variance": q_pca_variance,
+    "pca_components": q_pca_components,
     "pca_projection": q_pca_projection,
     "pairwise_manhattan_within": q_pairwise_manhattan_within,
     "merge_tree": q_merge_tree,

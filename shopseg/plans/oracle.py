@@ -30,6 +30,9 @@ def tx_raw(variant: str = "clean") -> str:
         category = f"CASE WHEN p.p_size = 49 THEN 'abc' ELSE {category} END"
         stay = f"CASE WHEN l.l_linenumber = 2 AND l.l_quantity < 10 THEN '2.0' ELSE {stay} END"
         user = "CASE WHEN o.o_orderkey % 101 = 0 THEN NULL ELSE o.o_custkey END"
+    if variant == "planted":
+        category = f"CASE WHEN o.o_custkey % 50 = 0 THEN '26' ELSE {category} END"
+        purchase = f"CASE WHEN o.o_custkey % 50 = 0 THEN CAST(5 AS DOUBLE) * {purchase} / CAST(100 AS DOUBLE) ELSE {purchase} END"
     body = f"""SELECT CAST({user} AS INTEGER) AS User_ID,
       {product} AS Product_ID,
       l.l_linestatus AS Gender,
@@ -321,9 +324,9 @@ MATRIX_PRED = ("(feature IN (" + ", ".join(f"'{c}'" for c in MATRIX_PLAIN) + ")"
                " OR feature LIKE 'cat_share__%' OR feature LIKE 'cat_rev_share__%')")
 
 
-def matrix_ctes(q_low: float = 0.005, q_high: float = 0.995) -> str:
+def matrix_ctes(q_low: float = 0.005, q_high: float = 0.995, variant: str = "clean") -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
-    return f"""{feature_ctes()},
+    return f"""{feature_ctes(variant=variant)},
 nlong AS (
   SELECT User_ID, feature, value FROM (UNPIVOT (SELECT User_ID, {casts} FROM feats)
     ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value)
@@ -482,10 +485,10 @@ SELECT u.User_ID, lv.col || '=' || lv.lvl AS feature, CAST(CASE WHEN u.v = lv.lv
 FROM uv u JOIN lv ON lv.col = u.col"""
 
 
-def matrix_long_ctes() -> str:
+def matrix_long_ctes(variant: str = "clean") -> str:
     """``x(User_ID, feature, value)``: the whole matrix. The modes are clipped like every number before they are encoded."""
     texts = " UNION ALL ".join(f"SELECT User_ID, '{c}' AS col, {c} AS v FROM feats" for c in ("Age_mode", "Gender_mode", "City_Category_mode"))
-    return f"""{matrix_ctes()},
+    return f"""{matrix_ctes(variant=variant)},
 uv AS ({texts} UNION ALL SELECT User_ID, feature, CAST(value AS VARCHAR) FROM wlong
        WHERE feature IN ('Stay_mode', 'Marital_mode', 'Occupation_mode')),
 lv AS (SELECT DISTINCT col, v FROM uv),
@@ -493,6 +496,56 @@ x AS (SELECT User_ID, feature, value FROM rlong UNION ALL
       SELECT u.User_ID, lv.col || '=' || lv.v, CASE WHEN u.v = lv.v THEN 1.0 ELSE 0.0 END FROM uv u JOIN lv ON lv.col = u.col)"""
 
 
+def pca_ctes(done: str) -> str:
+    """``axis(component, value, share, u)``: axes of the covariance until ``done``, a condition on the step's state.
+
+    A covariance squared 40 times, with its trace kept at 1, is the projection on its first axis; its part is then
+    taken off, and the next axis is looked for in the rest.
+    """
+    return f"""WITH RECURSIVE {matrix_long_ctes('planted')},
+cell AS (SELECT a.feature AS f, b.feature AS g, covar_samp(a.value, b.value) AS v
+         FROM x a JOIN x b ON a.User_ID = b.User_ID GROUP BY 1, 2),
+line AS (SELECT f, list(v ORDER BY g) AS vs FROM cell GROUP BY f),
+cov AS (SELECT list(vs ORDER BY f) AS c, list(f ORDER BY f) AS names FROM line),
+start AS (SELECT c, list_sum([c[i][i] for i in range(1, len(c) + 1)]) AS t FROM cov),
+run AS (
+  SELECT 0 AS component, 0 AS sq, c, [[v / t for v in r] for r in c] AS m, t AS total, t AS rest,
+         0.0::DOUBLE AS value, 0.0::DOUBLE AS share, NULL::DOUBLE[] AS u FROM start
+  UNION ALL
+  SELECT CASE WHEN sq < 40 THEN component ELSE component + 1 END, CASE WHEN sq < 40 THEN sq + 1 ELSE 0 END,
+         c2, CASE WHEN sq < 40 THEN [[v / t2 for v in r] for r in m2] ELSE [[v / t2 for v in r] for r in c2] END,
+         total, rest, l, share + l / total, u2
+  FROM (SELECT *, CASE WHEN sq < 40 THEN list_sum([m2[i][i] for i in range(1, len(m2) + 1)])
+                       ELSE list_sum([c2[i][i] for i in range(1, len(c2) + 1)]) END AS t2
+    FROM (SELECT *, CASE WHEN sq < 40 THEN [[list_dot_product(r, s) for s in m] for r in m] END AS m2,
+                 CASE WHEN sq < 40 THEN c ELSE [[c[i][j] - l * m[i][j] for j in range(1, len(c) + 1)] for i in range(1, len(c) + 1)] END AS c2,
+                 CASE WHEN sq = 40 THEN [v / sqrt(m[p][p]) for v in m[p]] END AS u2
+      FROM (SELECT *, CASE WHEN sq = 40 THEN list_sum([list_dot_product(c[i], m[i]) for i in range(1, len(c) + 1)]) ELSE 0 END AS l,
+                   list_position([m[i][i] for i in range(1, len(m) + 1)], list_max([m[i][i] for i in range(1, len(m) + 1)])) AS p
+            FROM run WHERE NOT (sq = 0 AND component > 0 AND ({done})))))),
+axis AS (SELECT component, value, value / total AS ratio, share, u FROM run WHERE sq = 0 AND component > 0)"""
+
+
+def sql_pca_variance() -> str:
+    return pca_ctes("share > 0.8") + """
+SELECT CAST(component AS INTEGER) AS component, ROUND(ratio, 6) AS explained_ratio, ROUND(share, 6) AS cumulative FROM axis"""
+
+
+def sql_pca_components() -> str:
+    return pca_ctes("share > 0.8") + """
+SELECT CAST(component AS INTEGER) AS component, unnest(names) AS feature, ROUND(unnest(u), 6) AS loading FROM axis, cov"""
+
+
+def sql_pca_projection() -> str:
+    return pca_ctes("component = 3") + f""", {REGION},
+load AS (SELECT component, unnest(names) AS feature, unnest(u) AS w FROM axis, cov),
+mean AS (SELECT feature, avg(value) AS mu FROM x GROUP BY 1),
+score AS (SELECT User_ID, component, sum((value - mu) * w) AS s FROM x JOIN mean USING (feature) JOIN load USING (feature) GROUP BY 1, 2),
+wide AS (SELECT User_ID, max(s) FILTER (component = 1) AS pc1, max(s) FILTER (component = 2) AS pc2,
+                max(s) FILTER (component = 3) AS pc3 FROM score GROUP BY 1)
+SELECT w.User_ID, ROUND(pc1, 4) AS pc1, ROUND(pc2, 4) AS pc2, ROUND(pc3, 4) AS pc3, asg.cluster FROM wide w LEFT JOIN asg USING (User_ID)"""
+
+
 def sql_cluster_profile_final() -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
     return f"""WITH {feature_ctes()}, {REGION},
@@ -564,6 +617,9 @@ def oracles() -> dict[str, str]:
                               "ON a.User_ID = b.User_ID AND a.feature <= b.feature GROUP BY 1, 2",
         "pca_total_variance": f"WITH {matrix_long_ctes()}, v AS (SELECT feature, var_samp(value) AS v FROM x GROUP BY 1)\n"
                               "SELECT CAST(count(*) AS BIGINT) AS n_columns, ROUND(sum(v), 4) AS total_variance FROM v",
+        "pca_variance": sql_pca_variance(),
+        "pca_components": sql_pca_components(),
+        "pca_projection": sql_pca_projection(),
         "cluster_profile_final": sql_cluster_profile_final(),
         "first_assignments": f"WITH s AS ({sql_niche_split()})\nSELECT * FROM s ORDER BY cluster, User_ID LIMIT 100",
         "production_rules_loose": sql_rules([s | {"conf": 0.02, "lift": 1.0} for s in PRODUCTION], lines=PRODUCTION_LINES),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from shopseg.operators.matrix import one_hot, pca_by_variance, robust_scale, winsorize_features
+from shopseg.operators.principal import principal_axes
 
 
 def test_robust_scale_zero_iqr(spark):
@@ -54,3 +55,36 @@ def test_pca_variance_rule_and_distances(spark):
     d1 = np.linalg.norm(f[:, None] - f[None], axis=2)
     d0 = np.linalg.norm(x[:, None] - x[None], axis=2)
     assert np.allclose(d0, d1, atol=1e-8)                       # full rotation keeps distances
+
+
+@pytest.mark.parametrize("d, target", [(1, 0.8), (3, 2), (12, 0.95), (40, 0.5), (40, 0.999), (40, 7)])
+def test_principal_axes_solve_the_eigenproblem(d, target):
+    rng = np.random.default_rng(d)
+    cov = np.cov((rng.normal(size=(500, d)) * 0.8 ** np.arange(d)).T).reshape(d, d)
+    values, axes = principal_axes(cov, target)
+    want = np.linalg.eigvalsh(cov)[::-1]
+    m = target if isinstance(target, int) else int((np.cumsum(want) / want.sum() <= target).sum()) + 1
+    assert len(values) == m
+    assert np.allclose(values, want[:m], rtol=1e-10)
+    assert np.linalg.norm(cov @ axes - axes * values, axis=0).max() <= 1e-10 * want[0]
+    assert np.allclose(axes.T @ axes, np.eye(m), atol=1e-10)
+    assert all(v[np.abs(v).argmax()] > 0 for v in axes.T)
+
+
+def test_principal_axes_of_equal_and_zero_variances():
+    values, axes = principal_axes(np.eye(6), 0.6)
+    assert np.allclose(values, 1) and axes.shape == (6, 4)
+    values, axes = principal_axes(np.zeros((3, 3)), 0.8)
+    assert list(values) == [0] and axes.shape == (3, 1)
+    low = np.outer([1.0, 2.0, 2.0], [1.0, 2.0, 2.0])              # rank one, more axes asked than it has
+    values, axes = principal_axes(low, 3)
+    assert np.allclose(values, [9, 0, 0]) and np.allclose(axes[:, 0], [1 / 3, 2 / 3, 2 / 3])
+
+
+def test_pca_keeps_digits_under_large_means(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3)) * [1.0, 0.5, 0.1] + 1e7
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "User_ID int, x array<double>")
+    _, res = pca_by_variance(df, 3)
+    want = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    assert res.explained == pytest.approx(list(want / want.sum()), abs=1e-6)
