@@ -44,8 +44,8 @@ BLOCK, HELD = 1 << 20, 10 << 20
 ROW_GROUP = {"parquet.block.size": 8 << 20}
 #: Candidates of one trie, and of all tries broadcast at once.
 SHARD, ROUND = 250_000, 1_000_000
-#: Blocks handed to Python at a time, and rows of texts, bitmap parts or counts.
-BATCH, ROWS = 1, 500
+#: Bytes of texts, blocks, bitmap parts or counts handed to Python at a time.
+BATCH = 1 << 20
 #: Bits of a bitmap.
 LEAST_BITS, MOST_BITS = 1 << 18, 1 << 29
 #: Parts of a bitmap: a block has a row for each at most, whatever the bitmap's size.
@@ -77,8 +77,7 @@ def _blocks(docs: DataFrame, seed: int) -> DataFrame:
                 "counts": pa.ListArray.from_arrays([0, len(hashes)], pa.array(c.counts()))})
 
     own = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    with shared.arrow_rows(docs.sparkSession, ROWS):
-        return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
+    return shared.written(own.mapInArrow(cut, BLOCKS), "blocks", **ROW_GROUP)
 
 
 def _words(blocks: DataFrame) -> DataFrame:
@@ -145,10 +144,8 @@ def _summed_buckets(rows: DataFrame, size: int, by: list[str], done, column: str
     return rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(summed, f"chunk int, {column} binary")
 
 
-def _bits(rows: DataFrame, size: int, least: int, batch: int = BATCH) -> Bits:
-    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``, made from blocks) sum to at least ``least``."""
-    with shared.arrow_rows(rows.sparkSession, batch):
-        rows = shared.written(rows, "buckets")
+def _bits(rows: DataFrame, size: int, least: int) -> Bits:
+    """Bitmap of the buckets whose counts in ``rows`` (``BUCKETS``) sum to at least ``least``."""
     # many partitions sum a chunk side by side first
     salts = _salts(rows.sparkSession)
     if salts > 1:
@@ -157,9 +154,7 @@ def _bits(rows: DataFrame, size: int, least: int, batch: int = BATCH) -> Bits:
             .select("chunk", F.lit(None).cast("binary").alias("low"), "n")
     packed = _summed_buckets(rows, size, ["chunk"], lambda t: np.packbits(t >= least, bitorder="little").tobytes(), "bits")
     data = np.zeros((CHUNKS, size // CHUNKS // 8), np.uint8)
-    with shared.arrow_rows(rows.sparkSession, ROWS):
-        bits = packed.toArrow().to_pylist()  # size / 8 bytes in all
-    for r in bits:
+    for r in packed.toArrow().to_pylist():  # size / 8 bytes in all
         data[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
     return Bits(size, data.reshape(-1))
 
@@ -253,8 +248,7 @@ def _candidates(blocks: DataFrame, k: int, frequent: list[Bits], least: int, siz
                 **{w: pa.array(raw[numbers[at + j] - 1]) for j, w in enumerate(names)}})
 
     schema = "lang string, gram long, " + ", ".join(f"{w} long" for w in names)
-    with shared.arrow_rows(blocks.sparkSession, BATCH):
-        out = shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}")
+    out = shared.written(numbers_only.mapInArrow(different, schema).dropDuplicates(), f"candidates{k}")
     known.destroy()
     full.destroy()
     return out, filled
@@ -370,11 +364,8 @@ def _counted(blocks: DataFrame, tries: list[dict], k: int, shards: int, frequent
                 "w": pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * k, pa.array(own)), "f": pa.array(total[at])})
 
     own = blocks.where(F.col("lang").isin(langs)).select("lang", "numbers", "hashes")
-    with shared.arrow_rows(spark, BATCH):
-        counts = shared.written(own.mapInArrow(count, COUNTED).withColumn(
-            "salt", F.pmod(F.spark_partition_id(), F.lit(_salts(spark)))), "counts")
-    with shared.arrow_rows(spark, ROWS):
-        out = shared.written(_dealt(counts).mapInArrow(found, "lang string, w array<long>, f long"), f"phrases{k}")
+    counts = own.mapInArrow(count, COUNTED).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_salts(spark))))
+    out = shared.written(_dealt(counts).mapInArrow(found, "lang string, w array<long>, f long"), f"phrases{k}")
     sent.destroy()
     return out
 
@@ -413,7 +404,7 @@ def _bits_of(phrases: DataFrame) -> Bits:
                 gram = _further(gram, arrays.mixed(w[:, j] ^ langs))
             yield _bucket_rows(gram, size, 1)
 
-    return _bits(phrases.select("lang", "w").mapInArrow(rows, BUCKETS), size, 1, batch=10_000)
+    return _bits(phrases.select("lang", "w").mapInArrow(rows, BUCKETS), size, 1)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -424,6 +415,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4) -> tupl
     """
     if least < 1 or longest < 1:
         raise ValueError("least and longest must be at least 1")
+    with shared.arrow_bytes(docs.sparkSession, BATCH):
+        return _frequent_phrases(docs, least, longest)
+
+
+def _frequent_phrases(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     for seed in itertools.count():
         blocks = _blocks(docs, seed)
         counted = shared.written(_words(blocks), "words")

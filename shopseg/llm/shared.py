@@ -35,11 +35,11 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
 
 
 @contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Actions inside hand so many rows at a time to Python: for rows of a few MB, of which the usual number is too much."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def arrow_bytes(spark: SparkSession, size: int):
+    """Actions inside hand about so many bytes at a time to Python, one row at least: for rows of very different sizes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, str(size))
     try:
         yield
     finally:
