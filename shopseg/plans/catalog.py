@@ -456,6 +456,18 @@ def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
                                          "k int, silhouette double, best boolean"))
 
 
+def q_best_k_given_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouettes of given labelings (nation modulo k, k = 2..10), all in one pass, and the best k."""
+    from shopseg.operators.silhouette import silhouette_scores
+    from shopseg.plans.segmentation import best_k
+    nations = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("CAST(c_custkey AS INT) AS User_ID", "c_nationkey")
+    labels = nations.selectExpr("User_ID", "explode(sequence(2, 10)) AS k", "c_nationkey") \
+        .selectExpr("User_ID", "k", "CAST(c_nationkey % k AS INT) AS cluster")
+    scores = sorted(silhouette_scores(_scaled_points(spark, sf), labels, "manhattan").items())
+    best = best_k(scores)
+    return rounded(spark.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, best boolean"))
+
+
 def _hybrid(spark, sf):
     from shopseg.plans.segmentation import hybrid_segments
     return hybrid_segments(transactions_from_tables(spark, sf, "planted"), silhouettes=False)
@@ -636,6 +648,7 @@ QUERIES = {
     "segments_test3": _variant("test3"),
     "one_pass_profile": q_one_pass_profile,
     "choose_k": q_choose_k,
+    "best_k_given_labels": q_best_k_given_labels,
     "niche_users": q_niche_users,
     "core_transactions": q_core_transactions,
     "hybrid_segments": q_hybrid_segments,

@@ -365,6 +365,22 @@ SELECT User_ID, cluster, ROUND(a, 6) AS a, ROUND(b, 6) AS b,
 FROM ab"""
 
 
+def sql_best_k() -> str:
+    return f"""WITH {matrix_ctes()},
+lab AS (SELECT CAST(c_custkey AS INTEGER) AS User_ID, CAST(k AS INTEGER) AS k, c_nationkey % k AS cluster
+        FROM customer, range(2, 11) AS ks(k) WHERE CAST(c_custkey AS INTEGER) IN (SELECT User_ID FROM rlong)),
+pd AS (SELECT a.User_ID AS i, b.User_ID AS j, sum(abs(a.value - b.value)) AS d
+       FROM rlong a JOIN rlong b ON a.feature = b.feature AND a.User_ID <> b.User_ID GROUP BY 1, 2),
+dc AS (SELECT l.k, pd.i, l.cluster AS cj, sum(pd.d) AS s FROM pd JOIN lab l ON l.User_ID = pd.j GROUP BY 1, 2, 3),
+sz AS (SELECT k, cluster, count(*) AS n FROM lab GROUP BY 1, 2),
+ab AS (SELECT li.k, li.User_ID, o.n AS n_own, max(CASE WHEN dc.cj = li.cluster THEN dc.s END) / CAST(o.n - 1 AS DOUBLE) AS a,
+              min(CASE WHEN dc.cj <> li.cluster THEN dc.s / CAST(t.n AS DOUBLE) END) AS b
+       FROM lab li JOIN sz o ON o.k = li.k AND o.cluster = li.cluster LEFT JOIN dc ON dc.k = li.k AND dc.i = li.User_ID
+       LEFT JOIN sz t ON t.k = dc.k AND t.cluster = dc.cj GROUP BY li.k, li.User_ID, o.n),
+score AS (SELECT k, avg(CASE WHEN n_own <= 1 OR GREATEST(a, b) = 0 THEN 0.0 ELSE (b - a) / GREATEST(a, b) END) AS s FROM ab GROUP BY k)
+SELECT k, ROUND(s, 6) AS silhouette, row_number() OVER (ORDER BY s DESC, k) = 1 AS best FROM score"""
+
+
 def sql_pairwise_within() -> str:
     return f"""WITH {matrix_ctes()}
 SELECT a.User_ID AS a, b.User_ID AS b, ROUND(sum(abs(a.value - b.value)), 6) AS distance
@@ -625,6 +641,7 @@ def oracles() -> dict[str, str]:
         "production_rules_loose": sql_rules([s | {"conf": 0.02, "lift": 1.0} for s in PRODUCTION], lines=PRODUCTION_LINES),
         "l1_silhouette": sql_silhouette("manhattan"),
         "euclidean_silhouette": sql_silhouette("euclidean"),
+        "best_k_given_labels": sql_best_k(),
         "merge_heights_given_leaves": sql_merge_heights(),
         "pairwise_manhattan_within": sql_pairwise_within(),
         "merge_heights_true_average": sql_merge_heights_true_average(),

@@ -80,6 +80,11 @@ class VariantResult:
     certain: bool              # whether the cut is the points' own, whatever the leaves hide
 
 
+def best_k(scores: list[tuple[int, float]]) -> int:
+    """The k of the highest score, of equal ones the smallest."""
+    return min(scores, key=lambda t: (-t[1], t[0]))[0]
+
+
 def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k_max: int = K_MAX,
              leaves: int = LEAVES) -> tuple[int, list[tuple[int, float]], Tree]:
     """Silhouette for each k, best k (ties -> smaller k); one tree, many cuts."""
@@ -92,8 +97,7 @@ def choose_k(points: DataFrame, linkage: str, metric: str, k_min: int = K_MIN, k
     scores = sorted(by_k.items())
     if not scores:
         return max(2, k_min), scores, tree
-    best = sorted(scores, key=lambda t: (-t[1], t[0]))[0][0]
-    return best, scores, tree
+    return best_k(scores), scores, tree
 
 
 def segment_variant(points: DataFrame, variant: str, k_min: int = K_MIN, k_max: int = K_MAX,
