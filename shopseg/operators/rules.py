@@ -12,13 +12,20 @@ needed.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopseg.functions.numbering import numbered, stored
 from shopseg.functions.scalar import itemset_text, pair_key
 from shopseg.operators.basket import Basket, checked_broadcast, cooccurrence
 from shopseg.session import cut_lineage
 
+#: Candidates counted in one pass over the baskets, and places (items x users) of a task's table of who holds what.
+SCAN, HELD = 200_000, 1 << 26
+
 RULE_COLUMNS = ["level", "antecedent", "consequent", "support", "confidence", "lift"]
 
 
@@ -160,8 +167,8 @@ def frequent_itemsets_by_level(bk: Basket, params: DataFrame) -> DataFrame:
 
     Length 1 comes from the kept-item counts, length 2 from the co-occurrence counts. Longer sets are
     candidates from joining two frequent sets that differ in their last item, kept if all their
-    subsets are frequent, and counted by joining them with the users who hold their prefix: each length's
-    holders (set, user) extend to the next one's, so a user's whole basket is never enumerated.
+    subsets are frequent, and counted by scanning the baskets: these are stored once, a row per user, and each length
+    passes over them without a shuffle but that of the counts. Nothing is kept per set and user.
     """
     floor = params.select("level", "min_support", "max_len").join(bk.basket_users, "level") \
         .withColumn("U", F.col("U").cast("double"))
@@ -169,43 +176,91 @@ def frequent_itemsets_by_level(bk: Basket, params: DataFrame) -> DataFrame:
     longest = floor.agg(F.max("max_len")).first()[0] or 0
 
     def frequent(counted: DataFrame, length: int) -> DataFrame:
-        return counted.join(F.broadcast(floor.where(F.col("max_len") >= length)), "level") \
-            .where(F.col("freq") / F.col("U") >= F.col("min_support")).select("level", "items", "freq")
+        return cut_lineage(counted.join(F.broadcast(floor.where(F.col("max_len") >= length)), "level")
+                           .where(F.col("freq") / F.col("U") >= F.col("min_support")).select("level", "items", "freq"))
 
-    found = [cut_lineage(frequent(bk.kept.select("level", F.array("item").alias("items"),
-                                                F.col("user_count").cast("long").alias("freq")), 1))]
+    found = [frequent(bk.kept.select("level", F.array("idx").alias("items"), F.col("user_count").cast("long").alias("freq")), 1)]
     if longest >= 2:
-        names = checked_broadcast(bk.kept.select("level", "idx", "item"), sum(bk.kept_sizes.values()))
         wanted = floor.where("max_len >= 2").select("level")
         co = cooccurrence(bk.basket.join(F.broadcast(wanted), "level", "left_semi"), bk.kept_sizes)
-        pairs = co.join(names.select("level", F.col("idx").alias("a"), F.col("item").alias("ia")), ["level", "a"]) \
-            .join(names.select("level", F.col("idx").alias("b"), F.col("item").alias("ib")), ["level", "b"])
-        found.append(cut_lineage(frequent(pairs.select("level", F.array_sort(F.array("ia", "ib")).alias("items"),
-                                                       F.col("co").cast("long").alias("freq")), 2)))
-    member = bk.basket.select("level", "User_ID", "item")
-    holders = None
+        found.append(frequent(co.select("level", F.array("a", "b").alias("items"), F.col("co").cast("long").alias("freq")), 2))
+    baskets = None
     for length in range(3, longest + 1):
-        last = found[-1]
-        candidates = candidate_sets(last, length)
-        if candidates.isEmpty():
+        # of the levels that want sets so long
+        last = found[-1].join(F.broadcast(floor.where(F.col("max_len") >= length).select("level")), "level", "left_semi")
+        candidates = cut_lineage(numbered(candidate_sets(last, length), ["level", "items"], "no"))
+        n, counted = candidates.count(), None
+        if not n:
             break
-        if holders is None:  # who holds the frequent pairs that begin a candidate
-            begin = candidates.select("level", F.slice("items", 1, length - 1).alias("prefix")).distinct()
-            first = begin.select("level", "prefix", F.col("prefix")[0].alias("item"))
-            holders = first.join(member, ["level", "item"]).select("level", "prefix", "User_ID", F.col("prefix")[1].alias("item")) \
-                .join(member, ["level", "User_ID", "item"]).select("level", "User_ID", F.col("prefix").alias("items"))
-        grown = holders.withColumnRenamed("items", "prefix").join(
-            candidates.withColumn("prefix", F.slice("items", 1, length - 1)), ["level", "prefix"]) \
-            .withColumn("item", F.element_at("items", -1)).join(member, ["level", "User_ID", "item"]) \
-            .select("level", "User_ID", "items")
-        counted = frequent(grown.groupBy("level", "items").agg(F.count(F.lit(1)).alias("freq")), length)
-        found.append(cut_lineage(counted))
-        if length < longest:
-            holders = cut_lineage(grown.join(found[-1].select("level", "items"), ["level", "items"], "left_semi"))
+        if baskets is None:
+            wanted = floor.where("max_len >= 3").select("level")
+            baskets = stored(bk.basket.join(F.broadcast(wanted), "level", "left_semi")
+                             .groupBy("level", "User_ID").agg(F.collect_list("idx").alias("idx")).select("level", "idx"), "baskets")
+        for first in range(0, n, SCAN):
+            part = _scanned(baskets, candidates.where((F.col("no") >= first) & (F.col("no") < first + SCAN)), length)
+            counted = part if counted is None else counted.unionByName(part)
+        found.append(frequent(counted, length))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.select("level", "items", F.col("freq").cast("long").alias("freq"))
+    return named_sets(out, bk)
+
+
+def named_sets(sets: DataFrame, bk: Basket) -> DataFrame:
+    """``level, items, freq`` with the names of the items; kept items are numbered in order, so these come out in order, too."""
+    named = sets.select("level", "items", "freq", F.posexplode("items").alias("at", "idx")).join(bk.kept.select("level", "idx", "item"), ["level", "idx"])
+    return named.groupBy("level", "items").agg(F.first("freq").alias("freq"), F.array_sort(F.collect_list(F.struct("at", "item"))).alias("i")) \
+        .select("level", F.col("i.item").alias("items"), "freq")
+
+
+def _scanned(baskets: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
+    """``level, items, freq`` of ``candidates`` (``level, items, no``; at most ``SCAN``) over ``baskets`` (``level, idx``).
+
+    A task turns its baskets, some at a time, to a bitmap of users per item and counts the bits that a candidate's items share.
+    """
+    by_level: dict[str, tuple] = {}
+    for r in sorted(candidates.collect(), key=lambda r: r.no):
+        no, items = by_level.setdefault(r.level, ([], []))
+        no.append(r.no)
+        items.append(r["items"])
+    for level, (no, items) in by_level.items():
+        used, at = np.unique(np.array(items, np.int64), return_inverse=True)
+        by_level[level] = np.array(no, np.int64), used, at.reshape(-1, length)
+    sent = baskets.sparkSession.sparkContext.broadcast(by_level)
+
+    def count(batches):
+        totals = {level: np.zeros(len(no), np.int64) for level, (no, _, _) in sent.value.items()}
+
+        def add(level, lists):
+            _, used, sets = sent.value[level]
+            users = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            idx = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.minimum(np.searchsorted(used, idx), len(used) - 1)
+            known = used[row] == idx
+            held = np.zeros((len(used), -(-len(lists) // 64) * 64), bool)
+            held[row[known], users[known]] = True
+            bits = np.packbits(held, axis=1).view(np.uint64)
+            step = max(1, (1 << 20) // bits.shape[1])
+            for a in range(0, len(sets), step):
+                both = bits[sets[a:a + step, 0]]
+                for j in range(1, length):
+                    both &= bits[sets[a:a + step, j]]
+                totals[level][a:a + step] += np.bitwise_count(both).sum(1, dtype=np.int64)
+
+        for b in batches:
+            for level in set(b["level"].unique().to_pylist()) & set(totals):
+                lists = b.filter(pc.equal(b["level"], level))["idx"]
+                most = max(64, HELD // len(sent.value[level][1]))
+                for a in range(0, len(lists), most):
+                    add(level, pa.concat_arrays([lists.slice(a, most)]))
+        for level, (no, _, _) in sent.value.items():
+            some = totals[level] > 0
+            yield pa.RecordBatch.from_pydict({"no": pa.array(no[some]), "n": pa.array(totals[level][some])})
+
+    counts = baskets.mapInArrow(count, "no long, n long").groupBy("no").agg(F.sum("n").alias("freq"))
+    out = cut_lineage(candidates.join(counts, "no").select("level", "items", "freq"))
+    sent.destroy()
+    return out
 
 
 def candidate_sets(sets: DataFrame, length: int) -> DataFrame:

@@ -140,7 +140,7 @@ def _counted(sets: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
 
 def frequent_itemsets_vertical(bk: Basket, params: DataFrame) -> DataFrame:
     """R3 for every level of ``params`` (``level, min_support, max_len``): ``level, items, freq``."""
-    from shopseg.operators.rules import candidate_sets
+    from shopseg.operators.rules import candidate_sets, named_sets
 
     floor = cut_lineage(params.select("level", "min_support", "max_len").join(bk.basket_users, "level")
                         .withColumn("U", F.col("U").cast("double")))
@@ -164,7 +164,4 @@ def frequent_itemsets_vertical(bk: Basket, params: DataFrame) -> DataFrame:
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    # kept items are numbered in order, so a set's items come out in order, too
-    named = every.select("level", "items", "freq", F.posexplode("items").alias("at", "idx")).join(bk.kept.select("level", "idx", "item"), ["level", "idx"])
-    return named.groupBy("level", "items").agg(F.first("freq").alias("freq"), F.array_sort(F.collect_list(F.struct("at", "item"))).alias("i")) \
-        .select("level", F.col("i.item").alias("items"), "freq")
+    return named_sets(every, bk)

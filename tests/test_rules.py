@@ -167,3 +167,23 @@ def test_max_len_is_the_levels_own(spark):
     specs = [replace(CATEGORY, mode="ITEMSETS", max_len=2), replace(SEGMENT_CATEGORY, mode="ITEMSETS", max_len=3)]
     got = {r["level"]: r.max_len for r in level_inputs(tx, specs, asg)[1].collect()}
     assert got == {"category": 2, "cluster_0_category": 3}          # segment 7 has no transactions: no level
+
+
+def test_apriori_counts_by_scanning_stored_baskets(spark, monkeypatch):
+    """Sets of five and several passes; nothing per set and user is checkpointed."""
+    import random
+    from itertools import combinations
+    from shopseg.operators import rules as R
+    rng = random.Random(8)
+    baskets = [rng.sample("abcdefgh", rng.randint(3, 8)) for _ in range(150)]
+    params = spark.createDataFrame([("one", 0.1, 0.1, 0.0, None, None, False, "ITEMSETS", 5)],
+                                   "level string, min_support double, min_conf double, min_lift double, top_n int, min_users_abs int, "
+                                   "use_base_users boolean, mode string, max_len int")
+    bk = build_basket(spark.createDataFrame([("one", u, i) for u, b in enumerate(baskets) for i in b], "level string, User_ID int, item string"), params)
+    monkeypatch.setattr(R, "SCAN", 7)
+    monkeypatch.setattr(R, "HELD", 8)
+    kept_rows, cut = [], R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: kept_rows.append("User_ID" in df.columns) or cut(df))
+    got = {tuple(r["items"]): r.freq for r in R.frequent_itemsets_by_level(bk, params).collect()}
+    want = {c: f for n in range(1, 6) for c in combinations("abcdefgh", n) if (f := sum(set(c) <= set(b) for b in baskets)) >= 15}
+    assert got == want and not any(kept_rows)
