@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +106,10 @@ def mine_levels(tx: DataFrame, specs: list[LevelSpec], assignments: DataFrame |
     its own ``min_support`` and ``max_len``); the summary counts the rules of
     the mode each level ran in.
     """
+    # every level reads the rows, and the users and segments are counted from them, too: they are worked out once, a user's
+    # rows together, so that little is left of them in each of those aggregates
+    items = list(dict.fromkeys(s.item_col for s in specs))
+    tx = tx.select(user_col, *items).hint("rebalance", user_col).persist(StorageLevel.MEMORY_AND_DISK)
     rows, params = level_inputs(tx, specs, assignments, user_col)
     params = params.cache()
     bk = build_basket(rows, params, need_base_users=assignments is not None and any(s.segment for s in specs))
