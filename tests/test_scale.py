@@ -2,9 +2,13 @@
 import numpy as np
 import pytest
 
+from pyspark.sql.functions import broadcast
+
+from shopseg.operators.clean import clean_transactions, coerced_transactions, impute_and_clip
 from shopseg.operators.features import user_features
 from shopseg.operators.profile import profile_clusters
 from shopseg.plans.levels import LevelSpec, mine_levels
+from shopseg.plans.segmentation import hybrid_segments
 from shopseg.sources.transactions import star_lines
 
 
@@ -55,3 +59,49 @@ def test_lines_are_joined_to_customers_with_their_orders(spark, tmp_path):
     assert [(r.l_orderkey, r.c_custkey, r.p_partkey, r.c_nationkey) for r in lines.collect()] == [(1, 2, 3, 4)]
     joins = [line for line in lines._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert len(joins) == 3 and "o_custkey" in joins[-1]  # the deepest
+
+
+TX = ("User_ID int, Product_ID string, Gender string, Age string, Occupation smallint, City_Category string, Stay_In_Current_City_Years string, "
+      "Marital_Status tinyint, Product_Category string, Purchase float")
+
+
+def _shuffles(df):
+    """Exchanges of the plan above what is persisted."""
+    found, hidden = 0, None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        deep = len(line) - len(line.lstrip(" :+-"))
+        if hidden is not None and deep > hidden:
+            continue
+        hidden = deep if "InMemoryRelation" in line else None
+        found += "Exchange hashpartitioning" in line
+    return found
+
+
+def test_features_of_rows_dealt_by_user_shuffle_nothing(spark):
+    rows = [(u, None if k == 4 else f"P{u * k % 7}", "FM"[k % 2], f"a{k % 3}", u % 4, "AB"[u % 2], f"{k % 5}+", k % 2, str(1 + u * k % 13), float(u + k * k))
+            for u in range(30) for k in range(1, 7)]
+    raw = spark.createDataFrame(rows + rows[:40], TX)
+    dealt, _ = user_features(clean_transactions(raw, by_user=True), by_user=True)
+    assert _shuffles(dealt) == 0
+    # a choice of users stays dealt
+    some = coerced_transactions(raw, by_user=True).persist()
+    some.count()
+    few = spark.createDataFrame([(3,), (5,)], "User_ID int")
+    kept, _ = user_features(impute_and_clip(some.join(broadcast(few), "User_ID", "left_anti"), 0.01, 0.99), by_user=True)
+    assert _shuffles(kept) == 0 and kept.count() == 28
+    apart, _ = user_features(clean_transactions(raw))
+    assert _shuffles(apart) >= 4
+    got, want = ({r.User_ID: r.asDict() for r in f.collect()} for f in (dealt, apart))
+    assert got.keys() == want.keys() and len(got) == 30
+    for u in got:
+        assert got[u] == {c: v if isinstance(v, str) else pytest.approx(v) for c, v in want[u].items()}
+
+
+def test_hybrid_passes_read_their_rows_once(spark):
+    rows = [(u, f"P{u * k % 7}", "FM"[k % 2], f"a{k % 3}", u % 4, "AB"[u % 2], f"{k % 5}", k % 2, str(1 + u * k % 5), float(u + k * k))
+            for u in range(400) for k in range(1, 5)]
+    raw, seen = _counted(spark, spark.createDataFrame(rows, TX))
+    res = hybrid_segments(raw, leaves=8, silhouettes=False)
+    assert res.final.count() == 400 and seen.value == 1600
+    scans = spark._jsparkSession.sharedState().cacheManager()
+    assert scans.lookupCachedData(coerced_transactions(raw, by_user=True)._jdf).isDefined()
