@@ -97,6 +97,17 @@ def test_features_of_rows_dealt_by_user_shuffle_nothing(spark):
         assert got[u] == {c: v if isinstance(v, str) else pytest.approx(v) for c, v in want[u].items()}
 
 
+def test_rows_are_deduplicated_in_the_shuffle_that_deals_them_by_user(spark):
+    rows = [(u, f"P{k}", "F", "a", 1, "A", "2+", 0, "3", float(k)) for u in range(9) for k in range(4)]
+    raw = spark.createDataFrame(rows + rows[:11] + [(None, *rows[0][1:])], TX)
+    for deduplicated in (False, True):
+        dealt = coerced_transactions(raw.where("User_ID IS NOT NULL").distinct() if deduplicated else raw, deduplicated, by_user=True)
+        assert _shuffles(dealt) == 1 + deduplicated
+        assert sorted(r.User_ID for r in dealt.collect()) == sorted(r[0] for r in rows)
+        again = dealt.groupBy("User_ID").count()
+        assert _shuffles(again) == 1 + deduplicated and {r["count"] for r in again.collect()} == {4}
+
+
 def test_hybrid_passes_read_their_rows_once(spark):
     rows = [(u, f"P{u * k % 7}", "FM"[k % 2], f"a{k % 3}", u % 4, "AB"[u % 2], f"{k % 5}", k % 2, str(1 + u * k % 5), float(u + k * k))
             for u in range(400) for k in range(1, 5)]
