@@ -108,3 +108,13 @@ def test_true_average_of_given_leaves(spark):
     d = np.abs(x[:, None] - x[None]).sum(2)
     first = min(d[np.ix_(leaf == a, leaf == b)].mean() for a in (0, 2, 4, 6, 8) for b in (0, 2, 4, 6, 8) if a < b)
     assert t.merges.orderBy("step").first().height == pytest.approx(first)
+
+
+def test_rows_are_summed_per_group():
+    from shopseg.operators.cover import rows_summed
+    rng = np.random.default_rng(4)
+    rows, group = rng.normal(size=(500, 7)), rng.integers(0, 9, 500) * 2
+    got = rows_summed(rows, group, 18)
+    assert got == pytest.approx(np.stack([rows[group == g].sum(0) for g in range(18)]))
+    assert not got[1::2].any()  # groups without rows
+    assert not rows_summed(rows[:0], group[:0], 3).any()
