@@ -116,3 +116,17 @@ def test_hybrid_passes_read_their_rows_once(spark):
     assert res.final.count() == 400 and seen.value == 1600
     scans = spark._jsparkSession.sharedState().cacheManager()
     assert scans.lookupCachedData(coerced_transactions(raw, by_user=True)._jdf).isDefined()
+
+
+def test_modes_of_rows_dealt_by_user_are_counted_not_sorted(spark):
+    rows = [(u, f"P{k}", None if u == 3 else "FM"[(u + k) % 2], "bca"[k % 3], 9 if k % 2 else 10, "A", None if u == 4 else str(k % 2), None if k else 1, "3", float(k))
+            for u in range(200) for k in range(6)]
+    raw = spark.createDataFrame(rows, TX)
+    dealt, _ = user_features(clean_transactions(raw, by_user=True), by_user=True)
+    assert "mode(" not in dealt._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    modes = ["Age_mode", "Gender_mode", "City_Category_mode", "Stay_mode", "Marital_mode", "Occupation_mode"]
+    assert dict(dealt.dtypes)["Stay_mode"] == "smallint"
+    got = {r.User_ID: tuple(r)[1:] for r in dealt.select("User_ID", *modes).collect()}
+    assert got[3] == ("a", "Unknown", "A", 0, 1, 9) and got[4] == ("a", "F", "A", 0, 1, 9)  # ties: the smallest value
+    apart, _ = user_features(clean_transactions(raw))
+    assert got == {r.User_ID: tuple(r)[1:] for r in apart.select("User_ID", *modes).collect()} and len(got) == 200
