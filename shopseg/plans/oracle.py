@@ -483,7 +483,9 @@ def sql_cluster_profile() -> str:
     casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PLAIN_NUMERIC)
     return f"""WITH {feature_ctes()}, {REGION},
 pl AS (SELECT User_ID, feature, value FROM (UNPIVOT (SELECT User_ID, {casts} FROM feats)
-    ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value))
+    ON {", ".join(PLAIN_NUMERIC)} INTO NAME feature VALUE value)
+  UNION ALL SELECT User_ID, 'cat_share__' || bucket, share FROM shares
+  UNION ALL SELECT User_ID, 'cat_rev_share__' || bucket, rev_share FROM shares)
 SELECT a.cluster, pl.feature, CAST(count(pl.value) AS BIGINT) AS count, ROUND(avg(pl.value), 4) AS mean,
        ROUND(quantile_cont(pl.value, 0.5), 4) AS median
 FROM pl JOIN asg a USING (User_ID) GROUP BY a.cluster, pl.feature"""
